@@ -35,7 +35,7 @@ def canonical(listed: DataFrame) -> DataFrame:
 
 def _bits(key: Column, blocks: int) -> tuple[Column, list[Column]]:
     h, g = F.xxhash64(key), F.xxhash64(F.lit("second"), key)
-    return F.pmod(h, F.lit(blocks)).alias("block"), [F.shiftleft(F.lit(1).cast("long"), F.shiftrightunsigned(g, 6 * i).bitwiseAND(F.lit(63)).cast("int")) for i in range(4)]
+    return F.pmod(h, F.lit(blocks)).alias("block"), [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(g, 6 * i).bitwiseAND(F.lit(63)).cast("int")) for i in range(4)]
 
 
 def bloom(keys: DataFrame, blocks: int) -> DataFrame:
