@@ -1,7 +1,599 @@
-"""Registered queries of the engine's own operators, and their SQL equivalents."""
+"""Registered queries of the engine's own operators over the driver tables, and their SQL equivalents where SQL can express them."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+import re
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import dates, lexicons, num, urls
+from ..functions import text as tx
+from ..functions.lexicon import Lexicon
+from ..operators import assist, clean, dedup, discover, gates, html, insight, pages, parse, qualify, score, store
+from . import views
+from .views import AS_OF, OPPORTUNITIES, STORE, STORE_AS_OF, opportunities, read
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-FLAGSHIP = ""
+FLAGSHIP = "q_priority_counts"
+
+
+def query(sql: str | None = None) -> Callable:
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def day(s: str) -> F.Column:
+    return F.lit(s).cast("date")
+
+
+# ---- SQL forms of shared expressions ----
+
+def sql_word(c: str, term: str) -> str:
+    t = re.sub(r"([.+*?()\[\]{}|^$\\])", r"\\\1", term.lower()).replace("'", "''")
+    return rf"regexp_matches({c}, '(^|[^\p{{L}}\p{{N}}_]){t}($|[^\p{{L}}\p{{N}}_])')"
+
+
+def sql_any(c: str, terms: Sequence[str]) -> str:
+    return "(" + " OR ".join(sql_word(c, t) for t in terms) + ")"
+
+
+def sql_count(c: str, terms: Sequence[str]) -> str:
+    return "(" + " + ".join(f"CAST({sql_word(c, t)} AS INTEGER)" for t in terms) + ")"
+
+
+def sql_sum(c: str, terms: Mapping[str, float]) -> str:
+    return "(CAST(0.0 AS DOUBLE) + " + " + ".join(f"CASE WHEN {sql_word(c, t)} THEN CAST({w} AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END" for t, w in terms.items()) + ")"
+
+
+def sql_first(c: str, terms: Mapping[str, float] | Sequence[str], weights: bool = False) -> str:
+    items = terms.items() if isinstance(terms, Mapping) else [(t, 1.0) for t in terms]
+    value = lambda t, w: f"CAST({w} AS DOUBLE)" if weights else "'" + t.replace("'", "''") + "'"
+    return "CASE " + " ".join(f"WHEN {sql_word(c, t)} THEN {value(t, w)}" for t, w in items) + " END"
+
+
+def sql_list(c: str, terms: Sequence[str], sep: str = ", ") -> str:
+    return f"array_to_string(list_filter([{', '.join(f'CASE WHEN {sql_word(c, t)} THEN {chr(39)}{t}{chr(39)} END' for t in terms)}], lambda x: x IS NOT NULL), '{sep}')"
+
+
+def sql_has(c: str, phrases: Sequence[str]) -> str:
+    q = lambda p: p.replace("'", "''")
+    return "(" + " OR ".join(f"contains({c}, '{q(p)}')" for p in phrases) + ")"
+
+
+def sql_hits(c: str, phrases: Sequence[str]) -> str:
+    q = lambda p: p.replace("'", "''")
+    return "(" + " + ".join(f"CAST(contains({c}, '{q(p)}') AS INTEGER)" for p in phrases) + ")"
+
+
+ROUND2 = "CAST(format('{{:.2f}}', {0}) AS DOUBLE)"
+CANON = r"trim(regexp_replace(regexp_replace(lower({0}), '[^\p{{L}}\p{{N}}_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
+
+#: The documents hold none of the domain's words, so queries over them use words of their own four languages.
+WORDS = {"that": 0.20, "with": 0.18, "from": 0.12, "que": 0.20, "von": 0.15, "und": 0.15, "les": 0.10, "los": 0.10}
+PLAIN = list(WORDS)
+CORPUS = score.Policy(
+    blocked=Lexicon.of(["idiot", "moron"]), core=Lexicon.of({"that": 0.20, "que": 0.20, "und": 0.15, "with": 0.18, "les": 0.10}), secondary=Lexicon.of({"the": 0.05, "de": 0.05, "der": 0.08}),
+    procurement=Lexicon.of(["for", "von", "por"]), service=Lexicon.of(["this", "from", "was", "la", "mit", "los"]), boost=Lexicon.of({"en": 0.10, "fr": 0.05}), penalty=Lexicon.of({"de": 0.06, "es": 0.03}),
+    organizations=Lexicon.of({"src1": 0.06, "src2": 0.05}), sources=Lexicon.of({"src1.example": 0.05, "example": 0.03}), negative=Lexicon.of({"on": 0.05, "sur": 0.08, "ist": 0.12, "en": 0.15}), title_terms=Lexicon.of(["the", "of", "de", "und"]),
+)
+CATEGORY_WORDS = {"first": ["idiot", "scum"], "second": ["that", "que"], "third": ["und", "von"]}
+
+
+# ---- lexicon matching ----
+
+@query(f"SELECT doc_id, {sql_count('lower(text)', PLAIN)} AS n, {sql_any('lower(text)', PLAIN)} AS hit, {sql_sum('lower(text)', WORDS)} AS weight, {sql_first('lower(text)', PLAIN)} AS first, {sql_list('lower(text)', PLAIN)} AS found FROM documents WHERE text IS NOT NULL")
+def q_lexicon(spark: SparkSession, d: str) -> DataFrame:
+    x = Lexicon.of(WORDS)
+    rows = read(spark, d, "documents").where("text is not null").withColumn("t", x.prepared(F.col("text")))
+    t = F.col("t")
+    return rows.select("doc_id", x.count(t).alias("n"), x.any_(t).alias("hit"), x.sum_(t).alias("weight"), x.first(t).alias("first"), F.array_join(x.list_(t), ", ").alias("found"))
+
+
+@query(f"SELECT lang, count(*) AS n, count(*) FILTER (WHERE {sql_has('lower(text)', PLAIN)}) AS hits FROM documents GROUP BY lang")
+def q_lexicon_substring(spark: SparkSession, d: str) -> DataFrame:
+    x = Lexicon.of(PLAIN, "substr")
+    return read(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.count_if(x.any_(F.lower("text"))).alias("hits"))
+
+
+@query(r"SELECT doc_id, " + sql_count("t", ["that this", "of the", "de la"]) + r" AS n FROM (SELECT doc_id, trim(regexp_replace(replace(lower(coalesce(text, '')), '-', ' '), '\s+', ' ', 'g')) AS t FROM documents)")
+def q_lexicon_hyphen(spark: SparkSession, d: str) -> DataFrame:
+    x = Lexicon.of(["that-this", "of the", "de-la"], "word_nohyphen")
+    return read(spark, d, "documents").withColumn("t", x.prepared(tx.text("text"))).select("doc_id", x.count(F.col("t")).alias("n"))
+
+
+@query(f"SELECT {sql_first('lower(coalesce(text, ' + chr(39) * 2 + '))', ['idiot'])} IS NOT NULL AS a, count(*) AS n FROM documents GROUP BY 1")
+def q_blocked_counts(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "documents").groupBy(Lexicon.of(["idiot"]).any_(F.lower(tx.text("text"))).alias("a")).agg(F.count("*").alias("n"))
+
+
+# ---- scoring ----
+
+def _relevance_sql() -> str:
+    p = {k: dict(getattr(CORPUS, k).terms) for k in ("blocked", "core", "secondary", "procurement", "service", "boost", "penalty", "organizations", "sources", "negative", "title_terms")}
+    return f"""
+    WITH o AS ({OPPORTUNITIES}),
+    t AS (SELECT *, lower(concat_ws(' ', title, description, '', location, organization, source, source_url)) AS t, datediff('day', DATE '{AS_OF}', CAST(deadline AS DATE)) AS days FROM o),
+    s AS (SELECT *, {sql_any('t', list(p['blocked']))} AS blocked, {sql_count('t', list(p['core']))} AS ncore, least({sql_sum('t', p['core'])}, 0.55::DOUBLE) AS core,
+            {sql_count('t', list(p['secondary']))} AS nsec, {sql_sum('t', p['secondary'])} AS sec, {sql_any('t', list(p['procurement']))} AS proc, {sql_count('t', list(p['service']))} AS nserv,
+            coalesce({sql_first('t', p['boost'], True)}, -({sql_first('t', p['penalty'], True)}), 0.0::DOUBLE) AS region, coalesce({sql_first('lower(organization)', p['organizations'], True)}, 0.0::DOUBLE) AS org,
+            coalesce({sql_first("lower(source || ' ' || source_url)", p['sources'], True)}, 0.0::DOUBLE) AS src,
+            CASE WHEN days < 0 THEN 0.0::DOUBLE WHEN days <= 7 THEN 0.08::DOUBLE WHEN days <= 30 THEN 0.12::DOUBLE ELSE 0.15::DOUBLE END AS fresh,
+            least((CAST(trim(title) <> '' AS INT) + CAST(trim(organization) <> '' AS INT) + CAST(trim(location) <> '' AS INT) + CAST(trim(deadline) <> '' AS INT) + CAST(trim(description) <> '' AS INT) + CAST(trim(source_url) <> '' AS INT)) * 0.015::DOUBLE, 0.12::DOUBLE) AS meta,
+            least({sql_sum('t', p['negative'])}, 0.30::DOUBLE) AS neg, {sql_count('t', list(p['negative']))} AS nneg, {sql_count('lower(title)', list(p['title_terms']))} AS ntitle FROM t),
+    a AS (SELECT *, CASE WHEN ncore > 0 THEN core ELSE sec END AS s1 FROM s),
+    b AS (SELECT *, CASE WHEN proc THEN s1 + 0.20::DOUBLE ELSE s1 * 0.80::DOUBLE END AS s2 FROM a),
+    c AS (SELECT *, CASE WHEN nserv > 0 THEN s2 + least(nserv * 0.04::DOUBLE, 0.20::DOUBLE) ELSE s2 * 0.90::DOUBLE END AS s3 FROM b),
+    e AS (SELECT *, s3 + region + org + src + fresh + meta - neg + CASE WHEN ntitle >= 3 THEN 0.10::DOUBLE WHEN ntitle = 2 THEN 0.08::DOUBLE WHEN ntitle = 1 THEN 0.05::DOUBLE ELSE 0.0::DOUBLE END AS s4 FROM c),
+    f AS (SELECT *, CASE WHEN nneg > 0 AND nserv = 0 THEN s4 * 0.85::DOUBLE ELSE s4 END AS s5 FROM e),
+    scored AS (SELECT pos, title, description, organization, location, source, source_url, deadline, CASE WHEN blocked OR (ncore = 0 AND nsec = 0) THEN 0.0::DOUBLE ELSE {ROUND2.format('greatest(0.0::DOUBLE, least(1.0::DOUBLE, s5))')} END AS score FROM f)"""
+
+
+SCORED = _relevance_sql()
+
+
+def scored(spark: SparkSession, d: str) -> DataFrame:
+    return score.relevance(opportunities(spark, d), day(AS_OF), CORPUS)
+
+
+@query(SCORED + " SELECT pos, score FROM scored")
+def q_relevance(spark: SparkSession, d: str) -> DataFrame:
+    return scored(spark, d).select("pos", "score")
+
+
+@query()
+def q_relevance_default_lexicon(spark: SparkSession, d: str) -> DataFrame:
+    return score.relevance(opportunities(spark, d), day(AS_OF)).select("pos", "score", F.concat_ws(" | ", "reasons").alias("reasons"))
+
+
+@query(SCORED + f", p AS (SELECT CASE WHEN score >= 0.70 THEN 'HIGH' WHEN score >= 0.50 THEN 'MEDIUM' ELSE 'LOW' END AS priority, score FROM scored) SELECT priority, count(*) AS n, {ROUND2.format('avg(score)')} AS mean FROM p GROUP BY priority")
+def q_priority_counts(spark: SparkSession, d: str) -> DataFrame:
+    return scored(spark, d).select(score.priority(F.col("score")).alias("priority"), "score").groupBy("priority").agg(F.count("*").alias("n"), num.round2(F.avg("score")).alias("mean"))
+
+
+@query(f"WITH o AS ({OPPORTUNITIES}), d AS (SELECT pos, datediff('day', DATE '{AS_OF}', CAST(deadline AS DATE)) AS days FROM o) SELECT pos, CASE WHEN days < 0 THEN 0.0 WHEN days <= 7 THEN 0.08 WHEN days <= 30 THEN 0.12 ELSE 0.15 END::DOUBLE AS fresh FROM d")
+def q_freshness(spark: SparkSession, d: str) -> DataFrame:
+    return opportunities(spark, d).select("pos", score.freshness(dates.parse(F.col("deadline"), "score"), day(AS_OF)).cast("double").alias("fresh"))
+
+
+_BOOST, _PENALTY = dict(CORPUS.boost.terms), dict(CORPUS.penalty.terms)
+
+
+@query(f"SELECT doc_id AS pos, coalesce({sql_first('lower(lang)', _BOOST, True)}, -({sql_first('lower(lang)', _PENALTY, True)}), 0.0::DOUBLE) AS region FROM documents")
+def q_region(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "documents").select(F.col("doc_id").alias("pos"), score.region(F.lower("lang"), CORPUS).alias("region"))
+
+
+@query("SELECT CASE " + " ".join(f"WHEN {sql_any('t', w)} THEN '{c}'" for c, w in CATEGORY_WORDS.items()) + r" ELSE 'other' END AS category, count(*) AS n FROM (SELECT trim(regexp_replace(replace(lower(coalesce(text, '')), '-', ' '), '\s+', ' ', 'g')) AS t FROM documents) GROUP BY 1")
+def q_category(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "documents").select(tx.no_hyphen(tx.text("text")).alias("t"))
+    return rows.groupBy(score.category(F.col("t"), CATEGORY_WORDS, "other").alias("category")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH o AS ({OPPORTUNITIES}) SELECT pos, (CASE WHEN {sql_has('lower(source_url)', lexicons.OFFICIAL_DOMAINS)} THEN 5 ELSE 0 END + 2 * {sql_hits('lower(source_url)', lexicons.SEARCH_URL_HINTS)} + 2 * {sql_hits('t', lexicons.SEARCH_POSITIVE)} - 4 * {sql_hits('t', lexicons.SEARCH_NEGATIVE)})::INTEGER AS score, ({sql_has('lower(title)', lexicons.SEARCH_BAD_TITLES)} OR {sql_has('lower(source_url)', lexicons.SEARCH_BAD_DOMAINS + lexicons.SEARCH_BAD_PATHS)}) AS skip FROM (SELECT *, lower(title || ' ' || description) AS t FROM o)")
+def q_search_score(spark: SparkSession, d: str) -> DataFrame:
+    o = opportunities(spark, d)
+    return o.select("pos", score.discovery(F.col("title"), F.col("description"), F.col("source_url")).cast("int").alias("score"), score.skip_hit(F.col("title"), F.col("source_url")).alias("skip"))
+
+
+def _router_sql() -> str:
+    s, c, t, x = (sql_count("t", w) for w in (lexicons.ROUTER_STRONG, lexicons.ROUTER_CONSULTANCY, lexicons.ROUTER_TENDER, lexicons.ROUTER_UNRELATED))
+    return f"""WITH o AS ({OPPORTUNITIES}), w AS (SELECT pos, lower(concat_ws(' ', title || CASE WHEN pos % 3 = 0 THEN ' tender for structural audit' WHEN pos % 7 = 0 THEN ' peer review, gardening' ELSE '' END, description, source_url)) AS t, lower(source_url) AS u FROM o),
+    n AS (SELECT pos, u, {s} AS s, {c} AS c, {t} AS t, {x} AS x, {sql_has('u', lexicons.ROUTER_URL_HINTS)} AS h, {sql_has('u', lexicons.ROUTER_BAD_URLS)} AS b FROM w)
+    SELECT pos, CAST(CASE WHEN NOT b AND s > 0 AND (t > 0 OR c > 0 OR h) THEN greatest(least(30 * s, 120) + least(15 * c, 60) + least(10 * t, 40) + CASE WHEN h THEN 10 ELSE 0 END - least(25 * x, 75), 0) ELSE 0 END AS INTEGER) AS discovery_score FROM n"""
+
+
+@query(_router_sql())
+def q_router_score(spark: SparkSession, d: str) -> DataFrame:
+    o = opportunities(spark, d)
+    more = F.when(F.col("pos") % 3 == 0, " tender for structural audit").when(F.col("pos") % 7 == 0, " peer review, gardening").otherwise("")
+    return score.router(o.withColumn("title", F.concat("title", more))).select("pos", "discovery_score")
+
+
+@query()
+def q_intelligence(spark: SparkSession, d: str) -> DataFrame:
+    o = opportunities(spark, d)
+    more = F.when(F.col("pos") % 3 == 0, " tender for structural audit of building").when(F.col("pos") % 7 == 0, " hvac retrofit").when(F.col("pos") % 11 == 0, " peer review").otherwise("")
+    return score.intelligence(o.withColumn("title", F.concat("title", more))).select("pos", "intelligence.is_relevant", "intelligence.service_category", "intelligence.confidence")
+
+
+@query(f"WITH c AS (SELECT doc_id AS pos, (doc_id % 101) / 100.0::DOUBLE AS conf, (doc_id % 97) / 96.0::DOUBLE AS s, CASE doc_id % 3 WHEN 0 THEN 'structural audit' WHEN 1 THEN 'warehouse' ELSE 'other' END AS k FROM documents) SELECT pos, CASE WHEN k = 'structural audit' AND conf >= 0.6 THEN 'PURSUE' WHEN k = 'warehouse' AND s >= 0.5 THEN 'REVIEW' ELSE 'REJECT' END AS action, {ROUND2.format('conf * 0.60::DOUBLE + s * 0.40::DOUBLE')} AS qualification_score FROM c")
+def q_verdict(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("doc_id")
+    kind = F.when(k % 3 == 0, " Structural Audit").when(k % 3 == 1, "warehouse").otherwise("other")
+    v = score.verdict((k % 101) / F.lit(100.0), kind, (k % 97) / F.lit(96.0))
+    return read(spark, d, "documents").select(k.alias("pos"), v.alias("v")).select("pos", "v.action", "v.qualification_score")
+
+
+@query()
+def q_legacy_score(spark: SparkSession, d: str) -> DataFrame:
+    o = opportunities(spark, d)
+    place = F.when(F.col("pos") % 5 == 0, "Gurgaon, Delhi").when(F.col("pos") % 7 == 0, "Ludhiana").otherwise(F.col("location"))
+    title = F.concat("title", F.when(F.col("pos") % 3 == 0, " warehouses maintenance").otherwise(""))
+    return o.select("pos", score.legacy(place, title, F.col("source"), {"warehouse": 0.15, "design": 0.08}).alias("score"))
+
+
+@query(SCORED + f" SELECT pos, {ROUND2.format('score')} AS score, CASE WHEN score >= 0.70 THEN 'HIGH' WHEN score >= 0.50 THEN 'MEDIUM' ELSE 'LOW' END AS priority FROM scored WHERE score > 0")
+def q_rank(spark: SparkSession, d: str) -> DataFrame:
+    return score.rank(scored(spark, d)).select("pos", "score", "priority")
+
+
+# ---- qualification and output shape ----
+
+_QUALIFY = f"""
+    SELECT pos, score, list_filter([
+        CASE WHEN lower(trim(title)) IN ({', '.join(f"'{t}'" for t in lexicons.GENERIC_TITLES)}) OR {sql_has('lower(title)', lexicons.JUNK_TITLES)} OR trim(organization) = '' THEN 'Invalid or low-quality tender document' END,
+        CASE WHEN length(trim(title)) < 15 THEN 'Title too short' END,
+        CASE WHEN trim(source_url) = '' THEN 'Missing source URL' END,
+        CASE WHEN CAST(deadline AS DATE) < DATE '{AS_OF}' THEN 'Expired tender' END,
+        CASE WHEN {sql_has("lower(title || ' ' || description)", lexicons.REFERENCE_PHRASES)} THEN 'Reference/application document, not an active opportunity' END,
+        CASE WHEN NOT {sql_has("lower(title || ' ' || description)", lexicons.ACTIVE_PHRASES)} THEN 'No clear active opportunity signal' END,
+        CASE WHEN score < 0.60 THEN 'Score below minimum threshold (' || format('{{:.2f}}', score) || ' < 0.60)' END], lambda x: x IS NOT NULL) AS r FROM scored"""
+
+
+@query(SCORED + f", q AS ({_QUALIFY}) SELECT pos, len(r) = 0 AS qualified, CASE WHEN len(r) = 0 THEN 'Passed qualification' ELSE array_to_string(r, ' | ') END AS reasons FROM q")
+def q_qualify(spark: SparkSession, d: str) -> DataFrame:
+    return qualify.qualify(scored(spark, d), day(AS_OF)).select("pos", "qualified", F.concat_ws(" | ", "qualification_reasons").alias("reasons"))
+
+
+@query(SCORED + f", q AS ({_QUALIFY}), x AS (SELECT unnest(r) AS reason FROM q) SELECT CASE WHEN starts_with(reason, 'Score') THEN 'Score' ELSE reason END AS reason, count(*) AS n FROM x GROUP BY 1")
+def q_reject_reasons(spark: SparkSession, d: str) -> DataFrame:
+    rows = qualify.qualify(scored(spark, d), day(AS_OF)).where("not qualified").select(F.explode("qualification_reasons").alias("r"))
+    return rows.groupBy(F.when(F.startswith("r", F.lit("Score")), "Score").otherwise(F.col("r")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(SCORED + f" SELECT pos, title, organization, location, source, source_url, deadline, 'NOT_CONTACTED' AS contact_status, CASE WHEN score >= 0.70 THEN 'HIGH' WHEN score >= 0.50 THEN 'MEDIUM' ELSE 'LOW' END AS priority, {ROUND2.format('score')} AS score, {ROUND2.format('1.0::DOUBLE')} AS extraction_confidence FROM scored WHERE organization <> '' AND location <> ''")
+def q_transform(spark: SparkSession, d: str) -> DataFrame:
+    out = qualify.transform(qualify.qualify(scored(spark, d), day(AS_OF)), repair=False).where("organization <> '' and location <> ''")
+    return out.select("pos", "title", "organization", "location", "source", "source_url", "deadline", "contact_status", "priority", "score", "extraction_confidence")
+
+
+@query()
+def q_store_rows(spark: SparkSession, d: str) -> DataFrame:
+    out = qualify.transform(qualify.qualify(scored(spark, d), day(AS_OF)).where("score >= 0.5"))
+    return qualify.store_format(store.numbered(out, "OPP", 0))
+
+
+# ---- deduplication ----
+
+@query(f"WITH o AS ({OPPORTUNITIES}) SELECT min(pos) AS pos, source_url FROM o GROUP BY source_url")
+def q_dedup_url(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.distinct_urls(opportunities(spark, d)).select("pos", "source_url")
+
+
+_FP = "CASE WHEN " + " AND ".join(CANON.format(c) + " <> ''" for c in ("title", "organization", "deadline")) + " THEN sha256(" + " || '|' || ".join(CANON.format(c) for c in ("title", "organization", "deadline")) + ") ELSE '' END"
+
+
+@query(f"WITH o AS ({OPPORTUNITIES}), f AS (SELECT pos, {_FP} AS fp FROM o) SELECT min(pos) AS pos, fp FROM f WHERE fp <> '' GROUP BY fp")
+def q_dedup_fingerprint(spark: SparkSession, d: str) -> DataFrame:
+    fp = dedup.fingerprint(F.col("title"), F.col("organization"), F.col("deadline"))
+    return dedup.first_per_key(opportunities(spark, d).withColumn("fp", fp), F.col("fp")).select("pos", "fp")
+
+
+@query()
+def q_dedup_greedy(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.greedy(opportunities(spark, d).select("pos", "title", "organization", "deadline", "source_url")).select("pos", "source_url")
+
+
+@query()
+def q_fuzzy_pairs(spark: SparkSession, d: str) -> DataFrame:
+    o = opportunities(spark, d).withColumn("source_url", F.lit(""))
+    return dedup.conflicts(o)
+
+
+@query(f"WITH o AS ({OPPORTUNITIES}), s AS (SELECT DISTINCT lower(trim(title)) AS t, lower(trim(source_url)) AS u FROM o WHERE pos % 3 = 0) SELECT pos FROM o WHERE NOT (lower(trim(title)) <> '' AND lower(trim(source_url)) <> '' AND EXISTS (SELECT 1 FROM s WHERE t = lower(trim(title)) AND u = lower(trim(source_url))))")
+def q_store_anti(spark: SparkSession, d: str) -> DataFrame:
+    o = opportunities(spark, d)
+    return dedup.new_rows(o, o.where("pos % 3 = 0").select(F.col("title").alias("Title"), F.col("source_url").alias("Source_Link"))).select("pos")
+
+
+# ---- merge, ids, discovery ----
+
+@query("SELECT d.doc_id AS pos, coalesce(d.lang, '') AS title, l.quality AS quality, l.toxic AS toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def q_merge_authority(spark: SparkSession, d: str) -> DataFrame:
+    ex = read(spark, d, "documents").select(F.col("doc_id").alias("pos"), F.col("lang").alias("title"))
+    dis = read(spark, d, "labels").select(F.col("doc_id").alias("pos"), "quality", "toxic", F.lit("other").alias("title"))
+    return store.merge(dis, ex, "pos", ["title"])
+
+
+@query("SELECT doc_id AS pos, printf('OPP-%06d', row_number() OVER (ORDER BY doc_id) + 41) AS opportunity_id FROM documents")
+def q_assign_ids(spark: SparkSession, d: str) -> DataFrame:
+    return store.numbered(read(spark, d, "documents").select(F.col("doc_id").alias("pos")), "OPP", 41).select("pos", "opportunity_id")
+
+
+def _expand_sql() -> str:
+    forms = ["r_name || ' tender 2026'", "r_name || ' 2026'"]
+    for s in lexicons.SUFFIXES:
+        forms.append(f"r_name || ' {s}'" if s else "r_name")
+        if s in ("RFP", "EOI"):
+            forms.append(f"r_name || ' {s} PDF'")
+    return f"SELECT r_name AS query, CAST(i - 1 AS INTEGER) AS n, v[i] AS variant FROM (SELECT r_name, [{', '.join(forms)}] AS v FROM region), range(1, {len(forms) + 1}) t(i)"
+
+
+@query(_expand_sql())
+def q_expand(spark: SparkSession, d: str) -> DataFrame:
+    return discover.expand(read(spark, d, "region"), 2026, "r_name")
+
+
+@query("""WITH c AS (SELECT s_suppkey AS pos, 'https://supplier.example/' || s_suppkey AS url, lower(s_name || ' nation ' || s_nationkey) AS text, CAST(s_suppkey % 7 AS DOUBLE) AS priority FROM supplier),
+    q AS (SELECT n_name AS query, regexp_extract_all(lower(n_name || ' supplier ' || n_nationkey), '[a-z0-9]+') AS tok FROM nation),
+    s AS (SELECT query, url, pos, len(list_filter(tok, lambda x: contains(text, x))) * 2 + priority * 0.5 AS score FROM q, c),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, pos) AS k FROM s WHERE score > 0)
+    SELECT query, CAST(k - 1 AS INTEGER) AS n, url, CAST(score AS DOUBLE) AS score FROM r WHERE k <= 15""")
+def q_select_sources(spark: SparkSession, d: str) -> DataFrame:
+    s = read(spark, d, "supplier")
+    cat = s.select(F.col("s_suppkey").alias("pos"), F.concat(F.lit("https://supplier.example/"), F.col("s_suppkey").cast("string")).alias("url"), F.concat("s_name", F.lit(" nation "), F.col("s_nationkey").cast("string")).alias("text"), (F.col("s_suppkey") % 7).alias("priority")).where(F.col("pos") <= discover.MOST_SOURCES)
+    asked = read(spark, d, "nation").select(F.col("n_name").alias("query"), F.concat("n_name", F.lit(" supplier "), F.col("n_nationkey").cast("string")).alias("q"))
+    named = discover.select_sources(asked.select(F.col("q").alias("query")), cat).withColumnRenamed("query", "q")
+    return named.join(asked, "q").select("query", "n", "url", "score")
+
+
+@query("""WITH r AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events), p AS (SELECT event_id FROM r WHERE k <= 2 ORDER BY event_id LIMIT 500)
+    SELECT e.event_id, p.event_id IS NOT NULL AS allowed FROM events e LEFT JOIN p ON e.event_id = p.event_id""")
+def q_quota(spark: SparkSession, d: str) -> DataFrame:
+    return discover.quota(read(spark, d, "events").select("event_id", "user_id"), "user_id", "event_id", 2, 500).drop("user_id")
+
+
+@query()
+def q_crawl(spark: SparkSession, d: str) -> DataFrame:
+    e = read(spark, d, "lineitem").select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("from_url"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("to_url"), F.col("l_orderkey").alias("pos"))
+    both = e.unionByName(e.select(F.col("to_url").alias("from_url"), F.col("from_url").alias("to_url"), "pos"))
+    start = read(spark, d, "nation").select(F.col("n_name").alias("source"), F.concat(F.lit("s"), (F.col("n_nationkey") + 1).cast("string")).alias("url"))
+    return discover.crawl(start, both)
+
+
+# ---- text cleaning ----
+
+_ws = r"trim(regexp_replace({0}, '[ \t]+', ' ', 'g'))"
+
+
+@query(r"""SELECT doc_id, length(t) AS characters, len(regexp_extract_all(t, '[^\s]+')) AS words, CASE WHEN t = '' THEN 0 ELSE len(regexp_extract_all(t, '\n')) + CASE WHEN ends_with(t, chr(10)) THEN 0 ELSE 1 END END AS lines,
+    len(regexp_extract_all(t, '\p{L}')) AS letters FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""")
+def q_doc_stats(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "documents").select("doc_id", clean.statistics(F.col("text")).alias("s")).select("doc_id", *[F.col(f"s.{c}").cast("long").alias(c) for c in ("characters", "words", "lines", "letters")])
+
+
+_LINES = r"""l AS (SELECT doc_id, unnest(list_filter(list_transform(string_split(replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)), lambda x: trim(regexp_replace(x, '[ \t]+', ' ', 'g'))), lambda x: x <> '')) AS line FROM documents)"""
+
+
+@query(f"WITH {_LINES} SELECT doc_id, count(*) AS n, count(DISTINCT line) AS distinct_lines FROM l GROUP BY doc_id")
+def q_clean_lines(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "documents").select("doc_id", tx.clean_lines(tx.text("text")).alias("x")).where("size(x) > 0")
+    return rows.select("doc_id", F.size("x").cast("long").alias("n"), F.size(F.array_distinct("x")).cast("long").alias("distinct_lines"))
+
+
+@query(rf"""WITH {_LINES}, c AS (SELECT doc_id, line, count(*) AS n FROM l GROUP BY doc_id, line) SELECT doc_id, count(*) AS repeated FROM c WHERE n >= 3 AND length(line) <= 120 AND NOT contains(line, '|')
+    AND NOT regexp_matches(line, '(?i)₹|\brs\.?\b|\binr\b|\$|€|£') AND NOT regexp_matches(line, '\d{{1,2}}[/.-]\d{{1,2}}[/.-]\d{{2,4}}|\d{{4}}-\d{{1,2}}-\d{{1,2}}') AND lower(line) NOT IN ({', '.join(f"'{x}'" for x in lexicons.PROTECTED_HEADINGS)}) GROUP BY doc_id""")
+def q_repeated_lines(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "documents").select("doc_id", clean.repeated(tx.clean_lines(tx.text("text"))).alias("x"))
+    return rows.where("size(x) > 0").select("doc_id", F.size("x").cast("long").alias("repeated"))
+
+
+@query()
+def q_clean_full(spark: SparkSession, d: str) -> DataFrame:
+    return clean.clean(read(spark, d, "documents").select("doc_id", "text"))
+
+
+@query(r"""WITH x AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS v FROM documents), l AS (SELECT doc_id, i, v[i] AS line FROM x, range(1, len(v) + 1) t(i)),
+    p AS (SELECT doc_id, line, lag(line) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM l) SELECT doc_id, count(*) AS n FROM p WHERE line IS DISTINCT FROM before OR before IS NULL GROUP BY doc_id""")
+def q_consecutive_lines(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "documents").withColumn("x", tx.lines(tx.text("text")))
+    return rows.select("doc_id", F.size(dedup.consecutive(F.col("x"))).cast("long").alias("n"))
+
+
+@query()
+def q_repeat_blocks(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "documents").withColumn("x", tx.clean_lines(tx.text("text")))
+    return rows.select("doc_id", tx.join_lines(clean.without_pairs(clean.without_blocks(F.col("x")))).alias("text"))
+
+
+@query()
+def q_page_headers(spark: SparkSession, d: str) -> DataFrame:
+    p = F.transform(tx.lines(tx.text("text")), lambda x: F.concat(F.lit("Annual notice of works\n"), x, F.lit("\nissued by the office")))
+    return read(spark, d, "documents").select("doc_id", pages.to_text(p).alias("text"))
+
+
+_SYM = r"CASE WHEN length(t) > 0 THEN length(regexp_replace(t, '[^\p{P}\p{S}]', '', 'g')) / length(t)::DOUBLE ELSE 0.0 END"
+_ENDS = "lower(substr(t, 1, 3000) || ' ' || substr(t, greatest(length(t) - 999, 1)))"
+
+
+@query(rf"""WITH d AS (SELECT coalesce(text, '') AS t FROM documents) SELECT CASE WHEN length(trim(t)) < 120 THEN 'text_too_short' WHEN {sql_has(_ENDS, lexicons.STRONG_BAD_PAGE)} THEN 'error_page'
+    WHEN {sql_has('lower(t)', lexicons.CONTEXT_BAD_PAGE)} AND length(t) <= 1200 AND {sql_hits('lower(t)', lexicons.NAVIGATION_HEAVY)} >= 3 THEN 'navigation_page' WHEN {_SYM} > 0.4 THEN 'garbled_text' ELSE 'ok' END AS reason, count(*) AS n FROM d GROUP BY 1""")
+def q_doc_gate(spark: SparkSession, d: str) -> DataFrame:
+    why = F.coalesce(gates.text_reject(F.col("text"), terms=False), F.lit("ok"))
+    return read(spark, d, "documents").groupBy(why.alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(rf"SELECT doc_id, {_SYM} AS share FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)")
+def q_symbol_share(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "documents").select("doc_id", tx.symbol_share(tx.text("text")).alias("share"))
+
+
+@query(rf"""WITH o AS ({OPPORTUNITIES}), w AS (SELECT pos, list_distinct(list_filter(string_split({CANON.format('title')}, ' '), lambda x: x <> '')) AS a, list_distinct(list_filter(string_split({CANON.format("split_part(description, chr(10), 2)")}, ' '), lambda x: x <> '')) AS b FROM o)
+    SELECT pos, len(list_intersect(b, a)) / len(b)::DOUBLE AS overlap FROM w WHERE len(b) >= 2""")
+def q_token_overlap(spark: SparkSession, d: str) -> DataFrame:
+    o = opportunities(spark, d)
+    second = F.coalesce(F.get(F.split("description", "\n"), F.lit(1)), F.lit(""))
+    return o.select("pos", tx.token_overlap(second, F.col("title")).alias("overlap")).where("overlap is not null")
+
+
+# ---- extraction ----
+
+@query(r"SELECT doc_id, regexp_extract(text, '\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b') AS email FROM documents WHERE regexp_matches(text, '\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b')")
+def q_email(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "documents").select("doc_id", parse.email(F.col("text")).alias("email")).where("email <> ''")
+
+
+@query()
+def q_phone(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "documents").select("doc_id", F.concat(tx.text("text"), F.lit(" call +91 98"), F.lpad((F.col("doc_id") % 100000000).cast("string"), 8, "0")).alias("t"))
+    return rows.select("doc_id", parse.phone(F.regexp_replace("t", r"\+91 98", "+91 98")).alias("phone"))
+
+
+@query(r"SELECT doc_id, len(regexp_extract_all(t, '(?i)(?:₹|rs\.?|inr)\s*([0-9][0-9,]*(?:\.\d{1,2})?)(?:\s*/-)?', 1)) AS n, replace(regexp_extract(t, '(?i)(?:₹|rs\.?|inr)\s*([0-9][0-9,]*(?:\.\d{1,2})?)(?:\s*/-)?', 1), ',', '') AS first FROM (SELECT doc_id, 'fee Rs. ' || format('{:,}', doc_id * 1234) || '/- and INR 500.50 ' || coalesce(lang, '') AS t FROM documents)")
+def q_money(spark: SparkSession, d: str) -> DataFrame:
+    t = F.concat(F.lit("fee Rs. "), F.format_number(F.col("doc_id") * 1234, 0), F.lit("/- and INR 500.50 "), tx.text("lang"))
+    rows = read(spark, d, "documents").select("doc_id", parse.money(t).alias("m"))
+    return rows.select("doc_id", F.size("m").cast("long").alias("n"), F.get("m", F.lit(0)).alias("first"))
+
+
+@query("SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day FROM orders")
+def q_parse_dates(spark: SparkSession, d: str) -> DataFrame:
+    forms = ["yyyy-MM-dd", "dd/MM/yyyy", "d-M-yyyy", "dd.MM.yyyy", "d MMMM yyyy", "d MMM yyyy", "d-MMM-yyyy", "MMMM d, yyyy"]
+    t = F.lit(None).cast("string")
+    for i, f in enumerate(forms):
+        t = F.when(F.col("o_orderkey") % len(forms) == i, F.date_format("o_orderdate", f)).otherwise(t)
+    return read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), dates.parse(t, "parser").alias("day"))
+
+
+@query()
+def q_parse_fields(spark: SparkSession, d: str) -> DataFrame:
+    head = F.concat(F.lit("Notice Inviting Tender\nName of work: Structural audit and retrofitting of building "), F.col("doc_id").cast("string"), F.lit("\nIssued by: Public Works Department, Punjab\nLast date of submission: 15/03/2026\nEMD: Rs. 25,000/-\nScope of work\n"), tx.text("text"))
+    return parse.parse(read(spark, d, "documents").select("doc_id", head.alias("text"))).select("doc_id", "parsed.*", "confidence")
+
+
+# ---- web pages ----
+
+@query()
+def q_html_text(spark: SparkSession, d: str) -> DataFrame:
+    return html.to_text(read(spark, d, "pages")).select("page_id", "text")
+
+
+@query()
+def q_html_links(spark: SparkSession, d: str) -> DataFrame:
+    return html.links(read(spark, d, "pages")).select("page_id", "n", "url", "label")
+
+
+@query()
+def q_best_link(spark: SparkSession, d: str) -> DataFrame:
+    return html.best_link(html.links(read(spark, d, "pages"))).select("page_id", "best")
+
+
+@query()
+def q_link_candidates(spark: SparkSession, d: str) -> DataFrame:
+    return html.candidates(html.links(read(spark, d, "pages")), F.array(F.lit("the"), F.lit("and"))).select("page_id", "n", "url", "score")
+
+
+@query()
+def q_canonical_url(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "pages").select("page_id", urls.canonical(F.col("url")).alias("url"))
+
+
+_BASE = r"regexp_replace(regexp_extract(u, '^[^?#]*'), '/+$', '')"
+
+
+@query(rf"""WITH p AS (SELECT page_id, lower(trim(coalesce(url, ''))) AS u FROM pages), k AS (SELECT page_id, u, list_filter(string_split(regexp_extract(u, '\?([^#]*)', 1), '&'), lambda x: x <> '' AND split_part(x, '=', 1) NOT IN ({', '.join(f"'{t}'" for t in lexicons.TRACKING)}) AND NOT starts_with(x, 'utm_')) AS q FROM p)
+    SELECT page_id, {_BASE} || CASE WHEN len(q) > 0 THEN '?' || array_to_string(list_sort(q), '&') ELSE '' END AS url FROM k""")
+def q_canonical_url_native(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "pages").select("page_id", urls.canonical_plain(F.col("url")).alias("url"))
+
+
+@query(rf"""SELECT page_id, {sql_has("lower(regexp_extract(url, '[?]([^#]*)', 1))", lexicons.CRAWL_BAD_QUERIES)} AS bad_query, regexp_extract(url, '://([^/?#]*)', 1) AS host, {sql_has("lower(regexp_extract(url, '://[^/?#]*([^?#]*)', 1))", lexicons.DOCUMENT_TYPES)} AS is_document FROM pages""")
+def q_url_parts(spark: SparkSession, d: str) -> DataFrame:
+    u = F.col("url")
+    return read(spark, d, "pages").select("page_id", urls.has_bad_query(u).alias("bad_query"), urls.host(u).alias("host"), urls.is_document(u).alias("is_document"))
+
+
+@query()
+def q_fetch_records(spark: SparkSession, d: str) -> DataFrame:
+    p = read(spark, d, "pages")
+    k = F.col("page_id")
+    kind = F.when(k % 5 == 0, "application/pdf").when(k % 7 == 0, "image/png").otherwise("text/html; charset=utf-8")
+    landed = p.select("url", F.encode("html", "utf-8").alias("content"), kind.alias("content_type"), F.when(k % 11 == 0, 404).otherwise(200).alias("status_code"))
+    return gates.fetched(landed).select("url", "success", "mime_type", "content_hash", "content_size", "error_type")
+
+
+# ---- aggregates over the store ----
+
+@query(rf"WITH s AS ({STORE}) SELECT count(*) AS total, count(*) FILTER (WHERE Qualified = 'TRUE') AS qualified, count(*) FILTER (WHERE Priority = 'HIGH') AS high_priority, count(*) FILTER (WHERE try_cast(Deadline AS DATE) >= DATE '{STORE_AS_OF}') AS upcoming FROM s")
+def q_kpis(spark: SparkSession, d: str) -> DataFrame:
+    return insight.kpis(views.store(spark, d), day(STORE_AS_OF))
+
+
+@query(f"WITH s AS ({STORE}) SELECT count(*) FILTER (WHERE Deadline = '') AS missing_deadlines, count(*) FILTER (WHERE Deadline <> '' AND try_cast(Deadline AS DATE) IS NULL) AS invalid_deadlines, count(*) FILTER (WHERE contains(Location, 'www.')) AS suspicious_locations, count(*) FILTER (WHERE Source_Link = '') AS missing_source_links FROM s")
+def q_quality(spark: SparkSession, d: str) -> DataFrame:
+    return insight.quality(views.store(spark, d))
+
+
+@query("SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1")
+def q_trend_day(spark: SparkSession, d: str) -> DataFrame:
+    return insight.trend(read(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("Date_Added")))
+
+
+@query(f"WITH s AS ({STORE}), g AS (SELECT CAST(Date_Added AS DATE) AS day, count(*) AS n, count(*) FILTER (WHERE Qualified = 'TRUE') AS qualified FROM s GROUP BY 1) SELECT *, {ROUND2.format('qualified / n::DOUBLE * 100.0::DOUBLE')} AS rate FROM g")
+def q_qualification_trend(spark: SparkSession, d: str) -> DataFrame:
+    return insight.qualification_trend(views.store(spark, d))
+
+
+@query(f"WITH s AS ({STORE}) SELECT Priority AS priority, count(*) AS n FROM s GROUP BY 1")
+def q_priority_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return insight.priority_distribution(views.store(spark, d))
+
+
+@query(f"WITH s AS ({STORE}) SELECT CASE WHEN try_cast(Deadline AS DATE) >= DATE '{STORE_AS_OF}' THEN 'UPCOMING' ELSE 'EXPIRED' END AS status, count(*) AS n FROM s WHERE try_cast(Deadline AS DATE) IS NOT NULL GROUP BY 1")
+def q_deadline_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return insight.deadline_distribution(views.store(spark, d), day(STORE_AS_OF))
+
+
+@query(f"""WITH s AS ({STORE}), x AS (SELECT pos, Deadline, datediff('day', DATE '{STORE_AS_OF}', try_cast(Deadline AS DATE)) AS k FROM s)
+    SELECT pos, CASE WHEN Deadline = '' THEN 'MISSING' WHEN k IS NULL THEN 'INVALID' WHEN k < 0 THEN 'EXPIRED' WHEN k = 0 THEN 'TODAY' ELSE 'UPCOMING' END AS status, CAST(k AS INTEGER) AS days FROM x""")
+def q_deadline_status(spark: SparkSession, d: str) -> DataFrame:
+    return views.store(spark, d).select("pos", insight.deadline_status(F.col("Deadline"), day(STORE_AS_OF)).alias("s")).select("pos", "s.status", "s.days")
+
+
+@query(f"WITH s AS ({STORE}) SELECT pos, Title, Priority FROM s WHERE Priority = 'HIGH' AND Opportunity_Status = 'O' AND Score >= 0.3 AND (contains(lower(Title), '7') OR contains(lower(Organization), '7') OR contains(lower(Location), '7') OR contains(lower(Service_Category), '7'))")
+def q_filter_search(spark: SparkSession, d: str) -> DataFrame:
+    return insight.find(views.store(spark, d), "high", " o", "7", 0.3).select("pos", "Title", "Priority")
+
+
+@query(f"WITH s AS ({STORE}) SELECT pos, Deadline FROM s ORDER BY try_cast(Deadline AS DATE) NULLS LAST, pos LIMIT 100")
+def q_sort_deadline(spark: SparkSession, d: str) -> DataFrame:
+    return insight.by_deadline(views.store(spark, d), "pos", 100).select("pos", "Deadline")
+
+
+@query(f"WITH s AS ({STORE}) SELECT DISTINCT trim(Location) AS value FROM s WHERE trim(Location) <> ''")
+def q_facets(spark: SparkSession, d: str) -> DataFrame:
+    return insight.facet(views.store(spark, d), "Location")
+
+
+@query("""SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, CAST(event_id % 60 AS INTEGER) AS queries, CAST(event_id % 7 AS INTEGER) AS qualified, CAST(event_id % 5 AS INTEGER) AS saved, CAST(event_id % 3 AS INTEGER) AS duplicates,
+    CAST(event_id % 2 AS INTEGER) AS failed, 'a=b; ' || event_type AS reason FROM events WHERE event_id % 8 = 0 AND event_id % 31 <> 0""")
+def q_run_audit(spark: SparkSession, d: str) -> DataFrame:
+    return insight.run_audit(views.activity(spark, d))
+
+
+@query("SELECT event_type, CAST(sum(value) AS BIGINT) AS total, count(*) AS n FROM (SELECT event_type, CAST(event_id % 11 AS BIGINT) AS value FROM events) GROUP BY ROLLUP (event_type)")
+def q_batch_totals(spark: SparkSession, d: str) -> DataFrame:
+    return insight.totals(read(spark, d, "events").select("event_type", (F.col("event_id") % 11).alias("total"), F.lit(1).alias("n")), "event_type", ["total", "n"])
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 4 > 0 THEN 'Opportunities saved successfully' WHEN event_id % 3 = 0 AND event_id % 5 > 0 THEN 'No qualified opportunities; pipeline failures=' || (event_id % 5) WHEN event_id % 3 = 0 THEN 'No qualified opportunities'
+    WHEN event_id % 2 = event_id % 3 THEN 'All qualified opportunities were duplicates' WHEN event_id % 5 > 0 THEN 'No opportunities saved; pipeline failures occurred' ELSE 'No opportunities saved' END AS reason FROM events""")
+def q_outcome(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("event_id")
+    return read(spark, d, "events").select("event_id", insight.outcome(k % 3, k % 4, k % 2, k % 5).alias("reason"))
+
+
+# ---- language-model surface ----
+
+@query("SELECT conv_id, turn, CAST(floor(length(coalesce(text, '')) / 4) AS INTEGER) AS tokens, substr(coalesce(text, ''), 1, 80) AS text FROM conversations")
+def q_token_guard(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "conversations").select("conv_id", "turn", assist.estimate(F.col("text")).alias("tokens"), assist.guarded(F.col("text"), 20).alias("text"))
+
+
+@query("SELECT conv_id, turn, turn % 2 = 0 AS ok FROM conversations")
+def q_strict_json(spark: SparkSession, d: str) -> DataFrame:
+    t = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("```json\nanswer: "), F.to_json(F.struct("role", "turn")), F.lit("\n```"))).otherwise(F.concat(F.lit("no braces "), F.col("role")))
+    return read(spark, d, "conversations").select("conv_id", "turn", assist.strict_json(t).alias("s")).select("conv_id", "turn", "s.ok")
+
+
+@query("SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN role ELSE 'second' END AS answer FROM conversations")
+def q_provider_fallback(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "conversations").select("conv_id", "turn", assist.fallback(F.when(F.col("turn") % 3 == 0, F.col("role")).otherwise(" "), F.lit("second")).alias("answer"))
