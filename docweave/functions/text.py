@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import difflib
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -21,6 +21,11 @@ def text(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
+def let(c: Column, body: Callable[[Column], Column]) -> Column:
+    """body with c bound to a variable: inside a lambda, a plain expression would be worked out again for every element."""
+    return F.get(F.transform(F.array(c), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicons as lx
 from ..functions.num import flags
-from ..functions.text import clean_lines, count_digits, count_letters, count_words, join_lines, matches_any, mojibake, newlines, nfkc, no_punctuation, strip, text
+from ..functions.text import clean_lines, count_digits, count_letters, count_words, join_lines, let, matches_any, mojibake, newlines, nfkc, no_punctuation, strip, text
 
 DATE_LIKE = r"\d{1,2}[/.-]\d{1,2}[/.-]\d{2,4}|\d{4}-\d{1,2}-\d{1,2}"
 CURRENCY = r"(?i)₹|\brs\.?\b|\binr\b|\$|€|£"
@@ -33,24 +33,24 @@ def not_whole(lines: Column, patterns: list[str]) -> Column:
 
 
 def line_counts(lines: Column) -> Column:
-    """Map of each distinct line to its occurrences; linear in the lines by one sort, not by comparing all pairs."""
-    ordered = F.array_sort(lines)
-    starts = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
-    bounds = F.concat(starts, F.array(F.size(ordered)))
-    pairs = F.transform(starts, lambda s, k: F.struct(F.get(ordered, s), F.get(bounds, k + 1) - s))
-    return F.when(F.size(lines) > 0, F.map_from_entries(pairs)).otherwise(F.create_map().cast("map<string,int>"))
+    """Array of (line, n) for each distinct line, by one sort instead of comparing all pairs."""
+
+    def count(ordered: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+        return let(F.concat(starts, F.array(F.size(ordered))), lambda at: F.transform(F.sequence(F.lit(0), F.size(at) - 2), lambda k: F.struct(F.get(ordered, F.get(at, k)).alias("line"), (F.get(at, k + 1) - F.get(at, k)).alias("n"))))
+
+    none = F.array().cast("array<struct<line:string,n:int>>")
+    return let(F.array_sort(lines), lambda x: F.when(F.size(x) > 0, count(x)).otherwise(none))
 
 
 def repeated(lines: Column, least: int = 3, longest: int = 120) -> Column:
     """Short lines that occur at least so often and aren't protected (headings, tables, money, dates)."""
-    counts = line_counts(lines)
-    often = F.map_keys(F.map_filter(counts, lambda k, v: (v >= least) & (F.length(k) <= longest)))
-    return F.filter(often, lambda x: ~F.lower(x).isin(lx.PROTECTED_HEADINGS) & ~F.contains(x, F.lit("|")) & ~x.rlike(CURRENCY) & ~x.rlike(DATE_LIKE))
+    often = F.filter(line_counts(lines), lambda c: (c["n"] >= least) & (F.length(c["line"]) <= longest))
+    return F.filter(F.transform(often, lambda c: c["line"]), lambda x: ~F.lower(x).isin(lx.PROTECTED_HEADINGS) & ~F.contains(x, F.lit("|")) & ~x.rlike(CURRENCY) & ~x.rlike(DATE_LIKE))
 
 
 def not_repeated(lines: Column) -> Column:
-    gone = repeated(lines)
-    return F.filter(lines, lambda x: ~F.array_contains(gone, x))
+    return let(lines, lambda x: let(repeated(x), lambda gone: F.filter(x, lambda y: ~F.array_contains(gone, y))))
 
 
 def not_noise(lines: Column) -> Column:
@@ -80,27 +80,31 @@ def clean(df: DataFrame, column: str = "text", out: str | None = None) -> DataFr
 
 def without_pairs(lines: Column) -> Column:
     """A B A B becomes A B, from left to right in one pass."""
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("skip"))
+    start = F.struct(F.array().cast("array<int>").alias("out"), F.lit(0).alias("skip"))
+
+    def fold(x: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            pair = (F.get(x, i) == F.get(x, i + 2)) & (F.get(x, i + 1) == F.get(x, i + 3)) & (F.get(x, i) != F.get(x, i + 1))
+            # a pair keeps its first two lines and passes over the second two
+            skip = F.when(acc["skip"] > 0, acc["skip"] - 1).when(F.coalesce(pair, F.lit(False)), 3).otherwise(0)
+            kept = (acc["skip"] == 0) | (acc["skip"] == 3)
+            return F.struct(F.when(kept, F.array_append(acc["out"], i)).otherwise(acc["out"]).alias("out"), skip.alias("skip"))
 
-    def step(acc: Column, i: Column) -> Column:
-        a, b, c, d = (F.get(lines, i + k) for k in range(4))
-        pair = (a == c) & (b == d) & (a != b)
-        fresh = F.coalesce(pair, F.lit(False))
-        return (
-            F.when(acc["skip"] > 0, F.struct(acc["out"].alias("out"), (acc["skip"] - 1).alias("skip")))
-            .when(fresh, F.struct(F.concat(acc["out"], F.array(a, b)).alias("out"), F.lit(3).alias("skip")))
-            .otherwise(F.struct(F.concat(acc["out"], F.array(a)).alias("out"), F.lit(0).alias("skip")))
-        )
+        at = F.aggregate(F.sequence(F.lit(0), F.size(x) - 1), start, step)["out"]
+        return F.transform(at, lambda i: F.get(x, i))
 
-    return F.when(F.size(lines) > 0, F.aggregate(F.sequence(F.lit(0), F.size(lines) - 1), start, step)["out"]).otherwise(lines)
+    return let(lines, lambda x: F.when(F.size(x) > 3, fold(x)).otherwise(x))
 
 
 def without_blocks(lines: Column, fewest: int = 20, longest: int = 80, most: int = 3) -> Column:
     """In texts of at least so many lines, short lines whose form without punctuation occurs more than so often all go."""
-    forms = F.transform(lines, no_punctuation)
-    often = F.map_keys(F.map_filter(line_counts(forms), lambda k, v: v > most))
-    kept = F.filter(lines, lambda x: (F.length(x) >= longest) | ~F.array_contains(often, no_punctuation(x)))
-    return F.when(F.size(lines) >= fewest, kept).otherwise(lines)
+
+    def drop(x: Column, forms: Column) -> Column:
+        often = F.transform(F.filter(line_counts(forms), lambda c: c["n"] > most), lambda c: c["line"])
+        pairs = F.zip_with(x, forms, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        return let(often, lambda o: F.transform(F.filter(pairs, lambda p: (F.length(p["a"]) >= longest) | ~F.array_contains(o, p["b"])), lambda p: p["a"]))
+
+    return let(lines, lambda x: F.when(F.size(x) >= fewest, let(F.transform(x, no_punctuation), lambda f: drop(x, f))).otherwise(x))
 
 
 def statistics(c: Column) -> Column:

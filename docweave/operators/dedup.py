@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import canonical, ratio, strip, text
+from ..functions.text import canonical, let, ratio, strip, text
 from ..session import durable
 
 SIMILAR = 0.92
@@ -94,7 +94,7 @@ def new_rows(incoming: DataFrame, stored: DataFrame) -> DataFrame:
 
 def consecutive(lines: Column) -> Column:
     """Lines without those equal to the line before."""
-    return F.filter(lines, lambda x, i: (i == 0) | ~F.get(lines, i - 1).eqNullSafe(x))
+    return let(lines, lambda v: F.filter(v, lambda x, i: (i == 0) | ~F.get(v, i - 1).eqNullSafe(x)))
 
 
 def window_first(df: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:

@@ -17,6 +17,7 @@ from ..functions import lexicons as lx
 from ..functions import urls
 from ..functions.text import squeeze, text
 from .clean import without_blocks, without_pairs
+from .dedup import consecutive
 from .score import candidate_score, link_score
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -200,8 +201,7 @@ def lines_udf(pages: pd.Series) -> pd.Series:
 def to_text(pages: DataFrame, column: str = "html") -> DataFrame:
     """Adds lines and text: pruned content in order, without repeated neighbours, frequent short lines and repeated pairs."""
     rows = pages.withColumn("lines", lines_udf(F.col(column)))
-    same = F.filter("lines", lambda x, i: (i == 0) | ~F.get(F.col("lines"), i - 1).eqNullSafe(x))
-    rows = rows.withColumn("lines", same).withColumn("lines", without_blocks(F.col("lines"))).withColumn("lines", without_pairs(F.col("lines")))
+    rows = rows.withColumn("lines", without_pairs(without_blocks(consecutive(F.col("lines")))))
     return rows.withColumn("text", F.array_join("lines", "\n"))
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.text import count_digits, count_letters, count_words, newlines, strip, text
+from ..functions.text import count_digits, count_letters, count_words, let, newlines, strip, text
+from .clean import line_counts
 
 
 def useful(page: Column) -> Column:
@@ -27,19 +28,25 @@ def _edge(page: Column, first: bool) -> Column:
 
 def without_headers(pages: Column) -> Column:
     """Of more than two pages, first and last lines that stand there on most pages are removed."""
-    n = F.size(pages)
-    most = F.floor(n / 2) + 1
-    heads, feet = F.transform(pages, lambda p: _edge(p, True)), F.transform(pages, lambda p: _edge(p, False))
-
-    def strip_page(p: Column) -> Column:
-        h, f = _edge(p, True), _edge(p, False)
-        common = lambda xs, x: F.size(F.filter(xs, lambda y: y == x)) >= most
-        lines = F.filter(F.split(p, "\n"), lambda x: strip(x) != "")
-        start = F.when(common(heads, h), 2).otherwise(1)
-        length = F.size(lines) - start + 1 - F.when(common(feet, f), 1).otherwise(0)
-        return F.array_join(F.slice(lines, start, F.greatest(length, F.lit(0))), "\n")
-
-    return F.when(n > 2, F.transform(pages, strip_page)).otherwise(pages)
+
+    def common(edges: Column, most: Column) -> Column:
+        return F.transform(F.filter(line_counts(edges), lambda c: c["n"] >= most), lambda c: c["line"])
+
+    def cut(page: Column, heads: Column, feet: Column) -> Column:
+        first, last = F.array_contains(heads, _edge(page, True)), F.array_contains(feet, _edge(page, False))
+        lines = F.filter(F.split(page, "\n"), lambda x: strip(x) != "")
+        start = F.when(first, 2).otherwise(1)
+        return F.array_join(F.slice(lines, start, F.greatest(F.size(lines) - start + 1 - F.when(last, 1).otherwise(0), F.lit(0))), "\n")
+
+    def edges(p: Column, first: bool) -> Column:
+        return F.transform(p, lambda x: _edge(x, first))
+
+    def all_pages(p: Column) -> Column:
+        most = F.floor(F.size(p) / 2) + 1
+        heads, feet = (common(edges(p, f), most) for f in (True, False))
+        return let(F.struct(heads.alias("h"), feet.alias("f")), lambda e: F.transform(p, lambda x: cut(x, e["h"], e["f"])))
+
+    return let(pages, lambda p: F.when(F.size(p) > 2, all_pages(p)).otherwise(p))
 
 
 def tidy(c: Column) -> Column:
