@@ -30,8 +30,11 @@ _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() el
 
 
 def tokens(text: bytes | None) -> list[bytes]:
-    """Words of ASCII letters, digits and non-ASCII characters, ASCII lower-cased; punctuation separates."""
-    return (text or b"").translate(_TABLE).split()
+    """Lower-case words of letters, digits and non-ASCII characters; ASCII punctuation separates."""
+    text = text or b""
+    if not text.isascii():
+        text = text.decode("utf-8", "replace").lower().encode()
+    return text.translate(_TABLE).split()
 
 
 def common(a: list[int], b: list[int]) -> int:
