@@ -20,6 +20,8 @@ from .common import pieces
 
 #: Bounds of the fit: labelled rows of the sample, entries of the learned lexicon.
 SAMPLE, LEARNED = 10_000, 1_000
+#: Lengths of learned word beginnings; share of toxic rows from which a word counts as a whole word.
+STARTS, WHOLE = (8, 7, 6, 5, 4, 3), 0.05
 #: Plain insults and hostile words.
 LEXICON = frozenset("arse ass asshole bastard bitch bollocks bullshit clown coward crap creep cretin cunt damn degenerate dickhead disgusting dumb dumbass dumbfuck faggot filth filthy freak fuck fucked fucker fucking garbage gross hate hateful idiot idiotic idiots ignorant imbecile jackass jerk kill liar loser losers lowlife lunatic moron moronic morons motherfucker nasty nazi parasite pathetic pig prick psycho racist rat repulsive retard retarded scum scumbag shit shitty shut sicko slut spastic stfu stupid subhuman suck sucks terrible thug trash twat ugly useless vermin vile wanker weirdo whore worthless".split())
 #: Second-person words of the four common languages.
@@ -27,18 +29,19 @@ SECOND = frozenset("you your yours yourself u ur ya du dich dir dein deine ihr e
 _LEET = str.maketrans("0134578@$!|", "oieastbasil")
 _EDGE = re.compile(r"^\W+|\W+$")
 _GAPPED = re.compile(r"[^\W\d_](?:[.*_\-+~^][^\W\d_]){2,}")
-NAMES = ("words", "fixed", "learned", "starts", "hits", "obfuscated", "near_second", "second", "capitals", "shout", "exclaim", "punctuation", "digits", "mean_length", "distinct_hits")
+NAMES = ("words", "fixed", "learned", "starts", "twice", "hits", "obfuscated", "near_second", "second", "capitals", "shout", "exclaim", "punctuation", "digits", "mean_length", "distinct_hits")
 
 
-def features(text: str | None, learned: dict[str, float], starts: dict[str, float]) -> list[float]:
+def features(text: str | None, learned: dict[str, float], starts: dict[str, float], twice: dict[str, float]) -> list[float]:
     """Dense features of one whole text; all 0 for a null or empty one. Rates are logarithms of hits a thousand words, so long texts keep theirs."""
     words = text.split() if text else []
+    threes, pairs = {k[:3] for k in starts}, {k[:3] for k in twice}
     n = len(words)
     if not n:
         return [0.0] * len(NAMES)
     fixed = by_word = by_start = obfuscated = second = shout = chars = 0
     weight = 0.0
-    hits, seconds, kinds = [], [], set()
+    hits, seconds, kinds, begun = [], [], set(), {}
     for i, raw in enumerate(words):
         chars += len(raw)
         w = raw.lower()
@@ -46,13 +49,14 @@ def features(text: str | None, learned: dict[str, float], starts: dict[str, floa
             w = _EDGE.sub("", w)
         if not w:
             continue
-        hit = w in LEXICON
+        x = learned.get(w)
+        hit = w in LEXICON and x != 0
         fixed += hit
-        if x := learned.get(w):
+        if x:
             by_word += 1
             weight += x
             hit = True
-        elif (x := starts.get(w[:5])) or (x := starts.get(w[:4])):
+        elif x is None and (x := next(filter(None, map(starts.get, [w[:k] for k in STARTS if k <= len(w)])), None) if w[:3] in threes else None):
             by_start += 1
             weight += x
             hit = True
@@ -61,6 +65,10 @@ def features(text: str | None, learned: dict[str, float], starts: dict[str, floa
             if plain != w and (plain in LEXICON or plain in learned):
                 obfuscated += 1
                 hit = True
+        if not x and w[:3] in pairs:
+            b = next((w[:k] for k in STARTS if w[:k] in twice), None)
+            if b:
+                begun.setdefault(b, []).append(i)
         if hit:
             hits.append(i)
             kinds.add(w)
@@ -68,6 +76,13 @@ def features(text: str | None, learned: dict[str, float], starts: dict[str, floa
             second += 1
             seconds.append(i)
         shout += len(raw) > 2 and raw.isupper()
+    again = 0
+    for b, at in begun.items():
+        if len(at) > 1:
+            again += len(at)
+            weight += len(at) * twice[b]
+            hits += at
+            kinds.add(b)
     near = 0
     if hits and seconds:
         s = np.array(seconds)
@@ -77,7 +92,7 @@ def features(text: str | None, learned: dict[str, float], starts: dict[str, floa
     rate = lambda k: math.log1p(1000.0 * k / n)
     letters = max(1, chars)
     return [
-        math.log1p(n), rate(fixed), rate(by_word), rate(by_start), weight / n * 1000.0, rate(obfuscated), rate(near), rate(second),
+        math.log1p(n), rate(fixed), rate(by_word), rate(by_start), rate(again), weight / n * 1000.0, rate(obfuscated), rate(near), rate(second),
         sum(map(text.count, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")) / letters, rate(shout), rate(text.count("!")), sum(map(text.count, ".,;:?*#$%&")) / letters,
         sum(map(text.count, "0123456789")) / letters, chars / n, math.log1p(len(kinds)),
     ]
@@ -88,21 +103,28 @@ class Trees:
 
     def __init__(self, x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.15, bins: int = 32, least: float = 2.0) -> None:
         self.cuts = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) for c in x.T]
-        self.rate, self.trees = rate, []
-        b = self._bin(x)
-        # a fifth of the sample calibrates, the rest grows trees
-        cal = np.arange(len(y)) % 5 == 4
-        p = min(max(y[~cal].mean() if (~cal).any() else 0.0, 1e-3), 1 - 1e-3)
-        self.bias = math.log(p / (1 - p))
-        bx, by = b[~cal], y[~cal].astype(float)
-        f = np.full(len(by), self.bias)
-        for _ in range(rounds if len(np.unique(by)) > 1 else 0):
+        self.rate = rate
+        b, y = self._bin(x), y.astype(float)
+        self.grown = (rounds, depth, least, bins)
+        # margins of rows that a model has not seen calibrate: each fifth is judged by trees of the other four
+        fold, unseen = np.arange(len(y)) % 5, np.zeros(len(y))
+        for k in range(5):
+            self._fit(b[fold != k], y[fold != k])
+            unseen[fold == k] = self._margin(b[fold == k])
+        self._fit(b, y)
+        order = np.argsort(unseen, kind="stable")
+        self.at, self.to = self._isotonic(unseen[order], y[order])
+
+    def _fit(self, b: np.ndarray, y: np.ndarray) -> None:
+        rounds, depth, least, bins = self.grown
+        p = min(max(y.mean() if len(y) else 0.0, 1e-3), 1 - 1e-3)
+        self.bias, self.trees = math.log(p / (1 - p)), []
+        f = np.full(len(y), self.bias)
+        for _ in range(rounds if len(np.unique(y)) > 1 else 0):
             q = 1 / (1 + np.exp(-f))
-            tree = self._grow(bx, by - q, q * (1 - q), depth, least, bins)
-            f += rate * self._walk(tree, bx)
+            tree = self._grow(b, y - q, q * (1 - q), depth, least, bins)
+            f += self.rate * self._walk(tree, b)
             self.trees.append(tree)
-        order = np.argsort(m := self._margin(b[cal]), kind="stable")
-        self.at, self.to = self._isotonic(m[order], y[cal][order].astype(float))
 
     def _bin(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(c, v, side="right") for c, v in zip(self.cuts, x.T)], 1).astype(np.int16)
@@ -153,8 +175,8 @@ class Trees:
         return plain if not len(self.at) else np.clip(0.95 * np.interp(m, self.at, self.to) + 0.05 * plain, 0, 1)
 
 
-def learn(docs: DataFrame, labels: DataFrame, train: Column, label: str = "toxic") -> tuple[Trees | None, dict[str, float], dict[str, float]]:
-    """The classifier and the learned lexicon (words, beginnings of 4 and 5 letters) from a sample of SAMPLE labelled rows of least hash; a row
+def learn(docs: DataFrame, labels: DataFrame, train: Column, label: str = "toxic") -> tuple[Trees | None, dict[str, float], dict[str, float], dict[str, float]]:
+    """The classifier and the learned lexicon (words, beginnings of words, beginnings that occur twice) from a sample of SAMPLE labelled rows of least hash; a row
     with several labels counts by the largest."""
     spark = docs.sparkSession
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & train).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
@@ -165,16 +187,33 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, label: str = "toxic
     drawn = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("y", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id").alias("h"))
     word = F.expr(r"regexp_replace(lower(w), '^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$', '')")
     words = drawn.select("y", "h", F.explode(F.split("text", r"\s+")).alias("w")).select("y", "h", word.alias("w")).where("w <> ''")
-    kinds = words.select("y", "h", F.explode(F.array(F.col("w"), *[F.when(F.length("w") >= k, F.concat(F.lit("^"), F.substring("w", 1, k))) for k in (4, 5)])).alias("w")).where("w is not null").distinct()
+    every, words = words, words.distinct()
     sums = drawn.agg(F.sum("y").alias("y"), F.count("*").alias("n")).first()
     if not sums.n:
-        return None, {}, {}
+        return None, {}, {}, {}
     bad, good = max(1, sums.y), max(1, sums.n - sums.y)
     odds = F.log((F.col("bad") + 0.5) / bad) - F.log((F.col("good") + 0.5) / good)
-    found = kinds.groupBy("w").agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good")).where("bad >= 4").withColumn("odds", odds).where("odds > 2.5").orderBy(F.desc(F.col("odds") * F.sqrt("bad")), "w").limit(LEARNED).collect()
-    learned = {r.w: r.odds for r in found if not r.w.startswith("^")}
-    starts = {r.w[1:]: r.odds for r in found if r.w.startswith("^")}
-    sent = spark.sparkContext.broadcast((learned, starts))
+    # a lower bound of the odds, so that rare words don't pass by chance
+    sure = F.col("odds") - 1.64 * F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
+
+    def counts(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("w").agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good")).withColumn("odds", odds)
+
+    def best(rows: DataFrame) -> list:
+        return rows.where("bad >= 4").where(sure > 2.1).orderBy(F.desc(F.col("odds") * F.sqrt("bad")), "w").limit(LEARNED).collect()
+
+    found = best(counts(words))
+    learned = {r.w: r.odds for r in found}
+    # a fixed word that clean texts hold as often is another language's word: it gets no weight
+    for r in counts(words.where(F.col("w").isin(*LEXICON))).where("good >= 2 and odds < 1.5").collect():
+        learned[r.w] = 0.0
+    # beginnings, without what frequent whole words explain
+    whole = [r.w for r in found if r.bad >= WHOLE * bad]
+    heads = every.where(~F.col("w").isin(*whole)) if whole else every
+    begun = heads.select("y", "h", F.explode(F.filter(F.transform(F.array(*[F.lit(k) for k in STARTS]), lambda k: F.when(F.length("w") >= k, F.col("w").substr(F.lit(1), k))), lambda x: x.isNotNull())).alias("w")).groupBy("y", "h", "w").agg(F.count("*").alias("k"))
+    starts = {r.w: r.odds for r in best(counts(begun))}
+    twice = {r.w: r.odds for r in best(counts(begun.where("k >= 2"))) if r.w not in starts}
+    sent = spark.sparkContext.broadcast((learned, starts, twice))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -182,7 +221,7 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, label: str = "toxic
             yield pa.RecordBatch.from_arrays([b.column("y"), b.column("h"), pa.array(x, pa.list_(pa.float64()))], names=["y", "h", "x"])
 
     rows = sorted(((r.h, r.y, r.x) for r in drawn.mapInArrow(run, "y int, h long, x array<double>").collect()))  # about SAMPLE rows of len(NAMES) numbers
-    return Trees(np.array([r[2] for r in rows]), np.array([r[1] for r in rows])), learned, starts
+    return Trees(np.array([r[2] for r in rows]), np.array([r[1] for r in rows])), learned, starts, twice
 
 
 def score(docs: DataFrame, labels: DataFrame, train: Column) -> DataFrame:
@@ -190,15 +229,15 @@ def score(docs: DataFrame, labels: DataFrame, train: Column) -> DataFrame:
 
     A null or empty text has the score of zero features. Without any labelled row all scores are 0. Repeated rows are each scored; extra columns are ignored.
     """
-    trees, learned, starts = learn(docs, labels, train)
-    sent = docs.sparkSession.sparkContext.broadcast((trees, learned, starts))  # bounded by LEARNED and the trees' size
+    trees, *words = learn(docs, labels, train)
+    sent = docs.sparkSession.sparkContext.broadcast((trees, words))  # bounded by LEARNED and the trees' size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees, learned, starts = sent.value
+        trees, words = sent.value
         for b in batches:
             column, scores = b.column("text"), []
             for lo, hi in pieces(column.cast(pa.binary()).to_pylist()):
-                x = np.array([features(t, learned, starts) for t in column[lo:hi].to_pylist()])
+                x = np.array([features(t, *words) for t in column[lo:hi].to_pylist()])
                 scores.append(trees.score(x) if trees else np.zeros(len(x)))
             s = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s), pa.array((s >= 0.3).astype(np.int32))], names=["doc_id", "score", "predicted"])
