@@ -112,7 +112,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         pages = [lines(x.as_py()) for x in b.column("html")]
         hashes = [[xxhash.xxh64_intdigest(t) - (1 << 63) for t, _ in p] for p in pages]
-        yield pa.RecordBatch.from_arrays([b.column("k"), b.column("host"), b.column("path"), pa.array(hashes, pa.list_(pa.int64()))], names=["k", "host", "path", "hashes"])
+        yield pa.RecordBatch.from_arrays([b.column("k"), b.column("page_id"), b.column("host"), b.column("path"), pa.array(hashes, pa.list_(pa.int64()))], names=["k", "page_id", "host", "path", "hashes"])
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +120,8 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for r in b.to_pylist():
             sides = [(_prefix(r["path"], r[f"{s}_path"]), i, r[f"{s}_hashes"]) for i, s in enumerate(("after", "before")) if r[f"{s}_hashes"] is not None]
-            out.append(shared(r["hashes"], max(sides)[2]) if sides else [])
+            near = max(sides)[2] if sides else []
+            out.append(shared(r["hashes"], near) if near != r["hashes"] else [])
         yield pa.RecordBatch.from_arrays([b.column("k"), pa.array(out, pa.list_(pa.int32()))], names=["k", "gone"])
 
 
@@ -138,13 +139,14 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars, n_shared) of every row of pages (page_id, url, html).
 
     Lines are joined by a line end; without any, and for a null html, text is empty. Pages with a null or hostless url are paired among themselves as one
-    host; a page alone on its host loses no line. Equal rows are one page in the pairing and each returned; ties in the path go by page_id, then content. Extra columns are ignored.
+    host; a page alone on its host loses no line, nor does one whose neighbour has the very same lines (a copy tells nothing about a template).
+    Repeated rows are each returned; ties in the path go by page_id, then content. Extra columns are ignored.
     """
     spark = pages.sparkSession
     keyed = pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("k"), F.col("url").alias("_url"))
     host, path = split_url(F.col("_url"))
-    parsed = keyed.select("k", host.alias("host"), path.alias("path"), "html").mapInArrow(_parsed, "k long, host string, path string, hashes array<long>")
-    ordered = parsed.repartitionByRange("host", "path", "k").sortWithinPartitions("host", "path", "k").withColumn("at", F.monotonically_increasing_id())
+    parsed = keyed.select("k", F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"), "html").mapInArrow(_parsed, "k long, page_id long, host string, path string, hashes array<long>")
+    ordered = parsed.repartitionByRange("host", "path", "page_id", "k").sortWithinPartitions("host", "path", "page_id", "k").withColumn("at", F.monotonically_increasing_id())
     ordered = durable(ordered).select("*", F.shiftright("at", 33).cast("int").alias("part"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("i"))
     offset, seen = [], 0
     for r in ordered.groupBy("part").count().orderBy("part").collect():  # as many as partitions
