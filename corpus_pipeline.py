@@ -39,8 +39,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard and slot."""
-    rest = tuple(c for c in docs.columns if c != "doc_id")
+    """Every row with its shard and slot; columns of docs that clash with the stage's own give way."""
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "size", "text_crc32", "shard", "slot"))
     return sharding.assign(docs, SHARDS, rest)
 
 
