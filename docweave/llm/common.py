@@ -8,6 +8,8 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,14 +63,14 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % parts
 
 
-def pieces(texts: list, most: int = 2_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of a batch with at most so many bytes of text each (a longer text stands alone), so a batch of long texts needs no more memory than one of short ones."""
+def pieces(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of a batch's texts with at most so many bytes each (a longer text stands alone), so that only one range at a time becomes Python objects."""
     start = held = 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
+    for i, n in enumerate(pc.binary_length(column).to_pylist()):
+        n = n or 0
         if i > start and held + n > most:
             yield start, i
             start, held = i, 0
         held += n
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(column):
+        yield start, len(column)

@@ -224,7 +224,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], answer: str | N
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 column, leaks = b.column("_text").cast(pa.binary()), b.column("_leaks").to_pylist()
-                for lo, hi in pieces(column.to_pylist()):
+                for lo, hi in pieces(column):
                     for i, found in enumerate(sent.value.find(column[lo:hi].to_pylist()), lo):
                         leaks[i] = leaks[i] + [dict(zip(names, x)) for x in sorted(found)]
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), b.column("_text"), pa.array(leaks, kind)], names=[*keep, "_text", "_leaks"])

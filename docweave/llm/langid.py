@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import pieces
 
 #: Bounds of the labelled sample: symbols of all languages together, symbols a language, symbols of one text, texts drawn a language.
-ALL_SYMBOLS, LANG_SYMBOLS, TEXT_SYMBOLS, DRAWN = 320_000, 60_000, 8_000, 60
+ALL_SYMBOLS, LANG_SYMBOLS, TEXT_SYMBOLS, DRAWN = 240_000, 40_000, 8_000, 60
 #: Symbols in a lane; a lane starts a phrase of its own, so many lanes of all sizes are parsed in step.
 LANE = 1024
 _BREAK = 0
@@ -180,10 +180,10 @@ def predict(docs: DataFrame, samples: dict[str, list[str]], keep: list[str]) ->
             _parsers[key] = Parser(sent.value)
         parser = _parsers[key]
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
+            column = batch.column("_text")
             langs, scores = [], []
-            for lo, hi in pieces(texts):
-                a, b = parser.predict(texts[lo:hi])
+            for lo, hi in pieces(column):
+                a, b = parser.predict(column[lo:hi].to_pylist())
                 langs += a
                 scores.append(b)
             kept = [batch.column(c) for c in keep]

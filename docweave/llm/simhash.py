@@ -63,7 +63,7 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         column = batch.column("text").cast(pa.binary())
         out = np.empty(batch.num_rows, np.uint64)
-        for lo, hi in pieces(column.to_pylist()):
+        for lo, hi in pieces(column):
             for i, t in enumerate(column[lo:hi].to_pylist(), lo):
                 out[i] = simhash(t)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out.view(np.int64))], names=["doc_id", "fp"])

@@ -236,7 +236,7 @@ def score(docs: DataFrame, labels: DataFrame, train: Column) -> DataFrame:
         trees, words = sent.value
         for b in batches:
             column, scores = b.column("text"), []
-            for lo, hi in pieces(column.cast(pa.binary()).to_pylist()):
+            for lo, hi in pieces(column):
                 x = np.array([features(t, *words) for t in column[lo:hi].to_pylist()])
                 scores.append(trees.score(x) if trees else np.zeros(len(x)))
             s = np.concatenate(scores) if scores else np.zeros(0)
