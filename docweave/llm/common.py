@@ -27,6 +27,11 @@ def shared_dir(spark: SparkSession) -> str:
     return name
 
 
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Bounds what the JVM and a Python worker hold of long texts at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cuts lineage: writes df as Parquet in the shared folder and returns it as read from there.
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import pieces, small_batches
 
 WINDOW, STRIDE, PASSAGE = 16, 8, 64
 LEAST_COSINE, OVERLAP, PARAPHRASE, PARAPHRASE_COSINE, ANSWER = 0.3, 0.8, 0.65, 0.5, 0.9
@@ -206,6 +206,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], answer: str | N
     names the column of an item's answer; without one an item's last words (a fifth, three at least) stand for it. Passages under eight words must occur word for word.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     items = [(r[0], r[1], r[2]) for r in benchmark.where("text is not null").select(F.col("item_id").cast("long"), "text", F.col(answer) if answer else F.lit(None).cast("string")).orderBy("item_id", "text").toLocalIterator()]
     blocks = []
     for at in range(0, len(items), BLOCK):

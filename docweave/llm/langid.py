@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import pieces, small_batches
 
 #: Bounds of the labelled sample: symbols of all languages together, symbols a language, symbols of one text, texts drawn a language.
 ALL_SYMBOLS, LANG_SYMBOLS, TEXT_SYMBOLS, DRAWN = 240_000, 40_000, 8_000, 60
@@ -171,6 +171,7 @@ def sample(docs: DataFrame, train: Column) -> dict[str, list[str]]:
 def predict(docs: DataFrame, samples: dict[str, list[str]], keep: list[str]) -> DataFrame:
     """The columns keep of docs, lang_pred and score; every whole text is parsed."""
     spark = docs.sparkSession
+    small_batches(spark)
     sent = spark.sparkContext.broadcast(samples)  # bounded by ALL_SYMBOLS
     key = hash(tuple((k, tuple(v)) for k, v in sorted(samples.items())))
 

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, small_table
+from .common import durable, small_batches, small_table
 from .urlfilter import split_url
 
 RAW = "script|style|noscript|template|svg|iframe|textarea|select|title|object|math|canvas"
@@ -143,6 +143,7 @@ def extract(pages: DataFrame) -> DataFrame:
     Repeated rows are each returned; ties in the path go by page_id, then content. Extra columns are ignored.
     """
     spark = pages.sparkSession
+    small_batches(spark)
     keyed = pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("k"), F.col("url").alias("_url"))
     host, path = split_url(F.col("_url"))
     parsed = keyed.select("k", F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"), "html").mapInArrow(_parsed, "k long, page_id long, host string, path string, hashes array<long>")

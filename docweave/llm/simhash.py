@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, pieces
+from .common import durable, pieces, small_batches
 
 RADIUS = 3
 #: A bucket up to this size is resolved in one task, larger ones go to the next level.
@@ -71,6 +71,7 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_prints, "doc_id long, fp long")
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import pieces, small_batches
 
 #: Bounds of the fit: labelled rows of the sample, entries of the learned lexicon.
 SAMPLE, LEARNED = 10_000, 1_000
@@ -179,6 +179,7 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, label: str = "toxic
     """The classifier and the learned lexicon (words, beginnings of words, beginnings that occur twice) from a sample of SAMPLE labelled rows of least hash; a row
     with several labels counts by the largest."""
     spark = docs.sparkSession
+    small_batches(spark)
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & train).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     n = known.count()
     if n > SAMPLE:
