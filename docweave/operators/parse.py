@@ -249,16 +249,17 @@ def find_location(lines: list[str]) -> str:
 
 
 def find_description(lines: list[str]) -> str:
-    for i, x in enumerate(lines):
-        if m := HEADER.match(x):
-            parts = [m[2]] if m[2] else []
-            for y in lines[i + 1 :]:
-                if STOP.match(y) or HEADER.match(y) or sum(map(len, parts)) > 2500:
-                    break
-                if not LABEL.search(y) and not (len(y.split()) <= 2 and len(y) < 20):
-                    parts.append(y)
-            if len(t := " ".join(parts)[:2500].strip()) >= 20:
-                return t
+    """What follows the header that stands first in the list of headers, up to a stop line; else introductory lines."""
+    heads = [(lx.DESCRIPTION_HEADERS.index(m[1].lower()), i, m[2]) for i, x in enumerate(lines) if (m := HEADER.match(x))]
+    for _, i, rest in sorted(heads):
+        parts = [rest] if rest else []
+        for y in lines[i + 1 :]:
+            if STOP.match(y) or HEADER.match(y) or sum(map(len, parts)) > 2500:
+                break
+            if not LABEL.search(y) and not (len(y.split()) <= 2 and len(y) < 20):
+                parts.append(y)
+        if len(t := " ".join(parts)[:2500].strip()) >= 20:
+            return t
     intro = [x for x in lines[:120] if len(x) >= 35 and not LABEL.search(x) and not CONTENTS.search(x)]
     return " ".join(intro)[:1500].strip()
 

@@ -24,9 +24,11 @@ def extract(fetches: DataFrame) -> DataFrame:
     rows = fetches.withColumn("kind", gates.route(F.col("final_url"), F.col("mime_type")))
     paged = pages.to_text(F.col("pages")) if "pages" in fetches.columns else F.lit("")
     web = html.to_text(rows.withColumn("html", F.when(F.col("success") & (F.col("kind") == "html"), F.make_valid_utf8(F.col("content").cast("string")))))
-    rows = web.withColumn("text", F.when(F.col("kind") == "pdf", paged).otherwise(F.col("text")))
-    rows = clean.clean(rows)
-    why = F.coalesce(F.when(~F.col("success"), F.coalesce("error_type", F.lit("fetch_failed"))), gates.url_reject(F.col("url")), F.when(F.col("kind") == "html", gates.boilerplate_reject(F.col("text"))), gates.text_reject(F.col("text")))
+    # Python functions don't nest inside array functions: the page text is worked out first
+    rows = durable(web.select("url", "success", "error_type", "kind", "text", *(["pages"] if "pages" in fetches.columns else []))).withColumn("text", F.when(F.col("kind") == "pdf", paged).otherwise(F.col("text")))
+    # the clean text is read by many expressions below
+    rows = durable(clean.clean(rows.select("url", "success", "error_type", "kind", "text")))
+    why = F.coalesce(F.when(~F.col("success"), F.coalesce(F.col("error_type"), F.lit("fetch_failed"))), gates.url_reject(F.col("url")), F.when(F.col("kind") == "html", gates.boilerplate_reject(F.col("text"))), gates.text_reject(F.col("text")))
     rows = rows.withColumn("reject_reason", why)
     rows = parse.parse(rows.withColumn("text", F.when(F.col("reject_reason").isNull(), F.col("text"))))
     rows = rows.withColumn("reject_reason", F.coalesce("reject_reason", gates.structured_reject(F.col("parsed.title"))))
@@ -36,10 +38,10 @@ def extract(fetches: DataFrame) -> DataFrame:
 def run(spark: SparkSession, discovered: DataFrame, fetches: DataFrame, path: str, as_of: Column, now: Column) -> dict[str, int]:
     """Saves what qualifies and returns the run's counts. discovered has pos and source_url."""
     found = durable(dedup.distinct_urls(discovered))
-    good = extract(fetches).where("reject_reason is null").drop("url", "reject_reason", "confidence")
+    good = durable(extract(fetches)).where("reject_reason is null").drop("url", "reject_reason", "confidence")
     merged = store.merge(found, good, "source_url", AUTHORITATIVE)
     kept = dedup.greedy(durable(merged))
-    judged = durable(qualify.qualify(score.relevance(kept, as_of), as_of))
+    judged = durable(qualify.qualify(durable(score.relevance(kept, as_of)), as_of))
     passed = judged.where("qualified")
     saved = store.save(spark, qualify.transform(passed), path, now)
     return {"found": passed.count(), "processed": judged.count(), "failed": found.count() - merged.count(), **saved}

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.urls import canonical_plain
 from ..operators import qualify, score, store
 from ..operators.dedup import greedy
+from ..session import durable
 
 
 def distinct_pages(stream: DataFrame, time: str = "ts", late: str = "1 day") -> DataFrame:
@@ -26,8 +27,8 @@ def saver(path: str, as_of: Callable[[], Column], now: Callable[[], Column], pol
     """A foreachBatch function: score, qualify, greedy deduplication inside the batch, then the store's own anti-join and append. A batch that is run again adds nothing."""
 
     def run(batch: DataFrame, number: int) -> None:
-        rows = qualify.qualify(score.relevance(batch, as_of(), policy), as_of()).where("qualified")
-        kept = greedy(rows.withColumn("deadline", F.col("deadline").cast("string")))
+        scored = durable(score.relevance(batch.withColumn("deadline", F.col("deadline").cast("string")), as_of(), policy))
+        kept = greedy(durable(qualify.qualify(scored, as_of()).where("qualified")))
         counts = store.save(batch.sparkSession, qualify.transform(kept), path, now())
         if told:
             told(counts | {"batch": number})
