@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -149,6 +150,14 @@ class Parser:
 _parsers: dict[int, Parser] = {}
 
 
+def parser_for(key: int, samples: dict[str, list[str]]) -> Parser:
+    """A worker's parser, built once. As a function of the module it is sent by name, so that all tasks share the worker's own cache."""
+    if key not in _parsers:
+        _parsers.clear()
+        _parsers[key] = Parser(samples)
+    return _parsers[key]
+
+
 def sample(docs: DataFrame, train: Column) -> dict[str, list[str]]:
     """A bounded sample of labelled texts: by language those of least hash, copies once, whole, within the documented bounds."""
     rows = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= TEXT_SYMBOLS)).select("lang", "text", F.xxhash64("text").alias("h"))
@@ -173,13 +182,10 @@ def predict(docs: DataFrame, samples: dict[str, list[str]], keep: list[str]) ->
     spark = docs.sparkSession
     small_batches(spark)
     sent = spark.sparkContext.broadcast(samples)  # bounded by ALL_SYMBOLS
-    key = hash(tuple((k, tuple(v)) for k, v in sorted(samples.items())))
+    key = xxhash.xxh64_intdigest(repr(sorted(samples.items())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _parsers:
-            _parsers.clear()
-            _parsers[key] = Parser(sent.value)
-        parser = _parsers[key]
+        parser = parser_for(key, sent.value)
         for batch in batches:
             column = batch.column("_text")
             langs, scores = [], []
