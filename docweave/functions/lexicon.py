@@ -73,6 +73,11 @@ class Lexicon:
         """Terms that hit, in order."""
         return F.array_compact(F.array(*[F.when(self.hit(prepared, t), F.lit(t)) for t, _ in self.terms]))
 
+    def weigh(self, found: Column) -> Column:
+        """Sum of the weights of list_()'s terms, added in order: each term is searched once where both are wanted."""
+        weights = F.create_map(*[F.lit(x) for t, w in self.terms for x in (t, float(w))])
+        return F.aggregate(found, F.lit(0.0), lambda a, x: a + F.element_at(weights, x))
+
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         """The lexicon as rows (lexicon, ord, term, weight, mode)."""
         return spark.createDataFrame([(name, i, t, float(w), self.mode) for i, (t, w) in enumerate(self.terms)], "lexicon string, ord int, term string, weight double, mode string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -63,10 +64,14 @@ def relevance(df: DataFrame, as_of: Column, policy: Policy | None = None) -> Dat
     due = dates.parse(col("deadline"), "score")
     source = F.lower(F.concat(col("source"), F.lit(" "), col("source_url")))
     rows = rows.withColumns({
-        "_blocked": p.blocked.first(t), "_core": F.least(p.core.sum_(t), F.lit(0.55)), "_cores": p.core.list_(t), "_second": p.secondary.sum_(t), "_seconds": p.secondary.list_(t),
-        "_proc": p.procurement.any_(t), "_services": p.service.list_(t), "_region": region(t, p), "_area": F.coalesce(p.boost.first(t), p.penalty.first(t)),
-        "_org": F.coalesce(p.organizations.first_weight(F.lower(col("organization"))), F.lit(0.0)), "_src": F.coalesce(p.sources.first_weight(source), F.lit(0.0)),
-        "_fresh": freshness(due, as_of), "_meta": metadata(df.columns), "_neg": F.least(p.negative.sum_(t), F.lit(0.30)), "_negs": p.negative.list_(t), "_title": p.title_terms.count(F.lower(col("title"))),
+        "_blocked": p.blocked.first(t), "_cores": p.core.list_(t), "_seconds": p.secondary.list_(t), "_proc": p.procurement.any_(t), "_services": p.service.list_(t),
+        "_up": p.boost.first(t), "_down": p.penalty.first(t), "_org": F.coalesce(p.organizations.first_weight(F.lower(col("organization"))), F.lit(0.0)), "_src": F.coalesce(p.sources.first_weight(source), F.lit(0.0)),
+        "_fresh": freshness(due, as_of), "_meta": metadata(df.columns), "_negs": p.negative.list_(t), "_title": p.title_terms.count(F.lower(col("title"))),
+    })
+    one = lambda lexicon, c: lexicon.weigh(F.array_compact(F.array(c)))
+    rows = rows.withColumns({
+        "_core": F.least(p.core.weigh(F.col("_cores")), F.lit(0.55)), "_second": p.secondary.weigh(F.col("_seconds")), "_neg": F.least(p.negative.weigh(F.col("_negs")), F.lit(0.30)),
+        "_region": F.when(F.col("_up").isNotNull(), one(p.boost, F.col("_up"))).when(F.col("_down").isNotNull(), -one(p.penalty, F.col("_down"))).otherwise(0.0), "_area": F.coalesce("_up", "_down"),
     })
     s = F.when(F.size("_cores") > 0, F.col("_core")).otherwise(F.col("_second"))
     s = F.when(F.col("_proc"), s + F.lit(0.20)).otherwise(s * F.lit(0.80))
@@ -88,7 +93,9 @@ def relevance(df: DataFrame, as_of: Column, policy: Policy | None = None) -> Dat
         F.concat(F.lit("Final Score = "), text2(F.col("score"))),
     ))
     reasons = F.when(F.col("_blocked").isNotNull(), F.array(F.concat(F.lit("Blocked keyword: "), F.col("_blocked")))).when(none, F.array(F.lit("No structural relevance found"))).otherwise(told)
-    return rows.withColumn("reasons", reasons).drop(*[c for c in rows.columns if c.startswith("_") and c not in have])
+    out = rows.withColumn("reasons", reasons).drop(*[c for c in rows.columns if c.startswith("_") and c not in have])
+    # counts the scored rows; it also keeps later conditions on the score from being pushed below it, each with a copy of the whole expression
+    return out.observe(f"scored-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
 
 
 def discovery(title: Column, snippet: Column, url: Column) -> Column:
