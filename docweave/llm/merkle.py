@@ -17,6 +17,7 @@ from pyspark.sql import Window
 
 PIECE = r"[^.!?\n]{0,80}[.!?\n]+|[^.!?\n]{1,80}"
 TAG = 8
+MOST_CUTS = 32_768
 
 
 def leaves(text: Column) -> Column:
@@ -64,7 +65,7 @@ def with_next(rows: DataFrame, key: str, order: list[str], carry: list[str], chu
     """rows with next_<c> for c in carry: the values of the next row by key (nulls first), after the last the first; ties go by order.
 
     Keys are cut at sampled quantiles that occur as keys; the rows of the key that starts a stretch also go to the stretch before it as
-    guests, so each stretch is ordered by itself and no rows meet in one task but about chunk of them. At most 4096 cut points
+    guests, so each stretch is ordered by itself and no rows meet in one task but about chunk of them. At most MOST_CUTS cut points
     reach the driver, whatever the input; at greater sizes stretches are longer and their sort spills.
     """
     least = -(2**63)
@@ -72,18 +73,20 @@ def with_next(rows: DataFrame, key: str, order: list[str], carry: list[str], chu
     n, low = rows.agg(F.count("*"), F.min("_k")).first()
     cuts = []
     if n:
-        m = min(4096, math.ceil(n / chunk))
+        m = min(MOST_CUTS, math.ceil(n / chunk))
         if m > 1:
             found = rows.agg(F.percentile_approx("_k", [i / m for i in range(1, m)], 8 * m)).first()[0]
             cuts = sorted(set(found) - {low})
-    groups = [cuts[i : i + 64] for i in range(0, len(cuts), 64)]
+    # a row is compared with the heads of groups, then within its group
+    each = max(1, math.isqrt(len(cuts)))
+    groups = [cuts[i : i + each] for i in range(0, len(cuts), each)]
     heads = F.from_json(F.lit(json.dumps([g[0] for g in groups])), "array<bigint>")
     nested = F.from_json(F.lit(json.dumps(groups)), "array<array<bigint>>")
     k = F.col("_k")
     rows = rows.withColumn("_c", F.size(F.filter(heads, lambda x: x <= k)))
     own = F.when(F.col("_c") == 0, F.array().cast("array<bigint>")).otherwise(F.get(nested, F.col("_c") - 1))
     rows = rows.withColumn("_own", own)
-    stretch = F.when(F.col("_c") == 0, 0).otherwise((F.col("_c") - 1) * 64 + F.size(F.filter("_own", lambda x: x <= k)))
+    stretch = F.when(F.col("_c") == 0, 0).otherwise((F.col("_c") - 1) * each + F.size(F.filter("_own", lambda x: x <= k)))
     rows = rows.withColumn("_s", stretch.cast("int"))
     guest = F.when(k == F.lit(low), F.lit(len(cuts))).when(F.array_contains("_own", k), F.col("_s") - 1).cast("int")
     place = F.struct(F.col("_s").alias("s"), F.lit(False).alias("guest"))

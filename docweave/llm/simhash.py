@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from .common import durable, pieces, small_batches
 
 RADIUS = 3
-#: A bucket up to this size is resolved in one task, larger ones go to the next level.
-BUCKET = 512
+#: A bucket up to this size is resolved in one task, larger ones go to the next level. The masks of the third level leave ten bits free, so no bucket there is larger.
+BUCKET = 1024
 
 
 def _masks(bits: list[int]) -> list[int]:
