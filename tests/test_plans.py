@@ -6,7 +6,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from docweave.plans import batch, catalog
+from docweave.operators import insight
+from docweave.plans import batch, catalog, job
 from docweave.sources import landed
 from docweave.sources.serp import SerpSource
 from docweave.streaming import ingest
@@ -62,6 +63,10 @@ def test_batch(spark, tmp_path):
     row = spark.read.parquet(f"{tmp_path}/store").first()
     assert row.Title.startswith("Structural audit") and row.Source == "serp" and row.Deadline == "2026-03-15"
     assert batch.reason(spark, counts) == "Opportunities saved successfully"
+    again = job.daily(spark, found, fetched(fetches), f"{tmp_path}/store", f"{tmp_path}/log", "2026-02-01", "2026-02-02 08:00:00", 55)
+    assert again["saved"] == 0 and again["reason"] == "All qualified opportunities were duplicates"
+    audit = insight.run_audit(spark.read.parquet(f"{tmp_path}/log")).first()
+    assert (audit.queries, audit.duplicates, audit.reason) == (55, 1, again["reason"])
 
 
 def test_sources(spark, tmp_path):
@@ -84,3 +89,20 @@ def test_stream(spark, tmp_path):
     run = ingest.saver(f"{tmp_path}/store", lambda: F.lit("2026-02-01").cast("date"), lambda: F.lit("now"), told=told.append)
     ingest.start(stream, run, f"{tmp_path}/ck").awaitTermination(150)
     assert sum(t["saved"] for t in told) == 1 and spark.read.parquet(f"{tmp_path}/store").count() == 1
+
+
+def test_job_helpers():
+    calls, waits = [], []
+
+    def flaky():
+        calls.append(1)
+        if len(calls) < 3:
+            raise RuntimeError("HTTP 429")
+        return "ok"
+
+    assert job.retried(flaky, when=job.over_quota, sleep=waits.append) == "ok" and waits == [15.0, 30.0]
+    assert job.safely(lambda: 1 / 0)["status"] == "failed_safe_mode" and job.safely(lambda: 3) == {"status": "ok", "result": 3}
+    assert job.budget({}).limit == 0 and job.budget({job.BUDGET: " 4 "}).limit == 4
+    for bad in ("-1", "x", "1.5"):
+        with pytest.raises(ValueError):
+            job.budget({job.BUDGET: bad})
