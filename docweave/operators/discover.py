@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,22 +36,19 @@ def phrases(query: Column) -> Column:
     return F.array_distinct(F.concat(F.array(q), F.filter(known, lambda p: F.contains(q, p))))
 
 
-#: A source catalog is a dimension; a larger one is refused, as it goes into the plan as a literal.
-MOST_SOURCES = 10_000
-
-
 def select_sources(queries: DataFrame, catalog: DataFrame, most: int = 15) -> DataFrame:
-    """(query, n, url, score): for every query its best sources by score, ties by catalog order; a query that no source fits takes the catalog's first."""
-    rows = catalog.select("url", F.coalesce("priority", F.lit(0)).cast("double").alias("priority"), "pos", F.lower(text("text")).alias("text")).limit(MOST_SOURCES + 1).collect()
-    if len(rows) > MOST_SOURCES:
-        raise ValueError(f"a catalog has at most {MOST_SOURCES} sources")
-    sources = F.from_json(F.lit(json.dumps([r.asDict() for r in sorted(rows, key=lambda r: r.pos)])), "array<struct<url:string,priority:double,pos:bigint,text:string>>")
-    asked = queries.select("query", tokens(F.col("query")).alias("_tok"))
-    scored = F.transform(sources, lambda s: F.struct((-F.greatest(source_score(F.col("_tok"), s["text"], s["priority"]), F.lit(0.0))).alias("s"), s["pos"].alias("pos"), s["url"].alias("url")))
-    asked = asked.withColumn("_all", F.array_sort(scored))
-    fits = F.filter("_all", lambda x: x["s"] < 0)
-    asked = asked.withColumn("_best", F.slice(F.when(F.size(fits) > 0, fits).otherwise(F.col("_all")), 1, most))
-    return asked.select("query", F.posexplode("_best").alias("n", "x")).select("query", "n", "x.url", (-F.col("x.s")).alias("score"))
+    """(query, n, url, score): for every query its best sources by score, ties by catalog order; a query that no source fits takes the catalog's first.
+
+    The catalog may have any size: each task keeps its own best of every query before the shuffle (a group limit of the rank), and those are merged.
+    """
+    sources = catalog.select("url", "pos", F.lower(text("text")).alias("_text"), F.coalesce("priority", F.lit(0)).cast("double").alias("_priority"))
+    asked = queries.select(F.col("query").alias("_q"), tokens(F.col("query")).alias("_tok")).distinct()
+    score = F.greatest(source_score(F.col("_tok"), F.col("_text"), F.col("_priority")), F.lit(0.0))
+    scored = asked.crossJoin(sources).select("_q", "url", "pos", score.alias("score"))
+    w = Window.partitionBy("_q")
+    best = scored.withColumn("_k", F.row_number().over(w.orderBy(F.desc("score"), "pos", "url"))).where(F.col("_k") <= most)
+    fits = best.withColumn("_most", F.max("score").over(w)).where("score > 0 or _most = 0")
+    return queries.select("query").join(fits, F.col("query").eqNullSafe(F.col("_q"))).select("query", (F.col("_k") - 1).alias("n"), "url", "score")
 
 
 def crawl(start: DataFrame, links: DataFrame, depth: int = 2, most_pages: int = 12) -> DataFrame:

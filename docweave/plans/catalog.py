@@ -330,7 +330,7 @@ def q_expand(spark: SparkSession, d: str) -> DataFrame:
     SELECT query, CAST(k - 1 AS INTEGER) AS n, url, CAST(score AS DOUBLE) AS score FROM r WHERE k <= 15""")
 def q_select_sources(spark: SparkSession, d: str) -> DataFrame:
     s = read(spark, d, "supplier")
-    cat = s.select(F.col("s_suppkey").alias("pos"), F.concat(F.lit("https://supplier.example/"), F.col("s_suppkey").cast("string")).alias("url"), F.concat("s_name", F.lit(" nation "), F.col("s_nationkey").cast("string")).alias("text"), (F.col("s_suppkey") % 7).alias("priority")).where(F.col("pos") <= discover.MOST_SOURCES)
+    cat = s.select(F.col("s_suppkey").alias("pos"), F.concat(F.lit("https://supplier.example/"), F.col("s_suppkey").cast("string")).alias("url"), F.concat("s_name", F.lit(" nation "), F.col("s_nationkey").cast("string")).alias("text"), (F.col("s_suppkey") % 7).alias("priority"))
     asked = read(spark, d, "nation").select(F.col("n_name").alias("query"), F.concat("n_name", F.lit(" supplier "), F.col("n_nationkey").cast("string")).alias("q"))
     named = discover.select_sources(asked.select(F.col("q").alias("query")), cat).withColumnRenamed("query", "q")
     return named.join(asked, "q").select("query", "n", "url", "score")

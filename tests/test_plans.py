@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from docweave.operators import insight
+from docweave.operators import discover, insight
 from docweave.plans import batch, catalog, job
 from docweave.sources import landed
 from docweave.sources.serp import SerpSource
@@ -106,3 +106,23 @@ def test_job_helpers():
     for bad in ("-1", "x", "1.5"):
         with pytest.raises(ValueError):
             job.budget({job.BUDGET: bad})
+
+
+def test_select_sources_reads_every_supplier(spark, tmp_path):
+    """Suppliers beyond the 10,000th count; the nations' keys occur in such names alone."""
+    spark.range(1, 12_001).selectExpr("id AS s_suppkey", "concat('Supplier#', lpad(id, 9, '0')) AS s_name", "CAST(id % 25 AS INT) AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([("FRANCE", 1150), ("PERU", 10990), ("KENYA", 7)], "n_name string, n_nationkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    con = duckdb.connect()
+    for t in ("supplier", "nation"):
+        con.sql(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    want = con.sql(catalog.ORACLE_SQL["q_select_sources"])
+    rows = [dict(zip(want.columns, r, strict=True)) for r in want.fetchall()]
+    got = catalog.QUERIES["q_select_sources"](spark, str(tmp_path))
+    assert any(int(r["url"].rsplit("/", 1)[1]) > 10_000 for r in rows)
+    assert table([r.asDict() for r in got.collect()], want.columns) == table(rows, want.columns)
+
+
+def test_select_sources_keeps_repeated_and_unfit_queries(spark):
+    sources = spark.createDataFrame([(i, f"u{i}", "abc" if i == 40 else "x", 0) for i in range(50)], "pos long, url string, text string, priority int")
+    got = discover.select_sources(spark.createDataFrame([("abc",), ("abc",), ("zzz",), (None,)], "query string"), sources, 2)
+    assert sorted((r.query or "", r.n, r.url) for r in got.collect()) == [("", 0, "u0"), ("", 1, "u1"), ("abc", 0, "u40"), ("abc", 0, "u40"), ("zzz", 0, "u0"), ("zzz", 1, "u1")]
