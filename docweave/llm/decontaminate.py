@@ -5,7 +5,8 @@
 3. Every whole document is cut into overlapping windows; a window is a candidate of the passages whose cosine in the latent
    space reaches LEAST_COSINE. Windows whose share of TF-IDF mass in benchmark terms is below that bound cannot reach it and are skipped.
 4. Candidates are verified: the longest common subsequence must cover OVERLAP of the passage, or, for paraphrases, PARAPHRASE of it
-   together with its answer's words in order.
+   together with its answer's words in order and a cosine of PARAPHRASE_COSINE over a stretch as long as the passage (a window of WINDOW words
+   sees sqrt(WINDOW / m) of a verbatim copy of m words at most).
 """
 
 from __future__ import annotations
@@ -121,6 +122,13 @@ class Index:
         self.basis = np.vstack([basis * self.idf[:n, None], np.zeros((1, basis.shape[1]))]).astype(np.float32)
         self.latent = latent.astype(np.float32)
 
+    def likeness(self, p: int, near: list[int]) -> float:
+        """The best latent cosine of passage p and a stretch of near with as many words."""
+        m = min(len(self.passages[p]), len(near))
+        dot = np.concatenate([[0], np.cumsum(self.basis[near] @ self.latent[p], dtype=float)])
+        mass = np.concatenate([[0], np.cumsum(self.idf[near] ** 2)])
+        return float(((dot[m:] - dot[:-m]) / np.sqrt(mass[m:] - mass[:-m])).max())
+
     def find(self, texts: list[bytes | None]) -> list[list[tuple[int, float, float, int, int]]]:
         """For each text (item, cosine, overlap, first word, end) of what it holds, best passage of each item."""
         n, out = len(self.terms), [[] for _ in texts]
@@ -169,7 +177,10 @@ class Index:
                 text, want = ",".join(map(str, near)), ",".join(map(str, self.passages[p]))
                 held = f",{want}," in f",{text},"
             else:
-                held = share >= OVERLAP or share >= PARAPHRASE and c >= PARAPHRASE_COSINE and common(self.answers[p], near) >= ANSWER * len(self.answers[p])
+                held = share >= OVERLAP
+                if not held and share >= PARAPHRASE and common(self.answers[p], near) >= ANSWER * len(self.answers[p]):
+                    c = max(c, self.likeness(p, near))
+                    held = c >= PARAPHRASE_COSINE
             key = (d, self.owner[p])
             if held and (share, c) > best.get(key, (0, 0))[:2]:
                 best[key] = (share, c, a, b)

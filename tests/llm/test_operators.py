@@ -365,6 +365,23 @@ def test_decontamination(spark):
     assert decontaminate.leaks(d, b.where("false")).count() == 0 and decontaminate.leaks(d.where("false"), b).count() == 0
 
 
+def paraphrase(words, share, other):
+    """Every (1 / share)th word but those of the answer replaced."""
+    last = max(3, len(words) // 5)
+    gone = [int(k / share) for k in range(int(share * len(words))) if int(k / share) < len(words) - last]
+    return [other if i in gone else w for i, w in enumerate(words)]
+
+
+def test_decontamination_finds_paraphrases_of_any_length(spark):
+    rng = random.Random(9)
+    items = [(m, " ".join(f"{word(rng, 'aa')}{m}{i}" for i in range(m))) for m in (16, 30, 45, 59, 75)]
+    texts = [(m, " ".join(["filler"] * 40 + paraphrase(t.split(), 0.25, "filler") + ["filler"] * 40)) for m, t in items]
+    docs = texts + [(1000 + i, " ".join(["filler"] * 50)) for i in range(200)]
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(m, m) for m, _ in items}
+    assert any(r.overlap < decontaminate.OVERLAP for r in found)
+
+
 def test_common_subsequence_length():
     rng = random.Random(8)
     for _ in range(100):
