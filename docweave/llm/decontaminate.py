@@ -3,7 +3,9 @@
 1. Document frequencies of the benchmark's terms are counted over all documents.
 2. The TF-IDF matrix of benchmark passages is factored by a randomised SVD whose products run over the distributed rows.
 3. Every whole document is cut into overlapping windows; a window is a candidate of the passages whose cosine in the latent
-   space reaches LEAST_COSINE. Windows whose share of TF-IDF mass in benchmark terms is below that bound cannot reach it and are skipped.
+   space reaches LEAST_COSINE, or what a copy with PARAPHRASE of its words would reach where that is less (Index.weigh). Words are no rarer
+   than RAREST and words outside the benchmark weigh no more than the average word of the plainest passage, so neither bound nor weights move with
+   the number of documents. Windows whose share of TF-IDF mass in benchmark terms is below the least bound cannot reach it and are skipped.
 4. Candidates are verified: the longest common subsequence must cover OVERLAP of the passage, or, for paraphrases, PARAPHRASE of it
    together with its answer's words in order and a cosine of PARAPHRASE_COSINE over a stretch as long as the passage (a window of WINDOW words
    sees sqrt(WINDOW / m) of a verbatim copy of m words at most).
@@ -27,6 +29,8 @@ LEAST_COSINE, OVERLAP, PARAPHRASE, PARAPHRASE_COSINE, ANSWER = 0.3, 0.8, 0.65, 0
 #: Passages with one latent space; larger benchmarks are worked off in blocks of so many items, so what is broadcast is bounded.
 BLOCK = 4_000
 RANK, KEPT = 128, 0.8
+#: The idf of a word in one of so many documents; rarer words weigh the same.
+RAREST = math.log(1_000)
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
@@ -69,7 +73,14 @@ class Index:
                     self.answers.append([self.terms.setdefault(w, len(self.terms)) for w in last])
 
     def weigh(self, docs: int, df: dict[int, int]) -> None:
-        self.idf = np.array([math.log((docs + 1) / (df.get(i, 0) + 1)) + 0.05 for i in range(len(self.terms))] + [math.log(docs + 1) + 0.05])
+        """Word weights, and each passage's candidate bound: the cosine of a window with PARAPHRASE of the passage's words of average weight, all others of the greatest."""
+        self.idf = np.array([min(RAREST, math.log((docs + 1) / (df.get(i, 0) + 1))) + 0.05 for i in range(len(self.terms))] + [0.0])
+        m = np.array([len(p) for p in self.passages])
+        r = np.array([math.sqrt(sum((k * self.idf[t]) ** 2 for t, k in Counter(p).items())) for p in self.passages]) / np.sqrt(m)
+        self.idf[-1] = r.min()
+        n = PARAPHRASE * np.minimum(m, WINDOW)
+        reached = n * r / np.sqrt(m * (n * r**2 + (WINDOW - n) * self.idf.max() ** 2))
+        self.least = np.minimum(LEAST_COSINE, KEPT**2 * reached).astype(np.float32)
 
     def rows(self) -> list[tuple[list[int], list[float]]]:
         """Unit TF-IDF rows of the passages."""
@@ -149,7 +160,7 @@ class Index:
         first = np.maximum(0, np.minimum(first, size[owner] - WINDOW))
         lo, hi = begin[owner] + first, begin[owner] + end
         norm = np.sqrt(every[hi] - every[lo])
-        live = np.flatnonzero(inside[hi] - inside[lo] >= LEAST_COSINE**2 * norm**2)
+        live = np.flatnonzero(inside[hi] - inside[lo] >= self.least.min() ** 2 * norm**2)
         found = []
         for at in range(0, len(live), 1024):
             k = live[at : at + 1024]
@@ -157,7 +168,7 @@ class Index:
             t = np.where(place < hi[k, None], ids[np.minimum(place, len(ids) - 1)], n)
             vector = self.basis[t].sum(1)
             cosine = (vector @ self.latent.T) / norm[k, None]
-            w, p = np.nonzero(cosine >= LEAST_COSINE)
+            w, p = np.nonzero(cosine >= self.least)
             found += zip(owner[k[w]].tolist(), p.tolist(), first[k[w]].tolist(), cosine[w, p].tolist())
         found.sort()
         i = 0

@@ -382,6 +382,18 @@ def test_decontamination_finds_paraphrases_of_any_length(spark):
     assert any(r.overlap < decontaminate.OVERLAP for r in found)
 
 
+@pytest.mark.parametrize("docs", [10_000, 3_000_000])
+def test_candidates_do_not_depend_on_the_number_of_documents(spark, docs):
+    rng = random.Random(10)
+    items = [(m, " ".join(f"{word(rng, 'aa')}{m}{i}" for i in range(m)), None) for m in (8, 10, 16, 40, 79)]
+    index = decontaminate.Index(items)
+    index.weigh(docs, {t: int(docs * rng.choice([0.01, 0.03, 0.1])) for t in index.terms.values()})
+    index.fit(spark.range(1))
+    held = [" ".join(["filler"] * 40 + paraphrase(t.split(), 0.19, "filler") + ["filler"] * 40).encode() for _, t, _ in items]
+    found = index.find([*held, b"filler " * 100])
+    assert [[f[0] for f in x] for x in found] == [[8], [10], [16], [40], [79], []]
+
+
 def test_common_subsequence_length():
     rng = random.Random(8)
     for _ in range(100):
