@@ -25,15 +25,43 @@ TOKEN = re.compile(rf"(?s)<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*?(?:/>|>.*?(?:</\1\s*
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody tfoot thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILER = frozenset("nav footer aside form button menu dialog head".split())
-NAMES = re.compile(r"(?i)(?:class|id|role|aria-label)\s*=\s*[\"']?[^\"'>]*\b(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|breadcrumbs?|footer|sidebar|cookies?|consent|notice|newsletter|subscribe|comments?|replies|disqus|share|social|related|popup|modal|complementary|contentinfo|navigation|search)\b")
+_NAMED = r"(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|breadcrumbs?|footer|sidebar|cookies?|consent|notice|newsletter|subscribe|comments?|replies|disqus|share|social|related|popup|modal|complementary|contentinfo|navigation|search)"
+NAMES = re.compile(rf"(?i)(?:class|id|role|aria-label)\s*=\s*[\"']?[^\"'>]*\b{_NAMED}\b")
+#: Inside an article a whole class, role or id must match; headings and sections are not judged by their ids.
+WHOLE = re.compile(rf"(?i)(?<![\w-])(?:(?:class|role)\s*=\s*(?:\"(?:[^\"]*\s)?|'(?:[^']*\s)?|){_NAMED}(?=[\s\"'/]|\Z)|(id)\s*=\s*[\"']?{_NAMED}(?=[\s\"'/]|\Z))")
+TITLED = frozenset("section h1 h2 h3 h4 h5 h6".split())
+#: Open elements that a start tag ends, and the elements that keep them from it.
+IMPLIED = {t: (frozenset(ends.split()), frozenset(stops.split())) for t, ends, stops in (
+    ("li", "li", "ul ol menu dir table td th"), ("dd", "dd dt", "dl table td th"), ("dt", "dd dt", "dl table td th"), ("td", "td th", "table"), ("th", "td th", "table"),
+    ("tr", "tr", "table"), ("tbody", "thead tbody tfoot", "table"), ("tfoot", "thead tbody tfoot", "table"), ("option", "option", "datalist"),
+)}
+PARAGRAPH, CELLS, TABLE = frozenset(["p"]), frozenset("table td th caption button".split()), frozenset("table caption thead tbody tfoot tr td th article main body html".split())
 HIDDEN = re.compile(r"(?i)\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|visibility\s*:\s*hidden")
 
 
+def _close(opened: list[str], tags: frozenset[str], stops: frozenset[str]) -> None:
+    """Ends the innermost open element of tags with all in it, unless one of stops is met first."""
+    for i in range(len(opened) - 1, -1, -1):
+        if opened[i] in tags:
+            del opened[i:]
+            return
+        if opened[i] in stops:
+            return
+
+
+def _named(tag: str, attributes: str, article: bool) -> bool:
+    if not article:
+        return bool(NAMES.search(attributes))
+    return any(not m.group(1) or tag not in TITLED for m in WHOLE.finditer(attributes))
+
+
 def lines(page: str | None) -> list[tuple[str, int]]:
     """(line, kind) of a page in order; kind 0: boilerplate, 1: other, 2: inside the article."""
     out: list[tuple[str, int]] = []
     held: list[str] = []
-    skip, depth, article = "", 0, 0
+    opened: list[str] = []
+    # the elements open around a skipped one; it ends by its end tag, its implied end or the end of an element around it
+    skip, around, article = "", 0, 0
 
     def close() -> None:
         text = " ".join(html.unescape("".join(held)).split())
@@ -49,18 +77,26 @@ def lines(page: str | None) -> list[tuple[str, int]]:
         if tag is None:
             continue
         tag = tag.lower()
-        boiler = not end and tag not in VOID and not skip and (tag in BOILER or tag == "header" and not article or attributes and bool(NAMES.search(attributes) or HIDDEN.search(attributes)) and tag not in ("body", "html", "article", "main"))
-        if tag in BLOCKS or boiler or skip == tag:
+        if end:
+            _close(opened, frozenset([tag]), frozenset() if tag in TABLE else CELLS - {tag})
+        else:
+            if tag in IMPLIED:
+                _close(opened, *IMPLIED[tag])
+            if tag in BLOCKS:
+                _close(opened, PARAGRAPH, CELLS)
+        # an element that is never closed ends with the page's main parts
+        over = skip and (len(opened) <= around or tag in ("article", "main") and not end)
+        boiler = not end and tag not in VOID and (not skip or over) and (tag in BOILER or tag == "header" and not article or attributes and (_named(tag, attributes, article > 0) or bool(HIDDEN.search(attributes))) and tag not in ("body", "html", "article", "main"))
+        if tag in BLOCKS or boiler or over:
             close()
         elif tag in ("br", "td", "th", "img"):
             held.append(" ")
+        if over:
+            skip = ""
         if boiler:
-            skip, depth = tag, 1
-        elif skip:
-            # an element that is never closed ends with the page's main parts
-            depth += (tag == skip) * (0 if tag in VOID else -1 if end else 1)
-            if not depth or tag in ("article", "main") and not end:
-                skip = ""
+            skip, around = tag, len(opened)
+        if not end and tag not in VOID:
+            opened.append(tag)
         if not skip and tag in ("article", "main"):
             article = max(0, article + (-1 if end else 1))
     close()

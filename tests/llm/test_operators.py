@@ -291,6 +291,20 @@ def test_page_lines():
     assert pagediff.lines(None) == [] and pagediff.lines("") == []
 
 
+@pytest.mark.parametrize(
+    "inside, kept",
+    [
+        ('<section id="related-work"><p>a</p></section><h2 id="search">b</h2><div class="social-effects">c</div>', "a b c"),
+        ('<p class="promo">x<p>a</p><p>b</p>', "a b"), ('<ul><li class="share">x<li>a</ul><p>b', "a b"), ('<div class="promo"><p>x</div><p>a', "a"),
+        ('<section><div class="ad">x</section><p>a</p>', "a"), ('<div class="box ad"><div>x</div>y</div><p>a', "a"), ('<div id=comments>x</div><table><tr><td class=ad>x<td>a</table>', "a"),
+    ],
+)
+def test_skipped_elements_end_where_they_should(inside, kept):
+    page = f"<html><body><nav>m</nav><article>{inside}</article><p>after</p></body></html>"
+    assert [t for t, k in pagediff.lines(page) if k == 2] == kept.split()
+    assert [t for t, k in pagediff.lines(page) if k == 1] == ["after"]
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(4)
     for _ in range(200):
