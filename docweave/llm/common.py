@@ -19,17 +19,20 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or where that is unset (tests) one of our own."""
+    """The folder that all executors share: spark.checkpoint.dir. Where that is unset, a local master gets one of our own (tests); a cluster is refused, as each executor would write to its own disk."""
     name = spark.conf.get("spark.checkpoint.dir", None)
     if not name:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         name = tempfile.mkdtemp(prefix="docweave-")
         spark.conf.set("spark.checkpoint.dir", name)
     return name
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Bounds what the JVM and a Python worker hold of long texts at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Bounds what the JVM and a Python worker hold of long texts at a time. Stays set, as results are read later; a smaller bound of the session's own stands."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, rows):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -47,8 +50,7 @@ def durable(df: DataFrame) -> DataFrame:
 def _sweep() -> None:
     for spark, path in _made:
         try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, path)
         except Exception:  # the session may be gone at exit
             return
 
@@ -56,6 +58,20 @@ def _sweep() -> None:
 atexit.register(_sweep)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Deletes durable copies whose readers are done."""
+    for t in tables:
+        for name in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
+            for made in [m for m in _made if m[1].rsplit("/", 1)[1] == name.rsplit("/", 1)[1]]:
+                _made.remove(made)
+                _delete(*made)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def small_table(spark: SparkSession, rows: list[list], schema: str) -> DataFrame:
     """A table of a bounded number of driver-side rows, as an expression: no RDD, no Python on executors."""
     names = [c.split()[0] for c in schema.split(", ")]
@@ -68,6 +84,16 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % parts
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns of docs as one struct, so that none of their names can clash with an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def unpacked(rows: DataFrame, name: str, keep: list[str] | None = None) -> list[Column]:
+    """The columns of a packed struct, by their own names (those of keep, if given)."""
+    return [F.col(name).getField(f.name).alias(f.name) for f in rows.schema[name].dataType if keep is None or f.name in keep]
+
+
 def pieces(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of a batch's texts with at most so many bytes each (a longer text stands alone), so that only one range at a time becomes Python objects."""
     start = held = 0

@@ -1,13 +1,14 @@
-"""Language-model scoring by deleted interpolation.
+"""Language-model scoring by deleted interpolation of word trigrams, bigrams and unigrams.
 
-Words fall into CLASSES classes by their ending (a word of up to three bytes is its own ending; the end of a text is class 0).
-The model is P(w | h) = [l3 P(C | k k') + l2 P(C | c) + l1 P(C) + l0 / CLASSES] P(w | C): maximum-likelihood trigram, bigram
-and unigram estimates over classes, mixed by weights for each bucket of the context's frequency, and the word within its class
-with add-0.1 estimates from exact counts of all training words. The mixture weights are learned by expectation-maximisation on held-out
-counts: a ninth of the training texts is left out of the class counts and used for the weights.
+P(w | u v) = l3 f(w | u v) + (1 - l3) [l2 f(w | v) + (1 - l2) (l1 f(w) + (1 - l1) / (V + 1))], where f are maximum-likelihood
+estimates from the counts of all training texts, l3 depends on the bucket of the count of the context u v and l2 on that of v
+(buckets are powers of two, without an upper end). The mixture weights are learned by expectation-maximisation on held-out counts: a ninth of the training
+texts is taken out of the counts, the weights are fitted to it, and its counts are put back.
 
-Class counts are bounded (CLASSES**2 + COARSE**2 * CLASSES cells); word counts grow with the corpus and stay distributed. Only words above a
-count that at most FREQUENT words reach are sent to the workers; all others are counted by a join on the word's hash.
+Every n-gram is counted, by its 64-bit hash; the tables grow with the corpus and stay distributed. A task gathers the texts it reads
+into runs of about RUN tokens. A run sends each distinct n-gram once, with its count, to the partition of the n-gram's hash; there the
+counts of all runs are added up, and each run gets back the sums for what it sent, in the order sent. A run's own word numbers travel
+along, so texts are read once and no row is moved for a token. A hot n-gram is one entry a run, whatever its count.
 """
 
 from __future__ import annotations
@@ -18,243 +19,311 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, fold, pieces, small_batches
+from .common import durable, fold, forget, pieces, small_batches
 
-CLASSES, COARSE, FREQUENT, ADD = 1024, 32, 131_072, 0.1
-#: Context-frequency buckets (powers of 8), and steps of the held-out histogram over the three estimates.
-BUCKETS, STEPS = 8, (32, 32, 24)
-#: Words that a worker keeps before it starts over, and counts it holds before it hands them on.
-HELD = 400_000
+ADD = 0.1
+#: Tokens of a run, and bytes of text whose n-grams one partition of hashes holds: they bound what a worker keeps.
+RUN, PART = 500_000, 16_000_000
+#: Steps an octave of the estimates in the held-out counts.
+STEPS = 4
 _END = b"\n"  # no word holds white space
+_START = np.uint64(0x9E3779B97F4A7C15)
+_U = np.uint64
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(33))) * _U(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> _U(29))) * _U(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> _U(32))
+
+
+class Numbers(dict):
+    """Words by number, in the order met."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+def tokens(text: bytes | None) -> list[bytes]:
+    return [*text.lower().split(), _END] if text else [_END]  # bytes: A-Z and ASCII white space only
+
+
+def hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(42)), _U, len(words))
+
+
+class Run:
+    """The n-grams of texts whose tokens are numbers ids into words (hashes), with sizes tokens each. The last two bits of a key tell its order."""
+
+    def __init__(self, words: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.ids, self.sizes = ids, sizes
+        self.first = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+        h = words[ids]
+        before = np.roll(h, 1)
+        before[self.first] = _START
+        earlier = np.roll(before, 1)
+        earlier[self.first] = _START
+        two = mix(mix(before) + h)
+        three = mix(mix(mix(earlier) + before) + h)
+        one = mix(words)
+        every = np.concatenate([one << _U(2) | _U(1), two << _U(2) | _U(2), three << _U(2) | _U(3)])
+        self.keys, at = np.unique(every, return_inverse=True)
+        self.at1, self.at2, self.at3 = at[: len(words)][ids], at[len(words) : len(words) + len(ids)], at[len(words) + len(ids) :]
+
+    def counts(self, learn: np.ndarray) -> np.ndarray:
+        """How often the texts that learn marks hold each key."""
+        token = np.repeat(learn, self.sizes)
+        return np.bincount(np.concatenate([x[token] for x in (self.at1, self.at2, self.at3)]), minlength=len(self.keys)).astype(np.uint32)
+
+    def parts(self, many: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(partition, places of its keys), in the order in which keys are sent and sums come back."""
+        part = (self.keys >> _U(2)) % _U(many)
+        order = np.argsort(part, kind="stable")
+        part = part[order]
+        cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else np.zeros(1, int)
+        for lo, hi in zip(cut[:-1], cut[1:]):
+            yield int(part[lo]), order[lo:hi]
+
+
+def _least(n: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs."""
+    return n.astype(np.min_scalar_type(int(n.max()) if len(n) else 0)).tobytes()
+
+
+def _numbers(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"u{max(1, len(data) // max(1, n))}").astype(np.int64)
+
+
+def _gather(many: int, doc_type: pa.DataType):  # noqa: ANN202
+    """Batches of (doc_id, text, train, held) -> rows of runs: kind 0 their n-grams by partition, kind 1 their texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, made = Numbers(), 0
+        runs: dict[bool, list] = {True: [], False: []}
+        names = ["part", "run", "held", "kind", "a", "b", "ids"]
+        kinds = [pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary(), pa.list_(doc_type)]
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal made
+            words = hashes(list(number))
+            for held, texts in runs.items():
+                if not texts:
+                    continue
+                used, ids = np.unique(np.concatenate([x[1] for x in texts]), return_inverse=True)
+                r = Run(words[used], ids, np.array([len(x[1]) for x in texts]))
+                n = r.counts(np.array([x[2] for x in texts]))
+                key = (TaskContext.get().partitionId() << 24) + made
+                made += 1
+                for part, at in r.parts(many):
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((part, key, held, 0, r.keys[at].tobytes(), _least(n[at]), None), kinds)], names=names)
+                body = np.array([len(used)], np.int64).tobytes() + words[used].tobytes() + _least(ids)
+                row = (key % many, key, held, 1, body, r.sizes.astype(np.int64).tobytes(), [x[0] for x in texts])
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names=names)
+                texts.clear()
+            number.clear()
+
+        tokens_held = 0
+        for b in batches:
+            column = b.column("text").cast(pa.binary())
+            doc, train, held = (b.column(c).to_pylist() for c in ("doc_id", "train", "held"))
+            for lo, hi in pieces(column):
+                for i, t in enumerate(column[lo:hi].to_pylist(), lo):
+                    words = tokens(t)
+                    runs[held[i]].append((doc[i], np.fromiter(map(number.__getitem__, words), np.int64, len(words)), train[i]))
+                    tokens_held += len(words)
+                if tokens_held > RUN:
+                    yield from flush()
+                    tokens_held = 0
+        yield from flush()
 
+    return run
 
-class Words:
-    """Numbers for the distinct words a worker has met, with each one's hash and class; starts over when full."""
-
-    def __init__(self) -> None:
-        self.clear()
 
-    def clear(self) -> None:
-        self.number: dict[bytes, int] = {_END: 0}
-        self.hash, self.kind = np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.fresh()
+def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (part, kind, run) -> the sums that each run asked for (kind 0), texts unchanged (1), tokens and distinct words (2)."""
+    held_rows: list[tuple] = []
+    names = ["part", "run", "held", "kind", "a", "b", "ids"]
 
-    def fresh(self) -> None:
-        done = len(self.hash)
-        new = list(self.number)[done:] if done else list(self.number)
-        if not new:
+    def done(schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        if not held_rows:
             return
-        h = np.fromiter(map(xxhash.xxh64_intdigest, new, repeat(42)), np.uint64, len(new)).view(np.int64)
-        ends = [w if len(w) <= 3 else b"~" + w[-3:] for w in new]
-        k = np.fromiter(map(xxhash.xxh32_intdigest, ends), np.uint32, len(new)) % (CLASSES - 1) + 1
-        k = k.astype(np.int32)
-        if not done:
-            k[0] = 0
-        self.hash, self.kind = np.concatenate([self.hash, h]), np.concatenate([self.kind, k])
-
-    def read(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers of all texts, each closed by an end, and the tokens of each text."""
-        number = self.number
-        out, sizes = [], []
-        for t in texts:
-            words = t.lower().split() if t else []
-            for w in words:
-                if w not in number:
-                    number[w] = len(number)
-            out += map(number.__getitem__, words)
-            out.append(0)
-            sizes.append(len(words) + 1)
-        self.fresh()
-        return np.array(out, np.int32), np.array(sizes, np.int64)
-
-
-def _contexts(kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Cells of the bigram and trigram tables of a run of tokens that begins after an end."""
-    before = np.concatenate([[0], kind[:-1]]).astype(np.int64)
-    earlier = np.concatenate([[0], before[:-1]])
-    earlier = np.where(before == 0, 0, earlier)  # nothing is known beyond an end
-    return before * CLASSES + kind, (_coarse(earlier) * COARSE + _coarse(before)) * CLASSES + kind
-
-
-def _coarse(kind: np.ndarray) -> np.ndarray:
-    return np.where(kind == 0, 0, 1 + (kind - 1) % (COARSE - 1))
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, key, sub, n): word counts of training texts (kind 0, sub its class), bigram (1) and trigram (2) cells without held-out texts."""
-    words, counts = Words(), np.zeros(0, np.int64)
-    two, three = np.zeros(CLASSES * CLASSES, np.int64), np.zeros(COARSE * COARSE * CLASSES, np.int64)
-
-    def rows(kind: int, key: np.ndarray, sub: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(key), 50_000):
-            part = slice(at, at + 50_000)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key[part]), kind, np.int32)), pa.array(key[part].astype(np.int64)), pa.array(sub[part].astype(np.int32)), pa.array(n[part])], names=["kind", "key", "sub", "n"])
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        nonlocal counts
-        used = np.flatnonzero(counts)
-        yield from rows(0, words.hash[used], words.kind[used], counts[used])
-        counts = np.zeros(0, np.int64)
-        words.clear()
+        part = held_rows[0][0]
+        keys = [np.frombuffer(r[3], _U) for r in held_rows]
+        every, at = np.unique(np.concatenate(keys), return_inverse=True)
+        cuts = np.cumsum([0, *map(len, keys)])
+        main, rest = np.zeros(len(every)), np.zeros(len(every))
+        for (_, _, held, _, n), lo, hi in zip(held_rows, cuts, cuts[1:]):
+            place = at[lo:hi]  # each key once
+            (rest if held else main)[place] += _numbers(n, hi - lo)
+        total = (main + rest).astype(np.int64)
+        main = main.astype(np.int64)
+        for (_, run, held, _, _), lo, hi in zip(held_rows, cuts, cuts[1:]):
+            place = at[lo:hi]
+            yield batch(schema, (part, run, held, 0, _least(total[place]), _least(main[place]) if held else None, None))
+        words = every & _U(3) == 1
+        facts = np.array([total[words].sum(), (total[words] > 0).sum(), main[words].sum(), (main[words] > 0).sum()], np.int64)
+        yield batch(schema, (part, -1, False, 2, facts.tobytes(), None, None))
+        held_rows.clear()
+
+    def batch(schema: pa.Schema, row: tuple) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([v], schema.field(c).type) for v, c in zip(row, names)], names=names)
+
+    schema = None
+    for b in batches:
+        schema = b.schema
+        for i in range(b.num_rows):
+            part, run, held, kind = (b.column(c)[i].as_py() for c in names[:4])
+            if held_rows and held_rows[0][0] != part:
+                yield from done(schema)
+            if kind == 1:
+                yield b.slice(i, 1).select(names)
+            else:
+                held_rows.append((part, run, held, b.column("a")[i].as_py(), b.column("b")[i].as_py()))
+    if schema:
+        yield from done(schema)
+
+
+def runs(batches: Iterator[pa.RecordBatch], many: int) -> Iterator[tuple[list, Run, np.ndarray, np.ndarray | None]]:
+    """(doc_ids, run, sums over all training texts, sums without held-out texts where sent) of each run, from rows sorted by (run, kind descending, part)."""
+    ids, run, all_, main = None, None, [], []
+
+    def whole() -> tuple:
+        order = np.concatenate([at for _, at in run.parts(many)]) if len(run.keys) else np.zeros(0, int)
+        out = []
+        for found in (all_, main):
+            sums = np.zeros(len(run.keys), np.int64)
+            if found and found[0] is not None:
+                sums[order] = np.concatenate([_numbers(x, len(at)) for x, (_, at) in zip(found, run.parts(many), strict=True)])
+                out.append(sums)
+            else:
+                out.append(None)
+        return ids, run, *out
 
     for b in batches:
-        column, held = b.column("text").cast(pa.binary()), b.column("held").to_pylist()
-        for lo, hi in pieces(column):
-            ids, sizes = words.read(column[lo:hi].to_pylist())
-            n = np.bincount(ids, minlength=len(words.hash))
-            n[: len(counts)] += counts
-            counts = n
-            main = np.repeat(~np.array(held[lo:hi], bool), sizes)
-            a, c = _contexts(words.kind[ids])
-            two += np.bincount(a[main], minlength=len(two))
-            three += np.bincount(c[main], minlength=len(three))
-            if len(words.number) > HELD:
-                yield from flush()
-    yield from flush()
-    for kind, table in ((1, two), (2, three)):
-        used = np.flatnonzero(table)
-        yield from rows(kind, used, np.zeros(len(used)), table[used])
-
-
-class Classes:
-    """Class n-gram estimates from the counted cells."""
-
-    def __init__(self, two: np.ndarray, three: np.ndarray) -> None:
-        two, three = two.reshape(CLASSES, CLASSES), three.reshape(COARSE * COARSE, CLASSES)
-        times2, times3 = two.sum(1), three.sum(1)
-        one = two.sum(0)
-        self.p1 = (one / max(1, one.sum())).astype(np.float32)
-        self.p2 = (two / np.maximum(1, times2)[:, None]).astype(np.float32).ravel()
-        self.p3 = (three / np.maximum(1, times3)[:, None]).astype(np.float32).ravel()
-        self.bucket = np.minimum(BUCKETS - 1, np.log2(1 + times2) // 3).astype(np.int8)
-        self.weights = np.full((BUCKETS, 4), 0.25)
-
-    def estimates(self, kind: np.ndarray) -> tuple[np.ndarray, ...]:
-        a, c = _contexts(kind)
-        return self.bucket[a // CLASSES], self.p3[c], self.p2[a], self.p1[kind]
-
-    def log10(self, kind: np.ndarray) -> np.ndarray:
-        b, p3, p2, p1 = self.estimates(kind)
-        w = self.weights[b]
-        return np.log10(w[:, 0] * p3 + w[:, 1] * p2 + w[:, 2] * p1 + w[:, 3] / CLASSES)
-
-    def learn(self, cells: dict[int, int], rounds: int = 60) -> None:
-        """Expectation-maximisation of the weights on held-out counts by (bucket, estimates), in log steps."""
-        if not cells:
+        for i in range(b.num_rows):
+            a, other = b.column("a")[i].as_py(), b.column("b")[i].as_py()
+            if b.column("kind")[i].as_py() == 1:
+                if run is not None:
+                    yield whole()
+                n = int(np.frombuffer(a, np.int64, 1)[0])
+                sizes = np.frombuffer(other, np.int64)
+                run = Run(np.frombuffer(a, _U, n, 8), _numbers(a[8 + 8 * n :], int(sizes.sum())), sizes)
+                ids, all_, main = b.column("ids")[i].as_py(), [], []
+            else:
+                all_.append(a)
+                main.append(other)
+    if run is not None:
+        yield whole()
+
+
+class Model:
+    """Mixture weights, given the size of the counts."""
+
+    def __init__(self, n: int, kinds: int) -> None:
+        self.n, self.kinds = n, kinds
+        self.l3, self.l2, self.l1 = np.full(64, 0.5), np.full(64, 0.5), 0.9 if n else 0.0
+        self.l3[0] = self.l2[0] = 0  # an unseen context has no estimate
+
+    def estimates(self, run: Run, sums: np.ndarray, ends: int) -> tuple[np.ndarray, ...]:
+        """Context buckets and estimates (b3, b2, f3, f2, f1) of every token; ends is the number of texts counted, each an open context at its start."""
+        c1, c2, c3 = (sums[x] for x in (run.at1, run.at2, run.at3))
+        n2, n3 = np.roll(c1, 1), np.roll(c2, 1)
+        n2[run.first] = n3[run.first] = ends
+        with np.errstate(divide="ignore", invalid="ignore"):
+            f3, f2 = (np.where(n > 0, c / n, 0.0) for c, n in ((c3, n3), (c2, n2)))
+        return self._bucket(n3), self._bucket(n2), f3, f2, c1 / max(1, self.n)
+
+    @staticmethod
+    def _bucket(n: np.ndarray) -> np.ndarray:
+        return np.where(n > 0, np.floor(np.log2(np.maximum(n, 1))) + 1, 0).astype(np.int64)
+
+    def p(self, b3: np.ndarray, b2: np.ndarray, f3: np.ndarray, f2: np.ndarray, f1: np.ndarray) -> np.ndarray:
+        l3, l2 = self.l3[b3], self.l2[b2]
+        return l3 * f3 + (1 - l3) * (l2 * f2 + (1 - l2) * (self.l1 * f1 + (1 - self.l1) / (self.kinds + 1)))
+
+    def learn(self, b3: np.ndarray, b2: np.ndarray, f3: np.ndarray, f2: np.ndarray, f1: np.ndarray, n: np.ndarray, rounds: int = 50) -> None:
+        """Expectation-maximisation over held-out tokens, n of each sort. A bucket without any takes the weight of the one below."""
+        if not len(n):
             return
-        key, n = np.array(list(cells)), np.array(list(cells.values()), float)
-        b, rest = np.divmod(key, STEPS[0] * STEPS[1] * STEPS[2])
-        q = np.stack([rest // (STEPS[1] * STEPS[2]), rest // STEPS[2] % STEPS[1], rest % STEPS[2]], 1)
-        p = np.where(q == np.array(STEPS) - 1, 0, np.exp2(-q / 2))
-        p = np.concatenate([p, np.full((len(p), 1), 1 / CLASSES)], 1)
         for _ in range(rounds):
-            share = self.weights[b] * p
-            share *= (n / share.sum(1))[:, None]
-            for k in range(BUCKETS):
-                if (total := share[b == k].sum()) > 0:
-                    self.weights[k] = np.maximum(1e-6, share[b == k].sum(0) / total)
-                    self.weights[k] /= self.weights[k].sum()
+            l3, l2 = self.l3[b3], self.l2[b2]
+            g3, g2, g1, g0 = l3 * f3, (1 - l3) * l2 * f2, (1 - l3) * (1 - l2) * self.l1 * f1, (1 - l3) * (1 - l2) * (1 - self.l1) / (self.kinds + 1)
+            share = n / (g3 + g2 + g1 + g0)
+            g3, g2, g1, g0 = g3 * share, g2 * share, g1 * share, g0 * share
+            for weights, bucket, mine, others in ((self.l3, b3, g3, g2 + g1 + g0), (self.l2, b2, g2, g1 + g0)):
+                top, whole = np.bincount(bucket, mine, 64), np.bincount(bucket, mine + others, 64)
+                for k in range(1, 64):
+                    weights[k] = min(0.999, max(1e-4, top[k] / whole[k])) if whole[k] > 0 else weights[k - 1] if k > 1 else weights[k]
+            self.l1 = min(0.9999, max(0.01, g1.sum() / max(1e-300, g1.sum() + g0.sum())))
+
 
+def _coded(f: np.ndarray) -> np.ndarray:
+    """Estimates in steps of an octave's STEPS; 0 stands for none."""
+    with np.errstate(divide="ignore"):
+        return np.where(f > 0, 1 + np.rint(-STEPS * np.log2(np.maximum(f, 1e-18))), 0).astype(np.int64)
 
-def _cells(b: np.ndarray, *estimates: np.ndarray) -> np.ndarray:
-    key = b.astype(np.int64)
-    for p, steps in zip(estimates, STEPS):
-        with np.errstate(divide="ignore"):
-            q = np.where(p > 0, np.minimum(steps - 2, np.rint(-2 * np.log2(p))), steps - 1)
-        key = key * steps + q.astype(np.int64)
-    return key
+
+def _decoded(q: np.ndarray) -> np.ndarray:
+    return np.where(q > 0, np.exp2(-(q - 1) / STEPS), 0.0)
 
 
 def score(docs: DataFrame, train: Column, held_out: Column) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row of docs (doc_id, text).
 
-    train marks the rows to learn from; those of them that held_out marks give the mixture weights instead of class counts. A null or
-    empty text is one end. Words that training lacks count 0 in both models; every log is finite. Repeated rows are each scored (and each counted). Without
-    training rows N and V are 0. Extra columns are ignored. No rows give no rows.
+    train marks the rows to learn from; those of them that held_out marks give the mixture weights. A null or empty text is one end.
+    A word that training lacks counts 0 in both models; every log is finite. Repeated rows are each scored (and each counted), long texts whole. Without
+    training rows N and V are 0 and every token has an equal share; without held-out rows the weights are one half. Extra columns are ignored, whatever their names. No rows
+    give no rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    learn = docs.where(train).select("text", held_out.alias("held"))
-    counted = durable(learn.mapInArrow(_count, "kind int, key long, sub int, n long").groupBy("kind", "key", "sub").agg(F.sum("n").alias("n")))
-    words = counted.where("kind = 0").select("key", "sub", "n")
-    by_class = {r["sub"]: (r.n, r.v) for r in words.groupBy("sub").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}  # CLASSES rows at most
-    total, kinds = sum(n for n, _ in by_class.values()), sum(v for _, v in by_class.values())
-    tables = [np.zeros(CLASSES * CLASSES, np.int64), np.zeros(COARSE * COARSE * CLASSES, np.int64)]
-    cells = counted.where("kind > 0").select("kind", "key", "n").toArrow()  # bounded by the cells of both tables
-    kind, key, n = (cells.column(c).to_numpy() for c in ("kind", "key", "n"))
-    for i, t in enumerate(tables, 1):
-        t[key[kind == i]] = n[kind == i]
-    model = Classes(*tables)
-    weights = spark.sparkContext.broadcast(model)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    many = max(1, -(-size // PART))
+    doc_type = docs.schema["doc_id"].dataType
+    train, held_out = F.coalesce(train, F.lit(False)), F.coalesce(held_out, F.lit(False))
+    read = docs.select("doc_id", "text", train.alias("train"), (train & held_out).alias("held"))
+    arrow = pa.schema([("d", spark.createDataFrame([], f"d {doc_type.simpleString()}").toArrow().schema.field("d").type)]).field("d").type
+    shape = f"part int, run long, held boolean, kind int, a binary, b binary, ids array<{doc_type.simpleString()}>"
+    sent = read.mapInArrow(_gather(many, arrow), shape).repartition(min(many, 100_000), "part").sortWithinPartitions("part", "kind", "run")
+    table = durable(sent.mapInArrow(_sum, shape))
+    facts = np.sum([np.frombuffer(bytes(r.a), np.int64) for r in table.where("kind = 2").select("a").toLocalIterator()] or [np.zeros(4, np.int64)], axis=0)  # one row a partition, taken in turn
+    total, kinds, main_total, main_kinds = (int(x) for x in facts)
+
+    # the end of a text is a word of its own, so its count is the number of texts
+    ends, main_ends = docs.agg(F.count_if(train), F.count_if(train & ~held_out)).first()
+    model = Model(main_total, main_kinds)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, model, found = Words(), weights.value, {}
-        for b in batches:
-            column = b.column("text").cast(pa.binary())
-            for lo, hi in pieces(column):
-                ids, _ = words.read(column[lo:hi].to_pylist())
-                for k, n in zip(*(x.tolist() for x in np.unique(_cells(*model.estimates(words.kind[ids])), return_counts=True))):
-                    found[k] = found.get(k, 0) + n
-                if len(words.number) > HELD:
-                    words.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["cell", "n"])
-
-    model.learn({r.cell: r.n for r in learn.where("held").select("text").mapInArrow(weigh, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()})  # cells of a fixed grid
-
-    # the least count that at most FREQUENT words reach
-    spread = sorted(((r.n, r.words) for r in words.groupBy(F.least("n", F.lit(20_000)).alias("n")).agg(F.count("*").alias("words")).collect()), reverse=True)
-    least, above = 20_001, 0
-    for n, count in spread:
-        if (above := above + count) > FREQUENT:
-            break
-        least = n
-    top = words.where(F.col("n") >= least).select("key", "n").toArrow()
-    order = np.argsort(top.column("key").to_numpy())
-    hot_key, hot_n = top.column("key").to_numpy()[order], top.column("n").to_numpy()[order]
-    in_class = np.array([np.log10(by_class.get(k, (0, 0))[0] + ADD * (by_class.get(k, (0, 0))[1] + 1)) for k in range(CLASSES)])
-    sent = spark.sparkContext.broadcast((model, hot_key, hot_n, in_class))  # bounded by CLASSES, COARSE and FREQUENT
+        for _, run, _, sums in runs(batches, many):
+            b3, b2, *f = model.estimates(run, sums, main_ends)
+            cell, n = np.unique(np.stack([b3, b2, *map(_coded, f)]), axis=1, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(list(cell.T), pa.list_(pa.int64())), pa.array(n)], names=["cell", "n"])
+
+    by_run = ["run", F.desc("kind"), "part"]
+    held = table.where("held and kind < 2").repartition("run").sortWithinPartitions(*by_run).mapInArrow(weigh, "cell array<long>, n long")
+    cells = held.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # cells of a grid: buckets x steps of the estimates
+    if cells.num_rows:
+        b3, b2, *q = np.array(cells.column("cell").to_pylist()).T
+        model.learn(b3, b2, *map(_decoded, q), cells.column("n").to_numpy())
+    model.n, model.kinds = total, kinds
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, hot_key, hot_n, in_class = sent.value
-        words = Words()
-        count = np.zeros(0, np.int64)
-        for b in batches:
-            column, ids_out = b.column("text").cast(pa.binary()), b.column("doc_id")
-            for lo, hi in pieces(column):
-                ids, sizes = words.read(column[lo:hi].to_pylist())
-                if len(count) < len(words.hash):
-                    new = words.hash[len(count) :]
-                    at = np.minimum(np.searchsorted(hot_key, new), max(0, len(hot_key) - 1))
-                    known = hot_key[at] == new if len(hot_key) else np.zeros(len(new), bool)
-                    count = np.concatenate([count, np.where(known, hot_n[at] if len(hot_key) else 0, -1)])
-                kind, c = words.kind[ids], count[ids]
-                start = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                rare = c < 0
-                outer = np.add.reduceat(model.log10(kind) - in_class[kind], start)
-                inner = np.add.reduceat(np.where(rare, 0.0, np.log10(np.maximum(c, 0) + ADD)), start)
-                known = np.add.reduceat((~rare).astype(np.int64), start)
-                many = np.add.reduceat(rare.astype(np.int32), start)
-                offsets = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    ids_out[lo:hi], pa.array(sizes), pa.array(known), pa.array(inner), pa.array(outer),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(words.hash[ids[rare]])),
-                ], names=["doc_id", "n_tokens", "known", "inner", "outer", "rare"])
-                if len(words.number) > HELD:
-                    words.clear()
-                    count = np.zeros(0, np.int64)
-
-    said = durable(docs.select("doc_id", "text").mapInArrow(judge, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, known long, inner double, outer double, rare array<long>").withColumn("row", F.monotonically_increasing_id()))
-    rare = said.select("row", F.explode("rare").alias("key"))
-    tail = words.where(F.col("n") < least).select("key", F.col("n").alias("c")).hint("shuffle_hash")
-    more = rare.join(tail, "key", "left").groupBy("row").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(ADD))).alias("more"), F.count("c").alias("met"))
-    out = said.drop("rare").join(more, "row", "left")
-    inner = F.col("inner") + F.coalesce("more", F.lit(0.0))
-    known = F.col("known") + F.coalesce("met", F.lit(0))
-    base = inner - F.col("n_tokens") * F.log10(F.lit(total + ADD * (kinds + 1)))
-    return out.select("doc_id", "n_tokens", known.alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), (inner + F.col("outer")).alias("score"))
+        for ids, run, sums, _ in runs(batches, many):
+            c1 = sums[run.at1]
+            p = model.p(*model.estimates(run, sums, ends))
+            base = np.log10(c1 + ADD) - np.log10(total + ADD * (kinds + 1))
+            cols = [np.add.reduceat(x, run.first) for x in ((c1 > 0).astype(np.int64), base, np.log10(p))]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, arrow), pa.array(run.sizes), *map(pa.array, cols)], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    judged = table.where("kind < 2").repartition("run").sortWithinPartitions(*by_run)
+    out = durable(judged.mapInArrow(judge, f"doc_id {doc_type.simpleString()}, n_tokens long, n_known long, base_score double, score double"))
+    forget(table)
+    return out.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def score_fold(docs: DataFrame) -> DataFrame:
