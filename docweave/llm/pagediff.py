@@ -1,15 +1,21 @@
 """HTML extraction by nearest-URL page differencing.
 
-Pages are ordered by host and URL path; each is paired with the neighbour of its host whose path shares the longer prefix. The text lines of
-both are aligned by longest common subsequence, and shared lines are deleted. Two kinds of evidence in the page itself stand
-above a shared line: lines of boilerplate elements (menus, footers, adverts, forms, comments, ...) always go, and lines inside the article
-element always stay, as an article may be published at two URLs. Only line hashes are paired, so the pairing moves little.
+Pages are ordered by host and URL path. Each is paired with the nearest pages of its host on both sides, up to NEAR on each that hold other lines
+(copies tell nothing about a template; up to LOOK pages are looked through). The text lines of a page and of each partner are aligned by longest common
+subsequence, and lines that a partner shares are deleted: menus, footers, notices and forms of the template. Evidence in the page
+itself comes second: a shared line inside the article element stays, as an article may be published at two URLs, unless every
+one of MANY partners or more has it; and lines of boilerplate elements (by tag, class or role) that no partner shares go too.
+
+Pages are dealt to stretches of the order by cut keys, with the pages around each cut sent to both sides, so that one shuffle of
+the pages brings all partners together, each page is parsed once, and a task holds a few pages of the order at a time.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, small_batches, small_table
+from .common import durable, forget, small_batches, small_table
 from .urlfilter import split_url
 
 RAW = "script|style|noscript|template|svg|iframe|textarea|select|title|object|math|canvas"
@@ -36,6 +42,12 @@ IMPLIED = {t: (frozenset(ends.split()), frozenset(stops.split())) for t, ends, s
     ("tr", "tr", "table"), ("tbody", "thead tbody tfoot", "table"), ("tfoot", "thead tbody tfoot", "table"), ("option", "option", "datalist"),
 )}
 PARAGRAPH, CELLS, TABLE = frozenset(["p"]), frozenset("table td th caption button".split()), frozenset("table caption thead tbody tfoot tr td th article main body html".split())
+#: Partners on each side, pages looked through for them, and partners that must all share a line of an article before it goes.
+NEAR, LOOK, MANY = 8, 64, 8
+#: Pages of a stretch, and most cut keys that reach the driver; with more pages stretches grow (a task streams its stretch).
+STRETCH, CUTS = 2048, 32_768
+#: Bits that one alignment may hold; larger ones are halved first.
+TABLE_BITS = 1 << 28
 HIDDEN = re.compile(r"(?i)\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|visibility\s*:\s*hidden")
 
 
@@ -103,104 +115,203 @@ def lines(page: str | None) -> list[tuple[str, int]]:
     return out
 
 
-def shared(a: list[int], b: list[int]) -> list[int]:
-    """Places in a of one longest common subsequence with b."""
-    lo = 0
-    while lo < min(len(a), len(b)) and a[lo] == b[lo]:
-        lo += 1
-    hi = 0
-    while hi < min(len(a), len(b)) - lo and a[-1 - hi] == b[-1 - hi]:
-        hi += 1
-    both = set(a[lo : len(a) - hi]) & set(b[lo : len(b) - hi])
-    i_at = [i for i in range(lo, len(a) - hi) if a[i] in both]
-    rest = [x for x in b[lo : len(b) - hi] if x in both]
-    masks: dict[int, int] = {}
-    for k, i in enumerate(i_at):
-        masks[a[i]] = masks.get(a[i], 0) | 1 << k
-    full = (1 << len(i_at)) - 1
+def _masks(a: list[int]) -> dict[int, int]:
+    out: dict[int, int] = {}
+    for k, x in enumerate(a):
+        out[x] = out.get(x, 0) | 1 << k
+    return out
+
+
+def _lengths(a: list[int], b: list[int]) -> list[int]:
+    """Lengths of the longest common subsequences of b and each beginning of a."""
+    masks, full = _masks(a), (1 << len(a)) - 1
+    v = full
+    for x in b:
+        u = v & masks.get(x, 0)
+        v = (v + u | v - u) & full
+    out = [0]
+    for bit in reversed(f"{v:0{len(a)}b}" if a else ""):
+        out.append(out[-1] + (bit == "0"))
+    return out
+
+
+def _subsequence(a: list[int], b: list[int]) -> list[int]:
+    """Places in a of one longest common subsequence with b, in memory of TABLE_BITS."""
+    if len(a) * len(b) > TABLE_BITS and len(b) > 1:
+        half = len(b) // 2
+        left, right = _lengths(a, b[:half]), _lengths(a[::-1], b[half:][::-1])[::-1]
+        cut = max(range(len(a) + 1), key=lambda k: left[k] + right[k])
+        return _subsequence(a[:cut], b[:half]) + [cut + i for i in _subsequence(a[cut:], b[half:])]
+    masks, full = _masks(a), (1 << len(a)) - 1
     rows = [full]
-    for x in rest:
+    for x in b:
         v = rows[-1]
-        u = v & masks[x]
+        u = v & masks.get(x, 0)
         rows.append((v + u | v - u) & full)
-    found, k, j = [], len(i_at) - 1, len(rest)
+    found, k, j = [], len(a) - 1, len(b)
     while k >= 0 and j > 0:
         if rows[j] >> k & 1:
             k -= 1
         elif not rows[j - 1] >> k & 1:
             j -= 1
         else:
-            found.append(i_at[k])
+            found.append(k)
             k, j = k - 1, j - 1
-    return [*range(lo), *found[::-1], *range(len(a) - hi, len(a))]
+    return found[::-1]
+
+
+def shared(a: list[int], b: list[int]) -> list[int]:
+    """Places in a of one longest common subsequence with b."""
+    lo = 0
+    while lo < min(len(a), len(b)) and a[lo] == b[lo]:
+        lo += 1
+    hi = 0
+    while hi < min(len(a), len(b)) - lo and a[-1 - hi] == b[-1 - hi]:
+        hi += 1
+    both = set(a[lo : len(a) - hi]) & set(b[lo : len(b) - hi])
+    at = [i for i in range(lo, len(a) - hi) if a[i] in both]
+    found = _subsequence([a[i] for i in at], [x for x in b[lo : len(b) - hi] if x in both])
+    return [*range(lo), *(at[k] for k in found), *range(len(a) - hi, len(a))]
 
 
-def _prefix(a: str, b: str) -> int:
-    n = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        n += 1
-    return n
+def judged(page: list[tuple[str, int]], hashes: tuple[int, ...], partners: list[tuple[int, ...]]) -> tuple[str, int, int]:
+    """(text, lines deleted as shared, further lines deleted by evidence in the page) of a page, given its partners' line hashes."""
+    votes = [0] * len(page)
+    for other in partners:
+        for i in shared(hashes, other):
+            votes[i] += 1
+    keep, by_share, by_tag = [], 0, 0
+    for (line, kind), n in zip(page, votes):
+        if n and (kind < 2 or n == len(partners) >= MANY):
+            by_share += 1
+        elif not kind:
+            by_tag += 1
+        else:
+            keep.append(line)
+    return "\n".join(keep), by_share, by_tag
 
 
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        pages = [lines(x.as_py()) for x in b.column("html")]
-        hashes = [[xxhash.xxh64_intdigest(t) - (1 << 63) for t, _ in p] for p in pages]
-        yield pa.RecordBatch.from_arrays([b.column("k"), b.column("page_id"), b.column("host"), b.column("path"), pa.array(hashes, pa.list_(pa.int64()))], names=["k", "page_id", "host", "path", "hashes"])
+class Key:
+    """The pages at one place of the order: its rows, its first page's lines, and the partners met so far on both sides."""
 
+    def __init__(self, place: tuple, lines_: tuple[int, ...], before: list[tuple[int, ...]]) -> None:
+        self.place, self.lines, self.rows, self.waited = place, lines_, [], 0
+        self.before, self.after = before, []
+
+    def meet(self, other: tuple[int, ...]) -> None:
+        self.waited += 1
+        if len(self.after) < NEAR and other != self.lines and other not in self.after:
+            self.after.append(other)
+
+    def out(self) -> Iterator[tuple]:
+        done: dict[tuple[int, ...], tuple] = {}
+        for page_id, url, page, hashes in self.rows:
+            if hashes not in done:
+                partners = [p for p in (*self.before, *self.after) if p != hashes]
+                done[hashes] = judged(page, hashes, partners)
+            yield page_id, url, *done[hashes]
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        out = []
-        for r in b.to_pylist():
-            sides = [(_prefix(r["path"], r[f"{s}_path"]), i, r[f"{s}_hashes"]) for i, s in enumerate(("after", "before")) if r[f"{s}_hashes"] is not None]
-            near = max(sides)[2] if sides else []
-            out.append(shared(r["hashes"], near) if near != r["hashes"] else [])
-        yield pa.RecordBatch.from_arrays([b.column("k"), pa.array(out, pa.list_(pa.int32()))], names=["k", "gone"])
 
+def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (stretch, host, path, pid, k) -> the texts of those that aren't guests."""
+    names = ["page_id", "url", "text", "n_shared", "n_tagged"]
+    waiting: deque[Key] = deque()
+    recent: deque[tuple[int, ...]] = deque(maxlen=LOOK)
+    last: tuple | None = None
+    out: list[tuple] = []
+    parsed: tuple = (None, None, None)
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts, places = [], []
-        for x in b.column("html"):
-            p = lines(x.as_py())
-            texts.append([t for t, kind in p if kind])
-            places.append([-1 if kind == 2 else i for i, (_, kind) in enumerate(p) if kind])
-        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), b.column("k"), pa.array(texts, pa.list_(pa.string())), pa.array(places, pa.list_(pa.int32()))], names=["page_id", "url", "k", "texts", "places"])
+        host, path, pid, stretch, guest, page_id, url = (b.column(c).to_pylist() for c in ("host", "path", "pid", "stretch", "guest", "page_id", "url"))
+        for i, column in enumerate(b.column("html")):
+            place, text = (stretch[i], host[i], path[i], pid[i]), column.as_py()
+            if parsed[0] is None or parsed[0] != text:
+                page = lines(text)
+                parsed = (text, page, tuple(xxhash.xxh64_intdigest(t) for t, _ in page))
+            _, page, hashes = parsed
+            if last is None or place[:2] != last[:2]:
+                for w in waiting:
+                    out += w.out()
+                waiting.clear()
+                recent.clear()
+            if place != last:
+                for w in waiting:
+                    w.meet(hashes)
+                while waiting and (waiting[0].waited >= LOOK or len(waiting[0].after) >= NEAR):
+                    out += waiting.popleft().out()
+                before: list[tuple[int, ...]] = []
+                for other in reversed(recent):
+                    if len(before) < NEAR and other != hashes and other not in before:
+                        before.append(other)
+                waiting.append(Key(place, hashes, before))
+                recent.append(hashes)
+                last = place
+            if not guest[i]:
+                waiting[-1].rows.append((page_id[i], url[i], page, hashes))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (b.schema.field("page_id").type, pa.string(), pa.string(), pa.int32(), pa.int32()))], names=names)
+            out = []
+        schema = b.schema
+    for w in waiting:
+        out += w.out()
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (schema.field("page_id").type, pa.string(), pa.string(), pa.int32(), pa.int32()))], names=names)
+
+
+def _cuts(keys: DataFrame) -> list[tuple[tuple, tuple, tuple]]:
+    """(LOOK keys before, first key, last of the LOOK keys after) of every stretch but the first, of distinct keys (host, path, pid)."""
+    order = ["host", "path", "pid"]
+    ordered = durable(keys.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()))
+    ranked = ordered.select(*order, F.shiftright("at", 33).cast("int").alias("part"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("i"))
+    offset, n = [], 0
+    for r in ranked.groupBy("part").count().orderBy("part").collect():  # as many as partitions
+        offset.append([r["part"], n])
+        n += r["count"]
+    each = max(STRETCH, -(-n // CUTS))
+    ranked = ranked.join(F.broadcast(small_table(keys.sparkSession, offset, "part int, before bigint")), "part").withColumn("rank", F.col("before") + F.col("i"))
+    place = F.pmod("rank", F.lit(each))
+    found = ranked.where(((place == 0) | (place == LOOK - 1) | (place == each - LOOK)) | (F.col("rank") == n - 1)).select("rank", *order).collect()  # 3 * CUTS at most
+    forget(ordered)
+    key = {r["rank"]: (r.host.encode(), r.path.encode(), r.pid) for r in found}
+    return [(key[c - LOOK], key[c], key[min(c + LOOK - 1, n - 1)]) for c in range(each, n, each)]
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, n_chars, n_shared) of every row of pages (page_id, url, html).
+    """(page_id, url, text, n_chars, n_shared, n_tagged) of every row of pages (page_id, url, html).
 
-    Lines are joined by a line end; without any, and for a null html, text is empty. Pages with a null or hostless url are paired among themselves as one
-    host; a page alone on its host loses no line, nor does one whose neighbour has the very same lines (a copy tells nothing about a template).
-    Repeated rows are each returned; ties in the path go by page_id, then content. Extra columns are ignored.
+    Lines are joined by a line end; without any, and for a null html, text is empty. n_shared lines went as shared with a partner, n_tagged further
+    ones by evidence in the page alone. Pages with a null or hostless url are paired among themselves as one host; a page alone on its host has no
+    partner, nor has one among copies of itself only. Ties in the path go by page_id; rows with equal path and page_id are not partners of
+    each other, and the first of them by content stands for all to other pages. Repeated rows are each returned. Extra columns
+    are ignored, whatever their names. No rows give no rows.
     """
     spark = pages.sparkSession
     small_batches(spark)
-    keyed = pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("k"), F.col("url").alias("_url"))
     host, path = split_url(F.col("_url"))
-    parsed = keyed.select("k", F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"), "html").mapInArrow(_parsed, "k long, page_id long, host string, path string, hashes array<long>")
-    ordered = parsed.repartitionByRange("host", "path", "page_id", "k").sortWithinPartitions("host", "path", "page_id", "k").withColumn("at", F.monotonically_increasing_id())
-    ordered = durable(ordered).select("*", F.shiftright("at", 33).cast("int").alias("part"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("i"))
-    offset, seen = [], 0
-    for r in ordered.groupBy("part").count().orderBy("part").collect():  # as many as partitions
-        offset.append([r["part"], seen])
-        seen += r["count"]
-    ranked = ordered.join(F.broadcast(small_table(spark, offset, "part int, before bigint")), "part").select("k", "host", "path", "hashes", (F.col("before") + F.col("i")).alias("rank"))
-    # each page is handed to the ranks on both sides of it, and those of one rank meet
-    sides = [ranked.select((F.col("rank") + d).alias("rank"), F.col("host").alias(f"{s}_host"), F.col("path").alias(f"{s}_path"), F.col("hashes").alias(f"{s}_hashes")) for s, d in (("before", 1), ("after", -1))]
-    met = ranked
-    for s, side in zip(("before", "after"), sides):
-        met = met.join(side, "rank", "left")
-        same = F.col(f"{s}_host") == F.col("host")
-        met = met.withColumns({f"{s}_{c}": F.when(same, F.col(f"{s}_{c}")) for c in ("path", "hashes")})
-    gone = met.select("k", "path", "hashes", "before_path", "before_hashes", "after_path", "after_hashes").mapInArrow(_aligned, "k long, gone array<int>")
-    gone = gone.groupBy("k").agg(F.array_sort(F.first("gone")).alias("gone"))
-    texts = keyed.select("page_id", "url", "k", "html").mapInArrow(_texts, f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, k long, texts array<string>, places array<int>")
-    out = texts.join(gone, "k", "left")
-    kept = F.filter(F.arrays_zip("texts", "places"), lambda x: (x["places"] < 0) | ~F.coalesce(F.array_contains("gone", x["places"]), F.lit(False)))
-    text = F.array_join(F.transform(kept, lambda x: x["texts"]), "\n")
-    return out.select("page_id", "url", text.alias("text"), F.size("gone").alias("n_shared")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), F.coalesce("n_shared", F.lit(0)).alias("n_shared"))
+    read = pages.select("page_id", "url", "html", F.col("url").alias("_url"))
+    placed = read.select("page_id", "url", "html", host.alias("host"), path.alias("path"), F.coalesce(F.expr("try_cast(page_id as bigint)"), F.lit(-(2**63))).alias("pid"))
+    cuts = spark.sparkContext.broadcast(list(map(list, zip(*_cuts(placed.select("host", "path", "pid").distinct())))) or [[], [], []])  # CUTS at most
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, first, high = cuts.value
+        for b in batches:
+            rows, stretch, guest = [], [], []
+            for i, key in enumerate(zip(*(b.column(c).to_pylist() for c in ("host", "path", "pid")))):
+                key = (key[0].encode(), key[1].encode(), key[2])
+                s = bisect.bisect_right(first, key)
+                at = [s]
+                if s and key <= high[s - 1]:
+                    at.append(s - 1)
+                if s < len(first) and key >= low[s]:
+                    at.append(s + 1)
+                rows += [i] * len(at)
+                stretch += at
+                guest += [x != s for x in at]
+            b = b.take(pa.array(rows, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(stretch, pa.int32()), pa.array(guest, pa.bool_())], names=[*b.schema.names, "stretch", "guest"])
+
+    kind = pages.schema["page_id"].dataType.simpleString()
+    dealt = placed.mapInArrow(deal, f"page_id {kind}, url string, html string, host string, path string, pid long, stretch int, guest boolean")
+    ordered = dealt.withColumn("k", F.xxhash64("html")).repartition("stretch").sortWithinPartitions("stretch", "host", "path", "pid", "k")
+    out = ordered.mapInArrow(_extracted, f"page_id {kind}, url string, text string, n_shared int, n_tagged int")
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared", "n_tagged")
