@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 #: White space of the token definition: space and the six ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -84,14 +85,29 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % parts
 
 
-def packed(docs: DataFrame) -> Column:
-    """All columns of docs as one struct, so that none of their names can clash with an operator's own."""
-    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+def packed(docs: DataFrame, keep: list[str] | None = None) -> Column:
+    """The columns of docs (those of keep, if given) as one struct, so that none of their names can clash with an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)])
 
 
-def unpacked(rows: DataFrame, name: str, keep: list[str] | None = None) -> list[Column]:
-    """The columns of a packed struct, by their own names (those of keep, if given)."""
-    return [F.col(name).getField(f.name).alias(f.name) for f in rows.schema[name].dataType if keep is None or f.name in keep]
+def unpacked(rows: DataFrame, name: str) -> list[Column]:
+    """The columns of a packed struct, by their own names."""
+    return [F.col(name).getField(f.name).alias(f.name) for f in rows.schema[name].dataType]
+
+
+def with_row(row: DataType, more: str) -> StructType:
+    """The schema of a packed row and further fields."""
+    return StructType([StructField("row", row), *StructType.fromDDL(more)])
+
+
+def texts(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch: its own column, or where there is none that of the packed row."""
+    return batch.column("text") if "text" in batch.schema.names else pc.struct_field(batch.column("row"), "text")
+
+
+def with_text(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """(row) with the columns keep, and (text) if it is none of them."""
+    return docs.select(packed(docs, keep).alias("row"), *(() if "text" in keep else ("text",)))
 
 
 def pieces(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, int]]:

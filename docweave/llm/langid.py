@@ -4,6 +4,9 @@ For each language a suffix automaton is built over a bounded sample of labelled
 automaton: the longest match from the current place is one phrase, and the next phrase starts after it. The number of
 phrases times log2 of the sample's length, over the text's length, estimates the cross entropy (Ziv and Merhav); the least wins.
 
+Texts are parsed in step: long ones are cut into lanes that all advance at once, and each lane but a text's first is then parsed again from the
+state in which the lane before it ended, until both parses begin a phrase at the same place, from where they are one. So the phrases are those of a greedy parse of the whole text.
+
 Only the sample's text is sent to the executors; each Python worker builds its automata once.
 """
 
@@ -20,13 +23,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, small_batches
+from .common import pieces, small_batches, small_table, texts, unpacked, with_row, with_text
 
-#: Bounds of the labelled sample: symbols of all languages together, symbols a language, symbols of one text, texts drawn a language.
-ALL_SYMBOLS, LANG_SYMBOLS, TEXT_SYMBOLS, DRAWN = 240_000, 40_000, 8_000, 60
-#: Symbols in a lane; a lane starts a phrase of its own, so many lanes of all sizes are parsed in step.
+#: The sample for the fit: symbols a language, shared out of ALL_SYMBOLS but LEAST_SYMBOLS at least (so beyond 480 languages it grows by as much
+#: with each), symbols of one text (of a longer text a piece at a place that its hash names), texts drawn a language.
+ALL_SYMBOLS, LANG_SYMBOLS, LEAST_SYMBOLS, TEXT_SYMBOLS, DRAWN = 240_000, 40_000, 500, 8_000, 60
+#: Symbols in a lane.
 LANE = 1024
-_BREAK = 0
+#: Most symbols of a language with a column of their own in its table, and cells of all tables; transitions of rarer symbols are looked up.
+DENSE, CELLS = 64, 1 << 24
+
 
 
 def _letters() -> np.ndarray:
@@ -53,15 +59,11 @@ def symbols(text: str) -> np.ndarray:
     return a if a.any() else a[:0]
 
 
-def automaton(s: np.ndarray, width: int) -> np.ndarray:
-    """Transitions of the suffix automaton of s (symbols below width), as one flat table.
-
-    Entry [state * width + c] is the next state, already multiplied by width, if the match goes on; else minus the state after
-    the phrase has been closed and c starts the next one (state 0 if the sample lacks c).
-    """
+def transitions(s: list[int]) -> list[dict[int, int]]:
+    """The suffix automaton of s: the transitions of each state, of which 0 is the start."""
     nxt: list[dict] = [{}]
     link, length, last = [-1], [0], 0
-    for c in s.tolist():
+    for c in s:
         cur = len(nxt)
         nxt.append({})
         link.append(0)
@@ -84,51 +86,116 @@ def automaton(s: np.ndarray, width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    first = np.zeros(width, np.int32)
-    for c, q in nxt[0].items():
-        first[c] = q
-    # -1 - x marks a closed phrase, so that state 0 is marked too
-    table = np.tile(-1 - first * width, (len(nxt), 1)).astype(np.int32)
-    for i, t in enumerate(nxt):
-        if t:
-            table[i, list(t)] = np.fromiter(t.values(), np.int32, len(t)) * width
-    return table.ravel()
+    return nxt
+
+
+class Automaton:
+    """The suffix automaton of a sample, with a table for its most frequent symbols and a sorted list for the rest.
+
+    step() gives the next state if the match goes on; else minus one and minus the state after the phrase has been closed and the symbol starts
+    the next one (state 0 if the sample lacks it).
+    """
+
+    def __init__(self, sample: np.ndarray, dense: int) -> None:
+        known, n = np.unique(sample, return_counts=True)
+        known = known[np.argsort(-n, kind="stable")]
+        #: the symbols' own numbers: below width a column of the table, beyond it looked up; the last is any other symbol
+        self.symbols, self.other = known, len(known)
+        self.width = max(1, min(dense, len(known)))
+        number = dict(zip(known.tolist(), range(len(known))))
+        nxt = transitions([number[c] for c in sample.tolist()])
+        first = np.zeros(self.other + 1, np.int32)
+        for c, q in nxt[0].items():
+            first[c] = q
+        self.start = -1 - first
+        table = np.tile(self.start[: self.width], (len(nxt), 1))
+        keys, to = [], []
+        for i, t in enumerate(nxt):
+            for c, q in t.items():
+                if c < self.width:
+                    table[i, c] = q
+                else:
+                    keys.append(i * (self.other + 1) + c)
+                    to.append(q)
+        order = np.argsort(np.array(keys, np.int64))
+        self.table, self.keys, self.to = table.ravel(), np.array(keys, np.int64)[order], np.array(to, np.int32)[order]
+
+    def coded(self, symbols: np.ndarray) -> np.ndarray:
+        """Own numbers of symbols."""
+        order = np.argsort(self.symbols)
+        at = order[np.minimum(np.searchsorted(self.symbols, symbols, sorter=order), len(order) - 1)]
+        return np.where(self.symbols[at] == symbols, at, self.other).astype(np.int32)
+
+    def step(self, state: np.ndarray, c: np.ndarray, rare: bool) -> np.ndarray:
+        if not rare:
+            return self.table[state * self.width + c]
+        out = self.table[state * self.width + np.minimum(c, self.width - 1)]
+        at = np.flatnonzero(c >= self.width)
+        if len(self.keys):
+            key = state[at].astype(np.int64) * (self.other + 1) + c[at]
+            k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            out[at] = np.where(self.keys[k] == key, self.to[k], self.start[c[at]])
+        else:
+            out[at] = self.start[c[at]]
+        return out
 
 
 class Parser:
     def __init__(self, samples: dict[str, list[str]]) -> None:
         self.langs = sorted(samples)
         coded = [np.concatenate([np.append(symbols(t), 0) for t in samples[k]] or [np.zeros(1, np.uint32)]) for k in self.langs]
-        known = np.unique(np.concatenate(coded)) if coded else np.zeros(1, np.uint32)
-        known = known[known != 0]
-        #: 0 a break, 1 any letter that no sample has
-        self.code = np.ones(0x110000, np.uint16)
-        self.code[0] = 0
-        self.code[known] = np.arange(2, len(known) + 2)
-        self.width = len(known) + 2
-        self.tables = [automaton(self.code[a], self.width) for a in coded]
+        dense = max(1, min(DENSE, CELLS // max(1, 2 * sum(map(len, coded)))))
+        self.automata = [Automaton(a, dense) for a in coded]
         self.cost = np.array([math.log2(max(2, len(a))) for a in coded])
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Phrases of each text against each language."""
+        """Phrases of the greedy parse of each whole text against each language; a symbol that the sample lacks is a phrase of its own."""
         out = np.zeros((len(texts), len(self.langs)))
         lanes = [(i, at, min(LANE, len(t) - at)) for i, t in enumerate(texts) for at in range(0, len(t), LANE)]
         if not lanes:
             return out
         lanes.sort(key=lambda x: -x[2])
         owner, size = np.array([x[0] for x in lanes]), np.array([x[2] for x in lanes])
-        grid = np.zeros((size[0], len(lanes)), np.uint16)
-        for k, (i, at, n) in enumerate(lanes):
-            grid[:n, k] = self.code[texts[i][at : at + n]]
+        number = {x[:2]: k for k, x in enumerate(lanes)}
+        # the lane before each lane but a text's first
+        behind = np.array([number[i, at - LANE] if at else -1 for i, at, _ in lanes])
+        whole = np.concatenate(texts)
+        begin = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        place = np.array([begin[i] + at for i, at, _ in lanes])
         live = np.searchsorted(-size, -np.arange(size[0]), side="left")  # lanes longer than t
-        for j, table in enumerate(self.tables):
-            state, count = np.zeros(len(lanes), np.int32), np.ones(len(lanes), np.int32)
+        for j, m in enumerate(self.automata):
+            code = m.coded(whole)
+            state = np.zeros(len(lanes), np.int32)
+            begun = np.zeros((size[0], len(lanes)), bool)
             for t in range(size[0]):
                 n = live[t]
-                s = table[state[:n] + grid[t, :n]]
-                closed = s < 0
-                count[:n] += closed
-                state[:n] = np.where(closed, -1 - s, s)
+                c = code[place[:n] + t]
+                s = m.step(state[:n], c, bool((c >= m.width).any()))
+                begun[t, :n] = (s < 0) | (state[:n] == 0)
+                state[:n] = np.where(s < 0, -1 - s, s)
+            count, alone = begun.sum(0), state.copy()
+            todo = np.flatnonzero(behind >= 0)
+            entered = np.full(len(lanes), -1, np.int32)
+            while len(todo):
+                # from the state that the lane before ends in, until a phrase begins in both parses
+                entered[todo] = state[behind[todo]]
+                now, s, mine = todo, entered[todo], np.zeros(len(todo), np.int64)
+                t = 0
+                while len(now):
+                    c = code[place[now] + t]
+                    x = m.step(s, c, bool((c >= m.width).any()))
+                    over = (x < 0) | (s == 0)
+                    s, mine = np.where(x < 0, -1 - x, x), mine + over
+                    one = over & begun[t, now]
+                    t += 1
+                    end = ~one & (size[now] == t)
+                    count[now[one]] = mine[one] + begun[t:, now[one]].sum(0)
+                    count[now[end]] = mine[end]
+                    state[now[one]], state[now[end & ~one]] = alone[now[one]], s[end & ~one]
+                    go = ~(one | end)
+                    now, s, mine = now[go], s[go], mine[go]
+                # lanes that follow one whose end has changed
+                todo = np.flatnonzero((behind >= 0) & (state[behind] != entered))
             np.add.at(out[:, j], owner, count)
         return out
 
@@ -159,51 +226,60 @@ def parser_for(key: int, samples: dict[str, list[str]]) -> Parser:
 
 
 def sample(docs: DataFrame, train: Column) -> dict[str, list[str]]:
-    """A bounded sample of labelled texts: by language those of least hash, copies once, whole, within the documented bounds."""
-    rows = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= TEXT_SYMBOLS)).select("lang", "text", F.xxhash64("text").alias("h"))
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).orderBy(F.desc("n"), "lang").limit(ALL_SYMBOLS // 1000).collect()}
+    """A bounded sample of labelled texts: by language those of least hash, copies once, within the documented bounds."""
+    text, h = F.col("text"), F.xxhash64("text")
+    place = F.pmod(h, F.greatest(F.length(text) - TEXT_SYMBOLS, F.lit(0)) + 1).cast("int") + 1
+    rows = docs.where(train & F.col("lang").isNotNull() & text.isNotNull()).select("lang", F.substring(text, place, F.lit(TEXT_SYMBOLS)).alias("text"), h.alias("h"))
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}  # one row a language
     if not sizes:
         return {}
-    share = min(LANG_SYMBOLS, ALL_SYMBOLS // len(sizes))
-    most = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(int(min(2**63 - 1, 2**64 * min(1.0, DRAWN / n) - 2**63))))])
-    drawn = rows.where(F.col("lang").isin(*sizes) & (F.col("h") <= F.element_at(most, F.col("lang"))))
-    drawn = drawn.groupBy("lang", "h").agg(F.min("text").alias("text")).collect()  # about DRAWN texts a language
+    share = max(LEAST_SYMBOLS, min(LANG_SYMBOLS, ALL_SYMBOLS // len(sizes)))
+    most = small_table(docs.sparkSession, [[k, str(int(min(2**63 - 1, 2**64 * min(1.0, DRAWN / max(1, n)) - 2**63)))] for k, n in sizes.items()], "of string, most string")
+    drawn = rows.join(F.broadcast(most), F.col("lang") == F.col("of")).where(F.col("h") <= F.col("most").cast("long"))
+    drawn = drawn.groupBy("lang", "h").agg(F.min("text").alias("text")).toLocalIterator()  # about DRAWN texts a language
     out: dict[str, list[str]] = {k: [] for k in sizes}
     held = dict.fromkeys(sizes, 0)
     for r in sorted(drawn, key=lambda r: (r.lang, r.h, r.text)):
-        if held[r.lang] + len(r.text) <= share or not out[r.lang]:
-            out[r.lang].append(r.text)
-            held[r.lang] += len(r.text)
+        if held[r.lang] < share:
+            out[r.lang].append(r.text[: share - held[r.lang]])
+            held[r.lang] += len(out[r.lang][-1])
     return {k: v for k, v in out.items() if any(len(symbols(t)) for t in v)}
 
 
-def predict(docs: DataFrame, samples: dict[str, list[str]], keep: list[str]) -> DataFrame:
-    """The columns keep of docs, lang_pred and score; every whole text is parsed."""
+def judged(docs: DataFrame, samples: dict[str, list[str]], keep: list[str]) -> DataFrame:
+    """(row, lang_pred, score) of every row of docs, the columns keep packed as row; every whole text is parsed."""
     spark = docs.sparkSession
     small_batches(spark)
-    sent = spark.sparkContext.broadcast(samples)  # bounded by ALL_SYMBOLS
+    sent = spark.sparkContext.broadcast(samples)  # bounded, see sample()
     key = xxhash.xxh64_intdigest(repr(sorted(samples.items())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = parser_for(key, sent.value)
         for batch in batches:
-            column = batch.column("_text")
+            column = texts(batch)
             langs, scores = [], []
             for lo, hi in pieces(column):
                 a, b = parser.predict(column[lo:hi].to_pylist())
                 langs += a
                 scores.append(b)
-            kept = [batch.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else np.zeros(0))], names=[*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else np.zeros(0))], names=["row", "lang_pred", "score"])
 
-    chosen = docs.select(*keep, F.col("text").alias("_text"))
-    return chosen.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", lang_pred string, score double")
+    chosen = with_text(docs, keep)
+    return chosen.mapInArrow(run, with_row(chosen.schema["row"].dataType, "lang_pred string, score double"))
 
 
 def identify(docs: DataFrame, train: Column, keep: list[str]) -> DataFrame:
     """keep, lang_pred (a label, or `und` if the text is null, empty or has no letter) and score (0 to 1) of every row of docs.
 
     docs has text and lang; train marks the rows to learn from (null langs and texts are skipped). Ties go to the first
-    label in code-point order. Repeated rows are each judged; without any labelled text all rows are `und` with score 0.
+    label in code-point order. Repeated rows are each judged, long texts parsed whole; without any labelled text all rows are `und` with score 0. Columns
+    outside keep are ignored, whatever their names. No rows give no rows.
     """
-    return predict(docs, sample(docs, train), keep)
+    found = judged(docs, sample(docs, train), keep)
+    return found.select(*unpacked(found, "row"), "lang_pred", "score")
+
+
+def spoken(docs: DataFrame, train: Column) -> DataFrame:
+    """The rows of docs that have a language as identify() finds it, with all their columns, whatever their names. No rows give no rows."""
+    found = judged(docs, sample(docs, train), docs.columns)
+    return found.where("lang_pred <> 'und'").select(*unpacked(found, "row"))

@@ -17,8 +17,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
-from .common import durable, pieces, small_batches
+from .common import durable, packed, pieces, small_batches, unpacked
 
 RADIUS = 3
 #: A bucket up to this size is resolved in one task, larger ones go to the next level. The masks of the third level leave ten bits free, so no bucket there is larger.
@@ -66,7 +67,8 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi in pieces(column):
             for i, t in enumerate(column[lo:hi].to_pylist(), lo):
                 out[i] = simhash(t)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out.view(np.int64))], names=["doc_id", "fp"])
+        rest = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(out.view(np.int64))], names=[*rest, "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -180,17 +182,43 @@ def components(edges: DataFrame) -> DataFrame:
         e = durable(large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).distinct())
 
 
+def labels(prints: DataFrame, by_id: bool) -> DataFrame:
+    """(fp, doc, root) of every fingerprint of prints (doc_id, fp), once: its least doc_id and the least fingerprint of its component; by_id joins the fingerprints of one doc_id too."""
+    nodes = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("doc")))
+    edges = links(nodes.select("fp", F.col("fp").alias("doc")))
+    if by_id:
+        several = prints.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).where("a <> z").select("doc_id", "a")
+        edges = edges.unionByName(prints.join(several, "doc_id").select("a", F.col("fp").alias("b")).where("a <> b").distinct())
+    root = components(edges)
+    return durable(nodes.join(root, nodes.fp == root.node, "left").select("fp", "doc", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of docs (doc_id, text); extra columns are ignored.
+    """(doc_id, fp, component_id) of every row of docs (doc_id, text); extra columns are ignored, whatever their names.
 
     Null, empty and white-space texts have fingerprint zero and are linked like any other. Equal fingerprints are one node, so groups of
-    copies cost nothing further. component_id is the smallest doc_id reachable over links of at most three differing bits; rows
-    with a null doc_id get the component of their fingerprint (null if all its rows have none). Repeated rows are kept.
+    copies cost nothing further. Rows link if their fingerprints differ by three bits at most, or if they share a doc_id; component_id is the smallest
+    doc_id reachable. Rows with a null doc_id are nodes like others; a component of such rows alone has a null component_id. Repeated rows are kept, long texts
+    read whole. An empty table gives no rows.
     """
     prints = durable(fingerprints(docs))
-    nodes = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("doc")))
-    known = nodes.where("doc is not null")
-    # one doc number may stand for several fingerprints if ids repeat: those are then joined through it, as the contract's reachability has it
-    root = components(links(known))
-    label = durable(nodes.join(root, nodes.doc == root.node, "left").select("fp", F.coalesce("root", "doc").alias("component_id")))
-    return prints.join(label, "fp", "left").select("doc_id", "fp", "component_id")
+    rooted = labels(prints, True)
+    least = rooted.join(rooted.groupBy("root").agg(F.min("doc").alias("component_id")), "root").select("fp", "component_id")
+    return prints.join(least, "fp", "left").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The columns of docs, whatever their names, of one row of each component of near copies (by doc_id and text).
+
+    The row with the smallest doc_id stays, rows without a doc_id come last; ties go by the hash of the text, then of the row. Components are formed by
+    fingerprints alone: rows that share a doc_id but no text both stay, and of fully equal rows one stays. Rows whose text is null, empty or white space
+    are copies of each other. An empty table gives no rows.
+    """
+    small_batches(docs.sparkSession)
+    whole = F.xxhash64(*[F.to_json(c) if isinstance(t, (MapType, VariantType)) else c for c, t in ((F.col(f"`{f.name}`"), f.dataType) for f in docs.schema)])
+    rows = docs.select(packed(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"), whole.alias("k"))
+    prints = durable(rows.select("doc_id", "text", "h", "k").mapInArrow(_prints, "doc_id long, h long, k long, fp long"))
+    rooted = labels(prints, False).select("fp", "root")
+    rank = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "h", "k"))
+    first = prints.groupBy("fp").agg(rank.alias("r")).join(rooted, "fp").groupBy("root").agg(F.min("r").alias("r")).select("r.h", "r.k")
+    return rows.select("row", "h", "k").dropDuplicates(["h", "k"]).join(first, ["h", "k"], "left_semi").select(*unpacked(rows, "row"))
