@@ -65,7 +65,7 @@ def route(loads: list[int], owner: list[int], shards: int) -> list[tuple[int, in
 
 
 def assign(docs: DataFrame, shards: int, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, size, text_crc32, shard, slot) of every row of docs (doc_id, text), and the further columns keep; others are ignored.
+    """(doc_id, size, text_crc32, shard, slot) of every row of docs (doc_id, text), and the further columns keep; others are ignored, whatever their names.
 
     A null text counts as empty. Slots of a shard run from 0 without gaps in ring order; ties (equal texts) go by doc_id, null first.
     Repeated rows are each placed. An empty table gives no rows. Counts of any two shards differ by one at most.
@@ -74,7 +74,7 @@ def assign(docs: DataFrame, shards: int, keep: tuple[str, ...] = ()) -> DataFram
     owner = ring(shards)
     text = F.coalesce("text", F.lit(""))
     cell = F.pmod(F.col("place"), F.lit(CELLS)).cast("int")
-    rows = docs.select(F.struct(*keep).alias("kept") if keep else F.lit(None).cast("int").alias("kept"), "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("place")).withColumn("cell", cell)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept") if keep else F.lit(None).cast("int").alias("kept"), "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("place")).withColumn("cell", cell)
     rows = rows.repartitionByRange("cell", "place", "doc_id").sortWithinPartitions("cell", "place", "doc_id")
     rows = durable(rows.withColumn("at", F.monotonically_increasing_id()))
     rows = rows.select("*", F.shiftright("at", 33).cast("int").alias("part"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("i"))
@@ -99,7 +99,7 @@ def assign(docs: DataFrame, shards: int, keep: tuple[str, ...] = ()) -> DataFram
     parts = F.broadcast(small_table(spark, ranges, "cell int, lo bigint, hi bigint, shard int, shift bigint"))
     placed = rows.join(offsets, "part").withColumn("rank", F.col("before") + F.col("i"))
     placed = placed.join(parts, "cell").where("rank >= lo and rank < hi")
-    return placed.select("doc_id", "size", "text_crc32", "shard", (F.col("rank") + F.col("shift")).alias("slot"), *[F.col(f"kept.{c}").alias(c) for c in keep])
+    return placed.select("doc_id", "size", "text_crc32", "shard", (F.col("rank") + F.col("shift")).alias("slot"), *[F.col("kept").getField(c).alias(c) for c in keep])
 
 
 def home(text: Column, shards: int) -> Column:
