@@ -1,4 +1,8 @@
-"""A training corpus from the documents table, in five stages; each stage's result is written as Parquet and read again for the next."""
+"""A training corpus from the documents table, in five stages; each stage's result is written as Parquet and read again for the next.
+
+Every stage takes whole texts, keeps the columns of documents whatever else they are called, gives no rows for an empty table, and treats a null text
+as empty. Where it matters, each stage says what becomes of nulls, ties and repeated rows.
+"""
 
 from __future__ import annotations
 
@@ -14,39 +18,40 @@ SHARDS = 16
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (null, or no letter) go."""
-    train = fold(F.col("doc_id"), 3) != 1
-    return langid.identify(docs, train, docs.columns).where("lang_pred <> 'und'").select(*docs.columns)
+    """Documents without a language (null, or no letter) go; repeated rows each stay or go alike, ties between languages keep a row.
+
+    Without any labelled text no language is known and all rows go.
+    """
+    return langid.spoken(docs, fold(F.col("doc_id"), 3) != 1)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the document with the smallest id stays; rows without an id stand under their text's hash."""
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
-    found = simhash.near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"))
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(stay, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    """Of each group of near copies the row with the smallest doc_id stays (null last; ties by the hash of text and row); of equal rows one.
+
+    Rows that share a doc_id but not their text are no copies and both stay. Null, empty and white-space texts are copies of each other.
+    """
+    return simhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
-    found = decontaminate.scan(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), docs.columns)
-    return found.where(F.size("leaks") == 0).select(*docs.columns)
+    """Documents that hold a benchmark passage go; null texts hold none, repeated rows stay or go alike. An empty benchmark removes nothing."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: not at all, once or twice."""
-    return mixing.repeated(docs, F.array("source"), mixing.word_count(F.col("text")))
+    """Each document as often as the mix takes it: not at all, once or twice. Rows with equal ids are drawn together; rows without words are not taken; a null source is one of its own."""
+    return mixing.repeated(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard and slot; columns of docs that clash with the stage's own give way."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "size", "text_crc32", "shard", "slot"))
+    """Every row with its shard and slot; ties (equal texts) go by doc_id, null first, and repeated rows have a slot each. Columns of docs that clash with the stage's own results give way."""
+    rest = tuple(c for c in docs.columns if c.lower() not in ("doc_id", "size", "text_crc32", "shard", "slot"))
     return sharding.assign(docs, SHARDS, rest)
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontamination", decontamination), ("mix", mix), ("shard", shard)]
 
-#: XXH64, suffix automata and the latent space have no DuckDB form; tests compare with brute force.
+#: XXH64, suffix automata and the latent space have no DuckDB form; tests compare each stage with brute force.
 ORACLE_SQL = None
 
 
