@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ SHARDS = 16
 #: The rules of the url query, and its list of unwanted sites.
 RULES = [["net/", "block"], ["example.net/en/", "allow"], ["example.com/de/", "block"], ["org/fr/", "allow"]]
 LISTED = [[f"{name}.example.{top}/", "block"] for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm") for top in ("com", "net", "org")]
+#: The list's single pages, by rule: of these hosts and languages every tenth number.
+PAGE_HOSTS, PAGE_LANGS, PAGE_NUMBERS = ["blog.tionsh.example.com", "tionble.example.org", "tiontion.example.net"], ["de", "en", "es", "fr"], 4_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,9 +32,17 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def listed(spark: SparkSession) -> DataFrame:
+    """The list of the url query: sites, and pages by rule."""
+    hosts, langs = (F.from_json(F.lit(json.dumps(x)), "array<string>") for x in (PAGE_HOSTS, PAGE_LANGS))
+    pages = spark.range(PAGE_NUMBERS).select("id", F.explode(hosts).alias("h")).select("id", "h", F.explode(langs).alias("l"))
+    pages = pages.select(F.concat_ws("/", "h", "l", (F.col("id") * 10).cast("string")).alias("entry"), F.lit("block").alias("verdict"))
+    return common.small_table(spark, LISTED, "entry string, verdict string").unionByName(pages)
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules, listed = (common.small_table(spark, x, "entry string, verdict string") for x in (RULES, LISTED))
-    return urlfilter.judge(read(spark, sf_dir, "pages"), rules, listed).drop("entry")
+    rules = common.small_table(spark, RULES, "entry string, verdict string")
+    return urlfilter.judge(read(spark, sf_dir, "pages"), rules, listed(spark)).drop("entry")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-_VALUES = ", ".join(f"('{e}', '{v}', {k})" for rows, k in ((RULES, "true"), (LISTED, "false")) for e, v in rows)
+_RULES, _LISTED = (", ".join(f"('{e}', '{v}')" for e, v in rows) for rows in (RULES, LISTED))
 ORACLE_SQL = {
     "op3_url_filters": rf"""
         WITH p AS (
@@ -86,13 +97,24 @@ ORACLE_SQL = {
             SELECT n, page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
             FROM p),
-        e AS (
-            SELECT entry, verdict, is_rule, split_part(entry, '/', 1) AS h, substr(entry, instr(entry, '/')) AS q
-            FROM (VALUES {_VALUES}) AS t(entry, verdict, is_rule)),
+        c AS (
+            SELECT n, regexp_replace(regexp_replace(host, '(?s)\A.*@', ''), '\.?(:[0-9]*)?\z', '') AS host,
+                   CASE WHEN path = '' THEN '/' ELSE regexp_replace(regexp_replace(path, '/(\./)+', '/', 'g'), '/{{2,}}', '/', 'g') END AS path
+            FROM u WHERE host <> ''),
+        rules AS (
+            SELECT entry, verdict, split_part(entry, '/', 1) AS h, substr(entry, instr(entry, '/')) AS q FROM (VALUES {_RULES}) AS t(entry, verdict)),
+        listed AS (
+            SELECT entry, verdict, split_part(entry, '/', 1) AS h, substr(entry, instr(entry, '/')) AS q
+            FROM (SELECT * FROM (VALUES {_LISTED}) AS t(entry, verdict) UNION ALL
+                  SELECT h || '/' || l || '/' || k * 10, 'block'
+                  FROM (SELECT unnest({PAGE_HOSTS}) AS h), (SELECT unnest({PAGE_LANGS}) AS l), range({PAGE_NUMBERS}) AS r(k))),
         m AS (
-            SELECT n, arg_max(entry, length(entry)) FILTER (is_rule) AS rule,
-                   arg_max(verdict, length(entry)) FILTER (is_rule) AS a, arg_max(verdict, length(entry)) FILTER (NOT is_rule) AS b
-            FROM u JOIN e ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q)
+            SELECT n, arg_max(entry, length(entry)) AS rule, arg_max(verdict, length(entry)) AS verdict
+            FROM u JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q)
+            GROUP BY n),
+        b AS (
+            SELECT n, arg_max(verdict, length(entry)) AS verdict
+            FROM c JOIN listed ON (host = h OR ends_with(host, '.' || h)) AND (path = q OR ends_with(q, '/') AND starts_with(path, q))
             GROUP BY n)
-        SELECT page_id, host, path, rule, coalesce(a, b, 'allow') AS verdict FROM u LEFT JOIN m USING (n)""",
+        SELECT page_id, host, path, rule, coalesce(m.verdict, b.verdict, 'allow') AS verdict FROM u LEFT JOIN m USING (n) LEFT JOIN b USING (n)""",
 }
