@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, small_batches
+from .common import durable, forget, pieces, small_batches
 
 #: Bounds of the fit: labelled rows of the sample, entries of the learned lexicon.
 SAMPLE, LEARNED = 10_000, 1_000
@@ -184,11 +184,13 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, label: str = "toxic
     n = known.count()
     if n > SAMPLE:
         known = known.where(F.xxhash64("doc_id") <= int(2**64 * min(1.0, SAMPLE / n) - 2**63))
-    # about SAMPLE rows of two numbers, whatever the input
-    drawn = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("y", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id").alias("h"))
+    # about SAMPLE rows of two numbers, whatever the input; written once, as everything below reads it
+    drawn = durable(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("y", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id").alias("h")).repartition("h"))
     word = F.expr(r"regexp_replace(lower(w), '^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$', '')")
     words = drawn.select("y", "h", F.explode(F.split("text", r"\s+")).alias("w")).select("y", "h", word.alias("w")).where("w <> ''")
-    every, words = words, words.distinct()
+    # words of each text once, and how often
+    every = durable(words.groupBy("y", "h", "w").agg(F.count("*").alias("k")))
+    words = every.select("y", "w")
     sums = drawn.agg(F.sum("y").alias("y"), F.count("*").alias("n")).first()
     if not sums.n:
         return None, {}, {}, {}
@@ -197,8 +199,8 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, label: str = "toxic
     # a lower bound of the odds, so that rare words don't pass by chance
     sure = F.col("odds") - 1.64 * F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
 
-    def counts(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("w").agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good")).withColumn("odds", odds)
+    def counts(rows: DataFrame, n: Column = F.lit(1)) -> DataFrame:
+        return rows.groupBy("w").agg(F.sum(F.col("y") * n).alias("bad"), F.sum((1 - F.col("y")) * n).alias("good")).withColumn("odds", odds)
 
     def best(rows: DataFrame) -> list:
         return rows.where("bad >= 4").where(sure > 2.1).orderBy(F.desc(F.col("odds") * F.sqrt("bad")), "w").limit(LEARNED).collect()
@@ -211,9 +213,10 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, label: str = "toxic
     # beginnings, without what frequent whole words explain
     whole = [r.w for r in found if r.bad >= WHOLE * bad]
     heads = every.where(~F.col("w").isin(*whole)) if whole else every
-    begun = heads.select("y", "h", F.explode(F.filter(F.transform(F.array(*[F.lit(k) for k in STARTS]), lambda k: F.when(F.length("w") >= k, F.col("w").substr(F.lit(1), k))), lambda x: x.isNotNull())).alias("w")).groupBy("y", "h", "w").agg(F.count("*").alias("k"))
+    begun = heads.select("y", "h", "k", F.explode(F.filter(F.transform(F.array(*[F.lit(k) for k in STARTS]), lambda k: F.when(F.length("w") >= k, F.col("w").substr(F.lit(1), k))), lambda x: x.isNotNull())).alias("w"))
+    begun = durable(begun.groupBy("y", "h", "w").agg(F.sum("k").alias("k")))
     starts = {r.w: r.odds for r in best(counts(begun))}
-    twice = {r.w: r.odds for r in best(counts(begun.where("k >= 2"))) if r.w not in starts}
+    twice = {r.w: r.odds for r in best(counts(begun, (F.col("k") >= 2).cast("int"))) if r.w not in starts}
     sent = spark.sparkContext.broadcast((learned, starts, twice))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,6 +225,7 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, label: str = "toxic
             yield pa.RecordBatch.from_arrays([b.column("y"), b.column("h"), pa.array(x, pa.list_(pa.float64()))], names=["y", "h", "x"])
 
     rows = sorted(((r.h, r.y, r.x) for r in drawn.mapInArrow(run, "y int, h long, x array<double>").collect()))  # about SAMPLE rows of len(NAMES) numbers
+    forget(drawn, every, begun)
     return Trees(np.array([r[2] for r in rows]), np.array([r[1] for r in rows])), learned, starts, twice
 
 
