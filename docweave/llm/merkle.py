@@ -60,21 +60,25 @@ def branches(print_: Column) -> tuple[Column, Column, Column]:
     return F.regexp_extract_all(_body(print_), F.lit("([0-9a-f]+)="), F.lit(1)), F.regexp_extract_all(_body(print_), F.lit("([0-9a-f]+)~"), F.lit(1)), tag_list(print_)
 
 
+def _same(x: Column, y: Column) -> Column:
+    """How many first places of two arrays are equal."""
+    return _bound(F.array_position(F.zip_with(x, y, lambda p, q: p.eqNullSafe(q)), F.lit(False)), lambda n: F.when(n > 0, n - 1).otherwise(F.least(F.size(x), F.size(y))).cast("int"))
+
+
 def _span(a: Column, b: Column) -> Column:
     """First differing place of two arrays, and the last in each (below the first if an array has none); null if they are equal."""
-    def run(x: Column, y: Column) -> Column:
-        same = F.array_position(F.zip_with(x, y, lambda p, q: p.eqNullSafe(q)), F.lit(False))
-        return F.when(same > 0, same - 1).otherwise(F.least(F.size(x), F.size(y))).cast("int")
-
-    lead = run(a, b)
-    tail = F.least(run(F.reverse(a), F.reverse(b)), F.least(F.size(a), F.size(b)) - lead)
-    return F.when(a != b, F.struct(lead.alias("first"), (F.size(a) - tail - 1).alias("last"), (F.size(b) - tail - 1).alias("last_other")))
+    sides = F.struct(_same(a, b).alias("lead"), _same(F.reverse(a), F.reverse(b)).alias("tail"), F.size(a).alias("a"), F.size(b).alias("b"))
+    ends = lambda s: F.struct(s["lead"].alias("lead"), F.least(s["tail"], F.least(s["a"], s["b"]) - s["lead"]).alias("tail"), s["a"].alias("a"), s["b"].alias("b"))
+    span = lambda s: F.when((s["lead"] < s["a"]) | (s["lead"] < s["b"]), F.struct(s["lead"].alias("first"), (s["a"] - s["tail"] - 1).alias("last"), (s["b"] - s["tail"] - 1).alias("last_other")))
+    return _bound(_bound(sides, ends), span)
 
 
 def changed(a: Column, b: Column) -> Column:
     """Where two fingerprints differ, by level: the first and last section, paragraph and leaf (from 0) of the branches that differ; null if the roots are equal."""
     names = ("sections", "paragraphs", "leaves")
-    return F.when(a != b, F.struct(*[_span(x, y).alias(n) for n, x, y in zip(names, branches(a), branches(b))]))
+    # every array is worked out once, bound as a field
+    both = F.struct(*[x.alias(f"{n}_{side}") for side, f in (("a", a), ("b", b)) for n, x in zip(names, branches(f))])
+    return F.when(a != b, _bound(both, lambda s: F.struct(*[_span(s[f"{n}_a"], s[f"{n}_b"]).alias(n) for n in names])))
 
 
 def likeness(a: Column, b: Column) -> Column:
