@@ -52,25 +52,34 @@ def select_sources(queries: DataFrame, catalog: DataFrame, most: int = 15) -> Da
 
 
 def crawl(start: DataFrame, links: DataFrame, depth: int = 2, most_pages: int = 12) -> DataFrame:
-    """(source, url, depth): pages reached from start (source, url) over links (from_url, to_url, pos), breadth first, each once, at most so many a source."""
-    seen = durable(start.select("source", "url").distinct().select("source", "url", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("pos")))
-    front = seen
+    """(source, url, depth, n): pages visited from start (source, url) over links (from_url, to_url, pos), breadth first, each once, at most so many a source.
+
+    Pages of a round stand in the order in which their parents were visited, then of the links (ties by url). A source's front never
+    holds more than most_pages pages, so a hub costs its own links once a source, not those of all pages around it.
+    """
+    order = Window.partitionBy("source").orderBy("parent", "pos", "url")
+    first = start.select("source", "url", F.lit(0).alias("parent"), F.lit(0).cast("long").alias("pos")).distinct()
+    seen = front = durable(first.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most_pages).select("source", "url", F.lit(0).alias("depth"), "n"))
     for d in range(1, depth + 1):
-        nxt = front.join(links, front.url == links.from_url).select("source", F.col("to_url").alias("url"), links.pos.alias("pos")).groupBy("source", "url").agg(F.min("pos").alias("pos"))
-        front = durable(nxt.join(seen.select("source", "url"), ["source", "url"], "left_anti").select("source", "url", F.lit(d).alias("depth"), "pos"))
-        seen = durable(seen.unionByName(front))
-    w = Window.partitionBy("source").orderBy("depth", "pos", "url")
-    return seen.withColumn("n", F.row_number().over(w)).where(F.col("n") <= most_pages).select("source", "url", "depth", "n")
+        met = front.join(links.select("from_url", "to_url", F.col("pos").cast("long").alias("pos")), front.url == F.col("from_url")).select("source", F.col("to_url").alias("url"), F.col("n").alias("parent"), "pos")
+        met = met.groupBy("source", "url").agg(F.min(F.struct("parent", "pos")).alias("by")).select("source", "url", "by.parent", "by.pos")
+        new = met.join(seen.select("source", "url"), ["source", "url"], "left_anti")
+        new = new.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most_pages)
+        held = seen.groupBy("source").agg(F.max("n").alias("held"))
+        new = new.join(held, "source").select("source", "url", F.lit(d).alias("depth"), (F.col("held") + F.col("k")).alias("n")).where(F.col("n") <= most_pages)
+        front = durable(new)
+        seen = seen.unionByName(front)
+    return seen
 
 
 def quota(calls: DataFrame, key: str, order: str, per_key: int, in_all: int) -> DataFrame:
-    """calls with allowed: within the key's limit and, of those, within the limit of all, in order.
+    """calls with allowed: within the key's limit and, of those, within the limit of all, in order. order tells calls apart; calls that share it are allowed or not together.
 
     Of each key only per_key calls can pass, so the global rank runs over in_all candidates: the top-k of the order.
     """
     w = Window.partitionBy(key).orderBy(order)
     first = calls.select(key, order).withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= per_key)
-    passed = first.orderBy(order).limit(in_all).select(order, F.lit(True).alias("allowed"))
+    passed = first.orderBy(order).limit(in_all).select(order).distinct().withColumn("allowed", F.lit(True))
     return calls.join(passed, order, "left").withColumn("allowed", F.coalesce("allowed", F.lit(False)))
 
 

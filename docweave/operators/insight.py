@@ -113,12 +113,12 @@ COUNTS = ("Queries", "Qualified", "Saved", "Duplicates")
 
 
 def run_audit(activity: DataFrame) -> DataFrame:
-    """Daily runs from the activity log: notes `k=v | k=v` as counts and reason; rows with a count that is no integer go. Newest first."""
+    """Daily runs from the activity log: notes `k=v | k=v` as counts and reason; of a repeated key the last stands; rows with a count that is no integer go. Newest first."""
     rows = activity.where((F.upper(strip(text("Agent"))) == "SYSTEM") & (F.upper(strip(text("Action"))) == "DAILY_RUN"))
-    parts = F.transform(F.split(text("Notes"), r" \| "), lambda x: F.when(F.contains(x, F.lit("=")), x))
-    notes = F.map_from_entries(F.transform(F.array_compact(parts), lambda x: F.struct(strip(F.substring_index(x, "=", 1)), strip(F.substring(x, F.locate("=", x) + 1, F.length(x))))))
-    rows = rows.withColumn("_n", notes)
-    out = rows.select(F.col("Timestamp").alias("ts"), *[F.col("_n")[c].try_cast("int").alias(c.lower()) for c in COUNTS], F.coalesce(F.col("_n")["Failed"].try_cast("int"), F.lit(0)).alias("failed"), F.coalesce(F.col("_n")["Reason"], F.lit("")).alias("reason"))
+    parts = F.filter(F.split(text("Notes"), r" \| "), lambda x: F.contains(x, F.lit("=")))
+    rows = rows.withColumn("_n", F.transform(parts, lambda x: F.struct(strip(F.substring_index(x, "=", 1)).alias("k"), strip(F.substring(x, F.locate("=", x) + 1, F.length(x))).alias("v"))))
+    note = lambda name: F.try_element_at(F.filter("_n", lambda e: e["k"] == name), F.lit(-1))["v"]
+    out = rows.select(F.col("Timestamp").alias("ts"), *[note(c).try_cast("int").alias(c.lower()) for c in COUNTS], F.coalesce(note("Failed").try_cast("int"), F.lit(0)).alias("failed"), F.coalesce(note("Reason"), F.lit("")).alias("reason"))
     return out.dropna(subset=[c.lower() for c in COUNTS]).orderBy(F.desc("ts"))
 
 

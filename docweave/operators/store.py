@@ -73,7 +73,12 @@ def watch(watchlist: DataFrame, updates: DataFrame, now: Column, pos: str = "pos
 
 
 def merge(discovered: DataFrame, extracted: DataFrame, key: str, authoritative: list[str]) -> DataFrame:
-    """Extracted rows with what discovery adds: authoritative columns come from extraction alone (null is empty), others from extraction, else discovery."""
+    """Extracted rows with what discovery adds: authoritative columns come from extraction alone (null is empty), others from extraction, else discovery.
+
+    Each extracted row gets one discovered row: of a repeated key the least by its columns in order.
+    """
+    rest = [c for c in discovered.columns if c != key]
+    discovered = discovered.groupBy(key).agg(F.min(F.struct(*rest)).alias("_d")).select(key, *[F.col("_d").getField(c).alias(c) for c in rest]) if rest else discovered.distinct()
     both = list(dict.fromkeys([*extracted.columns, *discovered.columns]))
     e, d = extracted.alias("e"), discovered.alias("d")
     out = []

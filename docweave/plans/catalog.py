@@ -89,10 +89,10 @@ CATEGORY_WORDS = {"first": ["idiot", "scum"], "second": ["that", "que"], "third"
 
 # ---- lexicon matching ----
 
-@query(f"SELECT doc_id, {sql_count('lower(text)', PLAIN)} AS n, {sql_any('lower(text)', PLAIN)} AS hit, {sql_sum('lower(text)', WORDS)} AS weight, {sql_first('lower(text)', PLAIN)} AS first, {sql_list('lower(text)', PLAIN)} AS found FROM documents WHERE text IS NOT NULL")
+@query(f"SELECT doc_id, {sql_count('t', PLAIN)} AS n, {sql_any('t', PLAIN)} AS hit, {sql_sum('t', WORDS)} AS weight, {sql_first('t', PLAIN)} AS first, {sql_list('t', PLAIN)} AS found FROM (SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents)")
 def q_lexicon(spark: SparkSession, d: str) -> DataFrame:
     x = Lexicon.of(WORDS)
-    rows = read(spark, d, "documents").where("text is not null").withColumn("t", x.prepared(F.col("text")))
+    rows = read(spark, d, "documents").withColumn("t", x.prepared(tx.text("text")))
     t = F.col("t")
     return rows.select("doc_id", x.count(t).alias("n"), x.any_(t).alias("hit"), x.sum_(t).alias("weight"), x.first(t).alias("first"), F.array_join(x.list_(t), ", ").alias("found"))
 
@@ -197,7 +197,26 @@ def q_router_score(spark: SparkSession, d: str) -> DataFrame:
     return score.router(o.withColumn("title", F.concat("title", more))).select("pos", "discovery_score")
 
 
-@query()
+def _intelligence_sql() -> str:
+    flat = lambda words: [w.replace("-", " ") for w in words]
+    any_ = lambda c, words: sql_any(c, flat(words))
+    plain = r"trim(regexp_replace(replace(lower({0}), '-', ' '), '\s+', ' ', 'g'))"
+    direct = list(dict.fromkeys(t for t in lexicons.STRUCTURAL if t not in lexicons.CONTEXT_DEPENDENT))
+    kind = "CASE " + " ".join(f"WHEN {any_('a', words)} THEN '{name}'" for name, words in lexicons.CATEGORIES.items()) + f" ELSE '{lexicons.DEFAULT_CATEGORY}' END"
+    count = lambda words: sql_count("a", flat(dict.fromkeys(words)))
+    no = f"'{lexicons.DEFAULT_CATEGORY}'"
+    return f"""WITH o AS ({OPPORTUNITIES}),
+    p AS (SELECT pos, {plain.format("title || CASE WHEN pos % 3 = 0 THEN ' tender for structural audit of building' WHEN pos % 7 = 0 THEN ' hvac retrofit' WHEN pos % 11 = 0 THEN ' peer review' ELSE '' END")} AS t, {plain.format('description')} AS d, lower(source_url) AS u FROM o),
+    w AS (SELECT *, concat_ws(' ', nullif(t, ''), nullif(d, ''), nullif(u, '')) AS a FROM p),
+    x AS (SELECT pos, t, d, u, a, {any_('a', lexicons.TENDER_SIGNALS)} OR {sql_has('u', lexicons.TENDER_URLS)} AS tender, {any_('a', lexicons.STRUCTURAL_CONTEXT)} AS ctx, {count(lexicons.INTELLIGENCE_NEGATIVE)} AS neg,
+        {count(direct)} AS direct, {count(lexicons.CONTEXT_DEPENDENT)} AS soft, {any_('a', lexicons.OTHER_RETROFIT)} AS other, {kind} AS cat, {sql_has('a', lexicons.INFORMATIONAL)} AS info,
+        {any_('t', lexicons.DIRECTORY)} AS listed, {any_('d', lexicons.DIRECTORY)} AS told, {any_('a', ['retrofit', 'retrofitting', 'rehabilitation', 'strengthening'])} AS fit FROM w),
+    y AS (SELECT *, direct + CASE WHEN ctx THEN soft ELSE 0 END AS n, t = '' AND d = '' OR listed OR (NOT tender AND ({sql_has('u', lexicons.DIRECTORY_URLS)} OR told)) OR (fit AND other AND NOT ctx) AS bad FROM x)
+    SELECT pos, NOT bad AND n > 0 AND neg < n AND tender AND NOT info AS is_relevant, CASE WHEN NOT bad AND n > 0 AND (neg = 0 OR neg < n) AND (NOT tender OR NOT info) THEN cat ELSE {no} END AS service_category,
+        CASE WHEN NOT bad AND n > 0 AND neg < n AND tender AND NOT info THEN {ROUND2.format('n / greatest(n + neg, 1)::DOUBLE')} ELSE 0.0::DOUBLE END AS confidence FROM y"""
+
+
+@query(_intelligence_sql())
 def q_intelligence(spark: SparkSession, d: str) -> DataFrame:
     o = opportunities(spark, d)
     more = F.when(F.col("pos") % 3 == 0, " tender for structural audit of building").when(F.col("pos") % 7 == 0, " hvac retrofit").when(F.col("pos") % 11 == 0, " peer review").otherwise("")
@@ -212,7 +231,20 @@ def q_verdict(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").select(k.alias("pos"), v.alias("v")).select("pos", "v.action", "v.qualification_score")
 
 
-@query()
+def _legacy_sql() -> str:
+    has = lambda c, words: sql_has(c, [w.lower() for w in words])
+    when = lambda test, w: f"CASE WHEN {test} THEN {w}::DOUBLE ELSE 0.0::DOUBLE END"
+    known = " + ".join(when(has(c, r[k]), w) for r in lexicons.EXPERIENCE.values() for c, k, w in (("place", "locations", 0.35), ("name", "project_types", 0.35), ("name", "clients", 0.10)))
+    words = " + ".join(when(f"contains(t, '{w}')", x) for w, x in {"warehouse": 0.15, "design": 0.08}.items())
+    off = " + ".join(when(has("t", ws), x) for ws, x in lexicons.LEGACY_PENALTIES)
+    return f"""WITH o AS ({OPPORTUNITIES}),
+    p AS (SELECT pos, lower(CASE WHEN pos % 5 = 0 THEN 'Gurgaon, Delhi' WHEN pos % 7 = 0 THEN 'Ludhiana' ELSE location END) AS place, lower(title || CASE WHEN pos % 3 = 0 THEN ' warehouses maintenance' ELSE '' END) AS name, lower(source) AS source FROM o),
+    t AS (SELECT *, name || ' ' || source AS t FROM p),
+    s AS (SELECT pos, least(0.0::DOUBLE + {known}, 1.0::DOUBLE) * 0.45::DOUBLE + least(0.0::DOUBLE + {words}, 1.0::DOUBLE) * 0.45::DOUBLE - least(0.0::DOUBLE + {off}, 1.0::DOUBLE) * 0.40::DOUBLE AS s FROM t)
+    SELECT pos, {ROUND2.format('greatest(least(s, 1.0::DOUBLE), 0.0::DOUBLE)')} AS score FROM s"""
+
+
+@query(_legacy_sql())
 def q_legacy_score(spark: SparkSession, d: str) -> DataFrame:
     o = opportunities(spark, d)
     place = F.when(F.col("pos") % 5 == 0, "Gurgaon, Delhi").when(F.col("pos") % 7 == 0, "Ludhiana").otherwise(F.col("location"))
@@ -250,9 +282,9 @@ def q_reject_reasons(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy(F.when(F.startswith("r", F.lit("Score")), "Score").otherwise(F.col("r")).alias("reason")).agg(F.count("*").alias("n"))
 
 
-@query(SCORED + f" SELECT pos, title, organization, location, source, source_url, deadline, 'NOT_CONTACTED' AS contact_status, CASE WHEN score >= 0.70 THEN 'HIGH' WHEN score >= 0.50 THEN 'MEDIUM' ELSE 'LOW' END AS priority, {ROUND2.format('score')} AS score, {ROUND2.format('1.0::DOUBLE')} AS extraction_confidence FROM scored WHERE organization <> '' AND location <> ''")
+@query(SCORED + f" SELECT pos, title, organization, location, source, source_url, deadline, 'NOT_CONTACTED' AS contact_status, CASE WHEN score >= 0.70 THEN 'HIGH' WHEN score >= 0.50 THEN 'MEDIUM' ELSE 'LOW' END AS priority, {ROUND2.format('score')} AS score, {ROUND2.format("1.0::DOUBLE - CASE WHEN organization = '' THEN 0.20::DOUBLE ELSE 0.0::DOUBLE END - 0.0::DOUBLE - CASE WHEN location = '' THEN 0.10::DOUBLE ELSE 0.0::DOUBLE END")} AS extraction_confidence FROM scored")
 def q_transform(spark: SparkSession, d: str) -> DataFrame:
-    out = qualify.transform(qualify.qualify(scored(spark, d), day(AS_OF)), repair=False).where("organization <> '' and location <> ''")
+    out = qualify.transform(qualify.qualify(scored(spark, d), day(AS_OF)), repair=False)
     return out.select("pos", "title", "organization", "location", "source", "source_url", "deadline", "contact_status", "priority", "score", "extraction_confidence")
 
 
@@ -342,7 +374,14 @@ def q_quota(spark: SparkSession, d: str) -> DataFrame:
     return discover.quota(read(spark, d, "events").select("event_id", "user_id"), "user_id", "event_id", 2, 500).drop("user_id")
 
 
-@query()
+@query("""WITH e AS (SELECT 's' || l_suppkey AS a, 'p' || l_partkey AS b, CAST(l_orderkey AS BIGINT) AS pos FROM lineitem), k AS (SELECT a AS f, b AS t, pos FROM e UNION ALL SELECT b, a, pos FROM e),
+    r0 AS (SELECT n_name AS source, 's' || (n_nationkey + 1) AS url, 0 AS depth, 1 AS n FROM nation),
+    c1 AS (SELECT source, t AS url, min((n, pos)) AS o FROM r0 JOIN k ON url = f GROUP BY 1, 2), m1 AS (SELECT c1.* FROM c1 ANTI JOIN r0 USING (source, url)),
+    r1 AS (SELECT source, url, 1 AS depth, 1 + row_number() OVER (PARTITION BY source ORDER BY o, url) AS n FROM m1 QUALIFY n <= 12),
+    s1 AS (SELECT source, url FROM r0 UNION ALL SELECT source, url FROM r1),
+    c2 AS (SELECT source, t AS url, min((n, pos)) AS o FROM r1 JOIN k ON url = f GROUP BY 1, 2), m2 AS (SELECT c2.* FROM c2 ANTI JOIN s1 USING (source, url)), h AS (SELECT source, count(*) AS held FROM s1 GROUP BY 1),
+    r2 AS (SELECT source, url, 2 AS depth, held + row_number() OVER (PARTITION BY source ORDER BY o, url) AS n FROM m2 JOIN h USING (source) QUALIFY n <= 12)
+    SELECT source, url, CAST(depth AS INTEGER) AS depth, CAST(n AS INTEGER) AS n FROM (SELECT * FROM r0 UNION ALL SELECT * FROM r1 UNION ALL SELECT * FROM r2)""")
 def q_crawl(spark: SparkSession, d: str) -> DataFrame:
     e = read(spark, d, "lineitem").select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("from_url"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("to_url"), F.col("l_orderkey").alias("pos"))
     both = e.unionByName(e.select(F.col("to_url").alias("from_url"), F.col("from_url").alias("to_url"), "pos"))
@@ -356,25 +395,25 @@ _ws = r"trim(regexp_replace({0}, '[ \t]+', ' ', 'g'))"
 
 
 @query(r"""SELECT doc_id, length(t) AS characters, len(regexp_extract_all(t, '[^\s]+')) AS words, CASE WHEN t = '' THEN 0 ELSE len(regexp_extract_all(t, '\n')) + CASE WHEN ends_with(t, chr(10)) THEN 0 ELSE 1 END END AS lines,
-    len(regexp_extract_all(t, '\p{L}')) AS letters FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""")
+    len(regexp_extract_all(t, '\p{L}')) AS letters, len(regexp_extract_all(t, '[\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨]')) AS digits FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""")
 def q_doc_stats(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "documents").select("doc_id", clean.statistics(F.col("text")).alias("s")).select("doc_id", *[F.col(f"s.{c}").cast("long").alias(c) for c in ("characters", "words", "lines", "letters")])
+    return read(spark, d, "documents").select("doc_id", clean.statistics(F.col("text")).alias("s")).select("doc_id", *[F.col(f"s.{c}").cast("long").alias(c) for c in ("characters", "words", "lines", "letters", "digits")])
 
 
-_LINES = r"""l AS (SELECT doc_id, unnest(list_filter(list_transform(string_split(replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)), lambda x: trim(regexp_replace(x, '[ \t]+', ' ', 'g'))), lambda x: x <> '')) AS line FROM documents)"""
+_LINE_LIST = r"""list_filter(list_transform(string_split(replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)), lambda x: trim(regexp_replace(x, '[ \t]+', ' ', 'g'))), lambda x: x <> '')"""
+_LINES = f"l AS (SELECT doc_id, unnest({_LINE_LIST}) AS line FROM documents)"
 
 
-@query(f"WITH {_LINES} SELECT doc_id, count(*) AS n, count(DISTINCT line) AS distinct_lines FROM l GROUP BY doc_id")
+@query(f"SELECT doc_id, array_to_string({_LINE_LIST}, chr(10)) AS text FROM documents")
 def q_clean_lines(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "documents").select("doc_id", tx.clean_lines(tx.text("text")).alias("x")).where("size(x) > 0")
-    return rows.select("doc_id", F.size("x").cast("long").alias("n"), F.size(F.array_distinct("x")).cast("long").alias("distinct_lines"))
+    return read(spark, d, "documents").select("doc_id", tx.join_lines(tx.clean_lines(tx.text("text"))).alias("text"))
 
 
-@query(rf"""WITH {_LINES}, c AS (SELECT doc_id, line, count(*) AS n FROM l GROUP BY doc_id, line) SELECT doc_id, count(*) AS repeated FROM c WHERE n >= 3 AND length(line) <= 120 AND NOT contains(line, '|')
+@query(rf"""WITH {_LINES}, c AS (SELECT doc_id, line, count(*) AS n FROM l GROUP BY doc_id, line) SELECT doc_id, string_agg(line, chr(10) ORDER BY line) AS repeated FROM c WHERE n >= 3 AND length(line) <= 120 AND NOT contains(line, '|')
     AND NOT regexp_matches(line, '(?i)₹|\brs\.?\b|\binr\b|\$|€|£') AND NOT regexp_matches(line, '\d{{1,2}}[/.-]\d{{1,2}}[/.-]\d{{2,4}}|\d{{4}}-\d{{1,2}}-\d{{1,2}}') AND lower(line) NOT IN ({', '.join(f"'{x}'" for x in lexicons.PROTECTED_HEADINGS)}) GROUP BY doc_id""")
 def q_repeated_lines(spark: SparkSession, d: str) -> DataFrame:
     rows = read(spark, d, "documents").select("doc_id", clean.repeated(tx.clean_lines(tx.text("text"))).alias("x"))
-    return rows.where("size(x) > 0").select("doc_id", F.size("x").cast("long").alias("repeated"))
+    return rows.where("size(x) > 0").select("doc_id", tx.join_lines(F.array_sort("x")).alias("repeated"))
 
 
 @query()
@@ -383,10 +422,10 @@ def q_clean_full(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""WITH x AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS v FROM documents), l AS (SELECT doc_id, i, v[i] AS line FROM x, range(1, len(v) + 1) t(i)),
-    p AS (SELECT doc_id, line, lag(line) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM l) SELECT doc_id, count(*) AS n FROM p WHERE line IS DISTINCT FROM before OR before IS NULL GROUP BY doc_id""")
+    p AS (SELECT doc_id, i, line, lag(line) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM l) SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM p WHERE line IS DISTINCT FROM before OR before IS NULL GROUP BY doc_id""")
 def q_consecutive_lines(spark: SparkSession, d: str) -> DataFrame:
     rows = read(spark, d, "documents").withColumn("x", tx.lines(tx.text("text")))
-    return rows.select("doc_id", F.size(dedup.consecutive(F.col("x"))).cast("long").alias("n"))
+    return rows.select("doc_id", tx.join_lines(dedup.consecutive(F.col("x"))).alias("text"))
 
 
 @query()
@@ -432,10 +471,12 @@ def q_email(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").select("doc_id", parse.email(F.col("text")).alias("email")).where("email <> ''")
 
 
-@query()
+@query(r"""SELECT doc_id, coalesce(regexp_replace(list_filter(regexp_extract_all(regexp_replace(t, '([^0-9])', '\1\1', 'g'), '(?:^|[^0-9])(\+\+91[\s-]{0,2}[6-9]\d{9}|0\d{2,5}[\s-]{0,2}\d{6,8}|[6-9]\d{9})(?:$|[^0-9])', 1),
+    lambda x: regexp_matches(regexp_replace(x, '\D', '', 'g'), '^(?:91)?[6-9]\d{9}$|^0\d{9,11}$'))[1], '([\s+-])[\s+-]', '\1', 'g'), '') AS phone
+    FROM (SELECT doc_id, coalesce(text, '') || ' call +91 98' || lpad(CAST(doc_id % 100000000 AS VARCHAR), 8, '0') AS t FROM documents)""")
 def q_phone(spark: SparkSession, d: str) -> DataFrame:
     rows = read(spark, d, "documents").select("doc_id", F.concat(tx.text("text"), F.lit(" call +91 98"), F.lpad((F.col("doc_id") % 100000000).cast("string"), 8, "0")).alias("t"))
-    return rows.select("doc_id", parse.phone(F.regexp_replace("t", r"\+91 98", "+91 98")).alias("phone"))
+    return rows.select("doc_id", parse.phone(F.col("t")).alias("phone"))
 
 
 @query(r"SELECT doc_id, len(regexp_extract_all(t, '(?i)(?:₹|rs\.?|inr)\s*([0-9][0-9,]*(?:\.\d{1,2})?)(?:\s*/-)?', 1)) AS n, replace(regexp_extract(t, '(?i)(?:₹|rs\.?|inr)\s*([0-9][0-9,]*(?:\.\d{1,2})?)(?:\s*/-)?', 1), ',', '') AS first FROM (SELECT doc_id, 'fee Rs. ' || format('{:,}', doc_id * 1234) || '/- and INR 500.50 ' || coalesce(lang, '') AS t FROM documents)")
@@ -502,7 +543,18 @@ def q_url_parts(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "pages").select("page_id", urls.has_bad_query(u).alias("bad_query"), urls.host(u).alias("host"), urls.is_document(u).alias("is_document"))
 
 
-@query()
+def _fetch_sql() -> str:
+    starts = " OR ".join(f"starts_with(kind, '{t}')" for t in lexicons.UNSUPPORTED_TYPES)
+    known = ", ".join(f"'{t}'" for t in lexicons.SUPPORTED_TYPES)
+    return rf"""WITH p AS (SELECT url, html, CASE WHEN page_id % 5 = 0 THEN 'application/pdf' WHEN page_id % 7 = 0 THEN 'image/png' ELSE 'text/html' END AS kind, CASE WHEN page_id % 11 = 0 THEN 404 ELSE 200 END AS status,
+        starts_with(html, '%PDF') AS pdf, coalesce(regexp_matches(lower(substr(html, 1, 4096)), '^\s*(<!doctype html|<html)'), false) AS page, lower(substr(html, 1, 10000)) AS head FROM pages),
+    m AS (SELECT *, CASE WHEN pdf THEN 'application/pdf' WHEN page THEN 'text/html' ELSE kind END AS mime FROM p),
+    e AS (SELECT *, CASE WHEN status >= 400 THEN 'http_' || status WHEN {starts} THEN 'unsupported_content_type' WHEN coalesce(html, '') = '' THEN 'empty_response' WHEN kind = 'application/pdf' AND page THEN 'fake_pdf_html'
+        WHEN kind = 'application/pdf' AND NOT pdf THEN 'invalid_pdf' WHEN mime NOT IN ({known}) THEN 'unsupported_binary' WHEN page AND {sql_has('head', lexicons.CAPTCHA_SIGNS)} THEN 'captcha_page' WHEN page AND {sql_has('head', lexicons.LOGIN_SIGNS)} THEN 'login_page' END AS why FROM m)
+    SELECT url, why IS NULL AS success, CASE WHEN why IS NULL THEN mime END AS mime_type, CASE WHEN why IS NULL THEN sha256(html) END AS content_hash, CAST(CASE WHEN why IS NULL THEN strlen(html) ELSE 0 END AS BIGINT) AS content_size, why AS error_type FROM e"""
+
+
+@query(_fetch_sql())
 def q_fetch_records(spark: SparkSession, d: str) -> DataFrame:
     p = read(spark, d, "pages")
     k = F.col("page_id")
@@ -544,9 +596,10 @@ def q_deadline_distribution(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH s AS ({STORE}), x AS (SELECT pos, Deadline, datediff('day', DATE '{STORE_AS_OF}', try_cast(Deadline AS DATE)) AS k FROM s)
-    SELECT pos, CASE WHEN Deadline = '' THEN 'MISSING' WHEN k IS NULL THEN 'INVALID' WHEN k < 0 THEN 'EXPIRED' WHEN k = 0 THEN 'TODAY' ELSE 'UPCOMING' END AS status, CAST(k AS INTEGER) AS days FROM x""")
+    SELECT pos, CASE WHEN Deadline = '' THEN 'MISSING' WHEN k IS NULL THEN 'INVALID' WHEN k < 0 THEN 'EXPIRED' WHEN k = 0 THEN 'TODAY' ELSE 'UPCOMING' END AS status, CAST(k AS INTEGER) AS days,
+           CASE WHEN Deadline = '' THEN 'No deadline' WHEN k IS NULL THEN 'Invalid deadline' WHEN k < 0 THEN 'Expired' WHEN k = 0 THEN 'Due today' WHEN k = 1 THEN '1 day left' ELSE k || ' days left' END AS label FROM x""")
 def q_deadline_status(spark: SparkSession, d: str) -> DataFrame:
-    return views.store(spark, d).select("pos", insight.deadline_status(F.col("Deadline"), day(STORE_AS_OF)).alias("s")).select("pos", "s.status", "s.days")
+    return views.store(spark, d).select("pos", insight.deadline_status(F.col("Deadline"), day(STORE_AS_OF)).alias("s")).select("pos", "s.status", "s.days", "s.label")
 
 
 @query(f"WITH s AS ({STORE}) SELECT pos, Title, Priority FROM s WHERE Priority = 'HIGH' AND Opportunity_Status = 'O' AND Score >= 0.3 AND (contains(lower(Title), '7') OR contains(lower(Organization), '7') OR contains(lower(Location), '7') OR contains(lower(Service_Category), '7'))")
@@ -564,8 +617,8 @@ def q_facets(spark: SparkSession, d: str) -> DataFrame:
     return insight.facet(views.store(spark, d), "Location")
 
 
-@query("""SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, CAST(event_id % 60 AS INTEGER) AS queries, CAST(event_id % 7 AS INTEGER) AS qualified, CAST(event_id % 5 AS INTEGER) AS saved, CAST(event_id % 3 AS INTEGER) AS duplicates,
-    CAST(event_id % 2 AS INTEGER) AS failed, 'a=b; ' || event_type AS reason FROM events WHERE event_id % 8 = 0 AND event_id % 31 <> 0""")
+@query("""SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, CAST(event_id % 60 AS INTEGER) AS queries, CAST(event_id % 7 AS INTEGER) AS qualified, CAST(CASE WHEN event_id % 16 = 0 THEN 9 ELSE event_id % 5 END AS INTEGER) AS saved, CAST(event_id % 3 AS INTEGER) AS duplicates,
+    CAST(event_id % 2 AS INTEGER) AS failed, 'a=b; ' || event_type AS reason FROM events WHERE event_id % 8 = 0 AND (event_id % 31 <> 0 OR event_id % 16 = 0)""")
 def q_run_audit(spark: SparkSession, d: str) -> DataFrame:
     return insight.run_audit(views.activity(spark, d))
 
@@ -589,10 +642,10 @@ def q_token_guard(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "conversations").select("conv_id", "turn", assist.estimate(F.col("text")).alias("tokens"), assist.guarded(F.col("text"), 20).alias("text"))
 
 
-@query("SELECT conv_id, turn, turn % 2 = 0 AS ok FROM conversations")
+@query("SELECT conv_id, turn, turn % 2 = 0 AS ok, CASE WHEN turn % 2 = 0 THEN role END AS role, CASE WHEN turn % 2 = 0 THEN CAST(turn AS BIGINT) END AS number, CASE WHEN turn % 2 = 1 THEN 'no braces ' || role END AS raw FROM conversations")
 def q_strict_json(spark: SparkSession, d: str) -> DataFrame:
     t = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("```json\nanswer: "), F.to_json(F.struct("role", "turn")), F.lit("\n```"))).otherwise(F.concat(F.lit("no braces "), F.col("role")))
-    return read(spark, d, "conversations").select("conv_id", "turn", assist.strict_json(t).alias("s")).select("conv_id", "turn", "s.ok")
+    return read(spark, d, "conversations").select("conv_id", "turn", assist.strict_json(t).alias("s")).select("conv_id", "turn", "s.ok", F.try_variant_get("s.parsed", "$.role", "string").alias("role"), F.try_variant_get("s.parsed", "$.turn", "bigint").alias("number"), "s.raw")
 
 
 @query("SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN role ELSE 'second' END AS answer FROM conversations")

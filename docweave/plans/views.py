@@ -57,8 +57,8 @@ STORE = """
 
 
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An activity log from events: one daily run an hour, some with broken counts."""
+    """An activity log from events: one daily run an hour, some with broken or repeated counts."""
     e = read(spark, sf_dir, "events")
     k = F.col("event_id")
-    notes = F.concat(F.lit("Queries="), (k % 60).cast("string"), F.lit(" | Qualified="), (k % 7).cast("string"), F.lit(" | Saved="), F.when(k % 31 == 0, "x").otherwise((k % 5).cast("string")), F.lit(" | Duplicates="), (k % 3).cast("string"), F.lit(" | Failed="), (k % 2).cast("string"), F.lit(" | Reason=a=b; "), F.col("event_type"))
+    notes = F.concat(F.lit("Queries="), (k % 60).cast("string"), F.lit(" | Qualified="), (k % 7).cast("string"), F.lit(" | Saved="), F.when(k % 31 == 0, "x").otherwise((k % 5).cast("string")), F.lit(" | Duplicates="), (k % 3).cast("string"), F.lit(" | Failed="), (k % 2).cast("string"), F.lit(" | Reason=a=b; "), F.col("event_type"), F.when(k % 16 == 0, " | Saved=9").otherwise(""))
     return e.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Timestamp"), F.when(k % 4 == 0, "system ").otherwise("USER").alias("Agent"), F.when(k % 8 == 0, "daily_run").otherwise("SAVE").alias("Action"), (k % 5).cast("int").alias("Records_Added"), notes.alias("Notes"))
