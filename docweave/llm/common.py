@@ -6,7 +6,7 @@ import atexit
 import json
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -59,6 +59,22 @@ def _sweep() -> None:
 atexit.register(_sweep)
 
 
+def bucketed(df: DataFrame, key: str, buckets: int) -> tuple[DataFrame, Callable[[], None]]:
+    """durable(), in buckets by key that grouping by it reads without a shuffle, and what drops the copy."""
+    spark = df.sparkSession
+    name = f"docweave_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    _made.append((spark, path))
+
+    def drop() -> None:
+        spark.sql(f"DROP TABLE {name}")
+        _made.remove((spark, path))
+        _delete(spark, path)
+
+    return spark.table(name), drop
+
+
 def forget(*tables: DataFrame) -> None:
     """Deletes durable copies whose readers are done."""
     for t in tables:
