@@ -29,7 +29,7 @@ from .common import pieces, small_batches, texts, unpacked, with_row, with_text
 
 WINDOW, STRIDE, PASSAGE = 16, 8, 64
 LEAST_COSINE, OVERLAP, PARAPHRASE, PARAPHRASE_COSINE, ANSWER = 0.3, 0.8, 0.65, 0.5, 0.9
-FEWEST = 8
+FEWEST = 7
 #: Terms of a block (one latent space), and blocks of a scan.
 TERMS, GROUP = 40_000, 4
 RANK, SHARE, KEPT = 128, 0.75, 0.8
@@ -97,20 +97,20 @@ class Index:
     def weigh(self, docs: int, df: dict[int, int]) -> None:
         """Word weights, and each passage's candidate bound: the cosine of a window with PARAPHRASE of the passage's words of average weight, all others of the greatest."""
         self.idf = np.array([min(RAREST, math.log((docs + 1) / (df.get(i, 0) + 1))) + 0.05 for i in range(len(self.terms))] + [0.0])
-        m = np.array([len(p) for p in self.passages])
-        r = np.array([math.sqrt(sum((k * self.idf[t]) ** 2 for t, k in Counter(p).items())) for p in self.passages]) / np.sqrt(m)
+        m = np.array([len(set(p)) for p in self.passages])
+        r = np.array([math.sqrt(sum(self.idf[t] ** 2 for t in set(p))) for p in self.passages]) / np.sqrt(m)
         self.idf[-1] = r.min()
         n = PARAPHRASE * np.minimum(m, WINDOW)
         reached = n * r / np.sqrt(m * (n * r**2 + (WINDOW - n) * self.idf.max() ** 2))
         self.least = np.minimum(LEAST_COSINE, KEPT**2 * reached).astype(np.float32)
 
     def rows(self) -> list[tuple[list[int], list[float]]]:
-        """Unit TF-IDF rows of the passages."""
+        """Unit TF-IDF rows of the passages; a term counts once however often it occurs, here and in windows, so that filler repeated between words doesn't hide them."""
         out = []
         for p in self.passages:
-            n = Counter(p)
-            w = np.array([k * self.idf[t] for t, k in n.items()])
-            out.append((list(n), (w / np.linalg.norm(w)).tolist()))
+            n = list(dict.fromkeys(p))
+            w = self.idf[n]
+            out.append((n, (w / np.linalg.norm(w)).tolist()))
         return out
 
     def fit(self, docs: DataFrame) -> None:
@@ -178,21 +178,22 @@ class Index:
         dots = (self.basis[np.minimum(near, n)] @ self.latent[p]).tolist()
         held, mass, dot, best = Counter(), 0.0, 0.0, -1.0
         for i, t in enumerate(near):
-            w = self.idf[min(t, n)] ** 2
-            mass += w * (2 * held[t] + 1)
+            if not held[t]:
+                mass += self.idf[min(t, n)] ** 2
+                dot += dots[i]
             held[t] += 1
-            dot += dots[i]
             if i >= m:
                 t = near[i - m]
-                mass -= self.idf[min(t, n)] ** 2 * (2 * held[t] - 1)
                 held[t] -= 1
-                dot -= dots[i - m]
+                if not held[t]:
+                    mass -= self.idf[min(t, n)] ** 2
+                    dot -= dots[i - m]
             if i >= m - 1:
                 best = max(best, dot / math.sqrt(max(mass, 1e-12)))
         return best
 
     def windows(self, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of every window of texts with size words each: its text, its first word there, its places, its norm and its share of mass in benchmark terms."""
+        """Of every window of texts with size words each: its text, its first word there, its places, its norm, its share of mass in benchmark terms, and how often the word of each place stands in it."""
         n = len(self.terms)
         begin = np.concatenate([[0], np.cumsum(size)])
         count = np.where(size > 0, np.maximum(1, -(-(size - WINDOW) // STRIDE) + 1), 0)
@@ -201,17 +202,17 @@ class Index:
         end = np.minimum(first + WINDOW, size[owner])
         first = np.maximum(0, np.minimum(first, size[owner] - WINDOW))
         lo, hi = begin[owner] + first, begin[owner] + end
-        norm, share = np.zeros(len(owner)), np.zeros(len(owner))
+        norm, share, often = np.zeros(len(owner)), np.zeros(len(owner)), np.zeros((len(owner), WINDOW), np.uint8)
         square = np.append(self.idf**2, 0.0)
         for at in range(0, len(owner), 4096):
             k = slice(at, at + 4096)
             place = lo[k, None] + np.arange(WINDOW)
             t = np.where(place < hi[k, None], ids[np.minimum(place, len(ids) - 1)], -1)
-            # a term that occurs k times has weight k idf: each of its places adds k idf**2 to the squared norm
-            mass = square[np.minimum(t, n)] * (t[:, :, None] == t[:, None, :]).sum(2, dtype=np.uint8)
+            often[k] = (t[:, :, None] == t[:, None, :]).sum(2, dtype=np.uint8)
+            mass = square[np.minimum(t, n)] / often[k]  # the places of a term share its weight
             every = mass.sum(1)
             norm[k], share[k] = np.sqrt(every), np.where(t < n, mass, 0).sum(1) / np.maximum(every, 1e-12)
-        return owner, first, lo, hi, norm, share
+        return owner, first, lo, hi, norm, share, often
 
     def find(self, texts: list[bytes | None]) -> list[list[tuple[int, float, float, int, int]]]:
         """For each text (item, cosine, overlap, first word, end) of what it holds, best passage of each item."""
@@ -223,14 +224,14 @@ class Index:
         number = Words(self.terms)
         ids = np.fromiter((number[w] for ws in words for w in ws), np.int32, int(size.sum()))
         begin = np.concatenate([[0], np.cumsum(size)])
-        owner, first, lo, hi, norm, share = self.windows(ids, size)
+        owner, first, lo, hi, norm, share, often = self.windows(ids, size)
         live = np.flatnonzero(share >= float(self.least.min()) ** 2 * (1 - 1e-6))
         found = []
         for at in range(0, len(live), 1024):
             k = live[at : at + 1024]
             place = lo[k, None] + np.arange(WINDOW)
             t = np.where(place < hi[k, None], np.minimum(ids[np.minimum(place, len(ids) - 1)], n), n)
-            vector = self.basis[t].sum(1)
+            vector = (self.basis[t] / often[k, :, None]).sum(1)
             cosine = (vector @ self.latent.T) / norm[k, None]
             w, p = np.nonzero(cosine >= self.least)
             found += zip(owner[k[w]].tolist(), p.tolist(), first[k[w]].tolist(), cosine[w, p].tolist())
