@@ -120,11 +120,11 @@ class Automaton:
         order = np.argsort(np.array(keys, np.int64))
         self.table, self.keys, self.to = table.ravel(), np.array(keys, np.int64)[order], np.array(to, np.int32)[order]
 
-    def coded(self, symbols: np.ndarray) -> np.ndarray:
-        """Own numbers of symbols."""
+    def numbers(self, alphabet: np.ndarray) -> np.ndarray:
+        """Own numbers of an alphabet's symbols."""
         order = np.argsort(self.symbols)
-        at = order[np.minimum(np.searchsorted(self.symbols, symbols, sorter=order), len(order) - 1)]
-        return np.where(self.symbols[at] == symbols, at, self.other).astype(np.int32)
+        at = order[np.minimum(np.searchsorted(self.symbols, alphabet, sorter=order), len(order) - 1)]
+        return np.where(self.symbols[at] == alphabet, at, self.other).astype(np.int32)
 
     def step(self, state: np.ndarray, c: np.ndarray, rare: bool) -> np.ndarray:
         if not rare:
@@ -146,6 +146,11 @@ class Parser:
         coded = [np.concatenate([np.append(symbols(t), 0) for t in samples[k]] or [np.zeros(1, np.uint32)]) for k in self.langs]
         dense = max(1, min(DENSE, CELLS // max(1, 2 * sum(map(len, coded)))))
         self.automata = [Automaton(a, dense) for a in coded]
+        # code points by their place in the alphabet of all samples (0: in none), and each language's numbers by that place
+        alphabet = np.unique(np.concatenate([np.zeros(1, np.uint32), *coded]))
+        self.place = np.zeros(0x110000, np.int32)
+        self.place[alphabet] = np.arange(1, len(alphabet) + 1)
+        self.numbers = [np.concatenate([[m.other], m.numbers(alphabet)]).astype(np.int32) for m in self.automata]
         self.cost = np.array([math.log2(max(2, len(a))) for a in coded])
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -159,12 +164,12 @@ class Parser:
         number = {x[:2]: k for k, x in enumerate(lanes)}
         # the lane before each lane but a text's first
         behind = np.array([number[i, at - LANE] if at else -1 for i, at, _ in lanes])
-        whole = np.concatenate(texts)
+        whole = self.place[np.concatenate(texts)]
         begin = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
         place = np.array([begin[i] + at for i, at, _ in lanes])
         live = np.searchsorted(-size, -np.arange(size[0]), side="left")  # lanes longer than t
         for j, m in enumerate(self.automata):
-            code = m.coded(whole)
+            code = self.numbers[j][whole]
             state = np.zeros(len(lanes), np.int32)
             begun = np.zeros((size[0], len(lanes)), bool)
             for t in range(size[0]):
