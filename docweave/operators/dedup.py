@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import math
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import canonical, let, ratio, strip, text
-from ..session import durable
+from ..session import durable, forget
 
 SIMILAR = 0.92
 
@@ -33,43 +37,72 @@ def fingerprint(title: Column, organization: Column, deadline: Column) -> Column
     return F.when(whole, F.sha2(F.concat_ws("|", *parts), 256)).otherwise("")
 
 
+def _keyed(df: DataFrame, pos: str) -> DataFrame:
+    """(p, u, f, t, o, d): position, URL, fingerprint, and the canonical title, organisation and deadline."""
+    return df.select(
+        F.col(pos).alias("p"), F.lower(strip(text("source_url"))).alias("u"), fingerprint(F.col("title"), F.col("organization"), F.col("deadline")).alias("f"),
+        canonical(text("title")).alias("t"), canonical(text("organization")).alias("o"), canonical(text("deadline")).alias("d"),
+    )
+
+
+def _alike(rows: DataFrame, similar: float) -> DataFrame:
+    """Pairs (earlier, later) of rows with unlike fingerprints, equal organisation and deadline, and titles at least similar.
+
+    A ratio that high needs lengths within similar / (2 - similar) of each other, so rows meet by classes of length: a hot organisation is many groups, not one.
+    """
+    if similar > 1:
+        return rows.select(F.col("p").alias("earlier"), F.col("p").alias("later")).limit(0)
+    step = -math.log(similar / (2 - similar)) + 1e-9
+    named = rows.where("o <> '' and d <> '' and t <> ''").withColumn("c", F.floor(F.log(F.length("t").cast("double")) / step).cast("int"))
+    a, b = (named.select(*[F.col(c).alias(f"{c}{i}") for c in ("p", "f", "t", "o", "d", "c")]) for i in (1, 2))
+    b = b.withColumn("c2", F.explode(F.array(F.col("c2") - 1, F.col("c2"), F.col("c2") + 1)))
+    near = (F.col("o1") == F.col("o2")) & (F.col("d1") == F.col("d2")) & (F.col("c1") == F.col("c2")) & (F.col("p1") < F.col("p2")) & (F.col("f1") != F.col("f2"))
+    near &= 2 * F.least(F.length("t1"), F.length("t2")) >= similar * (F.length("t1") + F.length("t2"))
+    return a.join(b, near).where(ratio(F.col("t2"), F.col("t1")) >= similar).select(F.col("p1").alias("earlier"), F.col("p2").alias("later"))
+
+
 def conflicts(df: DataFrame, pos: str = "pos", similar: float = SIMILAR) -> DataFrame:
     """Pairs (earlier, later): equal URL, equal fingerprint, or titles at least similar with equal organisation and deadline.
 
-    Equal keys give a row's pairs within the key's rows; exact copies are to be taken out by greedy() first.
+    All pairs of an equal key are given, as asked; greedy() works without them.
     """
-    rows = df.select(
-        F.col(pos).alias("p"), F.lower(strip(text("source_url"))).alias("u"), fingerprint(F.col("title"), F.col("organization"), F.col("deadline")).alias("f"),
-        canonical(text("title")).alias("t"), canonical(text("organization")).alias("o"), canonical(text("deadline")).alias("d"),
-    )
-    a, b = (rows.select(*[F.col(c).alias(f"{c}{i}") for c in rows.columns]) for i in (1, 2))
+    rows = _keyed(df, pos)
+    a, b = (rows.select(*[F.col(c).alias(f"{c}{i}") for c in ("p", "u", "f")]) for i in (1, 2))
     by_url = a.join(b, (F.col("u1") == F.col("u2")) & (F.col("u1") != "") & (F.col("p1") < F.col("p2")))
     by_print = a.join(b, (F.col("f1") == F.col("f2")) & (F.col("f1") != "") & (F.col("p1") < F.col("p2")))
-    short, long = F.least(F.length("t1"), F.length("t2")), F.length("t1") + F.length("t2")
-    near = (F.col("o1") == F.col("o2")) & (F.col("d1") == F.col("d2")) & (F.col("o1") != "") & (F.col("d1") != "") & (F.col("p1") < F.col("p2")) & (F.col("f1") != F.col("f2")) & (2 * short >= similar * long) & (long > 0)
-    by_title = a.join(b, near).where(ratio(F.col("t2"), F.col("t1")) >= similar)
-    pairs = [x.select(F.col("p1").alias("earlier"), F.col("p2").alias("later")) for x in (by_url, by_print, by_title)]
-    return pairs[0].unionByName(pairs[1]).unionByName(pairs[2]).distinct()
+    pairs = [x.select(F.col("p1").alias("earlier"), F.col("p2").alias("later")) for x in (by_url, by_print)]
+    return pairs[0].unionByName(pairs[1]).unionByName(_alike(rows, similar)).distinct()
 
 
 def greedy(df: DataFrame, pos: str = "pos", similar: float = SIMILAR) -> DataFrame:
     """Rows that a sequential pass by pos keeps: a row goes if it conflicts with a kept earlier row, and dropped rows drop nothing.
 
     Rows equal in URL, title, organisation and deadline conflict with the same rows, and the first of them, kept or not, settles the
-    others, so one stands for all when pairs are made. Then, round by round: kept if all earlier neighbours are dropped; dropped if one is kept.
+    others, so one stands for all. Then, round by round: dropped if an earlier neighbour is kept, kept if all are dropped. Of the rows of one URL or one
+    fingerprint only the first kept and the first open one matter to the others, so a key of many rows is two numbers, never its pairs; pairs are made for like titles alone.
     """
     key = ["source_url", "title", "organization", "deadline"]
     same = df.select(F.col(pos).alias("_p"), *[text(c).alias(f"_{c}") for c in key]).groupBy(*[f"_{c}" for c in key]).agg(F.min("_p").alias("_p"))
     heads = durable(df.join(same.select(F.col("_p").alias(pos)), pos, "left_semi"))
-    edges = durable(conflicts(heads, pos, similar))
-    state = durable(heads.select(F.col(pos).alias("p")).join(edges.select(F.col("later").alias("p")).distinct(), "p", "left_anti").select("p", F.lit(True).alias("kept")))
+    rows = durable(_keyed(heads, pos))
+    edges = durable(_alike(rows, similar).distinct())
+    state = durable(rows.select("p", "u", "f", F.lit(None).cast("boolean").alias("kept")))
     while True:
-        open_ = edges.join(state.select(F.col("p").alias("later")), "later", "left_anti").join(state.select(F.col("p").alias("earlier"), "kept"), "earlier", "left")
-        told = open_.groupBy(F.col("later").alias("p")).agg(F.max(F.coalesce("kept", F.lit(False))).alias("hit"), F.count_if(F.col("kept").isNull()).alias("unknown"))
-        new = durable(told.where("hit or unknown = 0").select("p", (~F.col("hit")).alias("kept")))
-        if new.isEmpty():
+        told = state.where("kept is null")
+        tests = []
+        for k in ("u", "f"):
+            first = state.where(F.col(k) != "").groupBy(k).agg(F.min(F.when(F.col("kept"), F.col("p"))).alias(f"{k}_kept"), F.min(F.when(F.col("kept").isNull(), F.col("p"))).alias(f"{k}_open"))
+            told = told.join(first, k, "left")
+            tests += [(F.col(f"{k}_kept") < F.col("p"), F.col(f"{k}_open") < F.col("p"))]
+        near = edges.join(state.select(F.col("p").alias("earlier"), "kept"), "earlier").groupBy(F.col("later").alias("p"))
+        told = told.join(near.agg(F.coalesce(F.max("kept"), F.lit(False)).alias("hit"), (F.count_if(F.col("kept").isNull()) > 0).alias("open")), "p", "left")
+        tests += [(F.col("hit"), F.col("open"))]
+        hit, open_ = (functools.reduce(operator.or_, [F.coalesce(t[i], F.lit(False)) for t in tests]) for i in (0, 1))
+        new = durable(told.select("p", "u", "f", F.when(hit, F.lit(False)).when(~open_, F.lit(True)).alias("kept")).unionByName(state.where("kept is not null")))
+        forget(state)
+        state, left = new, new.where("kept is null").limit(1).count()
+        if not left:
             break
-        state = durable(state.unionByName(new))
     kept = heads.join(state.where("kept").select(F.col("p").alias(pos)), pos, "left_semi")
     # a blank URL and a blank part make no conflict: further copies of such a row stay
     u, f = F.lower(strip(text("source_url"))), fingerprint(F.col("title"), F.col("organization"), F.col("deadline"))

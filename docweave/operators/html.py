@@ -18,7 +18,7 @@ from ..functions import urls
 from ..functions.text import squeeze, text
 from .clean import without_blocks, without_pairs
 from .dedup import consecutive
-from .score import candidate_score, link_score
+from .score import candidate_score, link_score, navigation_score
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An open one of these ends when one of the named kind begins.
@@ -258,15 +258,31 @@ def best_link(found: DataFrame, keep: tuple[str, ...] = ("page_id",), least: int
     return rows.select(*keep, "page_url", F.when(urls.is_pdf(F.col("page_url")) | (F.col("_s") < least), F.col("page_url")).otherwise(F.col("best")).alias("best"))
 
 
-def candidates(found: DataFrame, tokens, most: int = 25) -> DataFrame:  # noqa: ANN001
-    """Admitted links of a page by candidate score: same host or a subdomain, no bad URL or title; the best of each page."""
+def _admitted(found: DataFrame) -> DataFrame:
+    """Links to the page's host or a subdomain without a bad URL or title."""
     t = F.lower(squeeze(text("label")))
     h, b = urls.host(F.col("url")), urls.host(F.col("page_url"))
     near = (h == b) | F.endswith(h, F.concat(F.lit("."), b))
     bad = F.lit(False)
     for p in lx.CRAWL_BAD_TITLES:
         bad = bad | (t.rlike(rf"\b{re.escape(p)}\b") if len(p) <= 4 else F.contains(t, F.lit(p)))
-    rows = found.where(near & ~urls.is_bad(F.col("url")) & ~bad).withColumn("score", candidate_score(F.col("label"), F.col("url"), tokens, F.col("context")))
-    # anchors of one page are bounded by the page
+    return found.where(near & ~urls.is_bad(F.col("url")) & ~bad)
+
+
+def _best(rows: DataFrame, most: int) -> DataFrame:
+    """The most links of each page by score, ties in page order. Anchors of one page are bounded by the page."""
     best = rows.groupBy("page_id", "page_url").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "n", "url", "label"))), 1, most).alias("x"))
     return best.select("page_id", "page_url", F.inline("x")).select("page_id", "page_url", "n", "url", "label", (-F.col("s")).alias("score"))
+
+
+def candidates(found: DataFrame, tokens, most: int = 25) -> DataFrame:  # noqa: ANN001
+    """Admitted links of a page by candidate score, the best of each page."""
+    return _best(_admitted(found).withColumn("score", candidate_score(F.col("label"), F.col("url"), tokens, F.col("context"))), most)
+
+
+def navigation(found: DataFrame, most: int = 12) -> DataFrame:
+    """Where a crawler goes on from a page: its admitted links with a positive navigation score, documents and bad queries left out; of one URL the first."""
+    rows = _admitted(found).where(~urls.is_document(F.col("url")) & ~urls.has_bad_query(F.col("url")))
+    rows = rows.withColumn("score", navigation_score(F.col("label"), F.col("url"))).where("score > 0")
+    first = rows.groupBy("page_id", "page_url", "url").agg(F.min_by(F.struct("n", "label", "score"), "n").alias("f"))
+    return _best(first.select("page_id", "page_url", "url", "f.*"), most)
