@@ -51,13 +51,14 @@ def _body(print_: Column) -> Column:
 
 def tag_list(print_: Column) -> Column:
     """The leaf tags of a fingerprint."""
-    flat = F.regexp_replace(_body(print_), "[0-9a-f]+=|[0-9a-f]+~|[./]", "")
+    # hashes have fixed lengths, so a pattern never runs along the tags
+    flat = F.regexp_replace(_body(print_), f"[0-9a-f]{{{2 * TAG}}}=|[0-9a-f]{{{TAG}}}~|[./]", "")
     return F.regexp_extract_all(flat, F.lit(f".{{{TAG}}}"), F.lit(0))
 
 
 def branches(print_: Column) -> tuple[Column, Column, Column]:
     """The hashes of a fingerprint's sections, of its paragraphs, and the tags of its leaves, each in the order of the text."""
-    return F.regexp_extract_all(_body(print_), F.lit("([0-9a-f]+)="), F.lit(1)), F.regexp_extract_all(_body(print_), F.lit("([0-9a-f]+)~"), F.lit(1)), tag_list(print_)
+    return F.regexp_extract_all(_body(print_), F.lit(f"([0-9a-f]{{{2 * TAG}}})="), F.lit(1)), F.regexp_extract_all(_body(print_), F.lit(f"([0-9a-f]{{{TAG}}})~"), F.lit(1)), tag_list(print_)
 
 
 def _same(x: Column, y: Column) -> Column:
