@@ -16,10 +16,10 @@ SIMILAR = 0.92
 
 
 def first_per_key(df: DataFrame, key: Column, pos: str = "pos", keep_blank: bool = False) -> DataFrame:
-    """The first row by pos of every non-blank key; rows with a blank key go, or stay with keep_blank. Aggregated before the shuffle, so a hot key is one row a task."""
+    """The first row by pos of every non-blank key; rows with a blank key go, or stay with keep_blank. Aggregated before the shuffle, so a hot key is one row a task; of rows that share key and position one stays."""
     keyed = df.withColumn("_k", key)
     first = keyed.where("_k <> ''").groupBy("_k").agg(F.min(pos).alias("_first"))
-    firsts = keyed.where("_k <> ''").join(first, "_k").where(F.col(pos) == F.col("_first")).drop("_first")
+    firsts = keyed.where("_k <> ''").join(first, "_k").where(F.col(pos) == F.col("_first")).drop("_first").dropDuplicates(["_k"])
     out = firsts.unionByName(keyed.where("coalesce(_k, '') = ''")) if keep_blank else firsts
     return out.drop("_k")
 
