@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, langid, lm, merkle, mixing, pagediff, sharding, simhash, toxicity, urlfilter
+from . import common, decontaminate, exponion, langid, lm, merkle, mixing, pagediff, sharding, simhash, toxicity, urlfilter
 from .common import fold
 
 SHARDS = 16
@@ -78,15 +78,51 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exponion.cluster(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_document_fingerprints, op2_simhash_near_dedup, op3_url_filters, op4_language_id, op5_mixing,
         op6_html_extraction, op7_toxicity, op8_decontamination, op9_lm_scoring, op10_sharding,
+        op11_centroid_clustering,
     )
 }
 
 _RULES, _LISTED = (", ".join(f"('{e}', '{v}')" for e, v in rows) for rows in (RULES, LISTED))
+
+
+def _lloyd(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    """The rounds of op 11, one set of tables a round."""
+    parts = [f"""
+        WITH e AS MATERIALIZED (
+            SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}),
+        c0 AS MATERIALIZED (
+            SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS c, v
+            FROM (SELECT sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, v FROM e ORDER BY h, v LIMIT {k}))"""]
+    for r in range(rounds + 1):
+        parts.append(f"""
+        d{r} AS (
+            SELECT n, vec_id, e.v, c, list_sum(list_transform(list_zip(e.v, m.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+            FROM e CROSS JOIN c{r} AS m),
+        a{r} AS MATERIALIZED (
+            SELECT n, vec_id, v, c, d FROM d{r} QUALIFY row_number() OVER (PARTITION BY n ORDER BY d, c) = 1)""")
+        if r < rounds:
+            parts.append(f"""
+        s{r} AS (SELECT c, i, sum(v[i]) AS s, count(*) AS k FROM a{r}, range(1, {dims + 1}) AS t(i) GROUP BY c, i),
+        c{r + 1} AS MATERIALIZED (
+            SELECT c{r}.c, coalesce(m.v, c{r}.v) AS v
+            FROM c{r} LEFT JOIN (SELECT c, list(CAST((s - ((s % k) + k) % k) // k AS BIGINT) ORDER BY i) AS v FROM s{r} GROUP BY c) AS m USING (c))""")
+    return ",".join(parts) + f"""
+        SELECT vec_id, c AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(m.v, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} AS m USING (c)"""
+
+
 ORACLE_SQL = {
     "op3_url_filters": rf"""
         WITH p AS (
@@ -117,4 +153,5 @@ ORACLE_SQL = {
             FROM c JOIN listed ON (host = h OR ends_with(host, '.' || h)) AND (path = q OR ends_with(q, '/') AND starts_with(path, q))
             GROUP BY n)
         SELECT page_id, host, path, rule, coalesce(m.verdict, b.verdict, 'allow') AS verdict FROM u LEFT JOIN m USING (n) LEFT JOIN b USING (n)""",
+    "op11_centroid_clustering": _lloyd(),
 }
