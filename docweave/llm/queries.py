@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, exponion, langid, lm, merkle, mixing, pagediff, sharding, simhash, toxicity, urlfilter
+from . import common, decontaminate, exponion, langid, lm, merkle, mixing, ngramjoin, pagediff, sharding, simhash, toxicity, turns, urlfilter
 from .common import fold
 
 SHARDS = 16
@@ -82,12 +82,21 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exponion.cluster(read(spark, sf_dir, "embeddings"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations")
+    return turns.reports(turns.damaged(rows), rows)
+
+
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.join(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_document_fingerprints, op2_simhash_near_dedup, op3_url_filters, op4_language_id, op5_mixing,
         op6_html_extraction, op7_toxicity, op8_decontamination, op9_lm_scoring, op10_sharding,
-        op11_centroid_clustering,
+        op11_centroid_clustering, op12_conversation_repair, op13_ngram_jaccard_join,
     )
 }
 
@@ -154,4 +163,60 @@ ORACLE_SQL = {
             GROUP BY n)
         SELECT page_id, host, path, rule, coalesce(m.verdict, b.verdict, 'allow') AS verdict FROM u LEFT JOIN m USING (n) LEFT JOIN b USING (n)""",
     "op11_centroid_clustering": _lloyd(),
+    "op12_conversation_repair": r"""
+        WITH RECURSIVE t AS (
+            SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, b: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc),
+        src AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   xor(4294967295, list_reduce([4294967295] || list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                                               lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) % 20 AS kind
+            FROM conversations, t),
+        dam AS MATERIALIZED (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+            FROM src, range(2) AS c(i) WHERE kind <> 0 AND (i = 0 OR kind = 3)),
+        num AS MATERIALIZED (
+            SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS k FROM dam),
+        rws AS MATERIALIZED (
+            SELECT conv_id, turn, role, text, k, substr(role, 1, 1) AS initial, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS before,
+                   CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+                        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate'
+                        WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' ELSE '' END AS fault
+            FROM num),
+        step AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) AS v(st, initial, nx)),
+        ins AS (SELECT * FROM (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 5, 'I'), (0, 3, 10, 'II'), (1, 2, 5, 'I'), (1, 3, 10, 'II'), (2, 3, 5, 'I'), (3, 2, 5, 'I')) AS v(st, nx, cost, letters)),
+        edge AS MATERIALIZED (
+            SELECT conv_id, k, st, st AS nx, 2 AS cost, 'D' AS letter FROM rws, range(4) AS r(st)
+            UNION ALL
+            SELECT conv_id, k, st, nx, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, 'K' FROM rws JOIN step USING (initial) WHERE fault NOT IN ('blank', 'duplicate')
+            UNION ALL
+            SELECT conv_id, k, st, nx, CASE WHEN fault = 'truncated' THEN 6 ELSE 1 END, 'R' FROM rws, step WHERE step.initial <> 's' AND fault NOT IN ('blank', 'duplicate')),
+        ways AS (
+            SELECT conv_id, CAST(0 AS BIGINT) AS k, nx AS st, {'c': CAST(cost AS BIGINT), 'a': letters, 'p': CASE letters WHEN '' THEN '' WHEN 'I' THEN '2' ELSE '23' END} AS way
+            FROM (SELECT DISTINCT conv_id FROM dam), ins WHERE ins.st = 0
+            UNION ALL
+            SELECT w.conv_id, e.k, i.nx, min({'c': CAST(w.way.c + e.cost + i.cost AS BIGINT), 'a': w.way.a || e.letter || i.letters,
+                                              'p': w.way.p || CAST(e.nx AS VARCHAR) || CASE WHEN i.letters = '' THEN '' WHEN i.letters = 'I' THEN CAST(i.nx AS VARCHAR) ELSE '23' END})
+            FROM ways AS w JOIN edge AS e ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.k = w.k + 1 AND e.st = w.st JOIN ins AS i ON i.st = e.nx
+            GROUP BY w.conv_id, e.k, i.nx),
+        best AS (
+            SELECT w.conv_id, min(way) AS way
+            FROM ways AS w JOIN (SELECT conv_id, count(*) AS n FROM rws GROUP BY conv_id) AS c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.k
+            WHERE st IN (0, 3) GROUP BY w.conv_id),
+        letters AS (
+            SELECT conv_id, i, way.a[i] AS letter, way.p[i] AS st, length(replace(way.a[1:i], 'I', '')) AS k
+            FROM (SELECT conv_id, way, unnest(range(1, length(way.a) + 1)) AS i FROM best)),
+        rep AS (
+            SELECT l.conv_id, string_agg(CASE WHEN letter = 'K' THEN r.role WHEN st = '2' THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE r.text END, chr(10) ORDER BY i) AS whole
+            FROM letters AS l LEFT JOIN rws AS r ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.k = l.k WHERE letter <> 'D' GROUP BY l.conv_id),
+        counts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM rws GROUP BY conv_id)
+        SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               coalesce(way.c, 0) AS cost, coalesce(way.a, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) AS o LEFT JOIN counts AS c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+             LEFT JOIN best AS b ON b.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN rep AS r ON r.conv_id IS NOT DISTINCT FROM o.conv_id""",
 }
