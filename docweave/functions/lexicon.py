@@ -9,9 +9,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import no_hyphen
+from .text import let, no_hyphen
 
 _WORD = r"[\p{L}\p{N}_]"
+#: Words of a table's terms at most; each number of words is one more pass over a text's tokens.
+LONGEST = 12
 
 
 def has_word(lowered: Column, term: str) -> Column:
@@ -81,3 +83,32 @@ class Lexicon:
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         """The lexicon as rows (lexicon, ord, term, weight, mode)."""
         return spark.createDataFrame([(name, i, t, float(w), self.mode) for i, (t, w) in enumerate(self.terms)], "lexicon string, ord int, term string, weight double, mode string")
+
+
+def grams(lowered: Column, sizes: Sequence[int]) -> Column:
+    """The distinct stretches of a text from a word's beginning to a word's end, as they stand, with so many words: what terms between word boundaries can be."""
+
+    def stretches(parts: Column, n: int) -> Column:
+        last = F.size(parts) - 2 * (n - 1)
+        starts = F.filter(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: (i <= last) & F.get(parts, i - 1).rlike(f"^{_WORD}"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(parts, i, F.lit(2 * n - 1)), ""))
+
+    parts = F.regexp_extract_all(lowered, F.lit(f"{_WORD}+|[^\\p{{L}}\\p{{N}}_]+"), F.lit(0))
+    return let(parts, lambda p: F.array_distinct(F.concat(*[stretches(p, n) for n in sizes])))
+
+
+def hits(texts: DataFrame, key: str, lowered: Column, terms: DataFrame) -> DataFrame:
+    """(key, and the columns of terms) for every row of terms whose term stands in the (lower-cased) text between word boundaries.
+
+    One pass over the tokens of a text and one join, for any number of terms: terms is a table (term, ...; lower case, each beginning and ending with a word
+    character, of LONGEST words at most). A text gives each of its stretches once, however often it stands there.
+    """
+    words = F.size(F.regexp_extract_all("term", F.lit(f"{_WORD}+"), F.lit(0)))
+    whole = F.col("term").rlike(f"^{_WORD}(?s:.*{_WORD})?$")
+    sizes = [r.n for r in terms.select(F.when(whole, words).alias("n")).distinct().collect()]  # at most LONGEST numbers, or an error
+    if None in sizes or max(sizes, default=0) > LONGEST:
+        raise ValueError(f"terms begin and end with a word character and have {LONGEST} words at most")
+    if not sizes:
+        return texts.select(key).join(terms, F.lit(False))
+    found = texts.select(key, F.explode(grams(lowered, sorted(sizes))).alias("term"))
+    return found.join(terms, "term").select(key, *terms.columns)

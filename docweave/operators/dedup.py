@@ -45,15 +45,75 @@ def _keyed(df: DataFrame, pos: str) -> DataFrame:
     )
 
 
-def _alike(rows: DataFrame, similar: float) -> DataFrame:
-    """Pairs (earlier, later) of rows with unlike fingerprints, equal organisation and deadline, and titles at least similar.
+#: Characters of a gram, and hash classes in which grams are counted: the order of the index, whatever the number of titles, is a table of so many numbers.
+GRAM, CLASSES = 3, 1 << 16
+
+
+def _edits(similar: float) -> float:
+    """Insertions and deletions for each character of a title that a partner of this similarity can take."""
+    return 2 * (1 - similar) / similar
+
+
+def _indexable(similar: float) -> bool:
+    """Whether every title that allows an edit has as many grams as its prefix: GRAM edits + 1 of length - GRAM + 1."""
+    c = _edits(similar)
+    return 0 < c < 1 / GRAM and all(GRAM * (int(n * c + 1e-9) + 1) <= n for n in range(math.ceil(1 / c - 1e-9), math.ceil(GRAM / (1 - GRAM * c))))
 
-    A ratio that high needs lengths within similar / (2 - similar) of each other, so rows meet by classes of length: a hot organisation is many groups, not one.
+
+def title_pairs(titles: DataFrame, similar: float) -> DataFrame:
+    """(a, b), a < b, of titles (u, g, t) that share the group g, where either order has at least the similarity.
+
+    A ratio r leaves k = (1 - r)(length of both) characters unmatched at most, and each of these breaks one of a title's disjoint grams. Grams are ordered by how rare they are; a title's prefix is
+    its GRAM k + 1 rarest, its pivots k + 1 disjoint ones of them. Of two similar titles the one whose prefix ends first has a pivot in the other's prefix, at nearly
+    the same place. So pivots are joined with prefixes by group and gram; length, place and the number of lost grams are tested in the join, and only what is left is compared by ratio.
     """
+    c = _edits(similar)
+    n = F.length("t")
+    most = F.floor(n * F.lit(c) + F.lit(1e-9)).cast("int")
+    several = titles.groupBy("g").agg(F.min("u").alias("lo"), F.max("u").alias("hi")).where("lo <> hi").select("g")
+    rows = durable(titles.join(several, "g", "left_semi").withColumn("n", n).withColumn("k", most).where("k > 0").withColumn("h", F.transform(F.sequence(F.lit(1), F.col("n") - (GRAM - 1)), lambda i: F.xxhash64(F.substring("t", i, F.lit(GRAM))))))
+    share = F.pmod("x", F.lit(CLASSES)).cast("int")
+    counted = rows.select(F.explode("h").alias("x")).groupBy(share.alias("i")).count()
+    every = rows.sparkSession.range(CLASSES).select(F.col("id").cast("int").alias("i"), F.lit(0).cast("long").alias("count")).unionByName(counted)
+    table = every.groupBy("i").agg(F.sum("count").alias("n")).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "n"))), lambda s: s["n"]).alias("df")).withColumn("one", F.lit(1))
+    known = rows.withColumn("one", F.lit(1)).join(F.broadcast(table), "one")  # one row of CLASSES numbers
+    ordered = F.array_sort(F.transform("h", lambda x, i: F.struct(F.get("df", F.pmod(x, F.lit(CLASSES)).cast("int")).alias("df"), x.alias("x"), i.alias("at"))))
+    prefix = F.slice(ordered, F.lit(1), F.col("k") * GRAM + 1)
+    placed = F.array_sort(F.transform("prefix", lambda s: F.struct(s["at"].alias("at"), s["x"].alias("x"))))
+    none = F.array().cast("array<struct<at:int,x:bigint>>")
+    apart = F.aggregate(placed, none, lambda a, s: F.when((F.size(a) == 0) | (s["at"] >= F.element_at(a, -1)["at"] + GRAM), F.concat(a, F.array(s))).otherwise(a))
+    known = durable(known.withColumn("prefix", prefix).withColumn("pivots", F.slice(apart, F.lit(1), F.col("k") + 1)).drop("df", "one"))
+    own = known.select("g", F.col("u").alias("u1"), F.col("t").alias("t1"), F.col("n").alias("n1"), F.col("h").alias("h1"), F.inline("pivots")).withColumnRenamed("at", "at1")
+    other = known.select("g", F.col("u").alias("u2"), F.col("t").alias("t2"), F.col("n").alias("n2"), F.col("h").alias("h2"), F.inline(F.transform("prefix", lambda s: F.struct(s["at"].alias("at"), s["x"].alias("x"))))).withColumnRenamed("at", "at2")
+    both = F.col("n1") + F.col("n2")
+    room = F.floor(both * F.lit(1 - similar) + F.lit(1e-9)).cast("int")
+    met = own.join(other, ["g", "x"]).where(F.col("u1") != F.col("u2")).where((2 * F.least("n1", "n2") >= similar * both - 1e-9) & (F.abs(F.col("at1") - F.col("at2")) <= room))
+    met = met.where((F.size(F.array_except("h1", "h2")) <= room * GRAM) & (F.size(F.array_except("h2", "h1")) <= room * GRAM))
+    first = F.col("u1") < F.col("u2")
+    pairs = met.select(F.least("u1", "u2").alias("a"), F.greatest("u1", "u2").alias("b"), F.when(first, F.col("t1")).otherwise(F.col("t2")).alias("ta"), F.when(first, F.col("t2")).otherwise(F.col("t1")).alias("tb")).distinct()
+    out = durable(pairs.withColumn("ab", ratio(F.col("tb"), F.col("ta")) >= similar).withColumn("ba", ratio(F.col("ta"), F.col("tb")) >= similar).where("ab or ba").select("a", "b", "ab", "ba"))
+    forget(rows, known)
+    return out
+
+
+def _alike(rows: DataFrame, similar: float) -> DataFrame:
+    """Pairs (earlier, later) of rows with unlike fingerprints, equal organisation and deadline, and titles at least similar."""
     if similar > 1:
         return rows.select(F.col("p").alias("earlier"), F.col("p").alias("later")).limit(0)
+    named = rows.where("o <> '' and d <> '' and t <> ''")
+    if not _indexable(similar):
+        return _alike_by_length(named, similar)
+    named = named.withColumn("g", F.xxhash64("o", "d")).withColumn("u", F.sha2(F.concat_ws("|", "t", "o", "d"), 256))
+    pairs = title_pairs(named.select("u", "g", "t").distinct(), similar)
+    of = lambda i, c: named.select(F.col("p").alias(f"p{i}"), F.col("u").alias(c))
+    met = pairs.join(of(1, "a"), "a").join(of(2, "b"), "b")
+    return met.where("(p1 < p2 and ab) or (p2 < p1 and ba)").select(F.least("p1", "p2").alias("earlier"), F.greatest("p1", "p2").alias("later"))
+
+
+def _alike_by_length(named: DataFrame, similar: float) -> DataFrame:
+    """_alike() for similarities too low for the index: rows meet by classes of length, which a ratio keeps within similar / (2 - similar) of each other."""
     step = -math.log(similar / (2 - similar)) + 1e-9
-    named = rows.where("o <> '' and d <> '' and t <> ''").withColumn("c", F.floor(F.log(F.length("t").cast("double")) / step).cast("int"))
+    named = named.withColumn("c", F.floor(F.log(F.length("t").cast("double")) / step).cast("int"))
     a, b = (named.select(*[F.col(c).alias(f"{c}{i}") for c in ("p", "f", "t", "o", "d", "c")]) for i in (1, 2))
     b = b.withColumn("c2", F.explode(F.array(F.col("c2") - 1, F.col("c2"), F.col("c2") + 1)))
     near = (F.col("o1") == F.col("o2")) & (F.col("d1") == F.col("d2")) & (F.col("c1") == F.col("c2")) & (F.col("p1") < F.col("p2")) & (F.col("f1") != F.col("f2"))

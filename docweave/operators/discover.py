@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,6 +75,37 @@ def crawl(start: DataFrame, links: DataFrame, depth: int = 2, most_pages: int =
     return seen
 
 
+def guided(start: DataFrame, expand: Callable[[DataFrame, bool], tuple[DataFrame, DataFrame]], depth: int = 2, most_pages: int = 12, most_found: int = 25) -> tuple[DataFrame, DataFrame]:
+    """Pages (source, url, depth, n) and finds (source, k, link, score, n): a crawl that goes where links score best and gathers candidates on its way.
+
+    expand(front, deeper) gives, for pages of a front (url), where to go on (url, to_url, score, pos; none needed unless deeper) and what is offered there (url, link, score, pos). A source's pages queue
+    up page after page, each page's links by score, then pos; a URL is queued once, and most_pages are visited. Finds are taken page by page in the same way, the first of each link; the page
+    that fills most_found is the last one visited. Every front is at most most_pages pages a source, so only visited pages are read and parsed.
+    """
+    order = Window.partitionBy("source").orderBy("parent", "down", "pos", "url")
+    first = start.select("source", "url", F.lit(0).alias("parent"), F.lit(0.0).alias("down"), F.lit(0).cast("long").alias("pos")).distinct()
+    seen = front = durable(first.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most_pages).select("source", "url", F.lit(0).alias("depth"), "n"))
+    finds = []
+    for d in range(depth + 1):
+        links, found = expand(front.select("url").distinct(), d < depth)
+        finds.append(durable(front.join(found.select("url", "link", F.col("score").cast("double").alias("score"), F.col("pos").cast("long").alias("pos")), "url").select("source", "n", "link", "score", "pos")))
+        if d == depth:
+            break
+        met = front.join(links.select("url", "to_url", (-F.col("score").cast("double")).alias("down"), F.col("pos").cast("long").alias("pos")), "url")
+        met = met.groupBy("source", F.col("to_url").alias("url")).agg(F.min(F.struct(F.col("n").alias("parent"), "down", "pos")).alias("by")).select("source", "url", "by.*")
+        new = met.join(seen.select("source", "url"), ["source", "url"], "left_anti")
+        new = new.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most_pages)
+        held = seen.groupBy("source").agg(F.max("n").alias("held"))
+        front = durable(new.join(held, "source").select("source", "url", F.lit(d + 1).alias("depth"), (F.col("held") + F.col("k")).alias("n")).where(F.col("n") <= most_pages))
+        seen = seen.unionByName(front)
+    every = reduce(DataFrame.unionByName, finds)
+    once = every.groupBy("source", "link").agg(F.min(F.struct("n", (-F.col("score")).alias("down"), "pos")).alias("by")).select("source", "link", "by.*")
+    ranked = once.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy("n", "down", "pos", "link"))).where(F.col("k") <= most_found)
+    ranked = durable(ranked.select("source", "k", "link", (-F.col("down")).alias("score"), "n"))
+    full = ranked.where(F.col("k") == most_found).select("source", F.col("n").alias("last"))
+    return seen.join(full, "source", "left").where("last is null or n <= last").drop("last"), ranked
+
+
 def quota(calls: DataFrame, key: str, order: str, per_key: int, in_all: int) -> DataFrame:
     """calls with allowed: within the key's limit and, of those, within the limit of all, in order. order tells calls apart; calls that share it are allowed or not together.
 

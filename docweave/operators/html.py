@@ -16,6 +16,7 @@ from pyspark.sql.functions import pandas_udf
 from ..functions import lexicons as lx
 from ..functions import urls
 from ..functions.text import squeeze, text
+from ..session import durable
 from .clean import without_blocks, without_pairs
 from .dedup import consecutive
 from .score import candidate_score, link_score, navigation_score
@@ -286,3 +287,17 @@ def navigation(found: DataFrame, most: int = 12) -> DataFrame:
     rows = rows.withColumn("score", navigation_score(F.col("label"), F.col("url"))).where("score > 0")
     first = rows.groupBy("page_id", "page_url", "url").agg(F.min_by(F.struct("n", "label", "score"), "n").alias("f"))
     return _best(first.select("page_id", "page_url", "url", "f.*"), most)
+
+
+def expander(pages: DataFrame, tokens, page: str = "html", url: str = "url", most_links: int = 12, most_found: int = 25):  # noqa: ANN001, ANN201
+    """What discover.guided() asks of landed pages (url, html): navigation links and candidates of those of a front, parsed then. Of a URL's repeated pages one counts."""
+
+    def expand(front: DataFrame, deeper: bool) -> tuple[DataFrame, DataFrame]:
+        here = pages.select(urls.normalized(F.col(url)).alias("page_id"), F.col(page).cast("string").alias("html"))
+        here = here.join(front.select(F.col("url").alias("page_id")), "page_id", "left_semi").groupBy("page_id").agg(F.min("html").alias("html"))
+        found = durable(links(here.withColumn("url", F.col("page_id"))))
+        offered = candidates(found, tokens, most_found).select(F.col("page_url").alias("url"), urls.normalized(F.col("url")).alias("link"), "score", F.col("n").alias("pos"))
+        on = navigation(found, most_links).select(F.col("page_url").alias("url"), urls.normalized(F.col("url")).alias("to_url"), "score", F.col("n").alias("pos"))
+        return on, offered
+
+    return expand

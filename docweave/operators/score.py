@@ -5,13 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, urls
 from ..functions import lexicons as lx
-from ..functions.lexicon import Lexicon
+from ..functions.lexicon import Lexicon, hits
 from ..functions.num import flags, round2, text2
 from ..functions.text import contained, contains_any, no_hyphen, squeeze, strip, text
 
@@ -58,21 +59,75 @@ def relevance(df: DataFrame, as_of: Column, policy: Policy | None = None) -> Dat
     Absent columns and nulls count as empty. Intermediate columns are dropped.
     """
     p, have = policy or Policy(), set(df.columns)
-    col = lambda n: text(F.col(n).cast("string")) if n in have else F.lit("")
-    rows = df.withColumn("_t", F.lower(F.concat_ws(" ", *[col(n) for n in FIELDS])))
+    zones = _zones(have)
+    rows = df.withColumn("_t", zones["all"])
     t = F.col("_t")
-    due = dates.parse(col("deadline"), "score")
-    source = F.lower(F.concat(col("source"), F.lit(" "), col("source_url")))
     rows = rows.withColumns({
         "_blocked": p.blocked.first(t), "_cores": p.core.list_(t), "_seconds": p.secondary.list_(t), "_proc": p.procurement.any_(t), "_services": p.service.list_(t),
-        "_up": p.boost.first(t), "_down": p.penalty.first(t), "_org": F.coalesce(p.organizations.first_weight(F.lower(col("organization"))), F.lit(0.0)), "_src": F.coalesce(p.sources.first_weight(source), F.lit(0.0)),
-        "_fresh": freshness(due, as_of), "_meta": metadata(df.columns), "_negs": p.negative.list_(t), "_title": p.title_terms.count(F.lower(col("title"))),
+        "_up": p.boost.first(t), "_down": p.penalty.first(t), "_org": F.coalesce(p.organizations.first_weight(zones["organization"]), F.lit(0.0)), "_src": F.coalesce(p.sources.first_weight(zones["source"]), F.lit(0.0)),
+        "_negs": p.negative.list_(t), "_title": p.title_terms.count(zones["title"]),
     })
     one = lambda lexicon, c: lexicon.weigh(F.array_compact(F.array(c)))
     rows = rows.withColumns({
-        "_core": F.least(p.core.weigh(F.col("_cores")), F.lit(0.55)), "_second": p.secondary.weigh(F.col("_seconds")), "_neg": F.least(p.negative.weigh(F.col("_negs")), F.lit(0.30)),
-        "_region": F.when(F.col("_up").isNotNull(), one(p.boost, F.col("_up"))).when(F.col("_down").isNotNull(), -one(p.penalty, F.col("_down"))).otherwise(0.0), "_area": F.coalesce("_up", "_down"),
+        "_core": p.core.weigh(F.col("_cores")), "_second": p.secondary.weigh(F.col("_seconds")), "_neg": p.negative.weigh(F.col("_negs")),
+        "_region": F.when(F.col("_up").isNotNull(), one(p.boost, F.col("_up"))).when(F.col("_down").isNotNull(), -one(p.penalty, F.col("_down"))).otherwise(0.0),
+    })
+    out = _scored(rows, as_of, df.columns)
+    # counts the scored rows; it also keeps later conditions on the score from being pushed below it, each with a copy of the whole expression
+    return out.observe(f"scored-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+
+
+#: The lexicons of a policy, and the part of a row that each is looked up in.
+ZONES = {
+    "blocked": "all", "core": "all", "secondary": "all", "procurement": "all", "service": "all", "boost": "all", "penalty": "all", "negative": "all",
+    "organizations": "organization", "sources": "source", "title_terms": "title",
+}
+
+
+def policy_table(spark: SparkSession, policy: Policy | None = None) -> DataFrame:
+    """(lexicon, ord, term, weight) of a policy."""
+    p = policy or Policy()
+    return reduce(DataFrame.unionByName, [getattr(p, name).table(spark, name).select("lexicon", "ord", F.lower("term").alias("term"), "weight") for name in ZONES])
+
+
+def relevance_by_table(df: DataFrame, as_of: Column, lexicons: DataFrame, key: str = "pos") -> DataFrame:
+    """relevance() with its lexicons in a table (lexicon, ord, term, weight) of any size; key tells the rows of df apart.
+
+    The texts' word stretches are joined with the terms once for all lexicons. What comes back for a row is the terms it holds.
+    """
+    have = set(df.columns)
+    zones = _zones(have)
+    put = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
+    terms = lexicons.where(F.col("lexicon").isin(*ZONES)).withColumn("_zone", F.element_at(put, F.col("lexicon")))
+    found = [hits(df.select(F.col(key).alias("_key"), c.alias("_text")), "_key", F.col("_text"), terms.where(F.col("_zone") == z)) for z, c in zones.items()]
+    each = reduce(DataFrame.unionByName, found).groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("lexicon", "ord", "term", F.col("weight").cast("double").alias("weight")))).alias("_hits"))
+    rows = df.join(each, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    of = lambda name: F.filter("_hits", lambda h: h["lexicon"] == name)
+    names = lambda name: F.coalesce(F.transform(of(name), lambda h: h["term"]), F.array().cast("array<string>"))
+    total = lambda name: F.coalesce(F.aggregate(of(name), F.lit(0.0), lambda a, h: a + h["weight"]), F.lit(0.0))
+    first = lambda name, field: F.get(of(name), F.lit(0))[field]
+    rows = rows.withColumns({
+        "_blocked": first("blocked", "term"), "_cores": names("core"), "_seconds": names("secondary"), "_proc": F.size(names("procurement")) > 0, "_services": names("service"),
+        "_up": first("boost", "term"), "_down": first("penalty", "term"), "_org": F.coalesce(first("organizations", "weight"), F.lit(0.0)), "_src": F.coalesce(first("sources", "weight"), F.lit(0.0)),
+        "_negs": names("negative"), "_title": F.size(names("title_terms")), "_core": total("core"), "_second": total("secondary"), "_neg": total("negative"),
+        "_region": F.coalesce(first("boost", "weight"), -first("penalty", "weight"), F.lit(0.0)),
     })
+    return _scored(rows, as_of, df.columns)
+
+
+def _zones(have: set[str]) -> dict[str, Column]:
+    """The lower-cased texts that lexicons are looked up in."""
+    col = lambda n: text(F.col(n).cast("string")) if n in have else F.lit("")
+    return {
+        "all": F.lower(F.concat_ws(" ", *[col(n) for n in FIELDS])), "organization": F.lower(col("organization")),
+        "source": F.lower(F.concat(col("source"), F.lit(" "), col("source_url"))), "title": F.lower(col("title")),
+    }
+
+
+def _scored(rows: DataFrame, as_of: Column, have: Sequence[str]) -> DataFrame:
+    """Score and reasons from what the lexicons found."""
+    due = dates.parse(text(F.col("deadline").cast("string")) if "deadline" in have else F.lit(""), "score")
+    rows = rows.withColumns({"_core": F.least("_core", F.lit(0.55)), "_neg": F.least("_neg", F.lit(0.30)), "_area": F.coalesce("_up", "_down"), "_fresh": freshness(due, as_of), "_meta": metadata(have)})
     s = F.when(F.size("_cores") > 0, F.col("_core")).otherwise(F.col("_second"))
     s = F.when(F.col("_proc"), s + F.lit(0.20)).otherwise(s * F.lit(0.80))
     n = F.size("_services")
@@ -93,9 +148,7 @@ def relevance(df: DataFrame, as_of: Column, policy: Policy | None = None) -> Dat
         F.concat(F.lit("Final Score = "), text2(F.col("score"))),
     ))
     reasons = F.when(F.col("_blocked").isNotNull(), F.array(F.concat(F.lit("Blocked keyword: "), F.col("_blocked")))).when(none, F.array(F.lit("No structural relevance found"))).otherwise(told)
-    out = rows.withColumn("reasons", reasons).drop(*[c for c in rows.columns if c.startswith("_") and c not in have])
-    # counts the scored rows; it also keeps later conditions on the score from being pushed below it, each with a copy of the whole expression
-    return out.observe(f"scored-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+    return rows.withColumn("reasons", reasons).drop(*[c for c in rows.columns if c.startswith("_") and c not in have])
 
 
 def discovery(title: Column, snippet: Column, url: Column) -> Column:

@@ -5,13 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import dates, lexicons, num, urls
+from ..functions import dates, lexicon, lexicons, num, urls
 from ..functions import text as tx
 from ..functions.lexicon import Lexicon
-from ..operators import assist, clean, dedup, discover, gates, html, insight, pages, parse, qualify, score, store
+from ..operators import assist, clean, dedup, discover, gates, html, insight, pages, parse, qualify, redirects, score, store
 from . import views
 from .views import AS_OF, OPPORTUNITIES, STORE, STORE_AS_OF, opportunities, read
 
@@ -148,6 +148,25 @@ def q_relevance(spark: SparkSession, d: str) -> DataFrame:
     return scored(spark, d).select("pos", "score")
 
 
+@query(SCORED + " SELECT pos, score FROM scored")
+def q_relevance_table(spark: SparkSession, d: str) -> DataFrame:
+    return score.relevance_by_table(opportunities(spark, d), day(AS_OF), score.policy_table(spark, CORPUS)).select("pos", "score")
+
+
+@query(r"""WITH o AS (SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents),
+    lex AS MATERIALIZED (SELECT DISTINCT unnest(regexp_extract_all(t, '[.!?]\s+([\p{L}\p{N}_]+ [\p{L}\p{N}_]+)', 1)) AS term FROM o),
+    p AS (SELECT doc_id, regexp_extract_all(t, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+') AS p FROM o),
+    i AS (SELECT doc_id, p, unnest(range(1, len(p) - 1)) AS i FROM p WHERE len(p) > 2),
+    g AS (SELECT DISTINCT doc_id, p[i] || p[i + 1] || p[i + 2] AS term FROM i WHERE regexp_matches(p[i], '^[\p{L}\p{N}_]'))
+    SELECT doc_id, count(*) AS n, CAST(sum(length(term)) AS BIGINT) AS weight, min(term) AS least FROM g JOIN lex USING (term) GROUP BY doc_id""")
+def q_lexicon_large(spark: SparkSession, d: str) -> DataFrame:
+    # every opening of two words of any sentence is a term: some ten thousand of them at 1,000 documents
+    docs = read(spark, d, "documents").select("doc_id", F.lower(tx.text("text")).alias("t"))
+    terms = docs.select(F.explode(F.regexp_extract_all("t", F.lit(r"[.!?]\s+([\p{L}\p{N}_]+ [\p{L}\p{N}_]+)"), F.lit(1))).alias("term")).distinct()
+    found = lexicon.hits(docs, "doc_id", F.col("t"), terms)
+    return found.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.length("term").cast("long")).alias("weight"), F.min("term").alias("least"))
+
+
 @query()
 def q_relevance_default_lexicon(spark: SparkSession, d: str) -> DataFrame:
     return score.relevance(opportunities(spark, d), day(AS_OF)).select("pos", "score", F.concat_ws(" | ", "reasons").alias("reasons"))
@@ -389,6 +408,57 @@ def q_crawl(spark: SparkSession, d: str) -> DataFrame:
     return discover.crawl(start, both)
 
 
+_GUIDED = """WITH e AS (SELECT 's' || l_suppkey AS a, 'p' || l_partkey AS b, CAST(l_linenumber AS DOUBLE) AS score, CAST(l_orderkey AS BIGINT) AS pos FROM lineitem),
+    k AS MATERIALIZED (SELECT a AS f, b AS t, score, pos FROM e UNION ALL SELECT b, a, score, pos FROM e),
+    c AS MATERIALIZED (SELECT DISTINCT f, 'o' || (pos % 300) AS link, score, pos FROM k QUALIFY row_number() OVER (PARTITION BY f ORDER BY score DESC, pos, t) <= 4),
+    r0 AS (SELECT n_name AS source, 's' || (n_nationkey + 1) AS url, 0 AS depth, 1 AS n FROM nation),
+    c1 AS (SELECT source, t AS url, min((n, -score, pos)) AS o FROM r0 JOIN k ON url = f GROUP BY 1, 2), m1 AS (SELECT c1.* FROM c1 ANTI JOIN r0 USING (source, url)),
+    r1 AS (SELECT source, url, 1 AS depth, 1 + row_number() OVER (PARTITION BY source ORDER BY o, url) AS n FROM m1 QUALIFY n <= 12),
+    s1 AS (SELECT source, url FROM r0 UNION ALL SELECT source, url FROM r1),
+    c2 AS (SELECT source, t AS url, min((n, -score, pos)) AS o FROM r1 JOIN k ON url = f GROUP BY 1, 2), m2 AS (SELECT c2.* FROM c2 ANTI JOIN s1 USING (source, url)), h AS (SELECT source, count(*) AS held FROM s1 GROUP BY 1),
+    r2 AS (SELECT source, url, 2 AS depth, held + row_number() OVER (PARTITION BY source ORDER BY o, url) AS n FROM m2 JOIN h USING (source) QUALIFY n <= 12),
+    v AS (SELECT * FROM r0 UNION ALL SELECT * FROM r1 UNION ALL SELECT * FROM r2),
+    q AS (SELECT source, link, min((n, -score, pos)) AS o, arg_min(score, (n, -score, pos)) AS score, min(n) AS n FROM v JOIN c ON url = f GROUP BY 1, 2),
+    found AS (SELECT source, row_number() OVER (PARTITION BY source ORDER BY o, link) AS k, link, score, n FROM q QUALIFY k <= 25)"""
+
+
+def _guided(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    e = read(spark, d, "lineitem").select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("url"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("to_url"), F.col("l_linenumber").cast("double").alias("score"), F.col("l_orderkey").cast("long").alias("pos"))
+    both = e.unionByName(e.select(F.col("to_url").alias("url"), F.col("url").alias("to_url"), "score", "pos"))
+    first = F.row_number().over(Window.partitionBy("url").orderBy(F.desc("score"), "pos", "to_url"))
+
+    def expand(front: DataFrame, deeper: bool) -> tuple[DataFrame, DataFrame]:
+        here = both.join(front, "url", "left_semi")
+        return here, here.where("pos is not null").withColumn("k", first).where("k <= 4").select("url", F.concat(F.lit("o"), (F.col("pos") % 300).cast("string")).alias("link"), "score", "pos").distinct()
+
+    start = read(spark, d, "nation").select(F.col("n_name").alias("source"), F.concat(F.lit("s"), (F.col("n_nationkey") + 1).cast("string")).alias("url"))
+    return discover.guided(start, expand)
+
+
+@query(_GUIDED + """ SELECT source, url, CAST(depth AS INTEGER) AS depth, CAST(n AS INTEGER) AS n FROM v WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.source = v.source AND f.k = 25 AND f.n < v.n)""")
+def q_guided_pages(spark: SparkSession, d: str) -> DataFrame:
+    return _guided(spark, d)[0]
+
+
+@query(_GUIDED + """ SELECT source, CAST(k AS INTEGER) AS k, link, score, CAST(n AS INTEGER) AS n FROM found""")
+def q_guided_finds(spark: SparkSession, d: str) -> DataFrame:
+    return _guided(spark, d)[1]
+
+
+@query("""WITH RECURSIVE l AS (SELECT l_orderkey, l_linenumber, l_partkey, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS nx FROM lineitem),
+    e AS MATERIALIZED (SELECT 'https://parts.example/' || l_partkey AS url, min('https://parts.example/' || nx) AS to_url FROM l WHERE l_orderkey % 4 = 0 AND nx IS NOT NULL GROUP BY 1),
+    w AS (SELECT to_url AS url, to_url AS final_url, 0 AS hops FROM (SELECT DISTINCT to_url FROM e) AS t WHERE to_url NOT IN (SELECT url FROM e)
+          UNION ALL SELECT e.url, w.final_url, w.hops + 1 FROM e JOIN w ON e.to_url = w.url)
+    SELECT url, final_url, CAST(hops AS BIGINT) AS hops, CASE WHEN hops = 0 THEN 'direct' ELSE 'redirected' END AS state FROM w
+    UNION ALL SELECT url, url, NULL, 'loop' FROM e WHERE url NOT IN (SELECT url FROM w)""")
+def q_redirects(spark: SparkSession, d: str) -> DataFrame:
+    # a part's page leads to that of the next part of an order
+    rows = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    rows = rows.withColumn("nx", F.lead("l_partkey").over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey"))).where("l_orderkey % 4 = 0")
+    site = lambda c: F.concat(F.lit("https://parts.example/"), F.col(c).cast("string"))
+    return redirects.chase(rows.select(site("l_partkey").alias("url"), site("nx").alias("to_url")))
+
+
 # ---- text cleaning ----
 
 _ws = r"trim(regexp_replace({0}, '[ \t]+', ' ', 'g'))"
