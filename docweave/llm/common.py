@@ -101,6 +101,26 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % parts
 
 
+#: Bits of a sieve: a table of two megabytes, whatever goes into it.
+SIEVE_BITS = 1 << 24
+
+
+def sieve(values: DataFrame, column: str) -> DataFrame:
+    """A bitmap of hashes (longs), in rows of 4 KB, of a fixed size."""
+    x = F.pmod(F.col(column), F.lit(SIEVE_BITS))
+    return values.select(F.bitmap_bucket_number(x).alias("_bucket"), F.bitmap_bit_position(x).alias("_bit")).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+
+
+def sifted(rows: DataFrame, column: str, bitmap: DataFrame) -> DataFrame:
+    """Rows whose hash may be in the bitmap: all that are, and few others as long as it is sparse. For the larger side of a join, before its shuffle."""
+    x = F.pmod(F.col(column), F.lit(SIEVE_BITS))
+    at = F.bitmap_bit_position(x).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.expr("shiftright(_byte, _at % 8) & 1") == 1
+    met = rows.withColumn("_bucket", F.bitmap_bucket_number(x)).join(F.broadcast(bitmap), "_bucket")
+    return met.withColumns({"_byte": byte, "_at": at}).where(hit).drop("_bucket", "_bits", "_byte", "_at")
+
+
 def packed(docs: DataFrame, keep: list[str] | None = None) -> Column:
     """The columns of docs (those of keep, if given) as one struct, so that none of their names can clash with an operator's own."""
     return F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)])

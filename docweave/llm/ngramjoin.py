@@ -26,17 +26,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, forget, pieces, small_batches
+from .common import durable, forget, pieces, sieve, sifted, small_batches
 from .simhash import components
 
 #: Percent of the union that a linked pair has in common at least, and words of a member.
 SHARE, WORDS = 90, 3
 #: Members that a task indexes: 8 bytes each, some ten times as much while it works.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: Fixed value: DivideSkip's weight, with which L = T / (WEIGHT log2(longest list) + 1).
 WEIGHT = 0.0085
 #: Words whose hashes a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Odd multipliers of the mixing steps.
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -121,15 +121,6 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], names=["doc_id", "th", "n", "sig", "keys"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sets = Sets()
-    for batch in batches:
-        column = batch.column("text").cast(pa.binary())
-        for lo, hi in pieces(column):
-            members = pa.array([sets.of(t).tobytes() for t in column[lo:hi].to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("node")[lo:hi], members], names=["node", "members"])
-
-
 class Joined:
     """Components of the sets of a task, smaller ones renamed into larger."""
 
@@ -210,8 +201,10 @@ class Index:
 
 def _resolve(table: pa.Table) -> pa.Table:
     """Links (a, b) that join the components of a task's sets as far as links between queries and the index do; without queries (ask null) the index searches itself."""
-    members, nodes, comps, ask = (table.column(c).to_pylist() for c in ("members", "node", "comp", "ask"))
-    sets = [np.frombuffer(m, np.uint64) for m in members]
+    nodes, comps, ask = (table.column(c).to_pylist() for c in ("node", "comp", "ask"))
+    column, sets, of = table.column("text").combine_chunks().cast(pa.binary()), [], Sets().of
+    for lo, hi in pieces(column):
+        sets += [of(t) for t in column[lo:hi].to_pylist()]
     joined = Joined(np.array(comps, np.int64))
     indexed = sorted((i for i in range(len(sets)) if not ask[i]), key=lambda i: (len(sets[i]), nodes[i]))
     queries = [i for i in range(len(sets)) if ask[i]]
@@ -234,22 +227,25 @@ def _resolve(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
-def _links(blocks: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) that join all linked sets (node, members), n members each, of each block (node, root, n)."""
-    whole = blocks.groupBy("root").agg(F.sum("n").alias("total"))
-    whole = durable(whole.withColumn("chunks", F.ceil(F.col("total") / CHUNK).cast("long")))
+def _links(blocks: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links (a, b) that join all linked sets of each block (node, root, n members, th and k of a row that has it); rows (th, k, text)."""
+    whole = durable(blocks.groupBy("root").agg(F.sum("n").alias("total")).withColumn("chunks", F.ceil(F.col("total") / CHUNK).cast("long")))
     packs = int((whole.where("chunks = 1").agg(F.sum("total")).first()[0] or 0) * 2 // CHUNK) + 1
     mod = lambda c, n: F.pmod(F.xxhash64(c), n)
-    placed = blocks.join(whole, "root").select("root", "node", "chunks", F.when(F.col("chunks") == 1, mod("root", F.lit(packs))).alias("pack"), mod("node", F.col("chunks")).alias("chunk"))
-    rows = durable(placed.join(sets, "node"))
+    home = F.when(F.col("chunks") == 1, mod("root", F.lit(packs))).otherwise(F.col("root"))
+    placed = durable(blocks.join(whole, "root").select("th", "k", "root", "node", "n", "chunks", home.alias("home"), mod("node", F.col("chunks")).alias("chunk")))
+    near = sifted(rows, "th", sieve(placed, "th"))
+
+    def texts(some: DataFrame) -> DataFrame:
+        return near.join(some, ["th", "k"]).dropDuplicates(["th", "k"]).drop("th", "k")  # rows that are the same stand for one; dealt by these keys already
+
     shape = "a long, b long"
-    each = F.when(F.col("chunks") == 1, F.col("pack")).otherwise(F.col("root")).alias("home")
-    alone = rows.select(each, "chunk", "chunks", "node", "members", F.col("node").alias("comp"), F.lit(False).alias("ask"))
+    alone = texts(placed).select(F.col("chunks").alias("chunks"), "home", "chunk", "node", "text", F.col("node").alias("comp"), F.lit(False).alias("ask"))
     found = durable(alone.groupBy((F.col("chunks") == 1).alias("small"), "home", "chunk").applyInArrow(_resolve, shape))
-    large = rows.where("chunks > 1").select("root", "chunk", "chunks", "node", "members")
-    if large.isEmpty():
-        forget(rows, whole)
+    if placed.where("chunks > 1").isEmpty():
+        forget(whole, placed)
         return found
+    large = durable(texts(placed.where("chunks > 1")).select("root", "chunk", "chunks", "node", "n", "text"))
 
     def with_comps(links: DataFrame) -> DataFrame:
         known = components(links).withColumnRenamed("root", "comp_")
@@ -261,16 +257,16 @@ def _links(blocks: DataFrame, sets: DataFrame) -> DataFrame:
     found = found.unionByName(durable(asked.groupBy("root", "chunk").applyInArrow(_resolve, shape)))
     forget(now)
     now = durable(with_comps(found))
-    size = now.groupBy("root", "comp").agg(F.count("*").alias("k"))
-    main = size.groupBy("root").agg(F.max(F.struct("k", "comp")).alias("m")).select("root", F.col("m.comp").alias("main"))
+    size = now.groupBy("root", "comp").agg(F.count("*").alias("c"))
+    main = size.groupBy("root").agg(F.max(F.struct("c", "comp")).alias("m")).select("root", F.col("m.comp").alias("main"))
     rest = durable(now.join(main, "root").where("comp <> main").drop("main"))
     if not rest.isEmpty():
-        lots = rest.groupBy("root").agg(F.ceil(F.sum(F.length("members")) / 8 / CHUNK).cast("long").alias("lots"))
+        lots = rest.groupBy("root").agg(F.ceil(F.sum("n") / CHUNK).cast("long").alias("lots"))
         put = rest.join(lots, "root").withColumn("lot", mod("node", F.col("lots"))).drop("lots")
         put = put.withColumn("own", F.col("chunk")).withColumn("chunk", F.explode(F.sequence(F.lit(1).cast("long"), F.col("chunks") - 1))).where("chunk <> own").drop("own").withColumn("ask", F.lit(True))
         base = now.where("chunk > 0").join(lots, "root").withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1))).drop("lots").withColumn("ask", F.lit(False))
         found = found.unionByName(durable(put.unionByName(base).groupBy("root", "chunk", "lot").applyInArrow(_resolve_lot, shape)))
-    forget(rows, whole, now, rest)
+    forget(whole, placed, large, now, rest)
     return found
 
 
@@ -295,14 +291,12 @@ def join(docs: DataFrame) -> DataFrame:
     told = durable(rows.mapInArrow(_described, "doc_id long, th long, n long, sig long, keys array<bigint>"))
     pairs = told.select(F.explode("keys").alias("key"), "sig")
     shared = durable(pairs.groupBy("key").agg(F.min("sig").alias("a"), F.max("sig").alias("z")).where("a <> z").select("key", "a"))
-    stars = pairs.join(shared, "key").where("sig <> a").select("a", F.col("sig").alias("b")).distinct()
+    stars = sifted(pairs, "key", sieve(shared, "key")).join(shared, "key").where("sig <> a").select("a", F.col("sig").alias("b")).distinct()
     blocks = components(stars)
     one = told.where("n > 0").groupBy("sig").agg(F.min(F.struct(_row_key(F.col("doc_id")).alias("k"), "th", "n")).alias("r"))
     blocks = durable(blocks.join(one, blocks.node == one.sig).select("node", "root", "r.k", "r.th", "r.n"))
     forget(shared)
-    texts = rows.select("text", "th", _row_key(F.col("doc_id")).alias("k")).join(blocks.select("node", "th", "k"), ["th", "k"])
-    sets = texts.select("node", "text").mapInArrow(_sets, "node long, members binary").dropDuplicates(["node"])
-    links = _links(blocks.select("node", "root", "n"), sets)
+    links = _links(blocks, rows.select("text", "th", _row_key(F.col("doc_id")).alias("k")))
     filled = told.where("n > 0")
     several = filled.where("doc_id is not null").groupBy("doc_id").agg(F.min("sig").alias("a"), F.max("sig").alias("z")).where("a <> z").select("doc_id", "a")
     links = links.unionByName(filled.join(several, "doc_id").select("a", F.col("sig").alias("b")).where("a <> b").distinct())
