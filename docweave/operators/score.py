@@ -87,7 +87,8 @@ ZONES = {
 def policy_table(spark: SparkSession, policy: Policy | None = None) -> DataFrame:
     """(lexicon, ord, term, weight) of a policy."""
     p = policy or Policy()
-    return reduce(DataFrame.unionByName, [getattr(p, name).table(spark, name).select("lexicon", "ord", F.lower("term").alias("term"), "weight") for name in ZONES])
+    rows = [(name, i, t.lower(), float(w)) for name in ZONES for i, (t, w) in enumerate(getattr(p, name).terms)]
+    return spark.createDataFrame(rows, "lexicon string, ord int, term string, weight double").coalesce(1)
 
 
 def relevance_by_table(df: DataFrame, as_of: Column, lexicons: DataFrame, key: str = "pos") -> DataFrame:
