@@ -14,6 +14,8 @@ from .text import let, no_hyphen
 _WORD = r"[\p{L}\p{N}_]"
 #: Words of a table's terms at most; each number of words is one more pass over a text's tokens.
 LONGEST = 12
+#: Terms of a table that may have other edges than word characters.
+ODD = 200
 
 
 def has_word(lowered: Column, term: str) -> Column:
@@ -100,15 +102,17 @@ def grams(lowered: Column, sizes: Sequence[int]) -> Column:
 def hits(texts: DataFrame, key: str, lowered: Column, terms: DataFrame) -> DataFrame:
     """(key, and the columns of terms) for every row of terms whose term stands in the (lower-cased) text between word boundaries.
 
-    One pass over the tokens of a text and one join, for any number of terms: terms is a table (term, ...; lower case, each beginning and ending with a word
-    character, of LONGEST words at most). A text gives each of its stretches once, however often it stands there.
+    One pass over the tokens of a text and one join, for any number of terms: terms is a table (term, ...) in lower case. A text gives each of its
+    stretches once, however often it stands there. Terms that are no such stretch (odd edges, more than LONGEST words) are looked for one by one; there may be ODD of them.
     """
     words = F.size(F.regexp_extract_all("term", F.lit(f"{_WORD}+"), F.lit(0)))
-    whole = F.col("term").rlike(f"^{_WORD}(?s:.*{_WORD})?$")
-    sizes = [r.n for r in terms.select(F.when(whole, words).alias("n")).distinct().collect()]  # at most LONGEST numbers, or an error
-    if None in sizes or max(sizes, default=0) > LONGEST:
-        raise ValueError(f"terms begin and end with a word character and have {LONGEST} words at most")
-    if not sizes:
-        return texts.select(key).join(terms, F.lit(False))
-    found = texts.select(key, F.explode(grams(lowered, sorted(sizes))).alias("term"))
-    return found.join(terms, "term").select(key, *terms.columns)
+    whole = F.col("term").rlike(f"^{_WORD}(?s:.*{_WORD})?$") & (words <= LONGEST)
+    sizes = [r.n for r in terms.where(whole).select(words.alias("n")).distinct().collect()]  # at most LONGEST numbers
+    odd = [r.term for r in terms.where(~whole).select("term").distinct().limit(ODD + 1).collect()]
+    if len(odd) > ODD:
+        raise ValueError(f"at most {ODD} terms may begin or end with something other than a word character, or have more than {LONGEST} words")
+    found = [grams(lowered, sorted(sizes))] if sizes else []
+    found += [F.array_compact(F.array(*[F.when(has_word(lowered, t), F.lit(t)) for t in odd]))] if odd else []
+    if not found:
+        return texts.select(key).limit(0).join(terms, F.lit(True)).select(key, *terms.columns)
+    return texts.select(key, F.explode(F.concat(*found)).alias("term")).join(terms, "term").select(key, *terms.columns)
