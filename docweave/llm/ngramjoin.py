@@ -3,8 +3,9 @@
 Two sets of sizes x and y with Jaccard similarity of at least SHARE/100 have an overlap of at least T = ceil(SHARE (x + y) / (100 + SHARE)) and differ in at most
 k = (x + y)(100 - SHARE) / (100 + SHARE) members. Three steps use that:
 
-1. Blocks. Sizes fall into classes with upper bounds U growing by half. Hashing members into k(U) + 1 parts leaves any linked pair of a class one part in which it agrees, so
-   each set sends one key a part (a set near its class's bound also those of the next). A part may be empty on both sides; sets with an empty part therefore also send their
+1. Blocks. Sizes fall into classes with upper bounds U growing by half; members are hashed into some 5/4 k(U) parts, and every part begins a stretch of parts that holds LEAST members, so that
+   no key rests on one or two common members. Each set sends one key a stretch (a set near its class's bound also those of the next class). A part in which two sets differ spoils the stretches that
+   cover it; if the k most covered parts leave a stretch whole, a linked pair shares a key. A set for which they don't also sends its
    prefix, the smallest n - ceil(SHARE n / 100) + 1 hashes, of which a linked pair shares one. Keys with one set are gone after the first aggregation; sets that share a key are joined
    to the key's smallest set, a star, never to each other. What is connected then is a block: no link leaves it.
 2. Search. A block is indexed by inverted lists. A query's n - L shortest lists are merged, keeping who occurs T - L times at least; those are looked up in the
@@ -33,6 +34,8 @@ from .simhash import components
 SHARE, WORDS = 90, 3
 #: Members that a task indexes: 8 bytes each, some ten times as much while it works.
 CHUNK = 1 << 20
+#: Members that a block key rests on at least.
+LEAST = 4
 #: Fixed value: DivideSkip's weight, with which L = T / (WEIGHT log2(longest list) + 1).
 WEIGHT = 0.0085
 #: Words whose hashes a task remembers.
@@ -88,19 +91,24 @@ def keys(s: np.ndarray) -> np.ndarray:
     n = len(s)
     if n * (100 - SHARE) < 100:
         return np.empty(0, np.uint64)
-    tops = bounds(n)
-    own = tops[-1]
-    out, whole = [], True
-    for top in [own, own * 3 // 2][: 1 + (n * 100 // SHARE > own)]:
-        parts = np.uint64(2 * top * (100 - SHARE) // (100 + SHARE) + 1)
-        part = (s % parts).astype(np.int64)
-        held = np.bincount(part, minlength=int(parts))
-        total = np.zeros(int(parts), np.uint64)
+    own, most = bounds(n)[-1], n * 100 // SHARE  # most: the largest partner
+    out, sure = [], True
+    for top in [own, own * 3 // 2][: 1 + (most > own)]:
+        parts = 2 * top * (100 - SHARE) // (100 + SHARE) * 5 // 4 + 2
+        part = (s % np.uint64(parts)).astype(np.int64)
+        held = np.bincount(part, minlength=parts)
+        total = np.zeros(parts, np.uint64)
         np.add.at(total, part, mixed(s))
-        full = np.flatnonzero(held)
-        whole &= len(full) == int(parts)
-        out.append(mixed(total[full] + np.uint64(top * int(_M1) % 2**64) + full.astype(np.uint64) * _M3))
-    if not whole:
+        ahead = np.concatenate([[0], np.cumsum(np.tile(held, 2))])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(np.tile(total, 2), dtype=np.uint64)])
+        first = np.arange(parts)
+        end = np.searchsorted(ahead, ahead[first] + LEAST, side="left")  # the stretch [first, end) holds LEAST members
+        out.append(mixed(sums[end] - sums[first] + np.uint64(top * int(_M1) % 2**64) + first.astype(np.uint64) * _M3 + (end - first).astype(np.uint64)))
+        cover = np.cumsum(np.bincount(first, minlength=2 * parts + 1) - np.bincount(end, minlength=2 * parts + 1))
+        cover = cover[:parts] + cover[parts : 2 * parts]
+        worst = (n + min(top, most)) * (100 - SHARE) // (100 + SHARE)  # parts that a partner can differ in
+        sure &= int(np.sort(cover)[::-1][:worst].sum()) < parts
+    if not sure:
         out.append(mixed(s[: n - -(-SHARE * n // 100) + 1] * _M1))
     return np.concatenate(out)
 
