@@ -7,7 +7,7 @@ import unicodedata
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
@@ -26,6 +26,12 @@ def let(c: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(c), body), F.lit(0))
 
 
+def once(df: DataFrame, values: Column, name: str) -> DataFrame:
+    """df with a row for each of the values (one, as a rule) in a further column. A generated column is worked out once, however often it is read; the optimiser would copy a plain one
+    into each place that reads it. Conditions on the other columns still go below it."""
+    return df.select("*", F.explode(values).alias(name))
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 

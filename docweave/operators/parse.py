@@ -1,7 +1,7 @@
 """Field extraction from cleaned document text.
 
-E-mail, phone, money, type and dates are native expressions. Title, organisation, location and description weigh competing lines
-against each other; they come from one Arrow-batched rule engine. Fields are texts, empty when absent.
+E-mail, phone, money, type, dates and the title (titles.py) are native expressions. Organisation, location and description
+come from one Arrow-batched rule engine. Fields are texts, empty when absent.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ from ..functions import dates
 from ..functions import lexicons as lx
 from ..functions.lexicon import has_word
 from ..functions.num import round2
-from ..functions.text import all_lines, strip, text
+from ..functions.text import all_lines, once, strip, text
+from . import titles
 
 # ---- native fields ----
 
@@ -99,21 +100,14 @@ def known_place(c: Column) -> Column:
 # ---- the rule engine ----
 
 _any = lambda words: re.compile(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, words), key=len, reverse=True)) + r")(?!\w)", re.I)
-GENERIC = re.compile("(?:" + "|".join(lx.GENERIC_HEADINGS) + ")", re.I)
-TITLE = _any(lx.TITLE_WORDS)
 GOVERN = _any(lx.GOVERNMENT)
 INSTITUTE = _any(lx.INSTITUTIONS)
 MONEY_OR_CONTACT = re.compile(r"₹|\brs\.?\s*\d|\binr\b|@|https?://|www\.|\b(?:phone|tel|fax|mobile|e-?mail)\b", re.I)
 ADDRESS = re.compile(r"\b(?:road|street|floor|plot|block|sector|near|opp|pin|nagar|marg|house no|p\.?o\.?|district|dist)\b|\b\d{6}\b", re.I)
 PROSE = re.compile(r"\b(?:shall|should|hereby|whereas|is required|are required|will be|has been|have been|may be|in accordance|subject to|as per|the bidder|the tenderer|applicant must)\b", re.I)
 LABEL = re.compile(r"^(?:tender (?:no|id|ref|fee)|bid (?:no|id)|ref(?:erence)?(?: no)?|date|e-?mail|phone|tel|fax|website|emd|estimated cost|document fee|last date|closing date|due date)\b[^:]{0,30}[:\-]", re.I)
-ENGINEER = _any(["structural", "engineering", "construction", "design", "building", "retrofitting", "rehabilitation", "architectural", "consultancy"])
-USEFUL = _any(["work", "works", "services", "project", "supply", "selection", "appointment", "empanelment", "development", "renovation"])
-START = re.compile(r"^(?:request for|expression of interest|notice inviting|invitation for|tender for|selection of|appointment of|empanelment of|consultancy|construction of|supply of|providing|design)", re.I)
-POOR_START = re.compile(r"^(?:the|a|an|this|that|these|and|or|of|in|to|for|by|with|if|note)\b", re.I)
 NOTICE = re.compile(r"^(?:notice inviting tender|request for proposal|expression of interest|invitation for bids?|tender notice|notice|short term tender)\W*$", re.I)
 NUMBERED = re.compile(r"^(?:\d+(?:\.\d+)*[.)]?|[-•*·]|\(?[a-z]\))\s+", re.I)
-WORK = re.compile(r"^(?:\d+[.)]?\s*)?name of (?:the )?work\s*[:\-]\s*(.*)$", re.I)
 ORG_LABEL = re.compile(r"^(?:name of (?:the )?)?(" + "|".join(sorted(lx.ORGANIZATION_LABELS, key=len, reverse=True)) + r")\b(?: name)?\s*([:\-])?\s*(.*)$", re.I)
 PLACE_LABEL = re.compile(r"^(?:\d+[.)]?\s*)?(" + "|".join(sorted(lx.LOCATION_LABELS, key=len, reverse=True)) + r")\s*(:|-)\s*(.+)$", re.I)
 PLACE = _any(lx.GAZETTEER)
@@ -127,67 +121,6 @@ def prepare(t: str | None) -> list[str]:
     return [x for x in (" ".join(y.split()) for y in s.splitlines()) if x and not CONTENTS.search(x)]
 
 
-def clean_title(line: str) -> str:
-    """Without numbering, document prefixes, leaders and embedded metadata; empty outside 8 to 250 characters."""
-    before = None
-    while before != line:
-        before = line
-        line = NUMBERED.sub("", line)
-        line = re.sub(r"^(?:title|subject|sub|name of work|tender for the work of|description)\s*[:\-]\s*", "", line, flags=re.I)
-    line = re.sub(r"\s+(?:tender (?:no|id)|bid (?:no|id)|ref(?:erence)? no|e-?mail|phone|last date|closing date|due date|emd|estimated cost)\b.*$", "", line, flags=re.I)
-    line = re.sub(r"[.\s_-]{3,}\d*$", "", line).strip(" :;,-\"'")
-    return without_repeat(line) if 8 <= len(line) <= 250 else ""
-
-
-def without_repeat(title: str) -> str:
-    """Without the second copy of the first phrase of 8 down to 2 words that occurs twice in a row."""
-    w = title.split()
-    if len(w) >= 8:
-        low = [x.lower() for x in w]
-        for n in range(8, 1, -1):
-            for i in range(len(w) - 2 * n + 1):
-                if low[i : i + n] == low[i + n : i + 2 * n]:
-                    return " ".join(w[: i + n] + w[i + 2 * n :])
-    return title
-
-
-def title_score(t: str, i: int) -> int:
-    if not t or GENERIC.fullmatch(t) or LABEL.search(t) or MONEY_OR_CONTACT.search(t):
-        return -100
-    n, low = len(t.split()), t.lower()
-    s = max(0, 25 - i) + (35 if 5 <= n <= 18 else 20 if 19 <= n <= 25 else 10 if n == 4 else -20)
-    s += 10 * (len(t) >= 35) - 30 * (len(t) > 180) - 60 * (len(t) > 250)
-    s += 25 * bool(START.search(t)) + 8 * len({x.lower() for x in TITLE.findall(t)}) + min(35, 7 * len(ENGINEER.findall(t))) + min(30, 5 * len(USEFUL.findall(t)))
-    s -= 35 * len(PROSE.findall(t)) + 30 * bool(POOR_START.search(t)) + min(50, 15 * len(ADDRESS.findall(t)))
-    s -= min(45, 15 * len(GOVERN.findall(t))) + 15 * (t.isupper() and bool(GOVERN.search(t)))
-    s += 5 * (":" in t) - 15 * (t.count(",") >= 2) - 10 * ("." in t) - 20 * any(h in low for h in lx.SECTION_HINTS) + 2 * bool(re.search(r"\b\d{4}\b", t))
-    return s + 5 * sum(w in low for w in ("package", "work", "services"))
-
-
-def find_title(lines: list[str]) -> str:
-    for i, x in enumerate(lines[:80]):
-        if m := WORK.match(x):
-            parts = [m[1]] if m[1] else []
-            for y in lines[i + 1 : i + 5]:
-                if NUMBERED.match(y) or LABEL.search(y) or ORG_LABEL.match(y) and ":" in y:
-                    break
-                parts.append(y)
-            if len((t := clean_title(" ".join(parts))).split()) >= 4:
-                return t
-    ranked = []
-    for i in range(min(len(lines), 80)):
-        for k in range(1, 5):
-            if i + k <= len(lines) and (t := clean_title(" ".join(lines[i : i + k]))):
-                ranked.append((-title_score(t, i), i, k, t))
-        if NOTICE.match(lines[i]):
-            for k in range(1, 4):
-                if i + 1 + k <= len(lines) and (t := clean_title(" ".join(lines[i + 1 : i + 1 + k]))):
-                    ranked.append((-title_score(t, i), i, k, t))
-    if ranked and min(ranked)[0] < 0:
-        return min(ranked)[3]
-    return next((t for x in lines if len((t := clean_title(x)).split()) >= 4 and not GENERIC.fullmatch(t) and not LABEL.search(t)), "")
-
-
 def overlaps(a: str, b: str) -> bool:
     x, y = (set(re.findall(r"\w+", s.lower())) for s in (a, b))
     return len(x) >= 2 and len(x & y) / len(x) >= 0.6
@@ -264,33 +197,31 @@ def find_description(lines: list[str]) -> str:
     return " ".join(intro)[:1500].strip()
 
 
-def fields(t: str | None) -> dict[str, str]:
+def fields(t: str | None, title: str) -> dict[str, str]:
     lines = prepare(t)
-    title = find_title(lines)
-    if not 8 <= len(title) <= 500 or len(title.split()) < 3:
-        title = ""
     organization, location, description = find_organization(lines, title), find_location(lines), find_description(lines)
-    return {"title": title, "organization": organization, "location": location, "description": description if len(description) >= 20 else ""}
+    return {"organization": organization, "location": location, "description": description if len(description) >= 20 else ""}
 
 
-def _engine(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for s in series:
-        yield pd.DataFrame([fields(x) for x in s], columns=["title", "organization", "location", "description"])
+def _engine(series: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    for texts, titles in series:
+        yield pd.DataFrame([fields(x, t) for x, t in zip(texts, titles, strict=True)], columns=["organization", "location", "description"])
 
 
-engine = pandas_udf(_engine, T.StructType([T.StructField(n, T.StringType()) for n in ("title", "organization", "location", "description")]))
+engine = pandas_udf(_engine, T.StructType([T.StructField(n, T.StringType()) for n in ("organization", "location", "description")]))
 
 
 def parse(df: DataFrame, column: str = "text") -> DataFrame:
     """Adds the struct parsed (ten texts) and confidence. A null or blank text parses to empty fields with confidence 0."""
     c = F.col(column)
-    rows = df.withColumn("_e", engine(c))
+    rows = once(df, F.array(titles.find_title(titles.lines(c))), "_title")
+    rows = rows.withColumn("_e", engine(c, F.col("_title")))
     mail = email(c)
     parsed = F.struct(
-        F.col("_e.title").alias("title"), F.col("_e.organization").alias("organization"), deadline(c).alias("deadline"), F.col("_e.location").alias("location"), F.col("_e.description").alias("description"),
+        F.col("_title").alias("title"), F.col("_e.organization").alias("organization"), deadline(c).alias("deadline"), F.col("_e.location").alias("location"), F.col("_e.description").alias("description"),
         tender_type(c).alias("tender_type"), emd(c).alias("emd"), document_fee(c).alias("document_fee"), F.when(mail.rlike(f"^(?:{lx.EMAIL})$"), mail).otherwise("").alias("email"), phone(c).alias("phone"),
     )
-    rows = rows.withColumn("parsed", parsed).drop("_e")
+    rows = rows.withColumn("parsed", parsed).drop("_e", "_title")
     weight = {"title": 0.35, "organization": 0.20, "deadline": 0.15, "location": 0.10, "tender_type": 0.05, "description": 0.15}
     total = F.lit(0.0)
     for k, w in weight.items():

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -14,7 +13,7 @@ from ..functions import dates, urls
 from ..functions import lexicons as lx
 from ..functions.lexicon import Lexicon, hits
 from ..functions.num import flags, round2, text2
-from ..functions.text import contained, contains_any, no_hyphen, squeeze, strip, text
+from ..functions.text import contained, contains_any, no_hyphen, once, squeeze, strip, text
 
 FIELDS = ("title", "description", "summary", "location", "organization", "source", "source_url")
 METADATA = ("title", "organization", "location", "deadline", "description", "email", "phone", "source_url")
@@ -72,9 +71,8 @@ def relevance(df: DataFrame, as_of: Column, policy: Policy | None = None) -> Dat
         "_core": p.core.weigh(F.col("_cores")), "_second": p.secondary.weigh(F.col("_seconds")), "_neg": p.negative.weigh(F.col("_negs")),
         "_region": F.when(F.col("_up").isNotNull(), one(p.boost, F.col("_up"))).when(F.col("_down").isNotNull(), -one(p.penalty, F.col("_down"))).otherwise(0.0),
     })
-    out = _scored(rows, as_of, df.columns)
-    # counts the scored rows; it also keeps later conditions on the score from being pushed below it, each with a copy of the whole expression
-    return out.observe(f"scored-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+    out = _scored(rows, as_of, df.columns).withColumn("_s", F.struct("score", "reasons")).drop("score", "reasons")
+    return once(out, F.array("_s"), "_once").select(*df.columns, "_once.score", "_once.reasons")
 
 
 #: The lexicons of a policy, and the part of a row that each is looked up in.

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, lexicon, lexicons, num, urls
 from ..functions import text as tx
 from ..functions.lexicon import Lexicon
-from ..operators import assist, clean, dedup, discover, gates, html, insight, pages, parse, qualify, redirects, score, store
+from ..operators import assist, clean, dedup, discover, gates, html, insight, pages, parse, qualify, redirects, score, store, titles
 from . import views
 from .views import AS_OF, OPPORTUNITIES, STORE, STORE_AS_OF, opportunities, read
 
@@ -571,6 +571,65 @@ def q_parse_fields(spark: SparkSession, d: str) -> DataFrame:
     return parse.parse(read(spark, d, "documents").select("doc_id", head.alias("text"))).select("doc_id", "parsed.*", "confidence")
 
 
+#: Openings that the documents lack: a heading, authorities, a label, a repeated phrase, metadata.
+OPENINGS = (
+    "Notice Inviting Tender\nStructural audit and retrofitting of bridge no 12\nfor the public works\nIssued by: Public Works Department\n",
+    "GOVERNMENT OF INDIA\nMinistry of Works\nSelection of consultant for structural design Tender No 55/2026\n", "", "Expression of Interest\nPeer review of design of the flyover at sector 5\n",
+    "Supply of steel supply of steel for bridge works at the site ....... 3\nPhone: 12\n", "Contents\n7\nTender for structural audit of the structural audit of the north block, east block, west block\n03/04/2026\n", "",
+)
+
+
+def _title_sql() -> str:
+    """The windows of titles.py in SQL: boundaries by doubled separators, since this engine has no look-behind."""
+    q = lambda s: "'" + s.replace("'", "''") + "'"
+    gap = lambda w: re.sub(r"([^\w])", lambda m: 2 * (re.escape(m[1]) if m[1] in "." else m[1]), w)
+
+    def terms(t: titles.Terms) -> str:
+        alt = "|".join([*t.more, *(gap(w) for w in sorted(t.words, key=len, reverse=True))])
+        return f"regexp_extract_all(wide, {q(f'{titles.OTHER}({alt}){titles.OTHER}')}, 1)"
+
+    def clean(x: str) -> str:
+        c = f"regexp_replace(regexp_replace({x}, {q('(?i)' + titles.LEAD)}, ''), {q('(?i)' + titles.TAIL)}, '')"
+        return f"regexp_replace(regexp_replace({c}, {q(titles.LEADERS)}, ''), {q(titles.EDGES)}, '', 'g')"
+
+    has = lambda p, c="low": f"regexp_matches({c}, {q(p)})"
+    flag = lambda c, w: f"CASE WHEN {c} THEN {w} ELSE 0 END"
+    labelled = lambda c: f"({has(titles.LABEL, c)} OR {has(titles.OWNER, c)})"
+    score = " ".join([
+        "greatest(0, 25 - i) + CASE WHEN n BETWEEN 5 AND 18 THEN 35 WHEN n BETWEEN 19 AND 25 THEN 20 WHEN n = 4 THEN 10 ELSE -20 END",
+        "+", flag("length(t) >= 35", 10), "-", flag("length(t) > 180", 30), "+", flag(has(titles.START), 25), "-", flag(has(titles.POOR_START), 30),
+        f"+ 8 * len(list_distinct({terms(titles.TITLE)})) + least(35, 7 * len({terms(titles.ENGINEER)})) + least(30, 5 * len({terms(titles.USEFUL)}))",
+        f"- 35 * len({terms(titles.PROSE)}) - least(50, 15 * len({terms(titles.ADDRESS)})) - least(45, 15 * len({terms(titles.GOVERN)})) -", flag(f"len({terms(titles.GOVERN)}) > 0 AND t = upper(t) AND t <> low", 15),
+        "+", flag("contains(low, ':')", 5), "-", flag("length(low) - length(replace(low, ',', '')) >= 2", 15), "-", flag("contains(low, '.')", 10), "-", flag(has("|".join(lexicons.SECTION_HINTS)), 20),
+        "+", flag(has(rf"(?:^|{titles.OTHER})[0-9]{{4}}(?:{titles.OTHER}|$)"), 2), *[f"+ {flag(f'contains(low, {q(w)})', 5)}" for w in ("package", "work", "services")],
+    ])
+    heads = " ".join(f"WHEN {i} THEN {q(x)}" for i, x in enumerate(OPENINGS))
+    return rf"""
+    WITH o AS (SELECT doc_id, replace(CASE doc_id % {len(OPENINGS)} {heads} END, '\n', chr(10)) || coalesce(text, '') AS t FROM documents),
+    ls AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(replace(replace(t, '–', '-'), '—', '-'), '\r\n|[\n\r\x0b\x0c\x1c-\x1e]'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '' AND NOT {has(titles.CONTENTS, 'lower(x)')})[1:{titles.OPENING}] AS l FROM o),
+    li AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM ls),
+    lw AS (SELECT doc_id, x, i, lower(x) AS low, ' ' || regexp_replace(lower(x), '({titles.OTHER})', '\1\1', 'g') || ' ' AS wide FROM li),
+    ad AS MATERIALIZED (SELECT doc_id, x, i, {labelled('low')} OR len({terms(titles.GOVERN)}) > 0 AND len({terms(titles.TITLE)}) = 0 AS admin FROM lw),
+    w0 AS (SELECT a.doc_id, a.i, k, string_agg(b.x, ' ' ORDER BY b.i) AS raw, bool_or(b.admin AND b.i > a.i) AS broken, count(*) AS got
+           FROM ad AS a CROSS JOIN range(1, {titles.WINDOW + 1}) AS r(k) JOIN ad AS b ON b.doc_id IS NOT DISTINCT FROM a.doc_id AND b.i BETWEEN a.i AND a.i + k - 1 GROUP BY 1, 2, 3),
+    w1 AS (SELECT doc_id, i - 1 AS i, k, {clean('raw')} AS c FROM w0 WHERE got = k AND NOT broken),
+    w2 AS (SELECT doc_id, i, k, c, string_split(c, ' ') AS w, string_split(lower(c), ' ') AS lw FROM w1 WHERE length(c) BETWEEN 8 AND 250),
+    w3 AS (SELECT *, CASE WHEN len(w) >= 8 THEN list_filter(flatten(list_transform([8, 7, 6, 5, 4, 3, 2], lambda n: list_transform(range(1, greatest(len(w) - 2 * n + 2, 1)), lambda j: [n, j]))), lambda p: lw[p[2]:p[2] + p[1] - 1] = lw[p[2] + p[1]:p[2] + 2 * p[1] - 1])[1] END AS p FROM w2),
+    w4 AS (SELECT doc_id, i, k, CASE WHEN p IS NULL THEN c ELSE array_to_string(w[1:p[2] + p[1] - 1] || w[p[2] + 2 * p[1]:], ' ') END AS t FROM w3),
+    w5 AS (SELECT *, lower(t) AS low, len(string_split(t, ' ')) AS n, ' ' || regexp_replace(lower(t), '({titles.OTHER})', '\1\1', 'g') || ' ' AS wide FROM w4),
+    w6 AS (SELECT doc_id, i, k, t, CASE WHEN {has(titles.GENERIC)} OR {labelled('low')} OR {has(titles.MONEY)} OR len({terms(titles.CONTACT)}) > 0 THEN -100 ELSE {score} END AS score FROM w5)
+    SELECT doc_id, CAST(i AS INTEGER) AS i, CAST(k AS INTEGER) AS used, t AS title, CAST(score AS INTEGER) AS score FROM w6 WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i, k) = 1"""
+
+
+@query(_title_sql())
+def q_title_windows(spark: SparkSession, d: str) -> DataFrame:
+    docs = read(spark, d, "documents")
+    head = F.element_at(F.array(*[F.lit(x) for x in OPENINGS]), (F.col("doc_id") % len(OPENINGS) + 1).cast("int"))
+    rows = docs.select("doc_id", titles.lines(F.concat(head, tx.text("text"))).alias("l"))
+    best = tx.let(titles.opening(F.col("l")), lambda r: titles.best_window(r, notices=False))
+    return tx.once(rows, F.filter(F.array(best), lambda w: w.isNotNull()), "w").select("doc_id", "w.i", "w.used", F.col("w.t").alias("title"), (-F.col("w.down")).alias("score"))
+
+
 # ---- web pages ----
 
 @query()
