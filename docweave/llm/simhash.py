@@ -9,7 +9,7 @@ is bounded, hence every bucket is resolved exactly and without emitting its pair
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -182,14 +182,14 @@ def components(edges: DataFrame) -> DataFrame:
         e = durable(large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).distinct())
 
 
-def labels(prints: DataFrame, by_id: bool) -> DataFrame:
-    """(fp, doc, root) of every fingerprint of prints (doc_id, fp), once: its least doc_id and the least fingerprint of its component; by_id joins the fingerprints of one doc_id too."""
+def labels(prints: DataFrame, by_id: bool, more: DataFrame | None = None) -> DataFrame:
+    """(fp, doc, root) of every fingerprint of prints (doc_id, fp), once: its least doc_id and the least fingerprint of its component; by_id joins the fingerprints of one doc_id too, more gives further links (a, b)."""
     nodes = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("doc")))
     edges = links(nodes.select("fp", F.col("fp").alias("doc")))
     if by_id:
         several = prints.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).where("a <> z").select("doc_id", "a")
         edges = edges.unionByName(prints.join(several, "doc_id").select("a", F.col("fp").alias("b")).where("a <> b").distinct())
-    root = components(edges)
+    root = components(edges if more is None else edges.unionByName(more))
     return durable(nodes.join(root, nodes.fp == root.node, "left").select("fp", "doc", F.coalesce("root", "fp").alias("root")))
 
 
@@ -207,18 +207,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(least, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, also: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The columns of docs, whatever their names, of one row of each component of near copies (by doc_id and text).
 
+    also, if given, tells of further near copies: from rows (th, text) the classes (th, root) of texts by their hash. Fingerprints of a class are linked like those within the radius.
     The row with the smallest doc_id stays, rows without a doc_id come last; ties go by the hash of the text, then of the row. Components are formed by
-    fingerprints alone: rows that share a doc_id but no text both stay, and of fully equal rows one stays. Rows whose text is null, empty or white space
+    texts alone: rows that share a doc_id but no text both stay, and of fully equal rows one stays. Rows whose text is null, empty or white space
     are copies of each other. An empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     whole = F.xxhash64(*[F.to_json(c) if isinstance(t, (MapType, VariantType)) else c for c, t in ((F.col(f"`{f.name}`"), f.dataType) for f in docs.schema)])
     rows = docs.select(packed(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"), whole.alias("k"))
     prints = durable(rows.select("doc_id", "text", "h", "k").mapInArrow(_prints, "doc_id long, h long, k long, fp long"))
-    rooted = labels(prints, False).select("fp", "root")
+    more = None
+    if also:
+        named = prints.select(F.col("h").alias("th"), "fp").distinct().join(also(rows.select(F.col("h").alias("th"), "text")), "th")
+        first = durable(named.groupBy("root").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).where("a <> z").select("root", "a"))
+        more = named.join(first, "root").select("a", F.col("fp").alias("b")).where("a <> b").distinct()
+    rooted = labels(prints, False, more).select("fp", "root")
     rank = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "h", "k"))
     first = prints.groupBy("fp").agg(rank.alias("r")).join(rooted, "fp").groupBy("root").agg(F.min("r").alias("r")).select("r.h", "r.k")
-    return rows.select("row", "h", "k").dropDuplicates(["h", "k"]).join(first, ["h", "k"], "left_semi").select(*unpacked(rows, "row"))
+    kept = rows.select("row", "h", "k").join(first, ["h", "k"], "left_semi")
+    return kept.dropDuplicates(["h", "k"]).select(*unpacked(rows, "row"))

@@ -276,3 +276,55 @@ def test_linked_sets_share_a_key():
         both = len(np.intersect1d(a, b))
         if 100 * both >= 90 * (len(a) + len(b) - both):
             assert np.array_equal(a, b) or len(np.intersect1d(ngramjoin.keys(a), ngramjoin.keys(b)))
+
+
+# ---- the near_dedup stage ----
+
+
+def five(text):
+    w = text.lower().split()
+    return set(zip(*(w[i:] for i in range(5)), strict=False))
+
+
+def planted(rng, n_base=60):
+    """Texts of 40 to 500 words, and near copies of each by edits spread over it until about a tenth of its five-word shingles is gone."""
+    vocabulary = [f"v{i}" for i in range(6000)]
+    passage = rng.choices(vocabulary, k=55)
+    rows, at = [], itertools.count()
+    for b in range(n_base):
+        base = rng.choices(vocabulary, k=rng.randint(40, 500))
+        if b % 3 == 0:
+            base = base[:20] + passage + base[20:]
+        rows.append((next(at), b, " ".join(base)))
+        for _ in range(3):
+            text = list(base)
+            for _ in range(rng.randint(1, max(1, len(base) // 60))):
+                i = rng.randrange(len(text))
+                text[i : i + rng.randint(0, 1)] = [rng.choice(vocabulary)]
+            rows.append((next(at), b, " ".join(text)))
+    return rows
+
+
+def test_near_copies_of_four_fifths_are_found(spark):
+    import corpus_pipeline
+
+    rows = planted(random.Random(8))
+    classes = {r.th: r.root for r in ngramjoin.text_classes(spark.createDataFrame([(i, t) for i, _, t in rows], "th long, text string")).collect()}
+    sets = {i: five(t) for i, _, t in rows}
+    near = [(i, j) for (i, b, _), (j, c, _) in itertools.combinations(rows, 2) if b == c and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    found = sum(classes[i] == classes[j] for i, j in near)
+    assert len(near) > 150
+    assert found >= 0.98 * len(near)
+    assert all(len({b for i, b, _ in rows if classes[i] == c}) == 1 for c in set(classes.values()))  # texts that share a passage only stay apart
+    docs = spark.createDataFrame([(i, t, "aa", "s", len(t)) for i, _, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert {i for i, b, _ in rows if i % 4 == 0} <= kept  # the first of each group
+    assert sum((i in kept) + (j in kept) == 2 for i, j in near) <= 0.02 * len(near)
+
+
+def test_shard_stage_keeps_clashing_columns(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "a", "aa", "s", 1, "x", "y"), (2, "b", "aa", "s", 1, "z", "w")], "doc_id long, text string, lang string, source string, n_chars long, shard string, shard_in string")
+    got = {r.doc_id: r for r in corpus_pipeline.shard(spark, docs, "").collect()}
+    assert (got[1].shard_in_in, got[1].shard_in, got[2].shard_in_in) == ("x", "y", "z") and isinstance(got[1].shard, int)
