@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm import decontaminate, langid, mixing, sharding, simhash
+from docweave.llm import decontaminate, langid, mixing, ngramjoin, sharding, simhash
 from docweave.llm.common import fold, shared_dir
 
 SHARDS = 16
@@ -26,11 +26,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the row with the smallest doc_id stays (null last; ties by the hash of text and row); of equal rows one.
+    """Of each group of near copies (fingerprints within three bits, or four fifths of their five-word shingles in common) the row with the smallest doc_id stays (null last; ties by the hash of text and row); of equal rows one.
 
     Rows that share a doc_id but not their text are no copies and both stay. Null, empty and white-space texts are copies of each other.
     """
-    return simhash.one_of_each(docs)
+    return simhash.one_of_each(docs, ngramjoin.text_classes)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +44,15 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard and slot; ties (equal texts) go by doc_id, null first, and repeated rows have a slot each. Columns of docs that clash with the stage's own results give way."""
-    rest = tuple(c for c in docs.columns if c.lower() not in ("doc_id", "size", "text_crc32", "shard", "slot"))
+    """Every row with its shard and slot; ties (equal texts) go by doc_id, null first, and repeated rows have a slot each. Columns of docs that clash with the stage's own results are kept as <name>_in (or <name>_in_in, ...)."""
+    own, names = {"doc_id", "size", "text_crc32", "shard", "slot"}, {c.lower() for c in docs.columns}
+    for c in [c for c in docs.columns if c.lower() in own - {"doc_id"}]:
+        new = f"{c}_in"
+        while new.lower() in names:
+            new += "_in"
+        names.add(new.lower())
+        docs = docs.withColumnRenamed(c, new)
+    rest = tuple(c for c in docs.columns if c.lower() not in own)
     return sharding.assign(docs, SHARDS, rest)
 
 
