@@ -1,10 +1,10 @@
 """HTML extraction by nearest-URL page differencing.
 
-Pages are ordered by host and URL path. Each is paired with the nearest pages of its host on both sides, up to NEAR on each that hold other lines
-(copies tell nothing about a template; up to LOOK pages are looked through). The text lines of a page and of each partner are aligned by longest common
-subsequence, and lines that a partner shares are deleted: menus, footers, notices and forms of the template. Evidence in the page
-itself comes second: a shared line inside the article element stays, as an article may be published at two URLs, unless every
-one of MANY partners or more has it; and lines of boilerplate elements (by tag, class or role) that no partner shares go too.
+Pages are ordered by host and URL path. Each is paired with the nearest pages of its host on both sides, up to NEAR on each that are unlike it and each other
+(pages with COPY of its lines outside of known boilerplate are copies of its article and tell nothing about a template; up to LOOK pages are looked through). The lines of a page and of each
+partner are aligned by longest common subsequence of their forms: the path of tags, classes and roles with the text, digits masked; for lines of boilerplate elements and of link
+lists the path alone, as menus and adverts say something else on every page. A partner that shares two lines is a witness of the template, and lines that two witnesses
+share (or the only one) are deleted. Lines inside the article element always stay. Evidence in the page itself comes last: lines of boilerplate elements (by tag, class or role) that no partner shares go too.
 
 Pages are dealt to stretches of the order by cut keys, with the pages around each cut sent to both sides, so that one shuffle of
 the pages brings all partners together, each page is parsed once, and a task holds a few pages of the order at a time.
@@ -42,8 +42,13 @@ IMPLIED = {t: (frozenset(ends.split()), frozenset(stops.split())) for t, ends, s
     ("tr", "tr", "table"), ("tbody", "thead tbody tfoot", "table"), ("tfoot", "thead tbody tfoot", "table"), ("option", "option", "datalist"),
 )}
 PARAGRAPH, CELLS, TABLE = frozenset(["p"]), frozenset("table td th caption button".split()), frozenset("table caption thead tbody tfoot tr td th article main body html".split())
-#: Partners on each side, pages looked through for them, and partners that must all share a line of an article before it goes.
-NEAR, LOOK, MANY = 8, 64, 8
+#: Partners on each side, and pages looked through for them.
+NEAR, LOOK = 8, 64
+#: Share of a page's lines outside of boilerplate elements that make a partner a copy; lines that make it a witness, and witnesses whose agreement deletes a line.
+COPY, WITNESS, VOTES = 0.75, 2, 2
+#: What of an element's attributes is part of a line's path.
+PLACED = re.compile(r"(?i)(?<![\w-])(class|role|id)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
+DIGITS = re.compile(r"\d+")
 #: Pages of a stretch, and most cut keys that reach the driver; with more pages stretches grow (a task streams its stretch).
 STRETCH, CUTS = 2048, 32_768
 #: Bits that one alignment may hold; larger ones are halved first.
@@ -69,21 +74,47 @@ def _named(tag: str, attributes: str, article: bool) -> bool:
 
 def lines(page: str | None) -> list[tuple[str, int]]:
     """(line, kind) of a page in order; kind 0: boilerplate, 1: other, 2: inside the article."""
-    out: list[tuple[str, int]] = []
+    return [(line, kind) for line, kind, _ in parsed(page)]
+
+
+def _form(line: str, kind: int, path: list[str], linked: int, links: int) -> int:
+    """What a line is aligned by; odd for lines whose text does not count."""
+    listed = kind == 1 and linked >= 0.8 * len(line) and (links > 1 or any(m.startswith("li") for m in path))
+    frame = not kind or listed
+    said = ("links" if 2 * linked >= len(line) else "text") if frame else DIGITS.sub("0", line.lower())
+    return xxhash.xxh64_intdigest(f"{'>'.join(path)}|{said}") >> 1 << 1 | frame
+
+
+def parsed(page: str | None) -> list[tuple[str, int, int]]:
+    """(line, kind, form) of a page in order."""
+    out: list[tuple[str, int, int]] = []
     held: list[str] = []
     opened: list[str] = []
+    # of the elements open: what paths show of them; of the line held: its path, and the text and number of its links
+    marks: list[str] = []
+    path: list[str] = []
+    linked = links = 0
     # the elements open around a skipped one; it ends by its end tag, its implied end or the end of an element around it
     skip, around, article = "", 0, 0
 
     def close() -> None:
+        nonlocal linked, links
         text = " ".join(html.unescape("".join(held)).split())
         held.clear()
         if text:
-            out.append((text, 0 if skip else 2 if article else 1))
+            kind = 0 if skip else 2 if article else 1
+            out.append((text, kind, _form(text, kind, path, linked, links)))
+        linked = links = 0
 
     for m in TOKEN.finditer(page or ""):
         end, tag, attributes, text = m.group(2, 3, 4, 5)
         if text is not None:
+            if not text.isspace():
+                if not any(map(str.strip, held)):
+                    path = [m for m in marks[: len(opened)] if m]
+                if "a" in opened:
+                    linked += len(html.unescape(text).strip())
+                    links += 1
             held.append(text)
             continue
         if tag is None:
@@ -107,8 +138,10 @@ def lines(page: str | None) -> list[tuple[str, int]]:
             skip = ""
         if boiler:
             skip, around = tag, len(opened)
+        del marks[len(opened) :]
         if not end and tag not in VOID:
             opened.append(tag)
+            marks.append(f"{tag}.{'.'.join(DIGITS.sub('0', v.strip(chr(34) + chr(39)).lower()) for _, v in PLACED.findall(attributes or ''))}" if tag in BLOCKS or boiler else "")
         if not skip and tag in ("article", "main"):
             article = max(0, article + (-1 if end else 1))
     close()
@@ -174,15 +207,25 @@ def shared(a: list[int], b: list[int]) -> list[int]:
     return [*range(lo), *(at[k] for k in found), *range(len(a) - hi, len(a))]
 
 
-def judged(page: list[tuple[str, int]], hashes: tuple[int, ...], partners: list[tuple[int, ...]]) -> tuple[str, int, int]:
-    """(text, lines deleted as shared, further lines deleted by evidence in the page) of a page, given its partners' line hashes."""
-    votes = [0] * len(page)
+def unlike(own: tuple[int, ...], other: tuple[int, ...]) -> bool:
+    """Whether a page is no copy of another, by the forms of both."""
+    mine = [x for x in own if not x & 1]
+    have = set(other)
+    return own != other and sum(x in have for x in mine) < COPY * max(len(mine), 1)
+
+
+def judged(page: list[tuple[str, int, int]], forms: tuple[int, ...], partners: list[tuple[int, ...]]) -> tuple[str, int, int]:
+    """(text, lines deleted as shared, further lines deleted by evidence in the page) of a page, given its partners' forms."""
+    votes, witnesses = [0] * len(page), 0
     for other in partners:
-        for i in shared(hashes, other):
-            votes[i] += 1
+        at = shared(forms, other)
+        if len(at) >= WITNESS:
+            witnesses += 1
+            for i in at:
+                votes[i] += 1
     keep, by_share, by_tag = [], 0, 0
-    for (line, kind), n in zip(page, votes):
-        if n and (kind < 2 or n == len(partners) >= MANY):
+    for (line, kind, _), n in zip(page, votes):
+        if kind < 2 and n and n >= min(VOTES, witnesses):
             by_share += 1
         elif not kind:
             by_tag += 1
@@ -200,14 +243,14 @@ class Key:
 
     def meet(self, other: tuple[int, ...]) -> None:
         self.waited += 1
-        if len(self.after) < NEAR and other != self.lines and other not in self.after:
+        if len(self.after) < NEAR and unlike(self.lines, other) and other not in self.after:
             self.after.append(other)
 
     def out(self) -> Iterator[tuple]:
         done: dict[tuple[int, ...], tuple] = {}
         for page_id, url, page, hashes in self.rows:
             if hashes not in done:
-                partners = [p for p in (*self.before, *self.after) if p != hashes]
+                partners = [p for p in (*self.before, *self.after) if unlike(hashes, p)]
                 done[hashes] = judged(page, hashes, partners)
             yield page_id, url, *done[hashes]
 
@@ -219,16 +262,16 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     recent: deque[tuple[int, ...]] = deque(maxlen=LOOK)
     last: tuple | None = None
     out: list[tuple] = []
-    parsed: tuple = (None, None, None)
+    known: tuple = (None, None, None)
 
     for b in batches:
         host, path, pid, stretch, guest, page_id, url = (b.column(c).to_pylist() for c in ("host", "path", "pid", "stretch", "guest", "page_id", "url"))
         for i, column in enumerate(b.column("html")):
             place, text = (stretch[i], host[i], path[i], pid[i]), column.as_py()
-            if parsed[0] is None or parsed[0] != text:
-                page = lines(text)
-                parsed = (text, page, tuple(xxhash.xxh64_intdigest(t) for t, _ in page))
-            _, page, hashes = parsed
+            if known[0] is None or known[0] != text:
+                page = parsed(text)
+                known = (text, page, tuple(f for _, _, f in page))
+            _, page, hashes = known
             if last is None or place[:2] != last[:2]:
                 for w in waiting:
                     out += w.out()
@@ -241,7 +284,7 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     out += waiting.popleft().out()
                 before: list[tuple[int, ...]] = []
                 for other in reversed(recent):
-                    if len(before) < NEAR and other != hashes and other not in before:
+                    if len(before) < NEAR and unlike(hashes, other) and other not in before:
                         before.append(other)
                 waiting.append(Key(place, hashes, before))
                 recent.append(hashes)

@@ -437,14 +437,20 @@ def test_extract(spark):
     assert pagediff.extract(got.select("page_id", "url", F.lit("").alias("html")).where("false")).count() == 0
 
 
+def apart(a, b):
+    """Not the same lines, and fewer than three quarters of a's own text lines in b."""
+    own = [x for x in a if x % 2 == 0]
+    return a != b and (not own or len([x for x in own if x in b]) / len(own) < 0.75)
+
+
 def plain_extract(rows):
     """Every page against the nearest on both sides, from the whole order."""
     parsed = {}
     keys = {}
     for i, (pid, url, text) in enumerate(rows):
         host, path = re.match(r"[a-z]+://([^/?#]*)([^?#]*)", url).groups()
-        page = pagediff.lines(text)
-        parsed[i] = (host, path, pid), page, tuple(xxhash.xxh64_intdigest(t) for t, _ in page)
+        page = pagediff.parsed(text)
+        parsed[i] = (host, path, pid), page, tuple(f for _, _, f in page)
         first = keys.setdefault(parsed[i][0], i)
         h = lambda k: xxhash.xxh64_intdigest(rows[k][2].encode(), seed=42) - (xxhash.xxh64_intdigest(rows[k][2].encode(), seed=42) >> 63 << 64)
         if h(i) < h(first):
@@ -457,9 +463,9 @@ def plain_extract(rows):
             found = []
             for k in side:
                 other = parsed[keys[k]][2]
-                if k[0] == key[0] and other != parsed[keys[key]][2] and other not in found and len(found) < pagediff.NEAR:
+                if k[0] == key[0] and apart(parsed[keys[key]][2], other) and other not in found and len(found) < pagediff.NEAR:
                     found.append(other)
-            partners += [p for p in found if p != hashes]
+            partners += [p for p in found if apart(hashes, p)]
         out.setdefault((key[2], rows[i][1]), []).append(pagediff.judged(page, hashes, partners))
     return out
 
@@ -480,8 +486,33 @@ def test_extract_matches_plain_version_over_stretches(spark, monkeypatch):
         found.setdefault((r.page_id, r.url), []).append((r.text, r.n_shared, r.n_tagged))
     want = plain_extract(rows)
     assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in want.items()}
-    # the house line stands in every article and goes where enough partners have it
-    assert any("About the house" not in t for v in want.values() for t, _, _ in v)
+    # the house line stands in every article and stays in all of them
+    assert sum("About the house" not in t for v in want.values() for t, _, _ in v) == 1 and sum(n for v in want.values() for _, n, _ in v) > 300
+
+
+def test_no_article_text_is_lost(spark):
+    five = "".join(f"<p>Paragraph {c} of the story goes on for a while.</p>" for c in "abcde")
+    copies = [(i, f"http://h/news/{i}", f"<html><body>{five}<p>posted {i} May</p></body></html>") for i in (3, 4)]
+    ends = [(100 + i, f"http://g/{i}", f"<html><body><nav><a href='/'>Home {i}</a></nav><article><p>Body of {i} with words of its own {i * 7}</p><h2>Conclusion</h2><p>Said {i * 3}</p></article></body></html>") for i in range(20)]
+    text = {r.page_id: r.text for r in pagediff.extract(spark.createDataFrame(copies + ends, "page_id long, url string, html string")).collect()}
+    assert all(len(text[i].split("\n")) == 6 and text[i].endswith(f"posted {i} May") for i in (3, 4))
+    assert all(text[100 + i].split("\n") == [f"Body of {i} with words of its own {i * 7}", "Conclusion", f"Said {i * 3}"] for i in range(20))
+
+
+def test_partners_decide_where_tags_say_nothing(spark):
+    rng = random.Random(5)
+
+    def page(i):
+        menu = "".join(f"<div><a href='/{w}'>{w}</a> <a href='/{w}2'>{w} too</a></div>" for w in (f"m{rng.randrange(99)}" for _ in range(3)))
+        body = "".join(f"<p>Story {i} says {rng.randrange(10**6)} and {word(rng, 'aa')} {word(rng, 'bb')}</p>" for _ in range(4))
+        return f"<html><body>{menu}<div>Our shop since {1900 + i}</div><div>{body}</div><div>Call us, visitor {i}</div></body></html>"
+
+    rows = [(i, f"http://h.example/a/{i}", page(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    with_ = {r.page_id: (r.text, r.n_shared, r.n_tagged) for r in pagediff.extract(df).collect()}
+    alone = {r.page_id: r.text for r in pagediff.extract(df.where("page_id = 0")).collect()}
+    assert all(len(t.split("\n")) == 4 and t.startswith(f"Story {i} ") and (n, m) == (5, 0) for i, (t, n, m) in with_.items())
+    assert len(alone[0].split("\n")) == 9  # without partners the frame stays
 
 
 def test_large_alignments_are_halved(monkeypatch):
