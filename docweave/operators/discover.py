@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -9,9 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lx
+from ..functions import urls
 from ..functions.text import text
 from ..session import durable
-from .score import source_score
 
 
 def expand(queries: DataFrame, year: int, column: str = "query") -> DataFrame:
@@ -42,18 +43,53 @@ def phrases(query: Column) -> Column:
 def select_sources(queries: DataFrame, catalog: DataFrame, most: int = 15) -> DataFrame:
     """(query, n, url, score): for every query its best sources by score, ties by catalog order; a query that no source fits takes the catalog's first.
 
-    The catalog may have any size: each task keeps its own best of every query before the shuffle (a group limit of the rank), and those are merged.
+    Queries meet sources through words alone: a token scores where it is part of a word of the source's text, so distinct words give their stretches of the tokens' lengths, which are joined with the
+    distinct tokens. A source without a token of a query can only be chosen for its priority, and then it is one of the catalog's `most` best by that; no other pair is made.
     """
+    base = F.greatest(F.col("_priority") * 0.5, F.lit(0.0))
     sources = catalog.select("url", "pos", F.lower(text("text")).alias("_text"), F.coalesce("priority", F.lit(0)).cast("double").alias("_priority"))
-    asked = queries.select(F.col("query").alias("_q"), tokens(F.col("query")).alias("_tok")).distinct()
-    score = F.greatest(source_score(F.col("_tok"), F.col("_text"), F.col("_priority")), F.lit(0.0))
-    scored = asked.crossJoin(sources).select("_q", "url", "pos", score.alias("score"))
+    asked = queries.select(F.col("query").alias("_q")).distinct()
+    asked_tokens = asked.select("_q", F.explode(tokens(F.col("_q"))).alias("t")).groupBy("_q", "t").agg(F.count("*").alias("times"))
+    sizes = [r.n for r in asked_tokens.select(F.length("t").alias("n")).distinct().collect()]  # no more than the longest token has letters
+    words = sources.select("url", "pos", "_priority", F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit("[a-z0-9]+"), F.lit(0)))).alias("w"))
+    every = words.sparkSession.range(0).select(F.lit("").alias("_q"), F.lit("").alias("url"), F.lit(0).alias("pos"), F.lit(0.0).alias("_priority"), F.lit(0).cast("long").alias("c"))
+    if sizes:
+        stretch = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("w") - n + 1, F.lit(1))), lambda i: F.substring("w", i, F.lit(n)))
+        parts = words.select("w").distinct().select("w", F.explode(F.array_distinct(F.concat(*[stretch(n) for n in sizes]))).alias("t"))
+        met = parts.join(asked_tokens.select("t").distinct(), "t")
+        held = words.join(met, "w").select("url", "pos", "_priority", "t").distinct()
+        every = held.join(asked_tokens, "t").groupBy("_q", "url", "pos", "_priority").agg(F.sum("times").alias("c"))
+    best = sources.select("url", "pos", "_priority").orderBy(F.desc(base), "pos", "url").limit(most).collect()
+    if best:
+        told = F.from_json(F.lit(json.dumps([[r.url, r.pos, r._priority] for r in best])), "array<array<string>>")
+        own = asked.select("_q", F.explode(told).alias("s")).select("_q", F.col("s")[0].alias("url"), F.col("s")[1].cast(catalog.schema["pos"].dataType).alias("pos"), F.col("s")[2].cast("double").alias("_priority"), F.lit(0).cast("long").alias("c"))
+        every = every.unionByName(own) if sizes else own
+    score = F.greatest(F.max("c") * 2 + F.col("_priority") * 0.5, F.lit(0.0))
+    scored = every.groupBy("_q", "url", "pos", "_priority").agg(score.alias("score"))
     w = Window.partitionBy("_q")
-    best = scored.withColumn("_k", F.row_number().over(w.orderBy(F.desc("score"), "pos", "url"))).where(F.col("_k") <= most)
-    fits = best.withColumn("_most", F.max("score").over(w)).where("score > 0 or _most = 0")
+    ranked = scored.withColumn("_k", F.row_number().over(w.orderBy(F.desc("score"), "pos", "url"))).where(F.col("_k") <= most)
+    fits = ranked.withColumn("_most", F.max("score").over(w)).where("score > 0 or _most = 0")
     return queries.select("query").join(fits, F.col("query").eqNullSafe(F.col("_q"))).select("query", (F.col("_k") - 1).alias("n"), "url", "score")
 
 
+def flatten(nested: DataFrame, category: str = "category", sources: str = "sources", order: str = "pos") -> DataFrame:
+    """A nested catalog (order, category, sources: array of schema.SOURCE) as rows in its order: pos, category, name, url, text, priority and pages, the source's own page and those that its paths name.
+
+    text is what select_sources() looks in: category, keywords, services and sectors. Sources without a URL or switched off go; of sources with one URL the first stays. Pages are normalised,
+    without repeats, in order.
+    """
+    rows = nested.select(F.col(order).alias("_o"), F.col(category).alias("_c"), F.posexplode(sources).alias("_i", "_s")).where("coalesce(_s.enabled, true) and trim(coalesce(_s.url, '')) <> ''")
+    home = urls.normalized(F.col("_s.url"))
+    lists = [F.coalesce(F.col(f"_s.{n}"), F.array().cast("array<string>")) for n in ("keywords", "services", "sectors")]
+    told = F.lower(F.array_join(F.concat(F.array(F.coalesce(F.col("_s.category"), F.col("_c"), F.lit(""))), *lists), " "))
+    paths = F.coalesce(F.col("_s.paths"), F.array().cast("array<string>"))
+    pages = F.filter(F.array_distinct(F.concat(F.array(home), F.transform(paths, lambda p: urls.normalized(F.concat(F.regexp_replace(home, "/+$", ""), F.lit("/"), F.ltrim(p, F.lit("/"))))))), lambda u: u != "")
+    flat = rows.where(home != "").select("_o", "_i", F.col("_c").alias("category"), F.col("_s.name").alias("name"), home.alias("url"), told.alias("text"), F.coalesce("_s.priority", F.lit(0)).alias("priority"), pages.alias("pages"))
+    first = flat.groupBy("url").agg(F.min(F.struct("_o", "_i")).alias("f")).select("url", "f._o", "f._i")
+    flat = flat.join(first, ["url", "_o", "_i"], "left_semi")
+    return flat.select((F.col("_o") * (1 << 20) + F.col("_i")).cast("long").alias("pos"), "category", "name", "url", "text", "priority", "pages")
+
+
 def crawl(start: DataFrame, links: DataFrame, depth: int = 2, most_pages: int = 12) -> DataFrame:
     """(source, url, depth, n): pages visited from start (source, url) over links (from_url, to_url, pos), breadth first, each once, at most so many a source.
 

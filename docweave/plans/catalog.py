@@ -387,6 +387,22 @@ def q_select_sources(spark: SparkSession, d: str) -> DataFrame:
     return named.join(asked, "q").select("query", "n", "url", "score")
 
 
+@query("""WITH n AS (SELECT s_nationkey AS o, list({'name': s_name, 'url': 'https://Supplier.example//' || (s_suppkey % 40), 'kw': string_split(s_name, '#'), 'paths': ['/tenders', 'rfq/', '/tenders'], 'on': s_suppkey % 9 <> 0, 'priority': CAST(s_suppkey % 7 AS INTEGER)} ORDER BY s_suppkey) AS l FROM supplier GROUP BY 1),
+    u AS (SELECT o, unnest(l) AS s, generate_subscripts(l, 1) - 1 AS i FROM n), f AS (SELECT o, i, s, replace(s.url, 'example//', 'example/') AS url FROM u WHERE s.on),
+    k AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY url ORDER BY o, i) = 1),
+    p AS (SELECT o, i, s, url, unnest([url, url || '/tenders', url || '/rfq']) AS page, unnest([0, 1, 2]) AS n FROM k)
+    SELECT CAST(o * 1048576 + i AS BIGINT) AS pos, s.name AS name, lower('nation ' || o || ' ' || array_to_string(s.kw, ' ')) AS text, s.priority AS priority, CAST(n AS INTEGER) AS n, page FROM p""")
+def q_source_catalog(spark: SparkSession, d: str) -> DataFrame:
+    s, k = read(spark, d, "supplier"), F.col("s_suppkey")
+    none = F.array().cast("array<string>")
+    one = F.struct(
+        k.alias("at"), F.col("s_name").alias("name"), F.concat(F.lit("https://Supplier.example//"), (k % 40).cast("string")).alias("url"), F.lit(None).cast("string").alias("category"), F.split("s_name", "#").alias("keywords"),
+        none.alias("services"), F.lit(None).cast("array<string>").alias("sectors"), F.array(F.lit("/tenders"), F.lit("rfq/"), F.lit("/tenders")).alias("paths"), (k % 7).cast("int").alias("priority"), (k % 9 != 0).alias("enabled"),
+    )
+    nested = s.groupBy(F.col("s_nationkey").alias("pos")).agg(F.array_sort(F.collect_list(one)).alias("sources")).withColumn("category", F.concat(F.lit("nation "), F.col("pos").cast("string")))
+    return discover.flatten(nested).select("pos", "name", "text", "priority", F.posexplode("pages").alias("n", "page"))
+
+
 @query("""WITH r AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events), p AS (SELECT event_id FROM r WHERE k <= 2 ORDER BY event_id LIMIT 500)
     SELECT e.event_id, p.event_id IS NOT NULL AS allowed FROM events e LEFT JOIN p ON e.event_id = p.event_id""")
 def q_quota(spark: SparkSession, d: str) -> DataFrame:
