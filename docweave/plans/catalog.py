@@ -663,6 +663,77 @@ def q_best_link(spark: SparkSession, d: str) -> DataFrame:
     return html.best_link(html.links(read(spark, d, "pages"))).select("page_id", "best")
 
 
+# what the pages' own menus lack: ends of links, and words of labels, by place
+_ENDS = {0: "/tender-notice.pdf", 1: "/login", 2: "?sort=asc", 3: "/rfp/structural-audit", 5: "/eprocure/bid.pdf", 7: "/archive/tenders", 9: "/tenders/notice", 11: "/x.pdf"}
+_WORDS = {0: " Download tender document", 3: " Request for proposal: structural consultancy", 4: " privacy policy", 6: " procurement notices", 7: " tenders", 8: " annual report handbook", 9: " Notice inviting tender no 5, last date", 10: " vendor login"}
+_HOSTS = {5: "docs.gov.in", 6: "www.", 11: "else.example"}
+
+
+def _anchors(spark: SparkSession, d: str) -> DataFrame:
+    """(page_id, page_url, n, url, label) of the links that pages write plainly, with those additions."""
+    rows = read(spark, d, "pages")
+    found = F.arrays_zip(*[F.regexp_extract_all("html", F.lit('<a href="([^"]*)">([^<]*)</a>'), F.lit(i)).alias(c) for i, c in ((1, "href"), (2, "label"))])
+    rows = rows.select("page_id", F.col("url").alias("page_url"), F.posexplode(found).alias("n", "a"))
+    k = (F.col("page_id") * 7 + F.col("n")) % 12
+    pick = lambda of: F.coalesce(F.element_at(F.create_map(*[F.lit(x) for p in of.items() for x in p]), k.cast("int")), F.lit(""))
+    home = urls.host(F.col("page_url"))
+    host = F.when(k == 6, F.concat(F.lit("www."), home)).when(k.isin(5, 11), pick(_HOSTS)).otherwise(home)
+    return rows.select("page_id", "page_url", "n", F.concat(F.lit("https://"), host, F.col("a.href"), pick(_ENDS)).alias("url"), F.concat(F.col("a.label"), pick(_WORDS)).alias("label"))
+
+
+def _anchor_sql() -> str:
+    pick = lambda of: "CASE k " + " ".join(f"WHEN {i} THEN '{w}'" for i, w in of.items()) + " ELSE '' END"
+    return f"""WITH a AS (SELECT page_id, url AS page_url, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS h, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS t FROM pages),
+    b AS (SELECT page_id, page_url, unnest(h) AS href, unnest(t) AS word, generate_subscripts(h, 1) - 1 AS n FROM a), c AS (SELECT *, (page_id * 7 + n) % 12 AS k, lower(regexp_extract(page_url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1)) AS home FROM b),
+    l AS (SELECT page_id, page_url, home, n, 'https://' || CASE WHEN k = 6 THEN 'www.' || home WHEN k IN (5, 11) THEN {pick(_HOSTS)} ELSE home END || href || {pick(_ENDS)} AS url, word || {pick(_WORDS)} AS label FROM c),
+    m AS (SELECT *, lower(url) AS u, lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1)) AS host, lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1)) AS path, lower(regexp_extract(url, '[?]([^#]*)', 1)) AS q,
+          lower(url || ' ' || label) AS ul, lower(label || ' ' || url) AS lu, trim(regexp_replace(lower(label), '\\s+', ' ', 'g')) AS lab FROM l),
+    f AS (SELECT *, {sql_has('path', lexicons.DOCUMENT_TYPES)} AS is_document, {sql_has('q', lexicons.CRAWL_BAD_QUERIES)} AS bad_query, ends_with(u, '.pdf') OR {sql_has('u', ['.pdf?', '/pdf/', 'application/pdf'])} AS pdf FROM m),
+    g AS (SELECT *, u = '' OR bad_query OR {sql_has('u', [x for x in lexicons.CRAWL_BAD_LINKS if x not in ('archive', 'archived')])} OR NOT is_document AND {sql_has('u', ['archive', 'archived'])} AS bad,
+          {' OR '.join(sql_word('lab', p) if len(p) <= 4 else sql_has('lab', [p]) for p in lexicons.CRAWL_BAD_TITLES)} AS bad_title, host = home OR ends_with(host, '.' || home) AS near FROM f)"""
+
+
+def sql_contained(c: str, phrases: Sequence[str]) -> str:
+    return "(" + " + ".join(f"CAST({sql_has(c, [p])} AS INTEGER)" for p in phrases) + ")"
+
+
+_BUYING = ["tender", "rfp", "rfq", "eoi", "bid", "procurement", "empanelment", "expression of interest", "request for proposal"]
+_NAVIGATION = f"""{sql_contained('lu', lexicons.CRAWL_NAVIGATION)} + 2 * {sql_contained('path', [f"/{x}" for x in [x for x in lexicons.CRAWL_NAVIGATION if " " not in x][:12]])}"""
+_CANDIDATE = f"""{sql_contained('lu', ['the', 'and', 'structural'])} + 2 * {sql_contained('lu', lexicons.CRAWL_STRONG)} + {sql_contained('lu', lexicons.CRAWL_TENDER)} + 2 * {sql_contained('lu', _BUYING)} + {sql_contained('lu', lexicons.CRAWL_EVIDENCE)} + CASE WHEN is_document THEN 2 ELSE 0 END"""
+_WANTED = f"least(12 * {sql_contained('ul', lexicons.LINK_TENDER)}, 60)"
+_LINK = f"""CASE WHEN pdf THEN 35 ELSE 0 END + {_WANTED} + CASE WHEN {sql_has('lab', ['download', 'view tender', 'tender document', 'view document', 'bid document'])} THEN 25 ELSE 0 END + CASE WHEN {sql_has('host', lexicons.GOVERNMENT_DOMAINS)} THEN 15 ELSE 0 END
+    + CASE WHEN {sql_has('ul', lexicons.LINK_PDF)} THEN 10 ELSE 0 END - 60 * {sql_count("lower(label || ' ' || regexp_replace(u, '[_/.-]', ' ', 'g'))", lexicons.LINK_IRRELEVANT)} + CASE WHEN host = home THEN 10 ELSE 0 END - CASE WHEN pdf AND host <> home AND {_WANTED} < 12 THEN 40 ELSE 0 END"""
+
+
+@query(f"{_anchor_sql()} SELECT page_id, CAST(n AS INTEGER) AS n, bad, bad_query, is_document, host = home AS same, CAST({_NAVIGATION} AS INTEGER) AS navigation, CAST({_CANDIDATE} AS INTEGER) AS candidate, CAST({_LINK} AS INTEGER) AS link FROM g")
+def q_link_scores(spark: SparkSession, d: str) -> DataFrame:
+    a, u, p = _anchors(spark, d), F.col("url"), F.col("page_url")
+    asked = F.array(*[F.lit(x) for x in ("the", "and", "structural")])
+    return a.select(
+        "page_id", "n", urls.is_bad(u).alias("bad"), urls.has_bad_query(u).alias("bad_query"), urls.is_document(u).alias("is_document"), urls.same_domain(u, p).alias("same"),
+        score.navigation_score(F.col("label"), u).cast("int").alias("navigation"), score.candidate_score(F.col("label"), u, asked, F.lit("")).cast("int").alias("candidate"), score.link_score(u, F.col("label"), p).cast("int").alias("link"),
+    )
+
+
+@query(f"""{_anchor_sql()}, s AS (SELECT page_id, n, url, CAST({_CANDIDATE} AS INTEGER) AS score FROM g WHERE near AND NOT bad AND NOT bad_title)
+    SELECT page_id, CAST(n AS INTEGER) AS n, url, score FROM s QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY score DESC, n) <= 4""")
+def q_link_best_candidates(spark: SparkSession, d: str) -> DataFrame:
+    found = html.candidates(_anchors(spark, d).withColumn("context", F.lit("")), F.array(*[F.lit(x) for x in ("the", "and", "structural")]), 4)
+    return found.select("page_id", "n", "url", F.col("score").cast("int").alias("score"))
+
+
+@query(f"""{_anchor_sql()}, s AS (SELECT page_id, n, url, CAST({_NAVIGATION} AS INTEGER) AS score FROM g WHERE near AND NOT bad AND NOT bad_title AND NOT is_document AND NOT bad_query), t AS (SELECT * FROM s WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY page_id, url ORDER BY n) = 1)
+    SELECT page_id, CAST(n AS INTEGER) AS n, url, score FROM t QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY score DESC, n) <= 3""")
+def q_link_navigation(spark: SparkSession, d: str) -> DataFrame:
+    return html.navigation(_anchors(spark, d), 3).select("page_id", "n", "url", F.col("score").cast("int").alias("score"))
+
+
+@query(f"""{_anchor_sql()}, s AS (SELECT page_id, page_url, n, url, {_LINK} AS score FROM g), t AS (SELECT page_id, page_url, arg_max(url, (score, -n)) AS best, max(score) AS score FROM s GROUP BY 1, 2)
+    SELECT page_id, CASE WHEN score < 30 OR ends_with(lower(page_url), '.pdf') OR {sql_has('lower(page_url)', ['.pdf?', '/pdf/', 'application/pdf'])} THEN page_url ELSE best END AS best FROM t""")
+def q_link_choice(spark: SparkSession, d: str) -> DataFrame:
+    return html.best_link(_anchors(spark, d)).select("page_id", "best")
+
+
 @query()
 def q_link_candidates(spark: SparkSession, d: str) -> DataFrame:
     return html.candidates(html.links(read(spark, d, "pages")), F.array(F.lit("the"), F.lit("and"))).select("page_id", "n", "url", "score")
