@@ -53,22 +53,23 @@ def not_repeated(lines: Column) -> Column:
     return let(lines, lambda x: let(repeated(x), lambda gone: F.filter(x, lambda y: ~F.array_contains(gone, y))))
 
 
-def not_noise(lines: Column) -> Column:
-    """Without runs of symbols and words of up to three letters; protected headings, table rows and numbered lines stay."""
+def not_noisy(x: Column) -> Column:
+    """Whether a line is more than a run of symbols or a word of up to three letters; protected headings, table rows and numbered lines are."""
+    safe = F.lower(x).isin(lx.PROTECTED_HEADINGS) | F.contains(x, F.lit("|")) | x.rlike(r"^\d+(\.\d+)*")
+    noise = x.rlike(r"^\p{L}{1,3}$") | x.rlike(r"^[-_=*.]{3,}$") | x.rlike(r"^[^\p{L}\p{N}]+$")
+    return safe | ~noise
 
-    def keep(x: Column) -> Column:
-        safe = F.lower(x).isin(lx.PROTECTED_HEADINGS) | F.contains(x, F.lit("|")) | x.rlike(r"^\d+(\.\d+)*")
-        noise = x.rlike(r"^\p{L}{1,3}$") | x.rlike(r"^[-_=*.]{3,}$") | x.rlike(r"^[^\p{L}\p{N}]+$")
-        return safe | ~noise
 
-    return F.filter(lines, keep)
+def not_noise(lines: Column) -> Column:
+    return F.filter(lines, not_noisy)
 
 
 def clean_native(c: Column) -> Column:
     """clean() without compatibility normalisation: for text that is normalised already."""
-    lines = clean_lines(c)
-    lines = not_matching(not_matching(not_matching(not_navigation(lines), lx.BOILERPLATE_PATTERNS), lx.COOKIE_PATTERNS), lx.SCRIPT_PATTERNS)
-    lines = not_noise(not_whole(not_repeated(not_whole(lines, lx.PAGE_NUMBERS)), lx.CONTENTS_LINES))
+    said = [*lx.BOILERPLATE_PATTERNS, *lx.COOKIE_PATTERNS, *lx.SCRIPT_PATTERNS]
+    whole = lambda patterns: "(?iU)^(?:" + "|".join(patterns) + ")$"
+    lines = F.filter(clean_lines(c), lambda x: ~F.lower(x).isin(lx.NAVIGATION_LINES) & ~matches_any(x, said) & ~x.rlike(whole(lx.PAGE_NUMBERS)))
+    lines = F.filter(not_repeated(lines), lambda x: ~x.rlike(whole(lx.CONTENTS_LINES)) & not_noisy(x))
     return F.when(is_error_page(c), F.lit("")).otherwise(strip(join_lines(lines)))
 
 

