@@ -1,6 +1,6 @@
 """Field extraction from cleaned document text.
 
-E-mail, phone, money, type, dates and the title (titles.py) are native expressions. Organisation, location and description
+E-mail, phone, money, type, dates, the title (titles.py) and the description (descriptions.py) are native expressions. Organisation and location
 come from one Arrow-batched rule engine. Fields are texts, empty when absent.
 """
 
@@ -20,8 +20,8 @@ from ..functions import dates
 from ..functions import lexicons as lx
 from ..functions.lexicon import has_word
 from ..functions.num import round2
-from ..functions.text import all_lines, once, strip, text
-from . import titles
+from ..functions.text import all_lines, let, once, strip, text
+from . import descriptions, titles
 
 # ---- native fields ----
 
@@ -111,8 +111,6 @@ NUMBERED = re.compile(r"^(?:\d+(?:\.\d+)*[.)]?|[-•*·]|\(?[a-z]\))\s+", re.I)
 ORG_LABEL = re.compile(r"^(?:name of (?:the )?)?(" + "|".join(sorted(lx.ORGANIZATION_LABELS, key=len, reverse=True)) + r")\b(?: name)?\s*([:\-])?\s*(.*)$", re.I)
 PLACE_LABEL = re.compile(r"^(?:\d+[.)]?\s*)?(" + "|".join(sorted(lx.LOCATION_LABELS, key=len, reverse=True)) + r")\s*(:|-)\s*(.+)$", re.I)
 PLACE = _any(lx.GAZETTEER)
-HEADER = re.compile(r"^(?:\d+(?:\.\d+)*[.)]?\s*)?(" + "|".join(sorted(lx.DESCRIPTION_HEADERS, key=len, reverse=True)) + r")\s*[:\-]?\s*(.*)$", re.I)
-STOP = re.compile(r"^(?:\d+(?:\.\d+)*[.)]\s*)?(?:eligibility|terms and conditions|instructions|important dates|schedule|annexure|appendix|emd|earnest money|tender fee|payment|contact|qualification|submission|evaluation)\b", re.I)
 CONTENTS = re.compile(r"^(?:table of contents|contents|index)$|\.{3,}\s*\d+$|^\d+$", re.I)
 
 
@@ -181,47 +179,31 @@ def find_location(lines: list[str]) -> str:
     return ""
 
 
-def find_description(lines: list[str]) -> str:
-    """What follows the header that stands first in the list of headers, up to a stop line; else introductory lines."""
-    heads = [(lx.DESCRIPTION_HEADERS.index(m[1].lower()), i, m[2]) for i, x in enumerate(lines) if (m := HEADER.match(x))]
-    for _, i, rest in sorted(heads):
-        parts = [rest] if rest else []
-        for y in lines[i + 1 :]:
-            if STOP.match(y) or HEADER.match(y) or sum(map(len, parts)) > 2500:
-                break
-            if not LABEL.search(y) and not (len(y.split()) <= 2 and len(y) < 20):
-                parts.append(y)
-        if len(t := " ".join(parts)[:2500].strip()) >= 20:
-            return t
-    intro = [x for x in lines[:120] if len(x) >= 35 and not LABEL.search(x) and not CONTENTS.search(x)]
-    return " ".join(intro)[:1500].strip()
-
-
 def fields(t: str | None, title: str) -> dict[str, str]:
     lines = prepare(t)
-    organization, location, description = find_organization(lines, title), find_location(lines), find_description(lines)
-    return {"organization": organization, "location": location, "description": description if len(description) >= 20 else ""}
+    return {"organization": find_organization(lines, title), "location": find_location(lines)}
 
 
 def _engine(series: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for texts, titles in series:
-        yield pd.DataFrame([fields(x, t) for x, t in zip(texts, titles, strict=True)], columns=["organization", "location", "description"])
+        yield pd.DataFrame([fields(x, t) for x, t in zip(texts, titles, strict=True)], columns=["organization", "location"])
 
 
-engine = pandas_udf(_engine, T.StructType([T.StructField(n, T.StringType()) for n in ("organization", "location", "description")]))
+engine = pandas_udf(_engine, T.StructType([T.StructField(n, T.StringType()) for n in ("organization", "location")]))
 
 
 def parse(df: DataFrame, column: str = "text") -> DataFrame:
     """Adds the struct parsed (ten texts) and confidence. A null or blank text parses to empty fields with confidence 0."""
     c = F.col(column)
-    rows = once(df, F.array(titles.find_title(titles.lines(c))), "_title")
-    rows = rows.withColumn("_e", engine(c, F.col("_title")))
+    found = let(titles.lines(c), lambda x: F.struct(titles.find_title(x).alias("title"), descriptions.find_description(x).alias("description")))
+    rows = once(df, F.array(found), "_found")
+    rows = rows.withColumn("_e", engine(c, F.col("_found.title")))
     mail = email(c)
     parsed = F.struct(
-        F.col("_title").alias("title"), F.col("_e.organization").alias("organization"), deadline(c).alias("deadline"), F.col("_e.location").alias("location"), F.col("_e.description").alias("description"),
+        F.col("_found.title").alias("title"), F.col("_e.organization").alias("organization"), deadline(c).alias("deadline"), F.col("_e.location").alias("location"), F.col("_found.description").alias("description"),
         tender_type(c).alias("tender_type"), emd(c).alias("emd"), document_fee(c).alias("document_fee"), F.when(mail.rlike(f"^(?:{lx.EMAIL})$"), mail).otherwise("").alias("email"), phone(c).alias("phone"),
     )
-    rows = rows.withColumn("parsed", parsed).drop("_e", "_title")
+    rows = rows.withColumn("parsed", parsed).drop("_e", "_found")
     weight = {"title": 0.35, "organization": 0.20, "deadline": 0.15, "location": 0.10, "tender_type": 0.05, "description": 0.15}
     total = F.lit(0.0)
     for k, w in weight.items():

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, lexicon, lexicons, num, urls
 from ..functions import text as tx
 from ..functions.lexicon import Lexicon
-from ..operators import assist, clean, dedup, discover, gates, html, insight, pages, parse, qualify, redirects, score, store, titles
+from ..operators import assist, clean, dedup, descriptions, discover, gates, html, insight, pages, parse, qualify, redirects, score, store, titles
 from . import views
 from .views import AS_OF, OPPORTUNITIES, STORE, STORE_AS_OF, opportunities, read
 
@@ -673,6 +673,52 @@ def q_title_windows(spark: SparkSession, d: str) -> DataFrame:
     return tx.once(rows, F.filter(F.array(best), lambda w: w.isNotNull()), "w").select("doc_id", "w.i", "w.used", F.col("w.t").alias("title"), (-F.col("w.down")).alias("score"))
 
 
+#: Headings, stops and fields that the documents lack, before and after their text.
+NOTES = (
+    ("Scope of work\n1. General\n", "\nPhone: 123\nafter the stop this line is not read\n"), ("Background: the old bridge shall be examined by experts\n", "\n2) Eligibility\nnot this line of the next section\n"), ("", ""),
+    ("3 Scope of Work 6\nSl. No. Particulars Page\n", "\nScope of the next\n"), ("Dear bidders, this notice of tender is published for your kind attention\nName of bidder and signature of the person in charge of it\n", "\nImportant dates\nnever reached line of text that is long enough\n"),
+)
+
+
+def _description_sql() -> str:
+    q = lambda s: "'" + s.replace("'", "''") + "'"
+    gap = lambda w: re.sub(r"([^\w])", lambda m: 2 * m[1], w)
+    D = descriptions
+    has = lambda p, c="low": f"regexp_matches({c}, {q(p)})"
+    terms = lambda t, c="low": f"regexp_matches(' ' || regexp_replace({c}, '({D.OTHER})', '\\1\\1', 'g') || ' ', {q(f'{D.OTHER}(' + '|'.join(gap(w) for w in t.words) + f'){D.OTHER}')})"
+    count = lambda c: f"len(string_split({c}, ' '))"
+    index = lambda c: f"({has(D.INDEX, c)} OR {has(D.ANNEXURE, c)} AND {count(c)} <= 15 OR contains({c}, 'particulars') AND contains({c}, 'page'))"
+    meta = lambda c: f"(contains({c}, '@') OR {has(D.URL, c)} OR {terms(D.REACH, c)} OR {has(D.FIELD, c)})"
+    noise = lambda c: f"({index(c)} OR {meta(c)} OR {has('^[0-9]+$', c)} OR {count(c)} <= 2 AND length({c}) < 20)"
+    head = "CASE " + " ".join(f"WHEN {has(f'(?:^|{D.OTHER}){h}(?:{D.OTHER}|$)')} THEN {q(h)}" for h in lexicons.DESCRIPTION_HEADERS) + " END"
+    inline = "CASE head " + " ".join(f"WHEN {q(h)} THEN regexp_extract(x, {q(rf'(?i)(?:^|{D.OTHER}){h}' + r'\s*[:-]\s*(.+)')}, 1)" for h in lexicons.DESCRIPTION_HEADERS) + " END"
+    before, after = (" ".join(f"WHEN {i} THEN {q(x[k])}" for i, x in enumerate(NOTES)) for k in (0, 1))
+    return rf"""
+    WITH o AS (SELECT doc_id, replace(CASE doc_id % {len(NOTES)} {before} END, '\n', chr(10)) || coalesce(text, '') || replace(CASE doc_id % {len(NOTES)} {after} END, '\n', chr(10)) AS t FROM documents),
+    ls AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(replace(replace(t, '–', '-'), '—', '-'), '\r\n|[\n\r\x0b\x0c\x1c-\x1e]'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '' AND NOT {has(titles.CONTENTS, 'lower(x)')}) AS l FROM o),
+    li AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM ls), lw AS (SELECT *, lower(x) AS low FROM li),
+    c AS MATERIALIZED (SELECT doc_id, x, i, low, CASE WHEN NOT {index('low')} THEN {head} END AS head, contains(low, '@') OR {terms(D.CONTACT)} OR {has(D.URL)} OR {has(D.FORM)} AS hard, {index('low')} OR {has(D.NUMBERED)} OR {has(D.SECTION)} AS soft, NOT {noise('low')} AND NOT {has(D.NUMBERED)} AS good FROM lw),
+    h AS (SELECT doc_id, i, list_position({lexicons.DESCRIPTION_HEADERS}, head) AS rank, coalesce({inline}, '') AS rest FROM c WHERE head IS NOT NULL), h2 AS (SELECT doc_id, i, rank, CASE WHEN rest <> '' AND NOT {noise('lower(rest)')} THEN rest ELSE '' END AS rest FROM h),
+    b AS (SELECT h2.doc_id, rank * 1000000 + h2.i AS hp, rest, c.x, c.i, hard, soft, good FROM h2 LEFT JOIN c ON c.doc_id IS NOT DISTINCT FROM h2.doc_id AND c.i > h2.i),
+    s AS (SELECT *, CASE WHEN rest <> '' THEN 0 ELSE coalesce(min(i) FILTER (good AND NOT hard AND NOT soft) OVER w, 1e9) END AS start, coalesce(min(i) FILTER (hard) OVER w, 1e9) AS first_hard FROM b WINDOW w AS (PARTITION BY doc_id, hp)),
+    e AS (SELECT *, least(first_hard, coalesce(min(i) FILTER (soft AND i > start) OVER (PARTITION BY doc_id, hp), 1e9)) AS stop FROM s),
+    j AS (SELECT doc_id, hp, trim(concat_ws(' ', nullif(any_value(rest), ''), string_agg(x, ' ' ORDER BY i) FILTER (i < stop AND good AND NOT soft))) AS t FROM e GROUP BY 1, 2),
+    d1 AS (SELECT doc_id, arg_min(t, hp) AS t FROM j WHERE length(t) >= {D.LEAST} GROUP BY 1),
+    p AS (SELECT doc_id, x, i, NOT {index('low')} AND NOT {has(D.SECTION)} AND NOT {meta('low')} AND NOT {terms(D.PLAIN)} AND length(low) >= {D.INTRO_LINE} AS fit, {has(D.SECTION)} AND NOT {index('low')} AS sec FROM c WHERE i <= {D.INTRO_LINES}),
+    p2 AS (SELECT *, min(i) FILTER (fit) OVER (PARTITION BY doc_id) AS f FROM p), p3 AS (SELECT *, min(i) FILTER (sec AND i > f) OVER (PARTITION BY doc_id) AS z FROM p2),
+    d2 AS (SELECT doc_id, substr(string_agg(x, ' ' ORDER BY i), 1, {D.INTRO}) AS t FROM p3 WHERE fit AND (z IS NULL OR i < z) GROUP BY 1),
+    r AS (SELECT o.doc_id, trim(coalesce(substr(d1.t, 1, {D.LONGEST}), d2.t, '')) AS t FROM o LEFT JOIN d1 ON d1.doc_id IS NOT DISTINCT FROM o.doc_id LEFT JOIN d2 ON d2.doc_id IS NOT DISTINCT FROM o.doc_id)
+    SELECT doc_id, CASE WHEN length(t) >= {D.LEAST} THEN t ELSE '' END AS description FROM r"""
+
+
+@query(_description_sql())
+def q_descriptions(spark: SparkSession, d: str) -> DataFrame:
+    docs = read(spark, d, "documents")
+    pick = lambda k: F.element_at(F.array(*[F.lit(x[k]) for x in NOTES]), (F.col("doc_id") % len(NOTES) + 1).cast("int"))
+    rows = docs.select("doc_id", titles.lines(F.concat(pick(0), tx.text("text"), pick(1))).alias("l"))
+    return rows.select("doc_id", descriptions.find_description(F.col("l")).alias("description"))
+
+
 # ---- web pages ----
 
 @query()

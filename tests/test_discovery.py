@@ -166,3 +166,32 @@ def test_lexicon_table_equals_expressions(spark):
     assert lexicon.hits(df, "pos", F.col("description"), spark.createDataFrame([], "term string")).count() == 0
     with pytest.raises(ValueError, match="word character"):
         lexicon.hits(df, "pos", F.col("description"), spark.createDataFrame([(f"c{i}+",) for i in range(300)], "term string"))
+
+
+def test_titles(spark):
+    from docweave.operators import titles
+
+    cases = {
+        "Notice Inviting Tender\nStructural audit and retrofitting of bridge no 12\nfor the public works\nIssued by: Public Works Department\nfoo": "Notice Inviting Tender Structural audit and retrofitting of bridge no 12 for the public works",
+        "1. Name of work: Construction of tower\nand rehabilitation of tower\n2. EMD: 5\n": "Construction of tower and rehabilitation of tower",
+        "GOVERNMENT OF INDIA\nMinistry of Works\nSelection of consultant for structural design Tender No 55/2026\n": "Selection of consultant for structural design",
+        "Supply of steel plates Supply of steel plates for bridge works at the site ....... 3\nPhone: 12\n": "", "": "", "Too short": "", "x@y.in\n12/03/2026": "",
+        "Contents\n7\nTender for structural audit of the structural audit of the north block\n03/04/2026\n": "Tender for structural audit of the north block 03/04/2026",
+        "EOI\nthe bidder shall be required\nPlain words that are four and more": "Plain words that are four and more",
+    }
+    rows = spark.createDataFrame([(t,) for t in [*cases, None]], "t string")
+    got = {r.t: r.x for r in rows.select("t", titles.find_title(titles.lines(F.col("t"))).alias("x")).collect()}
+    assert got == cases | {None: ""}
+
+
+def test_descriptions(spark):
+    from docweave.operators import descriptions, titles
+
+    cases = {
+        "Scope of work\n3 Scope of Work 6\nThe work covers two bridges\nPage No. 4\nand one tower.\nContact: x\nnot this": "The work covers two bridges",
+        "Scope of work: inspection of all the beams\nEligibility\nnone": "inspection of all the beams", "Background\nshort one\nA story that is told in full here\n5) Next\nno": "A story that is told in full here",
+        "Hello\nThis introduction is long enough to be taken as one\nImportant dates\nThis line stands below a section and is not read": "This introduction is long enough to be taken as one", "": "", "Scope of work\nabc": "",
+    }
+    rows = spark.createDataFrame([(t,) for t in [*cases, None]], "t string")
+    got = {r.t: r.x for r in rows.select("t", descriptions.find_description(titles.lines(F.col("t"))).alias("x")).collect()}
+    assert got == cases | {None: ""}
