@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, lexicon, lexicons, num, urls
 from ..functions import text as tx
 from ..functions.lexicon import Lexicon
-from ..operators import assist, clean, dedup, descriptions, discover, gates, html, insight, pages, parse, qualify, redirects, score, store, titles
+from ..operators import assist, cache, clean, dedup, descriptions, discover, gates, html, insight, pages, parse, qualify, redirects, score, store, titles
 from . import views
 from .views import AS_OF, OPPORTUNITIES, STORE, STORE_AS_OF, opportunities, read
 
@@ -424,6 +424,15 @@ def q_crawl(spark: SparkSession, d: str) -> DataFrame:
     return discover.crawl(start, both)
 
 
+@query("""WITH e AS (SELECT event_id, user_id, event_type, epoch_us(ts) AS at FROM events), f AS (SELECT * FROM e WHERE event_type = 'view'), r AS (SELECT * FROM e WHERE event_type <> 'view')
+    SELECT r.event_id, max(f.at) IS NOT NULL AS hit, max(f.at) AS landed_at, max((f.at, f.event_id))[2] AS found FROM r LEFT JOIN f ON f.user_id = r.user_id AND f.at <= r.at AND f.at > r.at - 900000000 GROUP BY r.event_id""")
+def q_page_cache(spark: SparkSession, d: str) -> DataFrame:
+    # a user's page lands with a view and is good for a quarter of an hour
+    e = read(spark, d, "events").select("event_id", F.col("user_id").alias("key"), F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "event_type")
+    found = cache.as_of(e.where("event_type <> 'view'"), e.where("event_type = 'view'").withColumn("value", F.col("event_id")), 900_000_000)
+    return found.select("event_id", "hit", "landed_at", "found")
+
+
 _GUIDED = """WITH e AS (SELECT 's' || l_suppkey AS a, 'p' || l_partkey AS b, CAST(l_linenumber AS DOUBLE) AS score, CAST(l_orderkey AS BIGINT) AS pos FROM lineitem),
     k AS MATERIALIZED (SELECT a AS f, b AS t, score, pos FROM e UNION ALL SELECT b, a, score, pos FROM e),
     c AS MATERIALIZED (SELECT DISTINCT f, 'o' || (pos % 300) AS link, score, pos FROM k QUALIFY row_number() OVER (PARTITION BY f ORDER BY score DESC, pos, t) <= 4),

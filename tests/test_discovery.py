@@ -195,3 +195,17 @@ def test_descriptions(spark):
     rows = spark.createDataFrame([(t,) for t in [*cases, None]], "t string")
     got = {r.t: r.x for r in rows.select("t", descriptions.find_description(titles.lines(F.col("t"))).alias("x")).collect()}
     assert got == cases | {None: ""}
+
+
+def test_cache_as_of(spark):
+    from docweave.operators import cache
+
+    rng = random.Random(3)
+    landed = [(rng.choice(["a", "b", "hot", None]), rng.choice([rng.randrange(500), None]), rng.randrange(9)) for _ in range(300)]
+    asked = [(i, rng.choice(["a", "b", "hot", "none", None]), rng.choice([rng.randrange(600), None])) for i in range(200)] + [(7, "hot", 40)]
+    got = cache.as_of(spark.createDataFrame(asked, "id int, key string, at long"), spark.createDataFrame(landed, "key string, at long, value int"), 25).collect()
+    want = []
+    for i, k, t in asked:
+        fit = [(at, v) for key, at, v in landed if k is not None and t is not None and key == k and at is not None and t - 25 < at <= t]
+        want.append((i, k, t, bool(fit), *(max(fit) if fit else (None, None))))
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
