@@ -186,6 +186,7 @@ STORE_COLUMNS = [
     "Assigned_To", "Last_Updated", "Date_Added",
 ]
 
+# The regular expressions of the rules, here and below.
 ERROR_PATTERNS = [
     r"\b404\b", r"\b403\b", r"\b500\b", r"page\s+not\s+found", r"access\s+denied", r"forbidden", r"internal\s+server\s+error", r"service\s+unavailable",
     r"bad\s+gateway", r"website\s+under\s+maintenance", r"site\s+under\s+maintenance", r"verify\s+you\s+are\s+human", r"captcha", r"cloudflare",

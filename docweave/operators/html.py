@@ -112,6 +112,7 @@ def prune(n: Node) -> None:
     n.children = kept
 
 
+# The weights of a container's signs and its least length, which results depend on.
 def _container_score(n: Node, t: str) -> int:
     low, inside = t.lower(), list(n.walk())
     names = f"{n.attrs.get('class', '')} {n.attrs.get('id', '')}".lower()

@@ -1,4 +1,4 @@
-"""The fixed schemas. A missing value, null and the empty text are one state."""
+"""The field names of the schemas. A missing value, null and the empty text are one state."""
 
 from pyspark.sql import types as T
 
