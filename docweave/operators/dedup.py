@@ -211,7 +211,7 @@ def _alike_by_length(named: DataFrame, similar: float) -> DataFrame:
 def conflicts(df: DataFrame, pos: str = "pos", similar: float = SIMILAR) -> DataFrame:
     """Pairs (earlier, later): equal URL, equal fingerprint, or titles at least similar with equal organisation and deadline.
 
-    All pairs of an equal key are given, as asked; greedy() works without them.
+    All pairs of an equal key are given, as asked; greedy() and classes() work without them.
     """
     rows = _keyed(df, pos)
     a, b = (rows.select(*[F.col(c).alias(f"{c}{i}") for c in ("p", "u", "f")]) for i in (1, 2))
@@ -221,6 +221,24 @@ def conflicts(df: DataFrame, pos: str = "pos", similar: float = SIMILAR) -> Data
     return pairs[0].unionByName(pairs[1]).unionByName(_alike(rows, similar)).distinct()
 
 
+def classes(df: DataFrame, pos: str = "pos", similar: float = SIMILAR) -> DataFrame:
+    """conflicts() by fingerprint and title without their expansion: (earlier, later, kind, forward, backward).
+
+    Rows of one fingerprint are a class, named by its first position. `copy`: later is a further row of the class of earlier, which conflicts with every row of it. `similar`: rows of the classes of
+    earlier and later conflict, forward where the row of earlier's class comes first, backward where the other does (a ratio depends on the order). Rows with a blank part are in no class.
+    """
+    if not (similar <= 1 and _indexable(similar)):
+        raise ValueError("too low a similarity for the index of titles")
+    rows = durable(_keyed(df.withColumn("source_url", F.lit("")), pos).where("f <> ''"))
+    first = durable(rows.groupBy("f").agg(F.min("p").alias("first")))
+    copies = rows.join(first, "f").where("p > first").select(F.col("first").alias("earlier"), F.col("p").alias("later"), F.lit("copy").alias("kind"), F.lit(True).alias("forward"), F.lit(True).alias("backward"))
+    of = lambda i, c: first.select(F.col("first").alias(f"p{i}"), F.col("f").alias(c))
+    met = _like_classes(rows, similar).join(of(1, "a"), "a").join(of(2, "b"), "b")
+    ahead = F.col("p1") < F.col("p2")
+    like = met.select(F.least("p1", "p2").alias("earlier"), F.greatest("p1", "p2").alias("later"), F.lit("similar").alias("kind"), F.when(ahead, F.col("ab")).otherwise(F.col("ba")).alias("forward"), F.when(ahead, F.col("ba")).otherwise(F.col("ab")).alias("backward"))
+    return copies.unionByName(like)
+
+
 def greedy(df: DataFrame, pos: str = "pos", similar: float = SIMILAR) -> DataFrame:
     """Rows that a sequential pass by pos keeps: a row goes if it conflicts with a kept earlier row, and dropped rows drop nothing.
 

@@ -149,6 +149,27 @@ def test_title_index_finds_every_pair(spark, seed, similar):
     assert {tuple(x) for x in dedup.title_pairs(spark.createDataFrame(rows, "u string, g long, t string"), similar).collect()} == want and len(want) > 10
 
 
+def test_classes_expand_to_every_conflict(spark):
+    """Copies and pairs of representatives hold every pair of rows that conflict, and a group of copies makes one row each."""
+    rng = random.Random(5)
+    named = [(t, rng.choice(["o1", "o2"]), rng.choice(["d1", ""])) for t in titles(7)]
+    rows = [(i, *rng.choice(named)) for i in range(300)] + [(1000 + i, *next(n for n in named if n[2])) for i in range(200)]
+    df = spark.createDataFrame(rows, "pos long, title string, organization string, deadline string")
+    got = dedup.classes(df).collect()
+    of = {p: (t, o, d) for p, t, o, d in rows}
+    first = {}
+    for p in sorted(of):
+        if all(of[p]):
+            first.setdefault(of[p], p)
+    members = {f: [p for p in of if all(of[p]) and first[of[p]] == f] for f in first.values()}
+    assert {(r.earlier, r.later) for r in got if r.kind == "copy"} == {(f, p) for f, ps in members.items() for p in ps if p != f}
+    pairs = {(p, x) for ps in members.values() for p in ps for x in ps if p < x}
+    for r in got:
+        if r.kind == "similar":
+            pairs |= {(min(p, x), max(p, x)) for p in members[r.earlier] for x in members[r.later] if (r.forward if p < x else r.backward)}
+    assert pairs == {(r.earlier, r.later) for r in dedup.conflicts(df.withColumn("source_url", F.lit(""))).collect()} and len(got) < len(pairs) / 10
+
+
 @pytest.mark.parametrize("cell", [dedup.CELL, 300])
 def test_long_titles_meet_in_cells_without_growing(spark, monkeypatch, cell):
     """Pairs of long titles in one group, also where a class of length is dealt over several cells; the rows that meet carry each title a few times, not once a gram."""
