@@ -6,7 +6,8 @@
 3. Every whole document is cut into overlapping windows; a window is a candidate of the passages whose cosine in the latent
    space reaches LEAST_COSINE, or what a copy with PARAPHRASE of its words would reach where that is less (Index.weigh). Words are no rarer
    than RAREST and words outside the benchmark weigh no more than the average word of the plainest passage, so neither bound nor weights move with
-   the number of documents. A window's cosine is at most the root of its share of TF-IDF mass in benchmark terms; where that is below the least bound it is skipped.
+   the number of documents. A window's cosine is at most the root of its share of TF-IDF mass in benchmark terms; where that is below the least bound it is skipped,
+   and so it is where the most that each of its words adds to any passage, as a share of that passage's bound, comes to less than the whole.
 4. Candidates are verified: the longest common subsequence must cover OVERLAP of the passage, or, for paraphrases, PARAPHRASE of it
    together with its answer's words in order and a cosine of PARAPHRASE_COSINE over a stretch as long as the passage (a window of WINDOW words
    sees sqrt(WINDOW / m) of a verbatim copy of m words at most). FEWEST words are needed in any case, of shorter passages all.
@@ -16,6 +17,7 @@ The benchmark is worked off in blocks of TERMS terms, so what the driver holds a
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -171,6 +173,8 @@ class Index:
         basis = np.column_stack([basis, *more])
         self.latent = np.array([np.array(w) @ basis[t] for t, w in rows]).astype(np.float32)
         self.basis = np.vstack([basis * self.idf[:n, None], np.zeros((1, basis.shape[1]))]).astype(np.float32)
+        # the most that a term can add to the cosine of any passage, as a share of that passage's bound
+        self.most = np.concatenate([(self.basis[at : at + 256] @ (self.latent / self.least[:, None]).T).max(1) for at in range(0, n + 1, 256)])
 
     def likeness(self, p: int, near: list[int]) -> float:
         """The best latent cosine of passage p and a stretch of near with as many words. near numbers words outside the benchmark from len(terms) on."""
@@ -222,7 +226,7 @@ class Index:
         if not size.sum() or not self.passages:
             return out
         number = Words(self.terms)
-        ids = np.fromiter((number[w] for ws in words for w in ws), np.int32, int(size.sum()))
+        ids = np.fromiter(map(number.__getitem__, itertools.chain.from_iterable(words)), np.int32, int(size.sum()))
         begin = np.concatenate([[0], np.cumsum(size)])
         owner, first, lo, hi, norm, share, often = self.windows(ids, size)
         live = np.flatnonzero(share >= float(self.least.min()) ** 2 * (1 - 1e-6))
@@ -231,6 +235,8 @@ class Index:
             k = live[at : at + 1024]
             place = lo[k, None] + np.arange(WINDOW)
             t = np.where(place < hi[k, None], np.minimum(ids[np.minimum(place, len(ids) - 1)], n), n)
+            near = np.flatnonzero((self.most[t] / often[k]).sum(1) >= norm[k] * (1 - 1e-3))
+            k, t = k[near], t[near]
             vector = (self.basis[t] / often[k, :, None]).sum(1)
             cosine = (vector @ self.latent.T) / norm[k, None]
             w, p = np.nonzero(cosine >= self.least)

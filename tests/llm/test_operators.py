@@ -667,6 +667,25 @@ def paraphrase(words, share, other):
     return [other if i in gone else w for i, w in enumerate(words)]
 
 
+def test_decontamination_bound_of_windows(spark):
+    """No window that reaches a passage's bound is skipped by what its words add at most, and windows of a few common words are."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(400)]
+    index = decontaminate.Index([(i, " ".join(rng.sample(words, 30)), None) for i in range(30)])
+    index.weigh(1000, {i: rng.randint(1, 30) for i in range(len(index.terms))})
+    index.fit(spark.range(1))
+    n, skipped = len(index.terms), 0
+    for i in range(600):
+        t = np.array(rng.sample(index.passages[i % 30], i % 17) + rng.choices(range(n), k=3) + [n] * 16)[:16]
+        t = np.append(np.unique(t[t < n]), t[t == n])
+        norm = math.sqrt((index.idf[t] ** 2).sum())
+        reached = (index.latent @ index.basis[t].sum(0) / norm >= index.least).any()
+        kept = index.most[t].sum() >= norm * (1 - 1e-3)
+        assert kept or not reached
+        skipped += not kept
+    assert skipped > 50
+
+
 def test_decontamination_finds_paraphrases_of_any_length(spark):
     rng = random.Random(9)
     items = [(m, " ".join(f"{word(rng, 'aa')}{m}{i}" for i in range(m))) for m in (16, 30, 45, 59, 75)]
