@@ -49,6 +49,11 @@ def _keyed(df: DataFrame, pos: str) -> DataFrame:
     )
 
 
+def _linked(rows: DataFrame) -> DataFrame:
+    """Rows that titles can link: those with an organisation and a deadline. Blank titles have a fingerprint here too, as their ratio is 1."""
+    return rows.where("o <> '' and d <> ''").withColumn("f", F.sha2(F.concat_ws("|", "t", "o", "d"), 256))
+
+
 #: Characters of a gram at the least similarities that are indexed, longest grams used, and characters of titles that meet in one cell.
 GRAM, LONGEST, CELL = 3, 5, 1_000_000
 
@@ -209,38 +214,41 @@ def _alike_by_length(named: DataFrame, similar: float) -> DataFrame:
 
 
 def conflicts(df: DataFrame, pos: str = "pos", similar: float = SIMILAR) -> DataFrame:
-    """Pairs (earlier, later): equal URL, equal fingerprint, or titles at least similar with equal organisation and deadline.
+    """Pairs (earlier, later): equal URL, equal fingerprint, or titles at least similar (two blank ones are) with equal organisation and deadline.
 
     All pairs of an equal key are given, as asked; greedy() and classes() work without them.
     """
     rows = _keyed(df, pos)
-    a, b = (rows.select(*[F.col(c).alias(f"{c}{i}") for c in ("p", "u", "f")]) for i in (1, 2))
+    linked = _linked(rows) if similar <= 1 else rows
+    sides = lambda x: (x.select(*[F.col(c).alias(f"{c}{i}") for c in ("p", "u", "f")]) for i in (1, 2))
+    (a, b), (c, d) = sides(rows), sides(linked)
     by_url = a.join(b, (F.col("u1") == F.col("u2")) & (F.col("u1") != "") & (F.col("p1") < F.col("p2")))
-    by_print = a.join(b, (F.col("f1") == F.col("f2")) & (F.col("f1") != "") & (F.col("p1") < F.col("p2")))
+    by_print = c.join(d, (F.col("f1") == F.col("f2")) & (F.col("f1") != "") & (F.col("p1") < F.col("p2")))
     pairs = [x.select(F.col("p1").alias("earlier"), F.col("p2").alias("later")) for x in (by_url, by_print)]
-    return pairs[0].unionByName(pairs[1]).unionByName(_alike(rows, similar)).distinct()
+    return pairs[0].unionByName(pairs[1]).unionByName(_alike(linked, similar)).distinct()
 
 
 def classes(df: DataFrame, pos: str = "pos", similar: float = SIMILAR) -> DataFrame:
-    """conflicts() by fingerprint and title without their expansion: (earlier, later, kind, forward, backward).
+    """conflicts() by fingerprint and title without their expansion: (earlier, later, kind, forward, backward, class, other).
 
-    Rows of one fingerprint are a class, named by its first position. `copy`: later is a further row of the class of earlier, which conflicts with every row of it. `similar`: rows of the classes of
-    earlier and later conflict, forward where the row of earlier's class comes first, backward where the other does (a ratio depends on the order). Rows with a blank part are in no class.
+    Rows equal in title, blank ones too, organisation and deadline are a class, named by its first position. `copy`: later is a further row of the class of earlier, which conflicts with every row of it; rows
+    that share a position count each. `similar`: rows of the classes of earlier and later conflict, forward where the row of earlier's class comes first, backward where the other does (a ratio depends on the
+    order). class and other are the hashes of the two classes, which tell them apart where positions repeat. Rows with a blank organisation or deadline are in no class.
     """
     if not (similar <= 1 and _indexable(similar)):
         raise ValueError("too low a similarity for the index of titles")
-    rows = durable(_keyed(df.withColumn("source_url", F.lit("")), pos).where("f <> ''"))
-    first = durable(rows.groupBy("f").agg(F.min("p").alias("first")))
-    copies = rows.join(first, "f").where("p > first").select(F.col("first").alias("earlier"), F.col("p").alias("later"), F.lit("copy").alias("kind"), F.lit(True).alias("forward"), F.lit(True).alias("backward"))
+    rows = durable(_linked(_keyed(df.withColumn("source_url", F.lit("")), pos)).withColumn("row", F.monotonically_increasing_id()))
+    first = durable(rows.groupBy("f").agg(F.min(F.struct("p", "row")).alias("first")).select("f", F.col("first.p").alias("first"), F.col("first.row").alias("head")))
+    copies = rows.join(first, "f").where("row <> head").select(F.col("first").alias("earlier"), F.col("p").alias("later"), F.lit("copy").alias("kind"), F.lit(True).alias("forward"), F.lit(True).alias("backward"), F.col("f").alias("class"), F.col("f").alias("other"))
     of = lambda i, c: first.select(F.col("first").alias(f"p{i}"), F.col("f").alias(c))
     met = _like_classes(rows, similar).join(of(1, "a"), "a").join(of(2, "b"), "b")
-    ahead = F.col("p1") < F.col("p2")
-    like = met.select(F.least("p1", "p2").alias("earlier"), F.greatest("p1", "p2").alias("later"), F.lit("similar").alias("kind"), F.when(ahead, F.col("ab")).otherwise(F.col("ba")).alias("forward"), F.when(ahead, F.col("ba")).otherwise(F.col("ab")).alias("backward"))
+    turned = lambda x, y: F.when(F.col("p1") > F.col("p2"), F.col(y)).otherwise(F.col(x))
+    like = met.select(turned("p1", "p2").alias("earlier"), turned("p2", "p1").alias("later"), F.lit("similar").alias("kind"), turned("ab", "ba").alias("forward"), turned("ba", "ab").alias("backward"), turned("a", "b").alias("class"), turned("b", "a").alias("other"))
     return copies.unionByName(like)
 
 
 def greedy(df: DataFrame, pos: str = "pos", similar: float = SIMILAR) -> DataFrame:
-    """Rows that a sequential pass by pos keeps: a row goes if it conflicts with a kept earlier row, and dropped rows drop nothing.
+    """Rows that a sequential pass by pos keeps: a row goes if it conflicts with a kept earlier row, and dropped rows drop nothing. Rows with a blank title conflict by URL alone.
 
     Rows equal in URL, title, organisation and deadline conflict with the same rows, and the first of them, kept or not, settles the
     others, so one stands for all. Then, round by round: dropped if an earlier neighbour is kept, kept if all are dropped. Of the rows of one URL or one

@@ -170,6 +170,23 @@ def test_classes_expand_to_every_conflict(spark):
     assert pairs == {(r.earlier, r.later) for r in dedup.conflicts(df.withColumn("source_url", F.lit(""))).collect()} and len(got) < len(pairs) / 10
 
 
+def test_classes_lose_no_link_of_blank_titles_or_repeated_positions(spark):
+    """Blank titles have a ratio of 1, so with equal organisation and deadline their rows are linked; of rows that share a position none is lost, and their classes stay apart."""
+    rows = [
+        (1, "", "O", "d"), (2, None, "o", "d"), (3, "!!!", "o", "d."), (4, "", "", "d"), (5, "", "o", None), (6, "", "o2", "d"),
+        (7, "audit of bridges", "o", "d"), (7, "audit of bridge", "o", "d"), (7, "Audit of bridge", "o", "d"), (8, "audit of bridges", "o", "d"), (9, "roads", "o", "d"),
+    ]
+    df = spark.createDataFrame(rows, "pos long, title string, organization string, deadline string")
+    got = dedup.classes(df).collect()
+    assert sorted((r.earlier, r.later) for r in got if r.kind == "copy") == [(1, 2), (1, 3), (7, 7), (7, 8)]
+    names = {r["class"]: sorted((x.earlier, x.later) for x in got if x.kind == "copy" and x["class"] == r["class"]) for r in got}
+    assert sorted(names.values()) == [[(1, 2), (1, 3)], [(7, 7)], [(7, 8)]]
+    (like,) = [r for r in got if r.kind == "similar"]
+    assert (like.earlier, like.later, like.forward, like.backward) == (7, 7, True, True) and {like["class"], like.other} == {c for c, ps in names.items() if ps[0][0] == 7}
+    pairs = {tuple(r) for r in dedup.conflicts(df.withColumn("source_url", F.lit(""))).collect()}
+    assert pairs == {(1, 2), (1, 3), (2, 3), (7, 8)}
+
+
 @pytest.mark.parametrize("cell", [dedup.CELL, 300])
 def test_long_titles_meet_in_cells_without_growing(spark, monkeypatch, cell):
     """Pairs of long titles in one group, also where a class of length is dealt over several cells; the rows that meet carry each title a few times, not once a gram."""
